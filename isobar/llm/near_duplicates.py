@@ -15,9 +15,12 @@ document's component of linked documents.
     large group of near copies by as many comparisons as it has members.
 4.  What is then still in different components under a shingle is compared in
     full where few components meet.  Shingles where many meet (passages that
-    unlike documents share) form a second class: the prefix is one longer, and
-    pairs of such shingles are indexed instead of single ones, since two linked
-    sets share two of their prefixes' shingles when all they share are such.
+    unlike documents share) form a second class.  Sets that have such in their
+    prefix get a second prefix, in an order of all their shingles by frequency
+    among these sets.  Where its shingles are still frequent, the prefix is one
+    longer and pairs of such shingles are indexed instead of single ones, since
+    two linked sets share two of their prefixes' shingles when all they share
+    are such.
 5.  Every candidate is verified on the whole sets.
 
 Null, empty and wordless texts have an empty set and are linked with nothing.
@@ -160,9 +163,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets under one key that lie in different components: the key's largest component is only ever on one side."""
+    by_key = Window.partitionBy("key")
+    rows = rows.repartition("key").withColumn("other", F.min("component").over(by_key) != F.max("component").over(by_key))
+    rows = written(rows.where("other").drop("other"))
     counts = rows.groupBy("key", "component").count()
-    most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count(F.lit(1)).alias("k"))
-    rows = rows.join(most.where("k > 1"), "key")
+    most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"))
+    rows = rows.join(most, "key")
     left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"))
     right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), "most")
     near = (F.col("nl") * percent <= F.col("nr") * 100) & (F.col("nr") * percent <= F.col("nl") * 100)
@@ -170,6 +176,36 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
 
 
+def _classed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of shingles where few components meet, and of those where many do; shingles within one component are done."""
+    meet = rows.groupBy("token", "component").agg(F.first("n")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    rows = written(rows.join(meet, "token").select("token", "set_id", "n", "component", "k"))
+    return rows.where(F.col("k") <= FREQUENT).drop("k"), rows.where(F.col("k") > FREQUENT).drop("k")
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of whole sets."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            shingles = np.frombuffer(batch["shingles"][i].as_buffer(), np.int64)
+            columns = [pa.array(shingles), *(pa.array(np.full(len(shingles), batch[c][i].as_py())) for c in ("set_id", "n", "component"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "set_id", "n", "component"])
+
+
+def _second_prefix(sets: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """The first tau + 2 shingles of each set in the order of frequency among ``sets`` (set_id, n, component)."""
+    tokens = whole.join(sets, "set_id").select("set_id", "shingles", "n", "component")
+    tokens = tokens.mapInArrow(_spread, "token long, set_id long, n long, component long").repartition("token")
+    tokens = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
+    by_set = Window.partitionBy("set_id")
+    rank = F.col("n") - F.count(F.lit(1)).over(by_set) + F.row_number().over(by_set.orderBy("df", "token"))
+    return tokens.withColumn("rank", rank).where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "component")
+
+
+def _spare_column(percent: int):
+    return F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
+
+
 def _placed(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their set's component so far, and the components."""
     found = written(components(links))
@@ -200,8 +236,7 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     known = F.count(F.when(F.col("place").isNull(), 1)).over(by_set)
     order = F.row_number().over(by_set.orderBy(F.col("place").isNotNull(), "df", "token"))
     shared = shared.withColumn("rank", F.when(F.col("place").isNull(), F.col("n_counted") - known + order).otherwise(F.col("place")))
-    spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
-    prefix = written(shared.where(F.col("rank") <= spare + 2).select("token", "set_id", "n"))
+    prefix = written(shared.where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n"))
 
     # the sets to compare, whole
     wanted = written(sets.join(prefix.select("set_id").distinct(), "set_id", "left_semi").select("doc_id"))
@@ -217,14 +252,15 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     # the rest, where components meet
     rows, found = _placed(prefix, links)
-    rows = written(rows.select("token", "set_id", "n", "component"))
-    meet = rows.select("token", "component").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    rows = written(rows.join(meet, "token"))
-    few = rows.where(F.col("k") <= FREQUENT).withColumn("key", F.col("token"))
-    many = rows.where(F.col("k") > FREQUENT).groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list("token")).alias("ts"))
-    many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
-    many = many.select("set_id", "n", "component", F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> xxhash64(t, x))")).alias("key"))
-    pairs = _crossing(few.select("key", "set_id", "n", "component"), percent).union(_crossing(many.select("key", "set_id", "n", "component"), percent))
+    few, many = _classed(written(rows.select("token", "set_id", "n", "component")))
+    pairs = _crossing(few.withColumnRenamed("token", "key"), percent)
+    if not many.isEmpty():
+        again = written(_second_prefix(many.select("set_id", "n", "component").distinct(), whole, percent))
+        few, many = _classed(again)
+        many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list("token")).alias("ts"))
+        many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
+        many = many.select("set_id", "n", "component", F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> xxhash64(t, x))")).alias("key"))
+        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many.select("key", "set_id", "n", "component"), percent))
     more = written(_verified(pairs.distinct(), whole, percent))
     if not more.isEmpty():
         found = written(components(links.union(more)))
