@@ -5,6 +5,10 @@ source's target over the source's size; the documents of a source are put in an
 order, their expected copies summed up from one random offset, and each is
 taken once per integer that its part of the sum crosses.
 
+The offset is the one of ``OFFSETS`` evenly spaced ones, from a random start,
+whose documents' sizes sum up nearest to the target: in a small source one long
+document more or less is much of it.
+
 The order is by size class (first two digits), then by a digest of the id, so
 every class is taken at the source's rate within one copy.  The sum is never
 made in one task: a document's place is the number of documents in smaller
@@ -26,6 +30,7 @@ from isobar.llm.natives import word_count
 from isobar.llm.store import written
 
 WEIGHTS = (5, 2, 1)
+OFFSETS = 32
 
 
 def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -73,15 +78,23 @@ def copies(docs: DataFrame, seed: int = 0, share: float = 1.5, cap: float = 2.0,
     groups = groups.select("key", "class", "part", in_class.alias("in_class")).join(classes.select("key", "class", before.alias("before")), ["key", "class"])
 
     targets = source_targets(sizes.select("source", "size"), share, cap, weights)
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("key")).cast("binary")), 1, 5), 16, 10).cast("double") / 2**20
-    targets = targets.withColumn("key", _key(F.col("source"))).withColumn("offset", offset).drop("source", "n_docs")
+    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("key")).cast("binary")), 1, 5), 16, 10).cast("double") / (2**20 * OFFSETS)
+    targets = targets.withColumn("key", _key(F.col("source"))).withColumn("start", start).drop("source", "n_docs")
     rows = sizes.withColumn("part", first).join(groups, ["key", "class", "part"])
     rank = F.row_number().over(Window.partitionBy("key", "class", "part").orderBy("digest", "doc_id"))
-    rows = rows.withColumn("place", F.col("before") + F.col("in_class") + rank).join(targets, "key")
+    rows = rows.withColumn("place", F.col("before") + F.col("in_class") + rank)
+    rows = written(rows.select("doc_id", "source", "key", "size", "place")).join(targets, "key")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    crossed = F.floor(F.col("offset") + rate * F.col("place")) - F.floor(F.col("offset") + rate * (F.col("place") - 1))
-    taken = F.least(crossed, F.ceil(rate)).cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("copies"))
+
+    def taken(offset: Column) -> Column:
+        crossed = F.floor(offset + rate * F.col("place")) - F.floor(offset + rate * (F.col("place") - 1))
+        return F.least(crossed, F.ceil(rate)).cast("long")
+
+    sums = [F.sum(taken(F.col("start") + j / OFFSETS) * F.col("size")).alias(f"s{j}") for j in range(OFFSETS)]
+    tried = rows.groupBy("key").agg(F.first("target").alias("aim"), *sums)  # a row for each source
+    near = F.array(*(F.struct(F.abs(F.col(f"s{j}") - F.col("aim")).alias("off"), F.lit(j / OFFSETS).alias("offset")) for j in range(OFFSETS)))
+    rows = rows.join(tried.select("key", F.array_min(near)["offset"].alias("offset")), "key")
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken(F.col("start") + F.col("offset")).alias("copies"))
 
 
 def mixed(docs: DataFrame, seed: int = 0, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:

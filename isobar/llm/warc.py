@@ -102,7 +102,7 @@ def _write(path: str, segment: int, file_bytes: int):
             for row in batch.to_pylist():
                 if out is None:
                     temporary = f"{folder}/.{uuid.uuid4().hex}"
-                    out = store.open_output_stream(temporary)
+                    out = store.open_output_stream(temporary, compression=None)
                 payload = (row["html"] or "").encode()
                 page = "null" if row["page_id"] is None else str(row["page_id"])
                 for r in page_records(f"{part}.{seq}", page, row["url"] or "", payload, row["digest"], row["first"], segment):
@@ -153,7 +153,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch["path"].to_pylist():
             store, name = fs.FileSystem.from_uri(path)
             rows, held = [], 0
-            with store.open_input_stream(name) as stream:
+            with store.open_input_stream(name, compression=None) as stream:
                 for raw in members(stream):
                     f, block = parsed(raw)
                     number = int(f.get("WARC-Segment-Number", 0))
@@ -210,8 +210,8 @@ def read_archives(files: DataFrame) -> DataFrame:
     split = split.select("kind", "page", "digest", "refers", "total", F.col("parts.block").alias("blocks"))
     pages = written(whole.union(split).mapInArrow(_decoded, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"))
     visits = pages.where("record_type = 'revisit'")
-    lengths = pages.where("record_type = 'response'").join(visits.select("refers_to").distinct(), F.col("page_id") == F.col("refers_to"), "left_semi")
-    lengths = lengths.groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    lengths = pages.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes")
+    lengths = lengths.join(visits.select("refers_to").distinct(), "refers_to", "left_semi").distinct()
     visits = visits.drop("payload_bytes").join(maybe_broadcast(lengths, BROADCAST_ROWS), ["refers_to", "payload_digest"], "left")
     return pages.where("record_type = 'response'").unionByName(visits)
 
