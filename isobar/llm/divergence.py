@@ -49,8 +49,7 @@ class Rules:
     repeat_percent: int = 20
     class_distance: float = 0.30
     class_min_chars: int = 80
-    word_distance: float = 0.50
-    word_min_words: int = 60
+    word_distances: tuple[tuple[int, float], ...] = ((80, 0.30), (150, 0.23))  #: from so many words on, at most so far
 
 
 def _word_table() -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +164,8 @@ def _judge(rules: Rules, known: dict[str, list[int]]):
                     near = np.arange(block.n), words.argmin(1)
                     word_d, class_d = words[near], classes.min(1)
                 odd = (class_d > rules.class_distance) & (by_class.sum(1) >= rules.class_min_chars)
-                odd |= (word_d > rules.word_distance) & (n_words >= rules.word_min_words)
+                for least, most in rules.word_distances:
+                    odd |= (word_d > most) & (n_words >= least)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(block.rows.start, block.n), *map(pa.array, (*counts.values(), class_d, word_d, failed, ~failed & ~odd))],
                     names=["doc_id", *counts, "class_distance", "word_distance", "base_failed", "kept"],
