@@ -146,30 +146,40 @@ def base_counts(block: Block) -> dict[str, np.ndarray]:
     }
 
 
-def _judge(rules: Rules, known: dict[str, list[int]]):
+def _verdict(block: Block, rules: Rules, known: dict[str, list[int]]) -> dict[str, np.ndarray]:
     names = [g for g in LANGUAGES if g in known]
+    counts = base_counts(block)
+    n_words = counts["n_words"]
+    failed = (n_words < rules.min_words) | (100 * counts["n_repeat_words"] > rules.repeat_percent * n_words)
+    by_class, by_word = histograms(block, *_folded(block))
+    class_d, word_d = np.zeros(block.n), np.zeros(block.n)
+    if names:
+        ref = np.array([known[g] for g in names], float)
+        words = np.stack([jensen_shannon(by_word[:, LANGUAGES.index(g)].astype(float), ref[k, CLASS_BINS:]) for k, g in enumerate(names)], 1)
+        classes = np.stack([jensen_shannon(by_class.astype(float), r[:CLASS_BINS]) for r in ref], 1)
+        word_d, class_d = words.min(1), classes.min(1)
+    odd = (class_d > rules.class_distance) & (by_class.sum(1) >= rules.class_min_chars)
+    for least, most in rules.word_distances:
+        odd |= (word_d > most) & (n_words >= least)
+    return counts | {"class_distance": class_d, "word_distance": word_d, "base_failed": failed, "kept": ~failed & ~odd}
+
+
+def _judge(rules: Rules, known: dict[str, list[int]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch["text"]):
+                out = _verdict(block, rules, known)
+                ids = batch["doc_id"].slice(block.rows.start, block.n)
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, out.values())], names=["doc_id", *out])
+
+    return run
 
+
+def _keep(rules: Rules, known: dict[str, list[int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
-                counts = base_counts(block)
-                n_words = counts["n_words"]
-                failed = (n_words < rules.min_words) | (100 * counts["n_repeat_words"] > rules.repeat_percent * n_words)
-                by_class, by_word = histograms(block, *_folded(block))
-                class_d, word_d = np.zeros(block.n), np.zeros(block.n)
-                if names:
-                    ref = np.array([known[g] for g in names], float)
-                    words = np.stack([jensen_shannon(by_word[:, LANGUAGES.index(g)].astype(float), ref[k, CLASS_BINS:]) for k, g in enumerate(names)], 1)
-                    classes = np.stack([jensen_shannon(by_class.astype(float), r[:CLASS_BINS]) for r in ref], 1)
-                    near = np.arange(block.n), words.argmin(1)
-                    word_d, class_d = words[near], classes.min(1)
-                odd = (class_d > rules.class_distance) & (by_class.sum(1) >= rules.class_min_chars)
-                for least, most in rules.word_distances:
-                    odd |= (word_d > most) & (n_words >= least)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(block.rows.start, block.n), *map(pa.array, (*counts.values(), class_d, word_d, failed, ~failed & ~odd))],
-                    names=["doc_id", *counts, "class_distance", "word_distance", "base_failed", "kept"],
-                )
+                yield batch.slice(block.rows.start, block.n).filter(pa.array(_verdict(block, rules, known)["kept"]))
 
     return run
 
@@ -179,3 +189,8 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean"
     return rows.mapInArrow(_judge(rules, references(docs)), schema)
+
+
+def passing(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; ``text`` and ``lang`` must be among them."""
+    return docs.mapInArrow(_keep(rules, references(docs)), docs.schema)

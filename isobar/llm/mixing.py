@@ -99,7 +99,7 @@ def copies(docs: DataFrame, seed: int = 0, share: float = 1.5, cap: float = 2.0,
 
 def mixed(docs: DataFrame, seed: int = 0, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The rows of ``docs``, each as often as it is taken.  doc_id must be unique."""
-    taken = copies(docs, seed, share, cap, weights).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"])).drop("__id")
-    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")
-    return rows.select(*docs.columns, again).drop("__copy")
+    taken = copies(docs, seed, share, cap, weights).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__n"))
+    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"]))
+    again = F.explode(F.sequence(F.lit(1), taken["__n"].cast("int"))).alias("__copy")
+    return rows.select(*(docs[c] for c in docs.columns), again).drop("__copy")

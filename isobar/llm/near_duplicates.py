@@ -271,3 +271,10 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     least = ids.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     ids = ids.join(least, "component").select("set_id", "component_id")
     return meta.join(ids, "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def without_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those linked to a smaller doc_id; rows that share a doc_id stay or go together."""
+    found = duplicate_components(docs, percent)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
