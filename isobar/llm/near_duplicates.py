@@ -21,7 +21,9 @@ document's component of linked documents.
     longer and pairs of such shingles are indexed instead of single ones, since
     two linked sets share two of their prefixes' shingles when all they share
     are such.
-5.  Every candidate is verified on the whole sets.
+5.  A shingle's place in both sets' order bounds what they can share, as nothing
+    before the first shared one is; so sets with many shingles of their own are
+    no candidates.  Every candidate is verified on the whole sets.
 
 Null, empty and wordless texts have an empty set and are linked with nothing.
 """
@@ -43,7 +45,7 @@ SHINGLE = 5
 #: the share of the hash space that is ordered by frequency
 COUNTED = 0.3
 #: shingles under which more components than this meet are the second class
-FREQUENT = 16
+FREQUENT = 64
 #: ids of compared sets are broadcast up to this many; beyond, they are joined by a shuffle
 BROADCAST_IDS = 2_000_000
 
@@ -161,7 +163,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
-def _crossing(rows: DataFrame, percent: int) -> DataFrame:
+def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int = 1):
+    """Whether two sets can be linked whose first shared shingle, or second (``shared``), is at these ranks."""
+    most = shared + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
+    return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
+
+
+def _crossing(rows: DataFrame, percent: int, shared: int = 1) -> DataFrame:
     """Pairs of sets under one key that lie in different components: the key's largest component is only ever on one side."""
     by_key = Window.partitionBy("key")
     rows = rows.repartition("key").withColumn("other", F.min("component").over(by_key) != F.max("component").over(by_key))
@@ -169,9 +177,9 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     counts = rows.groupBy("key", "component").count()
     most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"))
     rows = rows.join(most, "key")
-    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"))
-    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), "most")
-    near = (F.col("nl") * percent <= F.col("nr") * 100) & (F.col("nr") * percent <= F.col("nl") * 100)
+    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"))
+    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), "most")
+    near = _possible("nl", "il", "nr", "ir", percent, shared)
     pairs = left.join(right, "key").where((F.col("cl") != F.col("cr")) & ((F.col("cr") == F.col("most")) | (F.col("cl") < F.col("cr"))) & near)
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
 
@@ -179,7 +187,7 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
 def _classed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of shingles where few components meet, and of those where many do; shingles within one component are done."""
     meet = rows.groupBy("token", "component").agg(F.first("n")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    rows = written(rows.join(meet, "token").select("token", "set_id", "n", "component", "k"))
+    rows = written(rows.join(meet, "token").select("token", "set_id", "n", "rank", "component", "k"))
     return rows.where(F.col("k") <= FREQUENT).drop("k"), rows.where(F.col("k") > FREQUENT).drop("k")
 
 
@@ -199,7 +207,7 @@ def _second_prefix(sets: DataFrame, whole: DataFrame, percent: int) -> DataFrame
     tokens = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
     by_set = Window.partitionBy("set_id")
     rank = F.col("n") - F.count(F.lit(1)).over(by_set) + F.row_number().over(by_set.orderBy("df", "token"))
-    return tokens.withColumn("rank", rank).where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "component")
+    return tokens.withColumn("rank", rank).where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "rank", "component")
 
 
 def _spare_column(percent: int):
@@ -236,7 +244,7 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     known = F.count(F.when(F.col("place").isNull(), 1)).over(by_set)
     order = F.row_number().over(by_set.orderBy(F.col("place").isNotNull(), "df", "token"))
     shared = shared.withColumn("rank", F.when(F.col("place").isNull(), F.col("n_counted") - known + order).otherwise(F.col("place")))
-    prefix = written(shared.where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n"))
+    prefix = written(shared.where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "rank"))
 
     # the sets to compare, whole
     wanted = written(sets.join(prefix.select("set_id").distinct(), "set_id", "left_semi").select("doc_id"))
@@ -245,22 +253,22 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     whole = written(chosen.select("text").mapInArrow(_whole, "set_id long, shingles binary").dropDuplicates(["set_id"]))
 
     # each with one set under the same shingle
-    centre = prefix.groupBy("token").agg(F.min("set_id").alias("a"), F.min_by("n", "set_id").alias("na"))
-    near = (F.col("n") * percent <= F.col("na") * 100) & (F.col("na") * percent <= F.col("n") * 100)
-    stars = prefix.join(centre, "token").where((F.col("set_id") > F.col("a")) & near)
+    centre = prefix.groupBy("token").agg(F.min("set_id").alias("a"), F.min_by("n", "set_id").alias("na"), F.min_by("rank", "set_id").alias("ia"))
+    stars = prefix.join(centre, "token").where((F.col("set_id") > F.col("a")) & _possible("n", "rank", "na", "ia", percent))
     links = written(_verified(stars.select("a", F.col("set_id").alias("b")).distinct(), whole, percent))
 
     # the rest, where components meet
     rows, found = _placed(prefix, links)
-    few, many = _classed(written(rows.select("token", "set_id", "n", "component")))
+    few, many = _classed(written(rows.select("token", "set_id", "n", "rank", "component")))
     pairs = _crossing(few.withColumnRenamed("token", "key"), percent)
     if not many.isEmpty():
         again = written(_second_prefix(many.select("set_id", "n", "component").distinct(), whole, percent))
         few, many = _classed(again)
-        many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list("token")).alias("ts"))
+        many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("ts"))
         many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
-        many = many.select("set_id", "n", "component", F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> xxhash64(t, x))")).alias("key"))
-        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many.select("key", "set_id", "n", "component"), percent))
+        two = F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> struct(xxhash64(t.token, x.token) as key, x.rank as rank))")).alias("k")
+        many = many.select("set_id", "n", "component", two).select("k.key", "k.rank", "set_id", "n", "component")
+        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many, percent, shared=2))
     more = written(_verified(pairs.distinct(), whole, percent))
     if not more.isEmpty():
         found = written(components(links.union(more)))
