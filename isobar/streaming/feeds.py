@@ -7,8 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def hourly_max(stream: DataFrame, late: str = "2 hours") -> DataFrame:
@@ -33,32 +32,31 @@ def companions(left: DataFrame, right: DataFrame, before: int = 360, after: int
     return a.join(b, (F.col("key") == F.col("ckey")) & span).drop("ckey")
 
 
-class NewestWins(StatefulProcessor):
-    """K3: each key's newest value; output whenever it changes, forgotten after an expiry."""
+EXPIRY_MS = 3 * 3_600_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType([T.StructField("epoch", T.LongType()), T.StructField("value", T.DoubleType())])
-        self.newest = handle.getValueState("newest", state, ttlDurationMs=3 * 3_600_000)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = self.newest.get() if self.newest.exists() else None
-        changed = False
-        for part in rows:
-            top = part.sort_values(["epoch", "value"]).iloc[-1]
-            new = (int(top["epoch"]), float(top["value"]))
-            if best is None or new > tuple(best):
-                best, changed = new, True
-        if changed:
-            self.newest.update(best)
-            yield pd.DataFrame({"key": [key[0]], "epoch": [best[0]], "value": [best[1]]})
+def _newest(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
+    best, changed = (tuple(state.get) if state.exists else None), False
+    for part in rows:
+        top = part.sort_values(["epoch", "value"]).iloc[-1]
+        new = (int(top["epoch"]), float(top["value"]))
+        if best is None or new > best:
+            best, changed = new, True
+    if changed:
+        state.update(best)
+    state.setTimeoutTimestamp(max(best[0] * 1000 + EXPIRY_MS, state.getCurrentWatermarkMs() + 1))
+    if changed:
+        yield pd.DataFrame({"key": [key[0]], "epoch": [best[0]], "value": [best[1]]})
 
-    def close(self) -> None:
-        pass
 
-
-def newest_wins(stream: DataFrame) -> DataFrame:
-    """K3 over ``key, epoch, value``; needs the RocksDB state store."""
-    return stream.groupBy("key").transformWithStateInPandas(NewestWins(), "key string, epoch long, value double", "Update", "ProcessingTime")
+def newest_wins(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """K3 over ``key, ts, value``: each key's newest value; output whenever it changes, forgotten once the watermark has passed it by the expiry."""
+    stream = stream.withWatermark("ts", late).select("key", "ts", F.unix_timestamp("ts").alias("epoch"), "value")
+    out, state = "key string, epoch long, value double", "epoch long, value double"
+    return stream.groupBy("key").applyInPandasWithState(_newest, out, state, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def slot_upsert(batch: DataFrame, stored: DataFrame | None, keys: list[str], order: str) -> DataFrame:
