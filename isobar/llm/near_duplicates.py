@@ -43,9 +43,9 @@ from isobar.llm.store import written
 
 SHINGLE = 5
 #: the share of the hash space that is ordered by frequency
-COUNTED = 0.3
+COUNTED = 0.5
 #: shingles under which more components than this meet are the second class
-FREQUENT = 64
+FREQUENT = 16
 #: ids of compared sets are broadcast up to this many; beyond, they are joined by a shuffle
 BROADCAST_IDS = 2_000_000
 
