@@ -1,3 +1,54 @@
-"""DuckDB statements of the training-data queries that SQL can express."""
+"""DuckDB statements of the training-data queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others are tested against brute force: scores of the language model, votes
+and divergence rules, spans with terms, and token ids.
+"""
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP6 = rf"""
+with item as (select cast(item_id as varchar) item, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark where item_id is not null),
+ win as (select distinct item, l, array_to_string(w[k:k + l - 1], ' ') s from (select *, unnest(range(1, len(w) - l + 2)) k from (select *, least(13, len(w)) l from item where len(w) > 0))),
+ doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+ place as (select doc_id, l, k, array_to_string(w[k:k + l - 1], ' ') s from (select *, unnest(range(1, len(w) - l + 2)) k from doc, (select distinct l from win) where len(w) >= l)),
+ met as (select doc_id, l, k, item from place join win using (l, s)),
+ hit as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(k, k + l)) p from met) group by 1),
+ its as (select doc_id, count(distinct item) n, string_agg(distinct item, ',' order by item) s from met group by 1)
+select doc_id, cast(len(w) as bigint) n_words, coalesce(hit.n, 0) n_hit, coalesce(its.n, 0) n_items, sha256(coalesce(its.s, '')) items_sha256, coalesce(hit.n, 0) > 0 and 20 * coalesce(hit.n, 0) >= len(w) as contaminated
+from doc left join hit using (doc_id) left join its using (doc_id)
+"""
+
+OP8 = r"""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size, md5(coalesce(cast(doc_id as varchar), '')) h from documents),
+ s as (select source, sum(size) z, row_number() over (order by source nulls last) - 1 i from d group by 1),
+ w as (select *, cast([5, 2, 1][i % 3 + 1] as double) w, z * 2.0e0 most from s),
+ b as (select *, coalesce(sum(most) over (o rows between unbounded preceding and 1 preceding), 0) mb, coalesce(sum(w) over (o rows between unbounded preceding and 1 preceding), 0) wb, sum(z) over () * 1.5e0 t, sum(w) over () wt
+       from w window o as (order by most / w, source nulls last)),
+ c as (select *, (t - mb) * w >= most * (wt - wb) capped from b),
+ g as (select source, z, case when capped then most else (t - sum(case when capped then most else 0 end) over ()) * w / sum(case when capped then 0 else w end) over () end target,
+        cast(('0x' || substr(md5(concat('0:', coalesce('s' || source, ''))), 1, 5)) as bigint) / 33554432.0e0 u from c),
+ p as (select d.doc_id, d.source, d.size, g.z, g.target, g.u, case when g.z > 0 then g.target / g.z else 0.0e0 end r,
+        row_number() over (partition by d.source order by length(cast(size as varchar)) * 100 + cast(substr(cast(size as varchar), 1, 2) as int), h, d.doc_id) k
+       from d join g on d.source is not distinct from g.source),
+ q as (select *, least(floor(u + j / 32.0e0 + r * k) - floor(u + j / 32.0e0 + r * (k - 1)), ceil(r)) n from p, (select unnest(range(32)) j)),
+ o as (select source, arg_min(j, abs(x - target) * 1.0e0) j from (select source, j, sum(n * size) x, any_value(target) target from q group by 1, 2 order by j) group by 1)
+select doc_id, size, cast(z as bigint) source_size, target, cast(size * n as bigint) taken from q join o on q.source is not distinct from o.source and q.j = o.j
+"""
+
+OP9 = """
+with p as (select page_id, coalesce(html, '') h, sha256(coalesce(html, '')) d, strlen(coalesce(html, '')) n from pages),
+ f as (select *, case when n >= 100 then min(page_id) over (partition by d) else page_id end f from p)
+select page_id, cast(n as bigint) payload_bytes, d payload_digest, case when f = page_id then 'response' else 'revisit' end record_type, case when f <> page_id then f end refers_to from f
+"""
+
+OP10 = rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') w from documents),
+ sh as (select distinct doc_id, array_to_string(w[k:k + 4], ' ') s from (select *, unnest(range(1, greatest(len(w) - 3, 2))) k from d where len(w) > 0)),
+ n as (select doc_id, count(*) n from sh group by 1),
+ pair as (select a.doc_id x, b.doc_id y, count(*) k from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+ link as (select x, y from pair join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 80 * (a.n + b.n - k)),
+ reach as (select doc_id x, doc_id y from d union select r.x, l.y from reach r join link l on r.y = l.x)
+select d.doc_id, coalesce(n.n, 0) n_shingles, c.m component_id from d left join n using (doc_id) join (select x, min(y) m from reach group by 1) c on c.x = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_decontaminate": OP6, "op8_mixing": OP8, "op9_warc": OP9, "op10_ngram_jaccard": OP10}
