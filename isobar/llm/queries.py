@@ -12,6 +12,7 @@ from isobar.llm.backoff_lm import Model, scored
 from isobar.llm.decontaminate import contamination
 from isobar.llm.divergence import judged
 from isobar.llm.frames import token_files
+from isobar.llm.line_dedup import line_report
 from isobar.llm.mixing import copies
 from isobar.llm.near_duplicates import duplicate_components
 from isobar.llm.neighbour_vote import quality_scores
@@ -42,6 +43,10 @@ def op4_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.drop("text_key")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
         op2_neighbour_vote,
         op3_divergence_rules,
         op4_private_terms,
+        op5_line_dedup,
         op6_decontaminate,
         op7_token_frames,
         op8_mixing,
