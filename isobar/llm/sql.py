@@ -51,4 +51,15 @@ with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text,
 select d.doc_id, coalesce(n.n, 0) n_shingles, c.m component_id from d left join n using (doc_id) join (select x, min(y) m from reach group by 1) c on c.x = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op6_decontaminate": OP6, "op8_mixing": OP8, "op9_warc": OP9, "op10_ngram_jaccard": OP10}
+OP5 = r"""
+with t as (select doc_id, string_split(text, chr(10)) s from documents where text is not null),
+ l as (select doc_id, pos, regexp_extract_all(lower(s[pos]), '[^\x20\x09-\x0D]+') w from (select *, unnest(range(1, len(s) + 1)) pos from t)),
+ k as (select doc_id, pos, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')))) sh from l where len(w) > 0),
+ f as (select sh, min((doc_id, pos)) f, row_number() over () id from k group by sh),
+ x as (select id, f, len(sh) n, unnest(sh) g from f),
+ m as (select a.id from x a join x b on a.g = b.g and b.f < a.f group by a.id, b.id having 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+ c as (select doc_id, count(*) n, count(*) filter (where (doc_id, pos) <> f.f) e, count(*) filter (where (doc_id, pos) = f.f and f.id in (select id from m)) s from k join f using (sh) group by 1)
+select d.doc_id, coalesce(n, 0) n_lines, coalesce(e, 0) n_equal, coalesce(s, 0) n_similar from (select distinct doc_id from documents) d left join c using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5, "op6_decontaminate": OP6, "op8_mixing": OP8, "op9_warc": OP9, "op10_ngram_jaccard": OP10}
