@@ -46,6 +46,8 @@ SHINGLE = 5
 COUNTED = 0.5
 #: shingles under which more components than this meet are the second class
 FREQUENT = 16
+#: the same limit in a second prefix, beyond which pairs of shingles are indexed
+PAIRED = 4
 #: ids of compared sets are broadcast up to this many; beyond, they are joined by a shuffle
 BROADCAST_IDS = 2_000_000
 
@@ -184,11 +186,11 @@ def _crossing(rows: DataFrame, percent: int, shared: int = 1) -> DataFrame:
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
 
 
-def _classed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _classed(rows: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
     """Rows of shingles where few components meet, and of those where many do; shingles within one component are done."""
     meet = rows.groupBy("token", "component").agg(F.first("n")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     rows = written(rows.join(meet, "token").select("token", "set_id", "n", "rank", "component", "k"))
-    return rows.where(F.col("k") <= FREQUENT).drop("k"), rows.where(F.col("k") > FREQUENT).drop("k")
+    return rows.where(F.col("k") <= few).drop("k"), rows.where(F.col("k") > few).drop("k")
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,11 +261,11 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     # the rest, where components meet
     rows, found = _placed(prefix, links)
-    few, many = _classed(written(rows.select("token", "set_id", "n", "rank", "component")))
+    few, many = _classed(written(rows.select("token", "set_id", "n", "rank", "component")), FREQUENT)
     pairs = _crossing(few.withColumnRenamed("token", "key"), percent)
     if not many.isEmpty():
         again = written(_second_prefix(many.select("set_id", "n", "component").distinct(), whole, percent))
-        few, many = _classed(again)
+        few, many = _classed(again, PAIRED)
         many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("ts"))
         many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
         two = F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> struct(xxhash64(t.token, x.token) as key, x.rank as rank))")).alias("k")
