@@ -23,7 +23,8 @@ document's component of linked documents.
     are such.
 5.  A shingle's place in both sets' order bounds what they can share, as nothing
     before the first shared one is; so sets with many shingles of their own are
-    no candidates.  Every candidate is verified on the whole sets.
+    no candidates.  In the second prefix, one frequent shingle may be shared
+    before.  Every candidate is verified on the whole sets.
 
 Null, empty and wordless texts have an empty set and are linked with nothing.
 """
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import Block, U, blocks, firsts, mix, sequence_hash, windows
@@ -165,23 +166,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
-def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int = 1):
+def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int | Column = 1):
     """Whether two sets can be linked whose first shared shingle, or second (``shared``), is at these ranks."""
     most = shared + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
     return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
-def _crossing(rows: DataFrame, percent: int, shared: int = 1) -> DataFrame:
-    """Pairs of sets under one key that lie in different components: the key's largest component is only ever on one side."""
+def _crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets under one key that lie in different components: the key's largest component is only ever on one side.
+
+    ``shared``: how many shingles up to this key two sets share at most, if they
+    are not met under an earlier one; the lower number of the two sets holds.
+    """
     by_key = Window.partitionBy("key")
     rows = rows.repartition("key").withColumn("other", F.min("component").over(by_key) != F.max("component").over(by_key))
     rows = written(rows.where("other").drop("other"))
     counts = rows.groupBy("key", "component").count()
     most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"))
     rows = rows.join(most, "key")
-    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"))
-    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), "most")
-    near = _possible("nl", "il", "nr", "ir", percent, shared)
+    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"), F.col("shared").alias("sl"))
+    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), F.col("shared").alias("sr"), "most")
+    near = _possible("nl", "il", "nr", "ir", percent, F.least("sl", "sr"))
     pairs = left.join(right, "key").where((F.col("cl") != F.col("cr")) & ((F.col("cr") == F.col("most")) | (F.col("cl") < F.col("cr"))) & near)
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
 
@@ -193,6 +198,12 @@ def _classed(rows: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col("k") <= few).drop("k"), rows.where(F.col("k") > few).drop("k")
 
 
+def _after(few: DataFrame, many: DataFrame) -> DataFrame:
+    """``shared`` of ``few``: one of the frequent shingles ``many`` may be shared before, where the set has any there; two make a pair key."""
+    begin = many.groupBy("set_id").agg(F.min("rank").alias("begin"))
+    return few.join(begin, "set_id", "left").withColumn("shared", F.when(F.col("begin") < F.col("rank"), 2).otherwise(1)).drop("begin")
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of whole sets."""
     for batch in batches:
@@ -262,15 +273,16 @@ def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     # the rest, where components meet
     rows, found = _placed(prefix, links)
     few, many = _classed(written(rows.select("token", "set_id", "n", "rank", "component")), FREQUENT)
-    pairs = _crossing(few.withColumnRenamed("token", "key"), percent)
+    pairs = _crossing(few.withColumnRenamed("token", "key").withColumn("shared", F.lit(1)), percent)
     if not many.isEmpty():
         again = written(_second_prefix(many.select("set_id", "n", "component").distinct(), whole, percent))
         few, many = _classed(again, PAIRED)
+        few = _after(few, many)
         many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("ts"))
         many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
         two = F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> struct(xxhash64(t.token, x.token) as key, x.rank as rank))")).alias("k")
-        many = many.select("set_id", "n", "component", two).select("k.key", "k.rank", "set_id", "n", "component")
-        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many, percent, shared=2))
+        many = many.select("set_id", "n", "component", two).select("k.key", "k.rank", "set_id", "n", "component", F.lit(2).alias("shared"))
+        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many, percent))
     more = written(_verified(pairs.distinct(), whole, percent))
     if not more.isEmpty():
         found = written(components(links.union(more)))

@@ -154,6 +154,30 @@ def test_near_duplicates_in_a_large_group_with_a_shared_passage(spark):
     assert got == near_duplicates_by_force(texts)
 
 
+def behind_a_frequent_shingle(k):
+    """Two texts at the threshold whose first shared shingle is frequent, and the next ones lie in few components (``k`` names the words).
+
+    Own shingles come first, then the one shared with many short texts, then the
+    eight that two large groups of near copies have as well.
+    """
+    common = [f"c{k}x{i}" for i in range(12)]
+    x, y = (" ".join([own, f"f{k}", *common]) for own in (f"x{k}", f"y{k}"))
+    texts = [x, y]
+    for g in ("p", "q"):
+        texts += [" ".join([f"u{k}{g}{i}", f"{g}{k}", *common]) for i in range(30)]
+    for rare in (f"f{k}", f"p{k}"):
+        texts += [" ".join([rare, *common[:4], f"z{k}{rare}{i}"]) for i in range(17)]
+    return texts
+
+
+def test_near_duplicates_behind_a_frequent_shingle(spark):
+    """Hashes decide which shingles are ordered by frequency, so several texts are tried."""
+    texts = [t for k in range(40) for t in behind_a_frequent_shingle(k)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in duplicate_components(frame).collect()}
+    assert got == near_duplicates_by_force(texts)
+
+
 def test_language_model_counts_and_mass(docs):
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(TEXTS))}
     tokens = {i: words(lower(t or "")) + [None] for i, t in enumerate(TEXTS)}
