@@ -53,3 +53,28 @@ def test_flagship_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
+
+
+def result(spark, name):
+    got = [tuple(r) for r in QUERIES[name](spark, SF).collect()]
+    assert len(got) == len(set(got))
+    return got
+
+
+def test_hourly_stream_has_all_hours(spark, db):
+    sql = "select user_id, event_type, cast(floor(epoch(date_trunc('hour', ts))) as bigint), max(cast(floor(value) as int)) from events group by all"
+    assert set(result(spark, "K2_hourly_max_stream")) == set(db.sql(sql).fetchall())
+
+
+def test_flash_stream_has_all_bins_once(spark, db):
+    bins = "cast(round_even((user_id % 50) / 10.0, 0) as bigint), cast(round_even((-user_id % 40 - 60) / 10.0, 0) as bigint), cast(floor(epoch(ts)) as bigint) // 3600"
+    every = {r[0]: r[1:] for r in db.sql(f"select event_id, {bins} from events").fetchall()}
+    got = result(spark, "K1_rolling_flashes")
+    assert all(every[r[0]] == r[1:] for r in got)
+    assert sorted(r[1:] for r in got) == sorted(set(every.values()))
+
+
+def test_companion_stream_has_all_pairs(spark, db):
+    sql = """select a.user_id % 20, a.event_id, b.event_id from events a join events b on a.user_id % 20 = b.user_id % 20
+ and b.ts between a.ts - interval 3600 seconds and a.ts + interval 900 seconds where a.event_type = 'click' and b.event_type = 'view'"""
+    assert set(result(spark, "K6_companion_stream")) == set(db.sql(sql).fetchall())
