@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.sources.storage import work_path
+
 
 def next_offsets(inventory: DataFrame) -> DataFrame:
     """A message's last byte is one before the next distinct offset of its file; the last is open."""
@@ -100,10 +102,40 @@ def merged_stamps(mine: DataFrame, published: DataFrame, retain_s: int) -> DataF
     return rows.where(F.col("t").isNotNull()).withColumn("m", F.max("t").over(Window.partitionBy("product"))).where(F.col("t") >= F.col("m") - retain_s).drop("m")
 
 
-def nearest_rank(values: Column, p: float) -> Column:
-    """The value at index round(p (n - 1)) of the sorted group."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.get(ordered, F.rint(F.lit(p) * (F.size(ordered) - 1)).cast("int"))
+def at_places(rows: DataFrame, key: str, value: str, places: dict[str, Column]) -> DataFrame:
+    """Of each key, the values at the ``places`` (from 0, by ``n``, how many values there are) of its sorted values; nulls don't count.
+
+    Equal values are one row with their number.  Rows are cut into ranges of key
+    and value, so a large group is spread over tasks; the counts of the ranges
+    tell which one holds a place, and only that one is sorted.
+    """
+    spark = rows.sparkSession
+    path = work_path(spark, "ranks")
+    counts = rows.select(F.col(key).alias("g"), F.col(value).alias("v")).where("v is not null").groupBy("g", "v").agg(F.count(F.lit(1)).alias("m"))
+    counts = counts.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id())
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    by_key = Window.partitionBy("g")
+    parts = counts.groupBy("g", "part").agg(F.sum("m").alias("k"))
+    parts = parts.withColumn("before", F.sum("k").over(by_key.orderBy("part")) - F.col("k")).withColumn("n", F.sum("k").over(by_key))
+    wanted = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), place.cast("long").alias("at")) for name, place in places.items())))
+    parts = parts.withColumn("w", wanted).where((F.col("w.at") >= F.col("before")) & (F.col("w.at") < F.col("before") + F.col("k")))
+    parts = parts.groupBy(F.col("g").alias("of"), F.col("part").alias("held")).agg(F.first("before").alias("before"), F.collect_list("w").alias("ws"))
+    near = counts.join(parts, F.col("g").eqNullSafe(F.col("of")) & (F.col("part") == F.col("held")))
+    near = near.withColumn("upto", F.col("before") + F.sum("m").over(Window.partitionBy("g", "part").orderBy("v"))).withColumn("w", F.explode("ws"))
+    near = near.where((F.col("w.at") >= F.col("upto") - F.col("m")) & (F.col("w.at") < F.col("upto")))
+    return near.groupBy(F.col("g").alias(key)).agg(*(F.max(F.when(F.col("w.name") == name, F.col("v"))).alias(name) for name in places))
+
+
+def nearest_rank(p: float) -> Column:
+    """The place round(p (n - 1))."""
+    return F.rint(F.lit(p) * (F.col("n") - 1))
+
+
+def middle() -> dict[str, Column]:
+    """The places whose mean is the median."""
+    half = (F.col("n") - 1) / 2
+    return {"low": F.floor(half), "high": F.ceil(half)}
 
 
 def manifest(frames: DataFrame, expected: DataFrame) -> DataFrame:

@@ -181,8 +181,14 @@ def A19_newest_source(spark, sf_dir):
 
 @register("""select code, round_even(median(live_age), 4) mid, round_even(list_sort(list(live_age))[cast(round_even(0.9e0 * (count(*) - 1), 0) as bigint) + 1], 4) p90, round_even(median(live_age - source_age), 4) lag from $F16 group by 1""")
 def A20_U3_median_and_rank(spark, sf_dir):
-    rows = feed(spark, sf_dir, "F16").groupBy("code").agg(F.bround(F.median("live_age"), 4).alias("mid"), F.bround(L.nearest_rank(F.col("live_age"), 0.9), 4).alias("p90"), F.bround(F.median(F.col("live_age") - F.col("source_age")), 4).alias("lag"))
-    return rows
+    rows = feed(spark, sf_dir, "F16").withColumn("lag", F.col("live_age") - F.col("source_age"))
+    ages = L.at_places(rows, "code", "live_age", L.middle() | {"p90": L.nearest_rank(0.9)})
+    lags = L.at_places(rows, "code", "lag", L.middle())
+    mean = F.bround((F.col("low") + F.col("high")) / 2, 4)
+    out = rows.select("code").distinct().alias("r")
+    for found in (ages.select("code", mean.alias("mid"), F.bround("p90", 4).alias("p90")), lags.select("code", mean.alias("lag"))):
+        out = out.join(found.withColumnRenamed("code", "__code"), F.col("code").eqNullSafe(F.col("__code")), "left").drop("__code")
+    return out
 
 
 @register("select product, count(*) n, bool_or(obj % 2 = 0) has_work from $F12 group by 1")

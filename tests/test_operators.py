@@ -173,3 +173,22 @@ def test_csv_feeds_that_fail_are_left_out(spark, tmp_path):
     (tmp_path / "a.csv").write_text("lat,lon\n1,2\n")
     feeds = publish.readable(spark, [str(tmp_path / "a.csv"), str(tmp_path / "none.csv")])
     assert publish.union_of_feeds(feeds).count() == 1
+
+
+def test_places_in_sorted_groups_that_are_spread_over_tasks(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([None, rng.randrange(50) / 4, rng.gauss(0, 9)])) for k in ["a"] * 3000 + ["b"] * 8 + ["c", None, None, None, None]] + [("d", None)]
+    frame = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be put into one range
+    try:
+        out = L.at_places(frame, "k", "v", L.middle() | {"p90": L.nearest_rank(0.9)})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {}
+    for k in {k for k, _ in rows}:
+        v = sorted(x for j, x in rows if j == k and x is not None)
+        if v:
+            want[k] = (v[(len(v) - 1) // 2], v[len(v) // 2], v[round(0.9 * (len(v) - 1))])
+    assert {r["k"]: tuple(r)[1:] for r in out.collect()} == want
+    ranges = spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0])
+    assert ranges.where("g = 'a'").select("part").distinct().count() > 1  # a large group isn't in one task
