@@ -147,6 +147,16 @@ def J6_nearest_run(spark, sf_dir):
     return L.walk_back(wanted, there, [0, 3600, -3600, -7200, -10800, 7200, 10800])
 
 
+@register("""with w as (select event_id id, EPOCH(ts) // 3600 * 3600 t from events), r as (select distinct 1704067200 + EPOCH(o_orderdate) // 86400 % 30 * 86400 + o_orderkey % 3 * 28800 run from orders),
+ o as (select * from (values (0, 0), (1, 3600), (2, -3600), (3, -7200), (4, -10800), (5, 7200), (6, 10800)) x(rk, off))
+ select id, run, off as "offset" from (select id, run, off, row_number() over (partition by id order by rk) n from w join o on true join r on r.run = t + off) where n = 1""")
+def J6_nearest_run_of_all(spark, sf_dir):
+    """J6 over every event; orders stand for runs at 0, 8 and 16 hours of the events' days, so one hour in eight has none near."""
+    wanted = query(spark, sf_dir, "select event_id id, EPOCH(ts) div 3600 * 3600 t from events")
+    there = query(spark, sf_dir, "select 1704067200 + EPOCH(o_orderdate) div 86400 % 30 * 86400 + o_orderkey % 3 * 28800 run from orders")
+    return L.walk_back(wanted, there, [0, 3600, -3600, -7200, -10800, 7200, 10800])
+
+
 @register("""select prefix, depth, bytes, objects, round_even(bytes * 100.0e0 / sum(bytes) over (partition by depth), 3) share from (
  select concat('v1/', source) prefix, 2 as depth, sum(n_chars) bytes, count(*) objects from documents group by 1 union all select concat('v1/', source, '/', lang), 3, sum(n_chars), count(*) from documents group by 1)""")
 def A15_storage_rollup(spark, sf_dir):

@@ -192,3 +192,13 @@ def test_places_in_sorted_groups_that_are_spread_over_tasks(spark):
     assert {r["k"]: tuple(r)[1:] for r in out.collect()} == want
     ranges = spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0])
     assert ranges.where("g = 'a'").select("part").distinct().count() > 1  # a large group isn't in one task
+
+
+def test_walk_back_equals_a_loop(spark):
+    rng = random.Random(4)
+    offsets = [0, 1, -1, -2, -3, 2, 3]
+    wanted = [(i, rng.randrange(60)) for i in range(100)]
+    there = [rng.randrange(60) for _ in range(15)]
+    got = L.walk_back(spark.createDataFrame(wanted, "id long, t long"), spark.createDataFrame([(r,) for r in there], "run long"), offsets)
+    want = {i: next(((t + o, o) for o in offsets if t + o in there), None) for i, t in wanted}
+    assert {r["id"]: (r["run"], r["offset"]) for r in got.collect()} == {i: x for i, x in want.items() if x}

@@ -78,3 +78,10 @@ def test_companion_stream_has_all_pairs(spark, db):
     sql = """select a.user_id % 20, a.event_id, b.event_id from events a join events b on a.user_id % 20 = b.user_id % 20
  and b.ts between a.ts - interval 3600 seconds and a.ts + interval 900 seconds where a.event_type = 'click' and b.event_type = 'view'"""
     assert set(result(spark, "K6_companion_stream")) == set(db.sql(sql).fetchall())
+
+
+def test_nearest_runs_are_of_all_events(spark, db):
+    got = result(spark, "J6_nearest_run_of_all")
+    assert {r[0] % 10 for r in got} == set(range(10))
+    assert {r[2] for r in got} == {h * 3600 for h in range(-3, 4)}
+    assert len(got) > 0.8 * db.sql("select count(*) from events").fetchall()[0][0]
