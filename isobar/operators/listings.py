@@ -146,8 +146,8 @@ def manifest(frames: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def signature(rows: DataFrame, group: str, *columns: str) -> DataFrame:
-    """A digest of each group's attribute rows, in order."""
-    each = F.to_json(F.struct(*columns))
+    """A digest of each group's attribute rows, in order of their own digests; only these are collected."""
+    each = F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256)
     return rows.groupBy(group).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(each))).cast("binary"), 256).alias("signature"))
 
 

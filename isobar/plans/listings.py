@@ -221,7 +221,8 @@ def A24_manifest(spark, sf_dir):
 
 @register()
 def A27_signature(spark, sf_dir):
-    return L.signature(table(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", "n_name")
+    """Orders by customer: the groups are small and grow in number with the table."""
+    return L.signature(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderpriority")
 
 
 @register("""with t as (select s_suppkey product, k tier, 1000 + s_suppkey * (7 + k * 3) % 900 - k * 250 bytes, 8 - k * 2 z from supplier, (select unnest(range(3)) k)),

@@ -1,5 +1,7 @@
 """Every feed query against its DuckDB statement on the smallest tables."""
 
+import hashlib
+import json
 import math
 from decimal import Decimal
 
@@ -85,3 +87,11 @@ def test_nearest_runs_are_of_all_events(spark, db):
     assert {r[0] % 10 for r in got} == set(range(10))
     assert {r[2] for r in got} == {h * 3600 for h in range(-3, 4)}
     assert len(got) > 0.8 * db.sql("select count(*) from events").fetchall()[0][0]
+
+
+def test_signature_of_each_customer(spark, db):
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    rows = {}
+    for c, k, p in db.sql("select o_custkey, o_orderkey, o_orderpriority from orders").fetchall():
+        rows.setdefault(c, []).append(sha(json.dumps({"o_orderkey": k, "o_orderpriority": p}, separators=(",", ":"))))
+    assert dict(result(spark, "A27_signature")) == {c: sha("\n".join(sorted(d))) for c, d in rows.items()}
