@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import U, blocks, firsts, mix, segment_sum
+from isobar.llm.packing import pack, unpack
 from isobar.llm.store import written
 
 END, START = U(0x5EED0E0D), U(0x5EED0B05)
@@ -49,21 +50,6 @@ class Model:
     range_bytes: int = 4_000_000
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers as compressed byte planes."""
-    values = np.ascontiguousarray(values, dtype="<u8")
-    planes = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
-    raw = bytes([planes]) + values.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def unpack(blob: bytes) -> np.ndarray:
-    raw = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    out = np.zeros(((len(raw) - 1) // raw[0], 8), np.uint8)
-    out[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1).T
-    return out.view("<u8").ravel()
-
-
 @dataclass
 class Chunk:
     """Texts as places in a sorted vocabulary; each text's tokens end with END."""

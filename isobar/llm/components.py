@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.store import written
+from isobar.llm.store import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,12 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     neighbours, then its smaller ones, at the smallest neighbour known.  Each
     round is a grouped minimum (combined before the shuffle) and an equi-join
     that adaptive execution can split on a hub.  Ends when a round changes
-    nothing; the number of rounds grows with the logarithm of the size.  An
-    empty link table gives an empty result.
+    nothing; the number of rounds grows with the logarithm of the size.  A
+    round's table is deleted when the next one is there.  An empty link table
+    gives an empty result.
     """
-    edges = written(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    )
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("u > v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = written(small.where("u > v").distinct())
+        last, edges = edges, written(small.where("u > v").distinct())
+        discard(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == tuple(now):
             break

@@ -4,55 +4,70 @@ A document's set holds its distinct 5-word shingles.  Two sets are linked when
 their Jaccard similarity reaches the threshold; the join returns every
 document's component of linked documents.
 
-1.  Equal sets are one: a set is named by a 64-bit digest of its shingles.
-2.  All shingles have one global order: a fixed part of the hash space first,
-    by document frequency (rare first), then the rest by hash.  Two linked sets
-    share a shingle among their first ``tau + 1``, where ``tau`` is the number
-    of a set's shingles that the other may miss.  Only the first part of the
-    order, and of the rest what a short prefix lacks, is counted and shuffled,
-    and shingles of one set alone are dropped as soon as they are counted.
+1.  Texts are taken in chunks.  Equal sets of a chunk are one.  A chunk sends its
+    shingles by ranges of the hash space, packed; a range counts the sets with
+    each shingle over all chunks and sends back those in more than one, so a
+    shingle in one set alone is moved once and never again.  A shingle that many
+    sets of one chunk have is sent once with its count, so no range grows with
+    the sets that share a passage.
+2.  All shingles have one global order, by that count: rare first.  Two linked
+    sets share a shingle among their first ``tau + 1``, ``tau`` being the number
+    of a set's shingles that the other may miss.  A set whose shared shingles are
+    too few to be linked with anything is dropped here.
 3.  Sets under one shingle are first compared with one of them.  That joins a
     large group of near copies by as many comparisons as it has members.
-4.  What is then still in different components under a shingle is compared in
-    full where few components meet.  Shingles where many meet (passages that
-    unlike documents share) form a second class.  Sets that have such in their
-    prefix get a second prefix, in an order of all their shingles by frequency
-    among these sets.  Where its shingles are still frequent, the prefix is one
-    longer and pairs of such shingles are indexed instead of single ones, since
-    two linked sets share two of their prefixes' shingles when all they share
-    are such.
-5.  A shingle's place in both sets' order bounds what they can share, as nothing
-    before the first shared one is; so sets with many shingles of their own are
-    no candidates.  In the second prefix, one frequent shingle may be shared
-    before.  Every candidate is verified on the whole sets.
-
-Null, empty and wordless texts have an empty set and are linked with nothing.
+4.  What is then still in different components is compared in full under rare
+    shingles.  Frequent ones form further classes (``CLASSES``): where the first
+    shared shingle is in class k, so are all later ones or in higher classes.
+    The prefix is extended and its shingles of class k and above are dealt into
+    parts by hash, such that two linked sets share k of them in one part; those
+    k together are the key.  The number of parts follows the size of the sets, so
+    a set has keys in proportion to its prefix.
+5.  A shingle's place in both sets' order bounds what they can share, as at most
+    a known number before it is shared; so sets with many shingles of their own
+    are no candidates.  Every candidate is verified on the whole sets.
+
+Shingles and sets are compared by 64-bit hashes.
+
+Null, empty and wordless texts have an empty set and are linked with nothing.  A
+document with a null doc_id is compared like any other; the least doc_id of its
+component is its component_id, null where all are null.  Rows that share a
+doc_id are documents of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import Block, U, blocks, firsts, mix, sequence_hash, windows
 from isobar.llm.components import components
-from isobar.llm.store import written
+from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
+from isobar.llm.store import discard, written
 
 SHINGLE = 5
-#: the share of the hash space that is ordered by frequency
-COUNTED = 0.5
-#: shingles under which more components than this meet are the second class
-FREQUENT = 16
-#: the same limit in a second prefix, beyond which pairs of shingles are indexed
-PAIRED = 4
-#: ids of compared sets are broadcast up to this many; beyond, they are joined by a shuffle
-BROADCAST_IDS = 2_000_000
+#: shingles in at most so many sets are of class 1, of class 2, and so on
+CLASSES = (128, 4096)
+#: about so many shingles of an extended prefix are in one part
+PART = 8
+CHUNK_SHINGLES = 1_000_000
+RANGE_BYTES = 8_000_000  #: of text, for each range of hashes
+#: shingles in so many sets of one chunk are sent as a count
+HEAVY = 64
 
-_TOP = U(int(COUNTED * 2**64))
+
+def _by_text(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """The order by text, and by value within."""
+    if n >= 1 << 16:
+        return np.lexsort((values, of))
+    order = np.argsort(values)
+    return order[np.argsort(of[order].astype(np.uint16), kind="stable")]
 
 
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +83,7 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
         spans = np.concatenate([words[bounds[i] : bounds[i + 1]] for i in short])
         edges = np.concatenate([[0], np.cumsum(np.diff(bounds)[short])])
         shingles, of = np.concatenate([shingles, sequence_hash(spans, edges)]), np.concatenate([of, short])
-    order = np.lexsort((shingles, of))
+    order = _by_text(shingles, of, block.n)
     shingles, of = shingles[order], of[order]
     new = np.ones(len(of), bool)
     new[1:] = (shingles[1:] != shingles[:-1]) | (of[1:] != of[:-1])
@@ -83,220 +98,331 @@ def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mix((total[bounds[1:]] - total[bounds[:-1]]) * U(3) + n), U(0)).view(np.int64)
 
 
-def _spare(n: np.ndarray, percent: int) -> np.ndarray:
+def _spare(n, percent: int):
     """How many shingles of a set of n a linked set may lack."""
     return n - -(-percent * n // 100)
 
 
-def _sets(percent: int):
+# ---- counting: chunks to ranges and back
+
+_DOCS = [("doc_ids", pa.list_(pa.int64())), ("text_keys", pa.list_(pa.int64())), ("set_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("heavy_sets", pa.list_(pa.binary())), ("total", pa.int64())]
+_ASKED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
+_ANSWERED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("seen", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
+_SQL_DOCS = "doc_ids array<long>, text_keys array<long>, set_ids array<long>, sizes array<long>, heavy_sets array<binary>, total long"
+_SQL_ASKED = f"range long, chunk long, shingles binary, sets binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
+_SQL_ANSWERED = f"range long, chunk long, seen long, shingles binary, sets binary, counts binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
+
+
+def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{name: row.get(name) for name in schema.names} for row in rows], schema)
+
+
+def _chunk_rows(parts: list[tuple], chunk: int, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each range that the chunk's shingles are in, and one for its documents."""
+    sizes = np.concatenate([np.diff(bounds) for _, bounds, _, _, _ in parts])
+    ids = np.concatenate([x for _, _, x, _, _ in parts])
+    shingles = np.concatenate([x for x, _, _, _, _ in parts])
+    distinct, once, own_set = np.unique(ids, return_index=True, return_inverse=True)
+    first = np.zeros(len(ids), bool)
+    first[once] = True
+    keep = np.repeat(first, sizes)
+    shingles, sets = shingles[keep], np.repeat(own_set, np.where(first, sizes, 0))
+    order = np.argsort(shingles)
+    shingles, sets = shingles[order], sets[order]
+    begin = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]])) if len(shingles) else np.zeros(0, np.int64)
+    runs = np.diff(np.append(begin, len(shingles)))
+    many = runs >= HEAVY
+    heavy, heavy_counts = shingles[begin[many]], runs[many]
+    light = ~np.repeat(many, runs)
+    heavy_sets = [pack(np.sort(sets[b : b + r])) for b, r in zip(begin[many].tolist(), heavy_counts.tolist(), strict=True)]
+    shingles, sets = shingles[light], sets[light]
+    at, heavy_at = np.append(np.searchsorted(shingles, edges), len(shingles)), np.append(np.searchsorted(heavy, edges), len(heavy))
+    for r in np.flatnonzero((np.diff(at) > 0) | (np.diff(heavy_at) > 0)).tolist():
+        lo, hi, a, b = at[r], at[r + 1], heavy_at[r], heavy_at[r + 1]
+        yield _rows(_ASKED, [{"range": r, "chunk": chunk, "shingles": pack_sorted(shingles[lo:hi]), "sets": pack(sets[lo:hi]), "heavy": pack_sorted(heavy[a:b]), "heavy_counts": pack(heavy_counts[a:b])}])
+    about = {
+        "doc_ids": [i for _, _, _, d, _ in parts for i in d.to_pylist()],
+        "text_keys": [i for _, _, _, _, k in parts for i in k.to_pylist()],
+        "set_ids": ids.tolist(),
+        "sizes": sizes.tolist(),
+        "heavy_sets": heavy_sets,
+        "total": len(shingles) + len(heavy),
+    }
+    yield _rows(_ASKED, [{"range": chunk % len(edges), "chunk": chunk} | about])
+
+
+def _asked(ranges: int):
+    edges = np.array([(r << 64) // ranges for r in range(ranges)], U)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held, chunk = [], 0, TaskContext.get().partitionId() << 24
         for batch in batches:
             for block in blocks(batch["text"]):
                 shingles, bounds = shingle_sets(block)
-                counted = np.concatenate([[0], np.cumsum(shingles < _TOP)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["doc_id"].slice(block.rows.start, block.n),
-                        pa.array(set_ids(shingles, bounds)),
-                        pa.array(np.diff(bounds)),
-                        pa.array(counted[bounds[1:]] - counted[bounds[:-1]]),
-                    ],
-                    names=["doc_id", "set_id", "n", "n_counted"],
-                )
+                parts.append((shingles, bounds, set_ids(shingles, bounds), batch["doc_id"].slice(block.rows.start, block.n), batch["text_key"].slice(block.rows.start, block.n)))
+                held += len(shingles)
+                if held >= CHUNK_SHINGLES:
+                    yield from _chunk_rows(parts, chunk, edges)
+                    parts, held, chunk = [], 0, chunk + 1
+        if parts:
+            yield from _chunk_rows(parts, chunk, edges)
 
     return run
 
 
-def _tokens(percent: int):
-    """The shingles that may be in a prefix; ``place`` is null for counted ones, else the place in the order."""
+def _counted(rows: pa.Table) -> pa.Table:
+    """One range: in how many sets each shingle is; to each chunk those in more than one."""
+    out = [r for r in rows.to_pylist() if r["total"] is not None]
+    rows = rows.filter(rows["total"].is_null()).select(["range", "chunk", "shingles", "sets", "heavy", "heavy_counts"]).to_pylist()
+    if rows:
+        light = [unpack_sorted(r["shingles"]) for r in rows]
+        heavy = [unpack_sorted(r["heavy"]) for r in rows]
+        weights = [*(np.ones(len(x)) for x in light), *(unpack(r["heavy_counts"]) for r in rows)]
+        _, place = np.unique(np.concatenate([*light, *heavy]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate(weights)).astype(np.int64)[place]
+        ends = np.cumsum([len(x) for x in (*light, *heavy)])
+        parts = np.split(counts, ends[:-1])
+        for row, shingles, hit, found, found_heavy in zip(rows, light, heavy, parts, parts[len(rows) :], strict=False):
+            more = found > 1
+            out.append(
+                {
+                    "range": row["range"],
+                    "chunk": row["chunk"],
+                    "seen": len(shingles) + len(hit),
+                    "shingles": pack_sorted(shingles[more]),
+                    "sets": pack(unpack(row["sets"])[more]),
+                    "counts": pack(found[more]),
+                    "heavy": row["heavy"],
+                    "heavy_counts": pack(found_heavy),
+                }
+            )
+    return pa.Table.from_batches([_rows(_ANSWERED, out)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch["text"]):
-                shingles, bounds = shingle_sets(block)
-                ids, n = set_ids(shingles, bounds), np.diff(bounds)
-                _, once = np.unique(ids, return_index=True)
-                keep = np.zeros(block.n, bool)
-                keep[once] = True
-                of = np.repeat(np.arange(block.n), n)
-                place = np.arange(len(shingles)) - bounds[of] + 1  # hash order: the counted part is its beginning
-                counted = shingles < _TOP
-                use = keep[of] & (counted | (place <= (_spare(n, percent) + 2)[of]))
-                shingles, of, place, counted = shingles[use], of[use], place[use], counted[use]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingles.view(np.int64)), pa.array(ids[of]), pa.array(place.astype(np.int32), mask=counted)],
-                    names=["token", "set_id", "place"],
-                )
+
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("upto", pa.list_(pa.int64()))])
+_SQL_SETS = "doc_id long, text_key long, set_id long, n long, shared binary, upto array<long>"
+
+
+def _ordered(percent: int, classes: tuple[int, ...]):
+    """One chunk: its documents, and with the first of each set that may be linked the shared shingles in order.
+
+    ``upto``: how many of these are in class 1, in class 2 or lower, and so on.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = sorted(rows.to_pylist(), key=lambda r: (r["total"] is not None, r["range"]))
+        about, rows = rows[-1], rows[:-1]
+        if about["total"] is None or about["total"] != sum(r["seen"] for r in rows):
+            raise ValueError("a chunk's shingles are not complete: its texts were read differently a second time")
+        ids, sizes = np.array(about["set_ids"], np.int64), np.array(about["sizes"], np.int64)
+        distinct, once = np.unique(ids, return_index=True)
+        none = [np.zeros(0, U)]
+        shingles = [unpack_sorted(r["shingles"]) for r in rows] + none
+        sets = [unpack(r["sets"]).astype(np.int64) for r in rows] + [np.zeros(0, np.int64)]
+        counts = [unpack(r["counts"]).astype(np.int64) for r in rows] + [np.zeros(0, np.int64)]
+        heavy = np.concatenate([unpack_sorted(r["heavy"]) for r in rows] + none)
+        heavy_counts = np.concatenate([unpack(r["heavy_counts"]) for r in rows] + none).astype(np.int64)
+        if len(heavy):
+            with_it = [unpack(x).astype(np.int64) for x in about["heavy_sets"]]
+            n = [len(x) for x in with_it]
+            shingles, sets, counts = [*shingles, np.repeat(heavy, n)], [*sets, *with_it], [*counts, np.repeat(heavy_counts, n)]
+        shingles, sets, counts = (np.concatenate(x) for x in (shingles, sets, counts))
+        n = sizes[once]
+        enough = np.bincount(sets, minlength=len(distinct)) >= n - _spare(n, percent)
+        use = enough[sets]
+        shingles, sets, counts = shingles[use], sets[use], counts[use]
+        order = np.lexsort((shingles, counts, sets))
+        shingles, sets, counts = shingles[order], sets[order], counts[order]
+        bounds = firsts(sets, len(distinct))
+        shared, upto = [None] * len(ids), [None] * len(ids)
+        for i in np.flatnonzero(enough & (n > 0)).tolist():
+            lo, hi = bounds[i], bounds[i + 1]
+            shared[once[i]] = shingles[lo:hi].tobytes()
+            upto[once[i]] = np.searchsorted(counts[lo:hi], classes, "right").tolist()
+        columns = [about["doc_ids"], about["text_keys"], ids, sizes, shared, upto]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SETS, strict=True)], schema=_SETS)
 
     return run
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's set as bytes."""
-    for batch in batches:
-        for block in blocks(batch["text"]):
-            shingles, bounds = shingle_sets(block)
-            raw = shingles.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(set_ids(shingles, bounds)),
-                    pa.array([raw[8 * bounds[i] : 8 * bounds[i + 1]] for i in range(block.n)], pa.binary()),
-                ],
-                names=["set_id", "shingles"],
-            )
+# ---- candidates
 
 
-def _verify(percent: int):
+def _prefixes(percent: int):
+    """The shared shingles among a set's first tau + 1, with their rank in it and their class."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), U) for s in (x, y))
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            mask = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
+            out = []
+            for set_id, n, shared, upto in zip(batch["set_id"].to_pylist(), batch["n"].to_pylist(), batch["shared"], batch["upto"].to_pylist(), strict=True):
+                shingles = np.frombuffer(shared.as_buffer(), np.int64)
+                own = n - len(shingles)
+                here = np.arange(max(0, _spare(n, percent) + 1 - own))
+                out.append((shingles[: len(here)], np.full(len(here), set_id), np.full(len(here), n), here + own + 1, np.searchsorted(upto, here, "right") + 1))
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["token", "set_id", "n", "rank", "class"])
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-    b = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+def size_class(n: int, percent: int) -> int:
+    """Classes of sizes such that linked sets are in the same or in neighbouring ones."""
+    k, top = 0, 1
+    while n >= (top := top * 100 // percent + 1):
+        k += 1
+    return k
+
+
+def _parts(size: int, percent: int) -> int:
+    top = 1
+    for _ in range(size + 1):
+        top = top * 100 // percent + 1
+    return max(1, int(_spare(top - 1, percent)) // PART)
+
+
+def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Keys of k shingles for each class k from 2 on, the rank of their last, and how many may be shared up to it."""
+    own, tau = n - len(shingles), int(_spare(n, percent))
+    edges = [0, *upto, len(shingles)]
+    own_size = size_class(n, percent)
+    for k in range(2, len(edges)):
+        if edges[k - 1] == edges[k] or own + edges[k - 1] + 1 > tau + 1:
+            continue  # no shingle of class k can be the first shared one
+        for size in (own_size, own_size + 1):
+            parts = _parts(size, percent)
+            end = min(len(shingles), tau + 1 + parts * (k - 1) - own)
+            part = shingles[edges[k - 1] : end] % U(parts)
+            for p in range(parts):
+                at = np.flatnonzero(part == p) + edges[k - 1]
+                if len(at) < k:
+                    continue
+                chosen = at[np.array(list(combinations(range(len(at)), k)))]
+                key = np.full(len(chosen), (k << 32) + size, U)
+                for j in range(k):
+                    key = mix(key ^ shingles[chosen[:, j]])
+                yield key.view(np.int64), own + chosen[:, -1] + 1, k + (parts - 1) * (k - 1)
+
+
+def _combinations(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                for key, rank, shared in combination_keys(np.frombuffer(row["shared"], U), row["n"], row["upto"], percent):
+                    columns = [key, np.full(len(key), row["set_id"]), np.full(len(key), row["n"]), rank, np.full(len(key), row["component"]), np.full(len(key), shared)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "set_id", "n", "rank", "component", "shared"])
+
+    return run
 
 
-def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int | Column = 1):
-    """Whether two sets can be linked whose first shared shingle, or second (``shared``), is at these ranks."""
+def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int | Column = 1) -> Column:
+    """Whether two sets can be linked that share at most ``shared`` shingles up to these ranks."""
     most = shared + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
     return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets under one key that lie in different components: the key's largest component is only ever on one side.
+    """Pairs of sets under one key (``key, set_id, n, rank, component, shared``) in different components, within the bounds.
 
-    ``shared``: how many shingles up to this key two sets share at most, if they
-    are not met under an earlier one; the lower number of the two sets holds.
+    The key's largest component is only ever on one side.
     """
-    by_key = Window.partitionBy("key")
-    rows = rows.repartition("key").withColumn("other", F.min("component").over(by_key) != F.max("component").over(by_key))
-    rows = written(rows.where("other").drop("other"))
     counts = rows.groupBy("key", "component").count()
-    most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"))
+    most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count(F.lit(1)).alias("met")).where("met > 1").drop("met")
     rows = rows.join(most, "key")
     left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"), F.col("shared").alias("sl"))
     right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), F.col("shared").alias("sr"), "most")
     near = _possible("nl", "il", "nr", "ir", percent, F.least("sl", "sr"))
     pairs = left.join(right, "key").where((F.col("cl") != F.col("cr")) & ((F.col("cr") == F.col("most")) | (F.col("cl") < F.col("cr"))) & near)
-    return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).distinct()
-
+    return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"))
 
-def _classed(rows: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of shingles where few components meet, and of those where many do; shingles within one component are done."""
-    meet = rows.groupBy("token", "component").agg(F.first("n")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    rows = written(rows.join(meet, "token").select("token", "set_id", "n", "rank", "component", "k"))
-    return rows.where(F.col("k") <= few).drop("k"), rows.where(F.col("k") > few).drop("k")
 
+def _verify(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y, m, n in zip(batch["x"], batch["y"], batch["na"].to_pylist(), batch["nb"].to_pylist(), strict=True):
+                both = len(np.intersect1d(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), assume_unique=True))
+                linked.append(100 * both >= percent * (m + n - both))
+            mask = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
 
-def _after(few: DataFrame, many: DataFrame) -> DataFrame:
-    """``shared`` of ``few``: one of the frequent shingles ``many`` may be shared before, where the set has any there; two make a pair key."""
-    begin = many.groupBy("set_id").agg(F.min("rank").alias("begin"))
-    return few.join(begin, "set_id", "left").withColumn("shared", F.when(F.col("begin") < F.col("rank"), 2).otherwise(1)).drop("begin")
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of whole sets."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            shingles = np.frombuffer(batch["shingles"][i].as_buffer(), np.int64)
-            columns = [pa.array(shingles), *(pa.array(np.full(len(shingles), batch[c][i].as_py())) for c in ("set_id", "n", "component"))]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "set_id", "n", "component"])
-
-
-def _second_prefix(sets: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The first tau + 2 shingles of each set in the order of frequency among ``sets`` (set_id, n, component)."""
-    tokens = whole.join(sets, "set_id").select("set_id", "shingles", "n", "component")
-    tokens = tokens.mapInArrow(_spread, "token long, set_id long, n long, component long").repartition("token")
-    tokens = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
-    by_set = Window.partitionBy("set_id")
-    rank = F.col("n") - F.count(F.lit(1)).over(by_set) + F.row_number().over(by_set.orderBy("df", "token"))
-    return tokens.withColumn("rank", rank).where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "rank", "component")
-
+    return run
 
-def _spare_column(percent: int):
-    return F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked; shingles that only one set has are in no intersection, so ``shared`` is enough."""
+    a = sets.select(F.col("set_id").alias("a"), F.col("shared").alias("x"), F.col("n").alias("na"))
+    b = sets.select(F.col("set_id").alias("b"), F.col("shared").alias("y"), F.col("n").alias("nb"))
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y", "na", "nb").mapInArrow(_verify(percent), "a long, b long")
 
-def _placed(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with their set's component so far, and the components."""
-    found = written(components(links))
-    return rows.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")), found
 
+# ---- the join
 
-def duplicate_components(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` (doc_id, text) to ``doc_id, n_shingles, component_id``: the smallest doc_id reachable by links.
 
-    Links are pairs whose shared shingles are ``percent`` or more of all theirs.
-    Other columns of ``docs`` are ignored.  Repeated doc_ids keep their rows.
-    An empty table gives an empty result.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    meta = written(texts.mapInArrow(_sets(percent), "doc_id long, set_id long, n long, n_counted long"))
-    full = meta.where("n > 0")
-    sets = full.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("n_counted").alias("n_counted"))
-
-    # how many sets have each shingle; those of one set alone can't be shared
-    tokens = texts.select("text").mapInArrow(_tokens(percent), "token long, set_id long, place int")
-    tokens = tokens.repartition("token").groupBy("token", "set_id").agg(F.first("place").alias("place"))
-    tokens = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
-
-    # the first tau + 2 of each set in the global order
-    by_set = Window.partitionBy("set_id")
-    shared = tokens.join(sets.select("set_id", "n", "n_counted"), "set_id")
-    known = F.count(F.when(F.col("place").isNull(), 1)).over(by_set)
-    order = F.row_number().over(by_set.orderBy(F.col("place").isNotNull(), "df", "token"))
-    shared = shared.withColumn("rank", F.when(F.col("place").isNull(), F.col("n_counted") - known + order).otherwise(F.col("place")))
-    prefix = written(shared.where(F.col("rank") <= _spare_column(percent) + 2).select("token", "set_id", "n", "rank"))
-
-    # the sets to compare, whole
-    wanted = written(sets.join(prefix.select("set_id").distinct(), "set_id", "left_semi").select("doc_id"))
-    small = wanted.count() <= BROADCAST_IDS
-    chosen = texts.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
-    whole = written(chosen.select("text").mapInArrow(_whole, "set_id long, shingles binary").dropDuplicates(["set_id"]))
+def linked_components(docs: DataFrame, percent: int = 80, classes: tuple[int, ...] = CLASSES) -> DataFrame:
+    """``duplicate_components`` with ``text_key``, a hash of the text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    asked = texts.mapInArrow(_asked(int(max(16, size // RANGE_BYTES))), _SQL_ASKED)
+    answered = asked.groupBy("range").applyInArrow(_counted, _SQL_ANSWERED)
+    rows = written(answered.groupBy("chunk").applyInArrow(_ordered(percent, classes), _SQL_SETS))
+    sets = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "upto")))
+    sets = written(sets)
+    prefix = written(sets.mapInArrow(_prefixes(percent), "token long, set_id long, n long, rank long, class long"))
 
     # each with one set under the same shingle
     centre = prefix.groupBy("token").agg(F.min("set_id").alias("a"), F.min_by("n", "set_id").alias("na"), F.min_by("rank", "set_id").alias("ia"))
     stars = prefix.join(centre, "token").where((F.col("set_id") > F.col("a")) & _possible("n", "rank", "na", "ia", percent))
-    links = written(_verified(stars.select("a", F.col("set_id").alias("b")).distinct(), whole, percent))
+    links = written(_verified(stars.select("a", F.col("set_id").alias("b")).distinct(), sets, percent))
+    found = components(links)
 
     # the rest, where components meet
-    rows, found = _placed(prefix, links)
-    few, many = _classed(written(rows.select("token", "set_id", "n", "rank", "component")), FREQUENT)
-    pairs = _crossing(few.withColumnRenamed("token", "key").withColumn("shared", F.lit(1)), percent)
-    if not many.isEmpty():
-        again = written(_second_prefix(many.select("set_id", "n", "component").distinct(), whole, percent))
-        few, many = _classed(again, PAIRED)
-        few = _after(few, many)
-        many = many.groupBy("set_id", "n", "component").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("ts"))
-        many = many.select("set_id", "n", "component", F.posexplode("ts").alias("i", "t"), "ts")
-        two = F.explode(F.expr("transform(slice(ts, i + 2, size(ts)), x -> struct(xxhash64(t.token, x.token) as key, x.rank as rank))")).alias("k")
-        many = many.select("set_id", "n", "component", two).select("k.key", "k.rank", "set_id", "n", "component", F.lit(2).alias("shared"))
-        pairs = pairs.union(_crossing(few.withColumnRenamed("token", "key"), percent)).union(_crossing(many, percent))
-    more = written(_verified(pairs.distinct(), whole, percent))
+    placed = prefix.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    meet = placed.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
+    open_ = written(placed.join(meet, "token"))
+    pairs = _crossing(open_.where("class = 1").select(F.col("token").alias("key"), "set_id", "n", "rank", "component", F.lit(1).alias("shared")), percent)
+    frequent = open_.where("class > 1").select("set_id", "component").distinct()
+    keys = written(sets.join(frequent, "set_id").mapInArrow(_combinations(percent), "key long, set_id long, n long, rank long, component long, shared long"))
+    pairs = pairs.union(_crossing(keys, percent))
+    more = written(_verified(pairs.distinct(), sets, percent))
     if not more.isEmpty():
-        found = written(components(links.union(more)))
+        found = components(links.union(more))
+    discard(prefix, open_, keys, links, more, sets)
 
     # the smallest document of each component
-    ids = sets.select("set_id", F.col("doc_id").alias("first_doc"))
-    ids = ids.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    least = ids.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    ids = ids.join(least, "component").select("set_id", "component_id")
-    return meta.join(ids, "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    full = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_doc"))
+    full = full.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    least = full.groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    ids = full.join(least, "component").select("set_id", "component_id", "component")
+    out = rows.where("n > 0").join(ids, "set_id").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", "component")
+    return out.union(rows.where("n = 0").select("doc_id", "text_key", F.col("n"), F.col("doc_id"), F.lit(None).cast("long")))
+
+
+def duplicate_components(docs: DataFrame, percent: int = 80, classes: tuple[int, ...] = CLASSES) -> DataFrame:
+    """``docs`` (doc_id, text) to ``doc_id, n_shingles, component_id``: the smallest doc_id reachable by links.
+
+    Links are pairs whose shared shingles are ``percent`` or more of all theirs.
+    ``classes`` changes the work, not the result.  Other columns of ``docs`` are
+    ignored.  An empty table gives an empty result.  ``docs`` must be read the
+    same way each time, as from files; else a lost executor fails the job.
+    """
+    return linked_components(docs, percent, classes).select("doc_id", "n_shingles", "component_id")
 
 
 def without_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those linked to a smaller doc_id; rows that share a doc_id stay or go together."""
-    found = duplicate_components(docs, percent)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    """One row of each component, and all rows with empty sets.
+
+    The row with the smallest doc_id stays (null last), of several texts with
+    that id one by a hash, of equal rows any one.
+    """
+    found = written(linked_components(docs, percent))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
+    stays = found.where("component is not null").groupBy("component").agg(F.min(order).alias("s"))
+    found = found.where("component is not null").join(stays, "component").withColumn("stays", order == F.col("s"))
+    gone = found.where("not stays").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    again = found.where("stays").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).count().where("count > 1").drop("count")
+    keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": F.xxhash64("text")})
+    same = lambda other: keyed["__doc"].eqNullSafe(other["__id"]) & (keyed["__text"] == other["__key"])
+    kept = keyed.join(gone, same(gone), "left_anti")
+    once = kept.join(again, (kept["__doc"].eqNullSafe(again["__id"])) & (kept["__text"] == again["__key"]), "left_anti")
+    repeated = kept.join(again, (kept["__doc"].eqNullSafe(again["__id"])) & (kept["__text"] == again["__key"]), "left_semi").dropDuplicates(["__doc", "__text"])
+    return once.union(repeated).select(*docs.columns)

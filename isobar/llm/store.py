@@ -13,8 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path under spark.checkpoint.dir; a local folder only where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/isobar-checkpoints"
+    """A new path under spark.checkpoint.dir.
+
+    Where that is unset, a local session, which is one machine, has a folder of
+    its own; a cluster has none that all its machines share, so that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        base = "/tmp/isobar-checkpoints"
     return f"{base.rstrip('/')}/isobar-{uuid.uuid4().hex}"
 
 
@@ -23,7 +31,17 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_isobar_path"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` has made and no later job reads."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.__dict__["_isobar_path"])
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
