@@ -26,13 +26,16 @@ with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, '')
        from w window o as (order by most / w, source nulls last)),
  c as (select *, (t - mb) * w >= most * (wt - wb) capped from b),
  g as (select source, z, case when capped then most else (t - sum(case when capped then most else 0 end) over ()) * w / sum(case when capped then 0 else w end) over () end target,
-        cast(('0x' || substr(md5(concat('0:', coalesce('s' || source, ''))), 1, 5)) as bigint) / 33554432.0e0 u from c),
- p as (select d.doc_id, d.source, d.size, g.z, g.target, g.u, case when g.z > 0 then g.target / g.z else 0.0e0 end r,
-        row_number() over (partition by d.source order by length(cast(size as varchar)) * 100 + cast(substr(cast(size as varchar), 1, 2) as int), h, d.doc_id) k
-       from d join g on d.source is not distinct from g.source),
- q as (select *, least(floor(u + j / 32.0e0 + r * k) - floor(u + j / 32.0e0 + r * (k - 1)), ceil(r)) n from p, (select unnest(range(32)) j)),
- o as (select source, arg_min(j, abs(x - target) * 1.0e0) j from (select source, j, sum(n * size) x, any_value(target) target from q group by 1, 2 order by j) group by 1)
-select doc_id, size, cast(z as bigint) source_size, target, cast(size * n as bigint) taken from q join o on q.source is not distinct from o.source and q.j = o.j
+        cast(('0x' || substr(md5(concat('0:', coalesce('s' || source, ''))), 1, 5)) as bigint) / 1048576.0e0 u from c),
+ r as (select *, case when z > 0 then target / z else 0.0e0 end r from g),
+ j as (select d.doc_id, d.source, d.size, d.h, z, target, u, r, d.size * 50 > z big from d join r on d.source is not distinct from r.source),
+ p as (select *, row_number() over (partition by source, big order by case when big then size else length(cast(size as varchar)) * 100 + cast(substr(cast(size as varchar), 1, 2) as int) end, h, doc_id) k from j),
+ l as (select doc_id, source, size, z, target, least(floor(u + r * k) - floor(u + r * (k - 1)), 2) n from p where big),
+ e as (select source, sum(size * n) done, sum(size) x, count(*) m from l group by 1),
+ a as (select r.source, u + r * coalesce(m, 0) b, case when z - coalesce(x, 0) > 0 then greatest(0.0e0, least(2.0e0, (target - coalesce(done, 0)) / (z - coalesce(x, 0)))) else 0.0e0 end q from r left join e on r.source is not distinct from e.source),
+ y as (select doc_id, size, z, target, n from l union all
+       select doc_id, size, z, target, least(floor(b + q * k) - floor(b + q * (k - 1)), 2) n from p join a on p.source is not distinct from a.source where not big)
+select doc_id, size, cast(z as bigint) source_size, target, cast(size * n as bigint) taken from y
 """
 
 OP9 = """
