@@ -201,7 +201,7 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, fi
 def read_archives(files: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every page in the files."""
     schema = "origin string, number long, total long, kind string, page string, digest string, refers string, block binary"
-    found = files.repartition("path").mapInArrow(_records, schema)
+    found = files.repartition(max(1, files.count())).mapInArrow(_records, schema)  # a task for each file
     whole = found.where("number = 0").select("kind", "page", "digest", "refers", "total", F.array("block").alias("blocks"))
     parts = F.array_sort(F.collect_list(F.struct("number", "block")))  # one record's segments
     split = found.where("number > 0").groupBy("origin").agg(
