@@ -39,6 +39,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as numbers."""
+    return np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data).data, strides=(1,)) if len(data) > 7 else np.zeros(0, U)
+
+
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte ranges; ``data`` has eight bytes more than any range ends at.
 
@@ -56,7 +61,7 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         at = np.repeat(starts[long], pieces) + _PIECE * (np.arange(last[-1]) - np.repeat(last - pieces, pieces))
         inner = np.append(hash_ranges(data, at, np.minimum(at + _PIECE, np.repeat(ends[long], pieces))), U(0)).view(np.uint8)
         state[long] = mix(state[long] ^ hash_ranges(inner, 8 * (last - pieces), 8 * last))
-    eights = np.ndarray(max(len(data) - 7, 0), "<u8", np.ascontiguousarray(data).data, strides=(1,)) if len(data) else np.zeros(0, U)
+    eights = _eights(data)
     rest = np.where(size > _PIECE, 0, size)
     open_ = np.flatnonzero(rest)
     step = 0
@@ -103,6 +108,19 @@ class Block:
             self._padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
         return hash_ranges(self._padded, starts, ends)
 
+    def equal(self, starts: np.ndarray, others: np.ndarray, size: np.ndarray) -> bool:
+        """Whether all pairs of byte ranges, of the same sizes, are equal byte for byte."""
+        if self._padded is None:
+            self._padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eights, step, open_ = _eights(self._padded), 0, np.flatnonzero(size)
+        while len(open_):
+            left = size[open_] - step
+            if ((eights[starts[open_] + step] ^ eights[others[open_] + step]) & _TAIL[np.minimum(left, 8)]).any():
+                return False
+            step += 8
+            open_ = open_[left > 8]
+        return True
+
 
 def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """The texts in order; a null is an empty text."""

@@ -11,7 +11,9 @@ their frames are in ascending order; each task writes one file under a name of
 its own and renames it, so a repeated task replaces it with the same content.
 
 Null and empty texts are the end id alone.  A null doc_id sorts first and is
-kept.  Rows that share a doc_id are all written, one after the other.
+kept.  Rows that share a doc_id are all written, one after the other.  A very
+long text is one frame.  Other columns are ignored.  An empty table gives no
+file and an empty result.
 """
 
 from __future__ import annotations
@@ -49,6 +51,15 @@ _sign = _safe & ~_letter
 _sign[48:58] = _sign[0xC3] = False
 
 
+def _distinct_pieces(block: Block, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces that stand for all equal ones, and for each piece which of these; grouped by hash and compared by bytes."""
+    _, first, place = np.unique(block.hashes(starts, ends), return_index=True, return_inverse=True)
+    size, like = ends - starts, first[place]
+    if np.array_equal(size, size[like]) and block.equal(starts, starts[like], size):
+        return first, place
+    return np.arange(len(starts)), np.arange(len(starts))
+
+
 class Encoder:
     """Encodes with the tokenizers library, distinct pieces only.
 
@@ -57,34 +68,28 @@ class Encoder:
     there and equal pieces have equal ids.
     """
 
-    def __init__(self, path: str, keep: int = 3_000_000):
+    def __init__(self, path: str, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces: dict[bytes, int] = {}
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep = keep
         self._forget()
 
     def _forget(self) -> None:
-        """Empties the cache: sorted keys of pieces, where their ids begin, how many they are, and all ids."""
-        self.keys, self.at, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        """Empties the cache: the place of each piece, where its ids begin and how many they are, and all ids."""
+        self.pieces.clear()
+        self.at, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _learn(self, new: list[bytes]) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
         sizes = np.fromiter(map(len, got), np.int64, len(got))
-        at = len(self.ids) + np.cumsum(sizes) - sizes
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))])
-        order = np.argsort(both := np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = both[order]
-        self.at, self.sizes = np.concatenate([self.at, at])[order], np.concatenate([self.sizes, sizes])[order]
-
-    def _missing(self, keys: np.ndarray) -> np.ndarray:
-        found = np.searchsorted(self.keys, keys)
-        if not len(self.keys):
-            return np.arange(len(keys))
-        return np.flatnonzero(self.keys[np.minimum(found, len(self.keys) - 1)] != keys)
+        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new)), strict=True))
 
     def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's begin."""
@@ -100,12 +105,13 @@ class Encoder:
         starts, ends = edges[:-1], edges[1:]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(block.n + 1, np.int64)
-        keys, first, place = np.unique(block.hashes(starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > self.keep:
+        if len(self.pieces) > self.keep:
             self._forget()
-        if len(new := self._missing(keys)):
-            self._learn(keys[new], [raw[i:j].decode() for i, j in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-        known = np.searchsorted(self.keys, keys)[place]
+        order, at = _distinct_pieces(block, starts, ends)  # what is known of a piece goes by its bytes
+        pieces = [raw[i:j] for i, j in zip(starts[order].tolist(), ends[order].tolist(), strict=True)]
+        if new := [p for p in dict.fromkeys(pieces) if p not in self.pieces]:
+            self._learn(new)
+        known = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))[at]
         each = self.sizes[known]
         ends_at = np.cumsum(each)
         ids = self.ids[np.arange(int(ends_at[-1])) + np.repeat(self.at[known] - (ends_at - each), each)]
@@ -138,7 +144,7 @@ def _write(path: str, tokenizer: str, end_id: int):
         with store.open_output_stream(temporary) as out:
             for batch in batches:
                 ids += batch["doc_id"].to_pylist()
-                for block in blocks(batch["text"], 6_000_000):
+                for block in blocks(batch["text"], 2_000_000):
                     codes, at = encode(block)
                     for lo, hi in zip(at, at[1:], strict=False):
                         raw = np.append(codes[lo:hi], np.uint32(end_id)).astype("<u4").tobytes()
@@ -217,10 +223,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
-    """Reads files back: ``doc_id, start, n_tokens, ids_crc32`` of each document; start counts the ids of all before it."""
+    """Reads files back, a task for each: ``doc_id, start, n_tokens, ids_crc32`` of each document; start counts the ids of all before it."""
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
     rows = files.withColumn("start", F.coalesce(before, F.lit(0))).select("part", "path", "start")
-    return rows.repartition("part").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    n = files.count()
+    return rows.repartition(max(1, n)).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
