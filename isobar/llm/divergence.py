@@ -6,7 +6,11 @@ the sums of all documents' histograms by language; the language of a document
 is the reference that its words are nearest to, so ``lang`` need not be right.
 
 Short texts have noisy histograms, so each comparison has a least length.
-Null, empty and wordless texts have zero counts and fail the base rule.
+Null, empty and wordless texts have zero counts and fail the base rule.  Rows
+are judged one by one, so repeated rows, ties and null doc_ids change nothing;
+a null or unknown ``lang`` is in no reference.  A very long text is counted
+whole, in a block of its own.  Other columns are ignored, and kept by
+``passing``.  An empty table gives an empty result.
 Without references (an empty table, no known language) only the base rule holds.
 """
 
@@ -34,7 +38,7 @@ WORD_BINS = 21
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-_CLASS = np.full(256, 8, np.int64)  # other punctuation and control characters
+_CLASS = np.full(256, 8, np.int32)  # other punctuation and control characters
 for _k, _chars in enumerate((range(97, 123), range(65, 91), range(48, 58), range(0xC2, 0xF5), b" ", b"\n\t\r", b".,", b"#*$%&|<>")):
     _CLASS[list(_chars)] = _k
 _CLASS[0x80:0xC0] = 9  # continuation bytes, not counted
@@ -68,8 +72,8 @@ def _word_table() -> tuple[np.ndarray, np.ndarray]:
 def histograms(block: Block, owner: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts by text and class, and by text, language and common word; ``words`` are hashes of lower-cased words."""
     classes = _CLASS[block.data]
-    text = np.repeat(np.arange(block.n), np.diff(block.at))
-    by_class = np.bincount(text * 10 + classes, minlength=block.n * 10).reshape(block.n, 10)[:, :CLASS_BINS]
+    text = np.repeat(np.arange(0, 10 * block.n, 10, dtype=np.int32), np.diff(block.at))
+    by_class = np.bincount(text + classes, minlength=block.n * 10).reshape(block.n, 10)[:, :CLASS_BINS]
     known, bins = _word_table()
     at = np.searchsorted(known, words)
     at[(at == len(known)) | (known[np.minimum(at, len(known) - 1)] != words)] = len(known)
@@ -175,15 +179,6 @@ def _judge(rules: Rules, known: dict[str, list[int]]):
     return run
 
 
-def _keep(rules: Rules, known: dict[str, list[int]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch["text"]):
-                yield batch.slice(block.rows.start, block.n).filter(pa.array(_verdict(block, rules, known)["kept"]))
-
-    return run
-
-
 def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` (doc_id, text, lang) to each document's counts, distances, ``base_failed`` and ``kept``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -192,5 +187,15 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def passing(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; ``text`` and ``lang`` must be among them."""
-    return docs.mapInArrow(_keep(rules, references(docs)), docs.schema)
+    """The rows of ``docs`` that are kept, with all their columns; ``text`` and ``lang`` must be among them.
+
+    Only texts go to the Python workers, and only the verdicts come back.
+    """
+    known = references(docs)
+
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        found = [_verdict(block, rules, known)["kept"] for block in blocks(texts)]
+        return pa.array(np.concatenate(found) if found else np.zeros(0, bool))
+
+    return docs.where(kept(F.col("text")))
