@@ -14,7 +14,8 @@ document's component of linked documents.
     sets share a shingle among their first ``tau + 1``, ``tau`` being the number
     of a set's shingles that the other may miss.  A set whose shared shingles are
     too few to be linked with anything is dropped here.
-3.  Sets under one shingle are first compared with one of them.  That joins a
+3.  Sets under one shingle are first compared with the one that has the fewest
+    shingles before it, the nearest to what copies have in common.  That joins a
     large group of near copies by as many comparisons as it has members.
 4.  What is then still in different components is compared in full under rare
     shingles.  Frequent ones form further classes (``CLASSES``): where the first
@@ -23,9 +24,9 @@ document's component of linked documents.
     parts by hash, such that two linked sets share k of them in one part; those
     k together are the key.  The number of parts follows the size of the sets, so
     a set has keys in proportion to its prefix.
-5.  A shingle's place in both sets' order bounds what they can share, as at most
-    a known number before it is shared; so sets with many shingles of their own
-    are no candidates.  Every candidate is verified on the whole sets.
+5.  A shingle's place in both sets' order bounds what they can share, as nothing
+    before the first shared one is; so sets with many shingles of their own are
+    no candidates.  Every candidate is verified on the whole sets.
 
 Shingles and sets are compared by 64-bit hashes.
 
@@ -52,8 +53,10 @@ from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
 from isobar.llm.store import discard, written
 
 SHINGLE = 5
-#: shingles in at most so many sets are of class 1, of class 2, and so on
-CLASSES = (128, 4096)
+#: shingles in at most so many sets are of class 1, of class 2, and so on; a row
+#: of a combination costs about as much as comparing a set's ranks with some
+#: hundred others under a single shingle
+CLASSES = (512, 16_384)
 #: about so many shingles of an extended prefix are in one part
 PART = 8
 CHUNK_SHINGLES = 1_000_000
@@ -280,8 +283,12 @@ def _parts(size: int, percent: int) -> int:
     return max(1, int(_spare(top - 1, percent)) // PART)
 
 
-def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Keys of k shingles for each class k from 2 on, the rank of their last, and how many may be shared up to it."""
+def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of k shingles for each class k from 2 on, and how many shingles the set loses at least, if two sets meet there first.
+
+    No shingle of a lower class is shared then; and of those up to the key's last,
+    at most k in its part and k - 1 in each other part.
+    """
     own, tau = n - len(shingles), int(_spare(n, percent))
     edges = [0, *upto, len(shingles)]
     own_size = size_class(n, percent)
@@ -300,37 +307,37 @@ def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int
                 key = np.full(len(chosen), (k << 32) + size, U)
                 for j in range(k):
                     key = mix(key ^ shingles[chosen[:, j]])
-                yield key.view(np.int64), own + chosen[:, -1] + 1, k + (parts - 1) * (k - 1)
+                yield key.view(np.int64), own + np.maximum(edges[k - 1], chosen[:, -1] + 1 - k - (parts - 1) * (k - 1))
 
 
 def _combinations(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for key, rank, shared in combination_keys(np.frombuffer(row["shared"], U), row["n"], row["upto"], percent):
-                    columns = [key, np.full(len(key), row["set_id"]), np.full(len(key), row["n"]), rank, np.full(len(key), row["component"]), np.full(len(key), shared)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "set_id", "n", "rank", "component", "shared"])
+                for key, lost in combination_keys(np.frombuffer(row["shared"], U), row["n"], row["upto"], percent):
+                    columns = [key, np.full(len(key), row["set_id"]), np.full(len(key), row["n"]), lost + 1, np.full(len(key), row["component"])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "set_id", "n", "rank", "component"])
 
     return run
 
 
-def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int, shared: int | Column = 1) -> Column:
-    """Whether two sets can be linked that share at most ``shared`` shingles up to these ranks."""
-    most = shared + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
+def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int) -> Column:
+    """Whether two sets can be linked that share nothing before these ranks."""
+    most = 1 + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
     return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets under one key (``key, set_id, n, rank, component, shared``) in different components, within the bounds.
+    """Pairs of sets under one key (``key, set_id, n, rank, component``) in different components, within the bounds.
 
     The key's largest component is only ever on one side.
     """
     counts = rows.groupBy("key", "component").count()
     most = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count(F.lit(1)).alias("met")).where("met > 1").drop("met")
     rows = rows.join(most, "key")
-    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"), F.col("shared").alias("sl"))
-    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), F.col("shared").alias("sr"), "most")
-    near = _possible("nl", "il", "nr", "ir", percent, F.least("sl", "sr"))
+    left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"))
+    right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), "most")
+    near = _possible("nl", "il", "nr", "ir", percent)
     pairs = left.join(right, "key").where((F.col("cl") != F.col("cr")) & ((F.col("cr") == F.col("most")) | (F.col("cl") < F.col("cr"))) & near)
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"))
 
@@ -370,18 +377,20 @@ def linked_components(docs: DataFrame, percent: int = 80, classes: tuple[int, ..
     prefix = written(sets.mapInArrow(_prefixes(percent), "token long, set_id long, n long, rank long, class long"))
 
     # each with one set under the same shingle
-    centre = prefix.groupBy("token").agg(F.min("set_id").alias("a"), F.min_by("n", "set_id").alias("na"), F.min_by("rank", "set_id").alias("ia"))
-    stars = prefix.join(centre, "token").where((F.col("set_id") > F.col("a")) & _possible("n", "rank", "na", "ia", percent))
-    links = written(_verified(stars.select("a", F.col("set_id").alias("b")).distinct(), sets, percent))
+    nearest = F.struct("rank", "set_id")
+    centre = prefix.groupBy("token").agg(*(F.min_by(c, nearest).alias(x) for c, x in (("set_id", "a"), ("n", "na"), ("rank", "ia"))))
+    stars = prefix.join(centre, "token").where((F.col("set_id") != F.col("a")) & _possible("n", "rank", "na", "ia", percent))
+    stars = stars.select(F.least("a", "set_id").alias("a"), F.greatest("a", "set_id").alias("b"))
+    links = written(_verified(stars.distinct(), sets, percent))
     found = components(links)
 
     # the rest, where components meet
     placed = prefix.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     meet = placed.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
     open_ = written(placed.join(meet, "token"))
-    pairs = _crossing(open_.where("class = 1").select(F.col("token").alias("key"), "set_id", "n", "rank", "component", F.lit(1).alias("shared")), percent)
+    pairs = _crossing(open_.where("class = 1").select(F.col("token").alias("key"), "set_id", "n", "rank", "component"), percent)
     frequent = open_.where("class > 1").select("set_id", "component").distinct()
-    keys = written(sets.join(frequent, "set_id").mapInArrow(_combinations(percent), "key long, set_id long, n long, rank long, component long, shared long"))
+    keys = written(sets.join(frequent, "set_id").mapInArrow(_combinations(percent), "key long, set_id long, n long, rank long, component long"))
     pairs = pairs.union(_crossing(keys, percent))
     more = written(_verified(pairs.distinct(), sets, percent))
     if not more.isEmpty():

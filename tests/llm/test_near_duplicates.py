@@ -46,7 +46,7 @@ def crowd(seed):
     return texts
 
 
-@pytest.mark.parametrize("classes", [(1,), (3, 6), (2, 5, 20), (128, 4096)])
+@pytest.mark.parametrize("classes", [(1,), (3, 6), (2, 5, 20), nd.CLASSES])
 def test_classes_change_the_work_and_not_the_result(spark, classes):
     texts = crowd(3)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
@@ -67,7 +67,7 @@ def test_linked_sets_share_a_key(spark):
             continue
         for k in (2, 3):
             upto = lambda s, k=k: [0] * (k - 1) + [len(s)] * (3 - k)
-            keys = [{int(a) for keys, _, _ in nd.combination_keys(s, len(s), upto(s), 80) for a in keys} for s in (x, y)]
+            keys = [{int(a) for keys, _ in nd.combination_keys(s, len(s), upto(s), 80) for a in keys} for s in (x, y)]
             assert both < k or keys[0] & keys[1] or len(x) == len(y)
 
 
@@ -91,7 +91,7 @@ def test_small_chunks_and_hot_shingles(spark, monkeypatch):
         parts.append(block)
     assert len(parts) > 3 and any(r["heavy"] and nd.unpack(r["heavy"]).size for r in asked)
     answered = [r for k in range(4) for r in nd._counted(pa.Table.from_pylist([x for x in asked if x["range"] == k], nd._ASKED)).to_pylist()]
-    out = [r for c in range(len(parts)) for r in nd._ordered(80, (128, 4096))(pa.Table.from_pylist([x for x in answered if x["chunk"] == c], nd._ANSWERED)).to_pylist()]
+    out = [r for c in range(len(parts)) for r in nd._ordered(80, nd.CLASSES)(pa.Table.from_pylist([x for x in answered if x["chunk"] == c], nd._ANSWERED)).to_pylist()]
     assert sorted(r["doc_id"] for r in out) == list(range(len(texts)))
     monkeypatch.undo()
     whole = nd._chunk_rows
