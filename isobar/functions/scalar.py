@@ -109,6 +109,31 @@ def longitude(x: Column) -> Column:
     return F.when(x > 180, x - 360).otherwise(x)
 
 
+def celsius(t: Column) -> Column:
+    """M1: from kelvin; what isn't over 100 is degrees Celsius already."""
+    return F.when(t > 100, t - 273.15).otherwise(t)
+
+
+def fahrenheit(t_c: Column) -> Column:
+    """M1: from degrees Celsius."""
+    return t_c * 1.8 + 32
+
+
+def knots(v: Column) -> Column:
+    """M1: from metres a second."""
+    return v * 1.94384
+
+
+def inches(mm: Column) -> Column:
+    """M1: from millimetres."""
+    return mm / 25.4
+
+
+def hectopascals(p: Column) -> Column:
+    """M1: from pascals; what isn't over 2000 is hectopascals already."""
+    return F.when(p > 2000, p / 100).otherwise(p)
+
+
 def magnitude(u: Column, v: Column) -> Column:
     """M2."""
     return F.sqrt(u * u + v * v)

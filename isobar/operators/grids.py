@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.operators.sizes import maybe_broadcast
+
 
 def idw_surface(points: DataFrame, frame: list[str], step: float = 1.0, radius: float = 4.0, most: int = 20, power: float = 2.0, smooth: float = 0.3, least: int = 3, cell: float = 4.0) -> DataFrame:
     """Inverse-distance weighted mean of the nearest points at every grid node within reach.
@@ -13,8 +15,8 @@ def idw_surface(points: DataFrame, frame: list[str], step: float = 1.0, radius:
     explode with a bounded number of rows a point and the grouping key is the
     node.  Frames of fewer than ``least`` points are left out.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(*frame))
-    rows = points.withColumn("_n", n).where(F.col("_n") >= least).drop("_n")
+    frames = points.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).drop("_n")
+    rows = points.join(maybe_broadcast(frames), frame)
     near = lambda x: F.sequence(F.ceil((x - radius) / step), F.floor((x + radius) / step))
     rows = rows.withColumn("gy", F.explode(near(F.col("lat")))).withColumn("gx", F.explode(near(F.col("lon"))))
     dy, dx = F.col("gy") * step - F.col("lat"), F.col("gx") * step - F.col("lon")
@@ -84,14 +86,19 @@ def dilated(mask: DataFrame, r: int, rows: int, columns: int) -> DataFrame:
 
 
 def fringe_filled(cells: DataFrame, rounds: int, rows: int, columns: int) -> DataFrame:
-    """So many times, empty cells take the greatest of their 3 x 3 neighbours."""
-    for _ in range(rounds):
-        own = cells.select("field", "r", "c", F.lit(True).alias("own"))
-        grown = _around(cells, 1).groupBy("field", "r", "c").agg(F.max("v").alias("g"))
-        grown = grown.where(F.col("r").between(0, rows - 1) & F.col("c").between(0, columns - 1))
-        new = grown.join(own, ["field", "r", "c"], "left_anti").select("field", "r", "c", F.col("g").alias("v"))
-        cells = cells.unionByName(new)
-    return cells
+    """So many times, empty cells take the greatest of their 3 x 3 neighbours.
+
+    An empty cell is filled in round d if d is its distance (Chebyshev) to the
+    nearest cell with a value, and takes the greatest of those at that distance;
+    so all rounds are one explode and one grouping.
+    """
+    own = cells.where("v is not null").select("field", "r", "c", "v")
+    at = F.explode(F.sequence(F.lit(-rounds), F.lit(rounds)))
+    near = own.withColumn("dr", at).withColumn("dc", at)
+    near = near.select("field", (F.col("r") + F.col("dr")).alias("r"), (F.col("c") + F.col("dc")).alias("c"), F.struct((-F.greatest(F.abs("dr"), F.abs("dc"))).alias("d"), "v").alias("b"))
+    near = near.where(F.col("r").between(0, rows - 1) & F.col("c").between(0, columns - 1))
+    filled = near.groupBy("field", "r", "c").agg(F.max("b").alias("b")).where("b.d < 0").select("field", "r", "c", "b.v")
+    return own.unionByName(filled)
 
 
 def typed_reflectivity(kind: Column, dbz: Column) -> Column:

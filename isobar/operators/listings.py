@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.operators.sizes import maybe_broadcast
 from isobar.sources.storage import work_path
 
 
@@ -25,9 +26,13 @@ def coalesced(ranges: DataFrame, gap: int) -> DataFrame:
 
 
 def newest_runs(listed: DataFrame, keep: int) -> DataFrame:
-    """Rows of each product's newest runs; ``purged`` is the rest."""
-    place = F.dense_rank().over(Window.partitionBy("product").orderBy(F.col("run").desc()))
-    return listed.withColumn("purged", place > keep)
+    """Rows of each product's newest runs; ``purged`` is the rest.
+
+    Only distinct runs are ranked, so a product with many files is no large group.
+    """
+    place = F.row_number().over(Window.partitionBy("product").orderBy(F.col("run").desc()))
+    runs = listed.select("product", "run").distinct().withColumn("purged", place > keep)
+    return listed.join(maybe_broadcast(runs), ["product", "run"])
 
 
 def two_class_retention(runs: DataFrame, keep_all: int, keep_long: int, long_hours: int = 19) -> DataFrame:
@@ -99,7 +104,28 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def merged_stamps(mine: DataFrame, published: DataFrame, retain_s: int) -> DataFrame:
     """SO4: distinct stamps of both, no older than the newest minus the retention."""
     rows = mine.select("product", "t").union(published.select("product", "t")).distinct()
-    return rows.where(F.col("t").isNotNull()).withColumn("m", F.max("t").over(Window.partitionBy("product"))).where(F.col("t") >= F.col("m") - retain_s).drop("m")
+    newest = rows.groupBy("product").agg(F.max("t").alias("m"))
+    return rows.join(maybe_broadcast(newest), "product").where(F.col("t") >= F.col("m") - retain_s).drop("m")
+
+
+def gaps_between(rows: DataFrame, key: str, order: list[str], t: str) -> DataFrame:
+    """``gap`` from each row's ``t`` to the one before it in its group's order; a group's first row has none.
+
+    Rows are cut into ranges of key and order, so a large group is spread over
+    tasks; a range's first row looks back at the last row of the range before.
+    """
+    spark = rows.sparkSession
+    path = work_path(spark, "gaps")
+    rows = rows.select(F.col(key), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), F.col(t).alias("t"))
+    by = [f"o{i}" for i in range(len(order))]
+    rows = rows.repartitionByRange(key, *by).withColumn("part", F.spark_partition_id())
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    last = rows.groupBy(F.col(key).alias("of"), F.col("part").alias("held")).agg(F.max_by("t", F.struct(*by)).alias("t"))
+    last = last.withColumn("before", F.lag("t").over(Window.partitionBy("of").orderBy("held"))).drop("t")  # a row for each range
+    here = F.lag("t").over(Window.partitionBy(key, "part").orderBy(*by))
+    rows = rows.withColumn("here", here).join(maybe_broadcast(last), F.col(key).eqNullSafe(F.col("of")) & (F.col("part") == F.col("held")))
+    return rows.select(key, (F.col("t") - F.coalesce("here", "before")).alias("gap")).where("gap is not null")
 
 
 def at_places(rows: DataFrame, key: str, value: str, places: dict[str, Column]) -> DataFrame:

@@ -11,10 +11,14 @@ STEP_M, LEVELS = 500, 38
 
 
 def bracketing(heights: DataFrame, targets: DataFrame) -> DataFrame:
-    """``heights`` (lvl, height_m), ``targets`` (k, height_m) to ``k, lower, upper, t``; ends hold outside.  Both are small dims."""
+    """``heights`` (lvl, height_m), ``targets`` (k, height_m) to ``k, lower, upper, t``.
+
+    The lowest level holds below it; a target above the highest one has no row.
+    Both are small dims.
+    """
     order = Window.orderBy("height_m")
     spans = heights.select(F.col("lvl").alias("lower"), F.col("height_m").alias("h0"), F.lead("lvl").over(order).alias("upper"), F.lead("height_m").over(order).alias("h1"), (F.row_number().over(order) == 1).alias("bottom"))
-    rows = targets.join(F.broadcast(spans), (F.col("bottom") | (F.col("height_m") >= F.col("h0"))) & (F.col("h1").isNull() | (F.col("height_m") < F.col("h1"))))
+    rows = targets.join(F.broadcast(spans), (F.col("bottom") | (F.col("height_m") >= F.col("h0"))) & (F.coalesce("h1", F.col("h0") + 1e-9) > F.col("height_m")))
     exact = (F.col("height_m") <= F.col("h0")) | F.col("h1").isNull()
     return rows.select("k", "lower", F.when(exact, F.col("lower")).otherwise(F.col("upper")).alias("upper"), F.when(exact, 0.0).otherwise((F.col("height_m") - F.col("h0")) / (F.col("h1") - F.col("h0"))).alias("t"))
 
@@ -67,9 +71,9 @@ def hourly_amounts(totals: DataFrame) -> DataFrame:
     return rows.withColumn("amount", F.greatest("gain", F.lit(0.0))).drop("gain")
 
 
-def sampled(sites: DataFrame, cells: DataFrame, lat0: float, lon0: float, step: float, rows: int, columns: int) -> DataFrame:
+def sampled(sites: DataFrame, cells: DataFrame, lat0: float, lon0: float, step: float, rows: int, columns: int, step_lon: float | None = None) -> DataFrame:
     """Each site's cell value; null off the grid."""
-    at = sites.withColumn("r", F.floor((F.lit(lat0) - F.col("lat")) / step)).withColumn("c", F.floor((F.col("lon") - lon0) / step))
+    at = sites.withColumn("r", F.floor((F.lit(lat0) - F.col("lat")) / step)).withColumn("c", F.floor((F.col("lon") - lon0) / (step_lon or step)))
     inside = F.col("r").between(0, rows - 1) & F.col("c").between(0, columns - 1)
     at = at.withColumn("r", F.when(inside, F.col("r"))).withColumn("c", F.when(inside, F.col("c")))
     return at.join(cells.select("r", "c", "v"), ["r", "c"], "left")

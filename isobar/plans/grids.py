@@ -206,7 +206,7 @@ def _plan(spark):
 
 
 _PLAN = """(select k, case when h <= 500 then 1 when h >= 3500 then 7 else h // 500 end as lo, case when h <= 500 then 1 when h >= 3500 then 7 when h % 500 = 0 then h // 500 else h // 500 + 1 end as hi,
- case when h <= 500 or h >= 3500 then 0.0e0 else (h % 500) / 500.0e0 end t from (select k, 400 + 350 * k h from (select unnest(range(10)) k)))"""
+ case when h <= 500 or h >= 3500 then 0.0e0 else (h % 500) / 500.0e0 end t from (select k, 400 + 350 * k h from (select unnest(range(10)) k)) where h <= 3500)"""
 
 
 @register(f"select col_id, k, round_even(a.v + t * (b.v - a.v), 4) v from $F10 a join {_PLAN} p on a.lvl = p.lo join (select col_id cid, lvl l, v from $F10) b on cid = a.col_id and l = p.hi")
@@ -286,10 +286,8 @@ def W5_hourly_amounts(spark, sf_dir):
 
 @register("select station_id, v from (select *, cast(floor((50 - lat) / 0.13e0) as bigint) rr, cast(floor((lon + 125) / 0.3e0) as bigint) cc from $F2) s left join (select r, c, v from $F9 where field = 1) f on f.r = rr and f.c = cc and rr between 0 and 199 and cc between 0 and 199")
 def J8_point_sampling(spark, sf_dir):
-    sites = feed(spark, sf_dir, "F2").withColumnsRenamed({})
-    at = sites.withColumn("r", F.floor((F.lit(50) - F.col("lat")) / 0.13)).withColumn("c", F.floor((F.col("lon") + 125) / 0.3))
-    cells = _cells(spark, sf_dir).where("field = 1").select("r", "c", "v")
-    return at.join(cells, ["r", "c"], "left").select("station_id", "v")
+    cells = _cells(spark, sf_dir).where("field = 1")
+    return V.sampled(feed(spark, sf_dir, "F2"), cells, 50.0, -125.0, 0.13, N, N, 0.3).select("station_id", "v")
 
 
 @register("select r * 1000 + c as key, arg_max(v, field) v from $F9 where field <= 3 group by 1")

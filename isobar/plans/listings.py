@@ -138,12 +138,12 @@ def J5_as_of(spark, sf_dir):
     return L.as_of(rows("click"), rows("view").withColumnRenamed("id", "obj"), 3600, 900).select("id", "t", "ct")
 
 
-@register("""with w as (select event_id id, EPOCH(ts) // 3600 * 3600 t from events where event_id % 10 = 0), r as (select distinct EPOCH(o_orderdate) + 7200 run from orders where o_orderkey % 7 = 0),
+@register("""with w as (select event_id id, EPOCH(ts) // 3600 * 3600 t from events), r as (select distinct EPOCH(o_orderdate) + 7200 run from orders),
  o as (select * from (values (0, 0), (1, 3600), (2, -3600), (3, -7200), (4, -10800), (5, 7200), (6, 10800)) x(rk, off))
  select id, run, off as "offset" from (select id, run, off, row_number() over (partition by id order by rk) n from w join o on true join r on r.run = t + off) where n = 1""")
 def J6_nearest_run(spark, sf_dir):
-    wanted = query(spark, sf_dir, "select event_id id, EPOCH(ts) div 3600 * 3600 t from events where event_id % 10 = 0")
-    there = query(spark, sf_dir, "select EPOCH(o_orderdate) + 7200 run from orders where o_orderkey % 7 = 0")
+    wanted = query(spark, sf_dir, "select event_id id, EPOCH(ts) div 3600 * 3600 t from events")
+    there = query(spark, sf_dir, "select EPOCH(o_orderdate) + 7200 run from orders")
     return L.walk_back(wanted, there, [0, 3600, -3600, -7200, -10800, 7200, 10800])
 
 
@@ -212,14 +212,18 @@ def A23_newest_run_list(spark, sf_dir):
     return runs.select("product", F.explode("runs").alias("run"))
 
 
-@register()
+_HOURS = "(select run, product, string_agg(cast(fh as string), ',' order by fh) h from (select distinct run, product, fh from $F12 where WHICH) group by 1, 2)"
+_MAP = "(select run, concat('{', string_agg(concat('\"', product, '\":[', h, ']'), ',' order by product), '}') m from " + _HOURS + " group by 1)"
+
+
+@register(f"select cast(floor(epoch(e.run)) as bigint) run, a.m available, e.m expected from {_MAP.replace('WHICH', 'true')} e left join {_MAP.replace('WHICH', 'obj % 2 = 0')} a on a.run = e.run")
 def A24_manifest(spark, sf_dir):
     f = feed(spark, sf_dir, "F12")
     rows = L.manifest(f.where("obj % 2 = 0"), f)
     return rows.select(_seconds("run").alias("run"), F.to_json("available").alias("available"), F.to_json("expected").alias("expected"))
 
 
-@register()
+@register("""select o_custkey, sha256(string_agg(h, chr(10) order by h)) signature from (select o_custkey, sha256(concat('{"o_orderkey":', o_orderkey, ',"o_orderpriority":"', o_orderpriority, '"}')) h from orders) group by 1""")
 def A27_signature(spark, sf_dir):
     """Orders by customer: the groups are small and grow in number with the table."""
     return L.signature(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderpriority")
@@ -297,20 +301,34 @@ def _drained(spark: SparkSession, sf_dir: str, make, closing: bool = False) -> D
     no hour lies in two.  ``closing`` puts a row without values a day after the
     last, which moves the watermark past all windows but its own.
     """
-    path = work_path(spark, "stream")
     rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     seconds = F.unix_timestamp("ts")
     cuts = rows.select(seconds.cast("double").alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.01)
     cuts = sorted({int(c // 3600 * 3600) for c in cuts})
     parts = [rows.where(F.lit(a is None) | (seconds >= a)).where(F.lit(b is None) | (seconds < b)) for a, b in zip([None, *cuts], [*cuts, None], strict=True)]
     if closing:
-        end = rows.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts"))
-        parts.append(end.select(*(F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema)))
+        parts.append(_closing(rows))
+    return _fed(spark, parts, make)
+
+
+def _closing(rows: DataFrame) -> DataFrame:
+    """A row without values, a day after the last."""
+    end = rows.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts"))
+    return end.select(*(F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema))
+
+
+def _fed(spark: SparkSession, parts: list[DataFrame], make, mode: str = "append") -> DataFrame:
+    """What the stream gives when the parts come in one after another, each in a run of its own from the last checkpoint."""
+    path = work_path(spark, "stream")
     for part in parts:
         part.write.mode("append").parquet(f"{path}/in")
-        stream = make(lambda: spark.readStream.schema(rows.schema).parquet(f"{path}/in"))
-        writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-        writer.format("parquet").option("path", f"{path}/out").start().awaitTermination()
+        stream = make(lambda: spark.readStream.schema(parts[0].schema).parquet(f"{path}/in"))
+        writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+        if mode == "append":
+            writer = writer.format("parquet").option("path", f"{path}/out")
+        else:  # files hold no updates, so each batch is a folder, which a repeated batch replaces
+            writer = writer.foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out/batch={i}"))
+        writer.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
@@ -322,19 +340,53 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-@register()
+@register("select distinct cast(user_id % 50 * 100 as bigint) cy, cast((-(user_id % 40) - 60) * 100 as bigint) cx, cast(floor(EPOCH(ts) / 30) as bigint) tb from events")
 def K1_rolling_flashes(spark, sf_dir):
+    """The cells and bins with a flash; which of those in one bin comes first isn't fixed by the data."""
     flashes = lambda e: e.select("event_id", "ts", (F.col("user_id") % 50 + 0.0).alias("lat"), (-F.col("user_id") % 40 - 60.0).alias("lon"))
-    return _drained(spark, sf_dir, lambda events: K.rolling_flashes(flashes(events()), cell=10.0, seconds=3600)).select("event_id", "cy", "cx", "tb")
+    return _drained(spark, sf_dir, lambda events: K.rolling_flashes(flashes(events()))).select("cy", "cx", "tb")
 
 
-@register()
+@register("select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events group by 1, 2, 3")
 def K2_hourly_max_stream(spark, sf_dir):
     readings = lambda e: e.select(F.col("user_id").alias("station_id"), F.col("event_type").alias("param"), "ts", F.floor("value").cast("int").alias("aqi"))
     return _drained(spark, sf_dir, lambda events: K.hourly_max(readings(events())), closing=True).select("station_id", "param", _seconds("hour").alias("hour"), "aqi")
 
 
-@register()
+_K3 = "(select cast(user_id % 20 as string) k, EPOCH(ts) e, value v from events)"
+
+
+@register(f"select k as key, max(e) epoch, max(v) filter (where e = m) as \"value\" from (select *, max(e) over (partition by k) m from {_K3}) group by 1")
+def K3_newest_wins_stream(spark, sf_dir):
+    """The last value that each key had, out of all the changes that the stream put out."""
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 20).cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("double").alias("value"))
+    middle = rows.select(F.avg(F.unix_timestamp("ts"))).first()[0] or 0
+    early = F.unix_timestamp("ts") < middle
+    changes = _fed(spark, [rows.where(early), rows.where(~early)], lambda events: K.newest_wins(events()), "update")
+    return changes.groupBy("key").agg(F.max_by(F.struct("epoch", "value"), F.struct("epoch", "value")).alias("b")).select("key", "b.epoch", "b.value")
+
+
+@register("select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events where not (event_id % 10 = 0 and ts < (select max(ts) from events) - interval 1 day) group by 1, 2, 3")
+def K4_late_rows_are_dropped(spark, sf_dir):
+    """A tenth of the events come when the watermark has passed their hours, and don't count."""
+    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    end = rows.agg((F.max("ts") - F.expr("interval 1 day")).alias("end"))
+    late = rows.crossJoin(F.broadcast(end)).withColumn("late", (F.col("event_id") % 10 == 0) & (F.col("ts") < F.col("end"))).drop("end")  # one row
+    parts = [late.where("not late").drop("late"), late.where("late").drop("late"), _closing(rows)]
+    readings = lambda e: e.select(F.col("user_id").alias("station_id"), F.col("event_type").alias("param"), "ts", F.floor("value").cast("int").alias("aqi"))
+    return _fed(spark, parts, lambda events: K.hourly_max(readings(events()))).select("station_id", "param", _seconds("hour").alias("hour"), "aqi")
+
+
+@register("select event_id, 1 as times from events")
+def K5_incremental_ingest(spark, sf_dir):
+    """Granules come in three lots; a run takes only what the runs before it didn't, so each event is parsed once."""
+    rows = table(spark, sf_dir, "events").select(F.to_json(F.struct("event_id", "value")).alias("line"), (F.col("event_id") % 3).alias("lot"))
+    parts = [rows.where(F.col("lot") == k).select("line") for k in range(3)]
+    parsed = _fed(spark, parts, lambda granules: K.ingested(granules(), "event_id long, value double"))
+    return parsed.groupBy("event_id").agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
+@register("select a.user_id % 20 as key, a.event_id id, b.event_id obj from events a join events b on a.event_type = 'click' and b.event_type = 'view' and a.user_id % 20 = b.user_id % 20 and b.ts between a.ts - interval 3600 seconds and a.ts + interval 900 seconds")
 def K6_companion_stream(spark, sf_dir):
     left = lambda e: e.where("event_type = 'click'").select((F.col("user_id") % 20).alias("key"), F.col("ts").alias("t"), F.col("event_id").alias("id"))
     right = lambda e: e.where("event_type = 'view'").select((F.col("user_id") % 20).alias("key"), F.col("ts").alias("ct"), F.col("event_id").alias("obj"))
@@ -342,17 +394,18 @@ def K6_companion_stream(spark, sf_dir):
 
 
 def _upserted(spark: SparkSession, stream: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Each batch writes the whole state as a new table beside the last one's, so a repeated batch does no harm; the newest is the result."""
-    path, done = work_path(spark, "slots"), []
+    """Each batch writes its own best row of each slot, and no other batch's; the best over all batches is the result.
+
+    A repeated batch replaces what it wrote before.
+    """
+    path = work_path(spark, "slots")
 
     def run(df: DataFrame, i: int) -> None:
-        stored = df.sparkSession.read.parquet(f"{path}/state-{i - 1}") if i else None
-        K.slot_upsert(df, stored, keys, order).write.mode("overwrite").parquet(f"{path}/state-{i}")
-        done.append(i)
+        K.slot_upsert(df, None, keys, order).write.mode("overwrite").parquet(f"{path}/state/batch={i}")
 
     writer = stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
     writer.foreachBatch(run).start().awaitTermination()
-    return spark.read.parquet(f"{path}/state-{max(done)}")
+    return K.slot_upsert(spark.read.schema(stream.schema).parquet(f"{path}/state"), None, keys, order)
 
 
 @register("select user_id % 50 as product, EPOCH(ts) // 3600 as slot, max(event_id) filter (where event_id % 2 = p) as payload, p as pass from (select *, max(event_id % 2) over (partition by user_id % 50, EPOCH(ts) // 3600) p from events) group by 1, 2, 4")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from isobar.functions import scalar as S
 from isobar.operators import grids as G
+from isobar.operators import listings as L
 from isobar.operators import points as P
 from isobar.sources import parsers
 from isobar.sources.adapters import NOW, duck, feed, query, table
-from isobar.sources.publish import documents, guarded, union_of_feeds, verdicts, versioned
+from isobar.sources.publish import documents, guarded, publish, union_of_feeds, verdicts, versioned, write_tiles
+from isobar.sources.storage import work_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -178,7 +180,7 @@ def T3_capped_per_product(spark, sf_dir):
     return P.capped_per_group(feed(spark, sf_dir, "F12"), ["product"], 6, F.col("run").desc(), F.col("obj")).select("product", "obj")
 
 
-@register()
+@register(f"select coalesce(rk, 5) as \"rank\", id from {_rank_sql()}")
 def T4_ordered_publication(spark, sf_dir):
     return P.declutter_rank(_stations(spark, sf_dir)).select("rank", "id").orderBy("rank", "id")
 
@@ -277,9 +279,9 @@ def P16_html_cell(spark, sf_dir):
     return rows.select("c_custkey", parsers.html_cell(F.col("h"), "Start_Date").alias("start_date"))
 
 
-@register("select field, r, c, case when v >= 0 then v / 25.4e0 end v from $F9")
+@register("select field, r, c, case when v >= 0 then v * (1 / 25.4e0) end v from $F9")
 def P19_mask_and_scale(spark, sf_dir):
-    return feed(spark, sf_dir, "F9").select("field", "r", "c", S.unmasked(F.col("v"), 0.0, 1 / 25.4).alias("w"), (F.col("v") / F.lit(25.4)).alias("q")).select("field", "r", "c", F.when(F.col("w").isNotNull(), F.col("q")).alias("v"))
+    return feed(spark, sf_dir, "F9").select("field", "r", "c", S.unmasked(F.col("v"), 0.0, 1 / 25.4).alias("v"))
 
 
 @register("select event_id, case when x > 180 then x - 360 else x end lon from (select event_id, cast(event_id % 360 as double) x from events)")
@@ -325,7 +327,30 @@ def S4_geojson_points(spark, sf_dir):
     return rows.select(F.element_at("properties", "id").cast("long").alias("fire_id"), "lat", "lon")
 
 
-@register()
+@register("select r // 50 tr, c // 50 tc, count(*) n, round_even(max(v), 6) most from $F9 group by 1, 2")
+def S13_tiled_sink(spark, sf_dir):
+    """Cells written by tile, a folder for each, and read back."""
+    path = work_path(spark, "tiles")
+    cells = feed(spark, sf_dir, "F9").withColumns({"tr": F.floor(F.col("r") / 50), "tc": F.floor(F.col("c") / 50)})
+    write_tiles(cells, path, ["tr", "tc"])
+    back = spark.read.schema(cells.schema).parquet(path)
+    return back.groupBy("tr", "tc").agg(F.count(F.lit(1)).alias("n"), F.bround(F.max("v"), 6).alias("most"))
+
+
+@register("select station_id, param, cast(floor(epoch(hour)) as bigint) as hour, aqi, (select cast(floor(epoch(max(hour))) as bigint) from $F1) newest from " + READINGS)
+def S14_data_then_pointer(spark, sf_dir):
+    """What a reader finds that follows the pointer to the data."""
+    path = work_path(spark, "published")
+    data = _hourly(spark, sf_dir).select("station_id", "param", _epoch("hour"), "aqi")
+    publish(data, data.agg(F.max("hour").alias("newest")).withColumn("data", F.lit(f"{path}/data")), path)
+    pointer = spark.read.schema("newest long, data string").json(f"{path}/pointer").first()
+    return spark.read.schema(data.schema).parquet(pointer["data"]).withColumn("newest", F.lit(pointer["newest"]))
+
+
+_AT = "strftime(hour, '%Y-%m-%dT%H:%M:%S.000Z')"
+
+
+@register(f"""select station_id, concat('{{"schemaVersion":1,"n":', count(*), ',"rows":[', string_agg(concat('{{"hour":"', {_AT}, '","param":"', param, '","aqi":', aqi, '}}'), ',' order by hour, param, aqi), ']}}') as "value" from {READINGS} group by 1""")
 def S12_json_documents(spark, sf_dir):
     return documents(_hourly(spark, sf_dir).select("station_id", "hour", "param", "aqi"), ["station_id"], "hour", {"schemaVersion": F.lit(1)})
 
@@ -380,10 +405,10 @@ def SO3_difference(spark, sf_dir):
 
 # scalar functions
 
-@register("""select event_id, round_even(t_k - 273.15e0, 8) c, round_even((t_k - 273.15e0) * 1.8e0 + 32, 8) f, round_even(ws * 1.94384e0, 9) kt, round_even(sqrt(ws * ws + wg * wg), 8) mag from $F6""")
+@register("""select event_id, round_even(case when t_k > 100 then t_k - 273.15e0 else t_k end, 8) c, round_even((case when t_k > 100 then t_k - 273.15e0 else t_k end) * 1.8e0 + 32, 8) f, round_even(ws * 1.94384e0, 9) kt, round_even(sqrt(ws * ws + wg * wg), 8) mag from $F6""")
 def M1_M2_units(spark, sf_dir):
-    c = F.col("t_k") - 273.15
-    return feed(spark, sf_dir, "F6").select("event_id", F.bround(c, 8).alias("c"), F.bround(c * 1.8 + 32, 8).alias("f"), F.bround(F.col("ws") * 1.94384, 9).alias("kt"), F.bround(S.magnitude(F.col("ws"), F.col("wg")), 8).alias("mag"))
+    c = S.celsius(F.col("t_k"))
+    return feed(spark, sf_dir, "F6").select("event_id", F.bround(c, 8).alias("c"), F.bround(S.fahrenheit(c), 8).alias("f"), F.bround(S.knots(F.col("ws")), 9).alias("kt"), F.bround(S.magnitude(F.col("ws"), F.col("wg")), 8).alias("mag"))
 
 
 @register("""with a as (select event_id, lat, lon, case sat when 'E' then -75.2e0 else -137.2e0 end sub from $F3),
@@ -480,7 +505,7 @@ def AR1_daily_series(spark, sf_dir):
     return maps.select("station_id", "param", F.array_join(series, ",").alias("series"))
 
 
-@register()
+@register(f"""select station_id, concat('{{', string_agg(concat('"', param, '":[', s, ']'), ',' order by param), '}}') series from (select station_id, param, string_agg(cast(aqi as string), ',' order by hour) s from {READINGS} group by 1, 2) group by 1""")
 def AR2_JS1_series_maps(spark, sf_dir):
     rows = _hourly(spark, sf_dir).groupBy("station_id", "param").agg(F.sort_array(F.collect_list(F.struct("hour", "aqi"))).alias("s"))
     return rows.groupBy("station_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("param", F.col("s.aqi")))))).alias("series"))
@@ -489,5 +514,7 @@ def AR2_JS1_series_maps(spark, sf_dir):
 @register("select event_type, min(gap) least, round_even(median(gap), 2) mid from (select event_type, EPOCH(ts) - lag(EPOCH(ts)) over (partition by event_type order by ts, event_id) gap from events) group by 1")
 def A21_cadence(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_type", "event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"), "ts")
-    gap = F.col("t") - F.lag("t").over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    return rows.withColumn("gap", gap).groupBy("event_type").agg(F.min("gap").alias("least"), F.bround(F.median("gap"), 2).alias("mid"))
+    gaps = L.gaps_between(rows, "event_type", ["ts", "event_id"], "t")
+    middle = L.at_places(gaps, "event_type", "gap", L.middle())
+    least = gaps.groupBy("event_type").agg(F.min("gap").alias("least"))
+    return least.join(middle, "event_type").select("event_type", "least", F.bround((F.col("low") + F.col("high")) / 2, 2).alias("mid"))

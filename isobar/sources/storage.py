@@ -8,6 +8,13 @@ from pyspark.sql import SparkSession
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a local one only where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/isobar-work"
+    """A new path in the folder that the cluster shares.
+
+    Where none is set, a local session has one of its own; on a cluster that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        base = "/tmp/isobar-work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
