@@ -240,3 +240,25 @@ def lat_lon_tag(tag: Column) -> tuple[Column, Column]:
     part = lambda g: F.regexp_extract(tag, r"^(\d+)([NS])-(\d+)([EW])$", g)
     value = lambda d, s, minus: part(d).try_cast("int") * F.when(part(s) == minus, -1).otherwise(1)
     return value(1, 2, "S"), value(3, 4, "W")
+
+
+#: fixed values: the accumulation period of each code
+PERIODS = {1: "1h", 3: "3h", 6: "6h", 12: "12h", 18: "18h", -1: "local-midnight", -2: "utc-midnight", -3: "24h", -4: "5m", -5: "15m"}
+
+
+def accumulation_period(first: Column, third: Column) -> Column:
+    """What an accumulation is of; none unless the third code is 0 and the first one is known."""
+    return F.when(third == 0, lookup(first, PERIODS))
+
+
+def pruned(properties: Column, drop: tuple[str, ...]) -> Column:
+    """A map without some keys, of any case."""
+    return F.map_filter(properties, lambda k, _: ~F.lower(k).isin(*(d.lower() for d in drop)))
+
+
+def region_size(west: Column, south: Column, east: Column, north: Column, metres: float, least: int = 2048, most: int = 4096) -> tuple[Column, Column]:
+    """M5: width and height in square Mercator pixels of about so many metres; the width is kept within bounds, the height below the upper one."""
+    x0, y0 = mercator(south, west)
+    x1, y1 = mercator(north, east)
+    width = clip(F.rint((x1 - x0) / metres), float(least), float(most))
+    return width.cast("int"), F.least(F.rint(width * (y1 - y0) / (x1 - x0)), F.lit(float(most))).cast("int")

@@ -233,3 +233,26 @@ def thinned(vertices: DataFrame, step: float) -> DataFrame:
     order = Window.partitionBy("poly").orderBy("seq", "lat", "lon")
     same = (F.lag("lat").over(order) == F.col("lat")) & (F.lag("lon").over(order) == F.col("lon"))
     return rows.withColumn("_s", F.coalesce(same, F.lit(False))).where(~F.col("_s")).drop("_s")
+
+
+#: fixed values: codes of 5, 18 and 30 dBZ, of a correlation of 0.8, of no rotation and the least notable one
+REF_5, REF_18, REF_30, CORRELATION_LOW, NO_ROTATION, ROTATION = 76, 102, 126, 50, 128, 30
+
+
+def tile_summary(voxels: DataFrame, size: int, levels: int, step_m: float) -> DataFrame:
+    """``voxels`` (r, c, lvl, ref, cc, rot: codes) by tile.
+
+    ``max_dbz``; the ``top_km`` of 18 dBZ in the column of the strongest voxel
+    (of equal ones the lowest, then by row and column) and whether it is
+    ``clipped`` at the highest level; voxels of ``debris`` and of ``rotation``.
+    """
+    rows = voxels.withColumns({"tr": F.floor(F.col("r") / size), "tc": F.floor(F.col("c") / size)})
+    strongest = F.min(F.struct((-F.col("ref")).alias("o"), "lvl", "r", "c"))
+    debris = F.count_if((F.col("ref") >= REF_30) & (F.col("cc") > CORRELATION_LOW))
+    rotation = F.count_if((F.col("ref") >= REF_5) & (F.abs(F.col("rot") - NO_ROTATION) >= ROTATION))
+    tiles = rows.groupBy("tr", "tc").agg(strongest.alias("s"), debris.alias("debris"), rotation.alias("rotation"))
+    tops = rows.where(F.col("ref") >= REF_18).groupBy("r", "c").agg(F.max("lvl").alias("k"))
+    tiles = tiles.select("tr", "tc", (-F.col("s.o")).alias("ref"), F.col("s.r").alias("r"), F.col("s.c").alias("c"), "debris", "rotation").join(tops, ["r", "c"], "left")
+    k = F.coalesce("k", F.lit(-1))
+    dbz = F.when(F.col("ref") >= 2, (F.col("ref") - 2) / 2 - 32)
+    return tiles.select("tr", "tc", dbz.alias("max_dbz"), ((k + 1) * step_m / 1000).alias("top_km"), (k >= levels - 1).alias("clipped"), "debris", "rotation")

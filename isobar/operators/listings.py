@@ -191,3 +191,43 @@ def inherited_tiers(tiers: DataFrame, ratio: float = 0.8) -> DataFrame:
     )
     rows = rows.select("product", F.explode(kept).alias("k"))
     return rows.select("product", "k.tier", "k.bytes", "k.min_zoom")
+
+
+def top_prefixes(rolled: DataFrame, n: int = 18) -> DataFrame:
+    """Of each depth the largest prefixes."""
+    place = F.row_number().over(Window.partitionBy("depth").orderBy(F.col("bytes").desc(), "prefix"))
+    return rolled.withColumn("place", place).where(F.col("place") <= n).drop("place")
+
+
+def version_overhead(versions: DataFrame, group: str, now: int, days: int = 2, percent: int = 25) -> DataFrame:
+    """``versions`` (group, key, t, size): what versions other than a key's newest take, and whether more than so many per cent of it is older than so many days."""
+    newest = versions.groupBy(group, "key").agg(F.max("t").alias("newest"))
+    rows = versions.join(newest, [group, "key"]).withColumn("live", F.col("t") == F.col("newest"))
+    past = F.sum(F.when(~F.col("live") & (now - F.col("t") > days * 86400), F.col("size")).otherwise(0))
+    out = rows.groupBy(group).agg(F.sum("size").alias("bytes"), F.sum(F.when(F.col("live"), 0).otherwise(F.col("size"))).alias("overhead"), past.alias("past"))
+    return out.withColumn("stale", F.col("past") * 100 > F.col("overhead") * percent)
+
+
+def pending_groups(needed: DataFrame, published: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group (``grp, product``, a small dim) the frames (product, run, fh) that are published and not rendered yet, and whether there are any."""
+    pending = needed.join(published.select("run", "fh").distinct(), ["run", "fh"], "left_semi")
+    by_product = pending.groupBy("product").agg(F.count(F.lit(1)).alias("frames"))
+    rows = groups.join(by_product, "product", "left").groupBy("grp").agg(F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.count("frames").alias("products"))
+    return rows.withColumn("has_work", F.col("frames") > 0)
+
+
+def patched_runs(manifest: DataFrame, updates: DataFrame, first_hour: int = 0) -> DataFrame:
+    """SO5: ``manifest`` (run, product, expected, available, src) after ``updates`` (run, product, src).
+
+    A run that the manifest doesn't have is added with the expected hours of the
+    newest run there is.  What is updated has ``first_hour`` among its available
+    hours and the new source time.  ``changed``: whether the row differs.
+    """
+    newest = manifest.agg(F.max("run").alias("run"))
+    model = manifest.join(F.broadcast(newest), "run").select("product", "expected")
+    runs = updates.select("run").distinct().join(manifest.select("run").distinct(), "run", "left_anti")
+    added = runs.crossJoin(F.broadcast(model)).select("run", "product", "expected", F.array().cast("array<int>").alias("available"), F.lit(None).cast(updates.schema["src"].dataType).alias("src"))  # a run's products
+    rows = manifest.select("run", "product", "expected", "available", "src").union(added).join(updates.withColumnRenamed("src", "new"), ["run", "product"], "left")
+    changed = F.col("new").isNotNull() & ~F.col("new").eqNullSafe(F.col("src"))
+    hours = F.when(changed, F.array_sort(F.array_union("available", F.array(F.lit(first_hour))))).otherwise(F.col("available"))
+    return rows.select("run", "product", "expected", hours.alias("available"), F.coalesce("new", "src").alias("src"), changed.alias("changed"))

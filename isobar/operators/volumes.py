@@ -102,3 +102,19 @@ def tile_of(points: DataFrame, boxes: DataFrame, size: int = 16) -> DataFrame:
     rows = rows.withColumn("tr", F.floor(F.col("pr") / size) + F.col("dr")).withColumn("tc", F.floor(F.col("pc") / size) + F.col("dc"))
     rows = rows.join(boxes, ["tr", "tc"])
     return rows.where(F.col("pr").between(F.col("r0"), F.col("r1")) & F.col("pc").between(F.col("c0"), F.col("c1"))).select("id", "tr", "tc")
+
+
+def complete_hours(listed: DataFrame, needed: DataFrame) -> DataFrame:
+    """Hours of ``listed`` (fh, var, level) with every pair of ``needed`` (var, level), a small dim."""
+    met = listed.select("fh", "var", "level").distinct().join(F.broadcast(needed.distinct()), ["var", "level"])
+    n = needed.distinct().agg(F.count(F.lit(1)).alias("needed"))
+    return met.groupBy("fh").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(n), F.col("n") == F.col("needed")).select("fh")
+
+
+def wind_profiles(levels: DataFrame, least: int = 4) -> DataFrame:
+    """A12, wind only: levels with height and wind, from the surface up; temperature and dewpoint only where every level has them."""
+    rows = levels.where("h is not null and u is not null and v is not null")
+    parts = F.array_sort(F.collect_list(F.struct((-F.col("pressure")).alias("o"), "pressure", "u", "v", "t", "td")))  # a site's levels
+    out = rows.groupBy("site").agg(parts.alias("p")).where(F.size("p") >= least)
+    whole = lambda c: F.when(F.forall("p", lambda x: x[c].isNotNull()), F.col(f"p.{c}"))
+    return out.select("site", F.col("p.pressure").alias("pressure"), F.col("p.u").alias("u"), F.col("p.v").alias("v"), whole("t").alias("t"), whole("td").alias("td"))

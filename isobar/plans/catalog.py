@@ -60,6 +60,22 @@ def candidate_runs(now: Column, back: int, step_hours: int = 1, latency_minutes:
     return F.transform(F.sequence(F.lit(0), F.lit(back - 1)), lambda i: F.timestamp_seconds(last - i * (3600 * step_hours)))
 
 
+def hourly_runs(now: Column, back: int, hours: tuple[int, ...] | None = None) -> Column:
+    """The hours from ``now`` back, newest first, of which only some hours of the day may be allowed."""
+    last = F.floor(F.unix_timestamp(now) / 3600) * 3600
+    runs = F.transform(F.sequence(F.lit(0), F.lit(back)), lambda i: last - i * 3600)
+    if hours is not None:
+        runs = F.filter(runs, lambda t: F.array_contains(F.array(*map(F.lit, hours)), (t % 86400 / 3600).cast("int")))
+    return F.transform(runs, F.timestamp_seconds)
+
+
+def slots(now: Column, window_minutes: int, step_minutes: int, latency_minutes: int) -> Column:
+    """Times on the step over a window that ends at ``now`` less the latency, newest last."""
+    step = 60 * step_minutes
+    last = F.floor((F.unix_timestamp(now) - 60 * latency_minutes) / step) * step
+    return F.transform(F.sequence(F.lit(window_minutes // step_minutes), F.lit(0)), lambda i: F.timestamp_seconds(last - i * step))
+
+
 def admitted(fh: Column, fh_min: Column, fh_cap: Column, fh_step: Column, skip: list[tuple[int, int]] = ()) -> Column:
     """Within floor and cap, on the step, and in no skipped range; nulls don't limit."""
     on = (fh >= F.coalesce(fh_min, F.lit(0))) & (fh <= F.coalesce(fh_cap, F.lit(1 << 30))) & (fh % F.coalesce(fh_step, F.lit(1)) == 0)

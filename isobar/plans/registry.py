@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isobar.plans import grids, listings  # noqa: F401  registers
+from isobar.plans import details, grids, listings  # noqa: F401  registers
 from isobar.plans.points import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
