@@ -202,3 +202,67 @@ def test_walk_back_equals_a_loop(spark):
     got = L.walk_back(spark.createDataFrame(wanted, "id long, t long"), spark.createDataFrame([(r,) for r in there], "run long"), offsets)
     want = {i: next(((t + o, o) for o in offsets if t + o in there), None) for i, t in wanted}
     assert {r["id"]: (r["run"], r["offset"]) for r in got.collect()} == {i: x for i, x in want.items() if x}
+
+
+def test_no_level_is_planned_above_the_highest_native(spark):
+    """38 levels of 500 m, with centres from 250 m: all lie below 19 km, and 16 below 8 km."""
+    targets = spark.createDataFrame([(k, 250 + 500 * k) for k in range(V.LEVELS)], "k int, height_m int")
+    natives = lambda top: spark.createDataFrame([(i, h) for i, h in enumerate(V.NATIVE_M) if h <= top], "lvl int, height_m int")
+    full = {r["k"]: (r["lower"], r["upper"], r["t"]) for r in V.bracketing(natives(19000), targets).collect()}
+    assert len(full) == 38 and full[0] == (0, 0, 0.0) and full[1] == (1, 1, 0.0) and full[5] == (9, 9, 0.0) and full[6] == (10, 11, 0.5)
+    assert full[37] == (31, 32, 0.75)
+    low = V.bracketing(natives(8000), targets).collect()
+    assert sorted(r["k"] for r in low) == list(range(16))
+    top = spark.createDataFrame([(0, 8000)], "k int, height_m int")
+    assert [(r["upper"], r["t"]) for r in V.bracketing(natives(8000), top).collect()] in ([(V.NATIVE_M.index(8000), 0.0)], [(V.NATIVE_M.index(8000), 1.0)])
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_fringe_by_distance_equals_rounds(spark, rounds):
+    rng = random.Random(rounds)
+    cells = {(r, c): rng.randrange(100) for r in range(12) for c in range(12) if rng.random() < 0.12}
+    frame = spark.createDataFrame([(1, r, c, float(v)) for (r, c), v in cells.items()], "field int, r int, c int, v double")
+    for _ in range(rounds):
+        old = dict(cells)
+        for r in range(12):
+            for c in range(12):
+                near = [old[r + i, c + j] for i in (-1, 0, 1) for j in (-1, 0, 1) if (r + i, c + j) in old]
+                if (r, c) not in old and near:
+                    cells[r, c] = max(near)
+    assert {(r["r"], r["c"]): r["v"] for r in G.fringe_filled(frame, rounds, 12, 12).collect()} == cells
+
+
+def test_gaps_between_rows_that_are_spread_over_tasks(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("aaab"), rng.randrange(10_000), i) for i in range(2000)] + [(None, 5, 9001), (None, 9, 9002), ("one", 3, 9003)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(((r["k"], r["gap"]) for r in L.gaps_between(spark.createDataFrame(rows, "k string, t long, i long"), "k", ["t", "i"], "t").collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for k in {k for k, _, _ in rows}:
+        t = [x for _, x in sorted((i, x) for j, x, i in rows if j == k)] and [x for x, _ in sorted((x, i) for j, x, i in rows if j == k)]
+        want += [(k, b - a) for a, b in zip(t, t[1:], strict=False)]
+    assert got == sorted(want, key=str)
+
+
+def test_newest_runs_and_stamps(spark):
+    rows = [("p", run, i) for i, run in enumerate([5, 5, 4, 3, 3, 1])] + [("q", 2, 9)]
+    frame = spark.createDataFrame(rows, "product string, run long, fh long")
+    assert {(r["product"], r["run"]): r["purged"] for r in L.newest_runs(frame, 2).collect()} == {("p", 5): False, ("p", 4): False, ("p", 3): True, ("p", 1): True, ("q", 2): False}
+    stamps = spark.createDataFrame([("p", 10), ("p", 100), ("q", 7), ("q", None)], "product string, t long")
+    assert sorted(map(tuple, L.merged_stamps(stamps, stamps, 50).collect())) == [("p", 100), ("q", 7)]
+
+
+def test_runs_are_patched(spark):
+    manifest = spark.createDataFrame([(1, "a", [0], [], 5), (1, "b", [0, 3], [0], 6)], "run long, product string, expected array<int>, available array<int>, src long")
+    updates = spark.createDataFrame([(1, "a", 7), (1, "b", 6), (2, "b", 9)], "run long, product string, src long")
+    got = {(r["run"], r["product"]): (r["expected"], r["available"], r["src"], r["changed"]) for r in L.patched_runs(manifest, updates).collect()}
+    assert got == {(1, "a"): ([0], [0], 7, True), (1, "b"): ([0, 3], [0], 6, False), (2, "a"): ([0], [], None, False), (2, "b"): ([0, 3], [0], 9, True)}
+
+
+def test_sites_off_the_grid_have_no_value(spark):
+    sites = spark.createDataFrame([("in", 49.5, -124.5), ("off", 51.0, -124.5), ("gap", 48.5, -124.5)], "id string, lat double, lon double")
+    cells = spark.createDataFrame([(0, 0, 3.0)], "r long, c long, v double")
+    assert {r["id"]: r["v"] for r in V.sampled(sites, cells, 50.0, -125.0, 1.0, 5, 5).collect()} == {"in": 3.0, "off": None, "gap": None}
