@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.functions.scalar import mercator
 from isobar.operators.sizes import maybe_broadcast
 
 
@@ -256,3 +257,24 @@ def tile_summary(voxels: DataFrame, size: int, levels: int, step_m: float) -> Da
     k = F.coalesce("k", F.lit(-1))
     dbz = F.when(F.col("ref") >= 2, (F.col("ref") - 2) / 2 - 32)
     return tiles.select("tr", "tc", dbz.alias("max_dbz"), ((k + 1) * step_m / 1000).alias("top_km"), (k >= levels - 1).alias("clipped"), "debris", "rotation")
+
+
+def mercator_lines(spark, box: tuple[float, float, float, float], width: int, height: int, lat0: float, lon0: float, step_lat: float, step_lon: float) -> tuple[DataFrame, DataFrame]:
+    """G1: of a Mercator image of ``box`` (west, south, east, north) the source row of each line ``i`` and the source column of each column ``j``.
+
+    Source row r begins at lat0 - r step_lat and goes south, source column c at
+    lon0 + c step_lon.  Both are dims of an image's height and width.
+    """
+    west, south, east, north = box
+    _, y0 = mercator(F.lit(south), F.lit(west))
+    _, y1 = mercator(F.lit(north), F.lit(west))
+    y = y1 - (F.col("id") + 0.5) * (y1 - y0) / height
+    lat = F.degrees(2 * F.atan(F.exp(y / 6378137.0))) - 90
+    lon = west + (F.col("id") + 0.5) * (east - west) / width
+    rows = spark.range(height).select(F.col("id").alias("i"), F.floor((lat0 - lat) / step_lat).alias("r"))
+    return rows, spark.range(width).select(F.col("id").alias("j"), F.floor((lon - lon0) / step_lon).alias("c"))
+
+
+def to_mercator(cells: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:
+    """G1 nearest to a Mercator target: each pixel takes the cell under its centre, if there is one."""
+    return cells.join(F.broadcast(rows), "r").join(F.broadcast(columns), "c").select("field", "i", "j", "v")

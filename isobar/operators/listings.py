@@ -231,3 +231,18 @@ def patched_runs(manifest: DataFrame, updates: DataFrame, first_hour: int = 0) -
     changed = F.col("new").isNotNull() & ~F.col("new").eqNullSafe(F.col("src"))
     hours = F.when(changed, F.array_sort(F.array_union("available", F.array(F.lit(first_hour))))).otherwise(F.col("available"))
     return rows.select("run", "product", "expected", hours.alias("available"), F.coalesce("new", "src").alias("src"), changed.alias("changed"))
+
+
+def with_sources(manifest: DataFrame, sources: DataFrame) -> DataFrame:
+    """The manifest's runs with ``sources`` (run, product, t) as a map from product to the newest source time; null where there is none."""
+    newest = sources.where("t is not null").groupBy("run", "product").agg(F.max("t").alias("t"))
+    maps = newest.groupBy("run").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("product", "t")))).alias("src_times"))  # a run's products
+    return manifest.join(maps, "run", "left")
+
+
+def changed_signatures(now: DataFrame, stored: DataFrame, failed: DataFrame, group: str) -> DataFrame:
+    """Groups whose signature differs from the stored one and from the one that failed last."""
+    named = lambda t, name: t.select(group, F.col("signature").alias(name))
+    rows = now.join(named(stored, "stored"), group, "left").join(named(failed, "failed"), group, "left")
+    changed = ~F.col("signature").eqNullSafe(F.col("stored")) & ~F.col("signature").eqNullSafe(F.col("failed"))
+    return rows.select(group, "signature", changed.alias("changed"))

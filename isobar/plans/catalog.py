@@ -129,3 +129,21 @@ def inputs_of(cells: DataFrame, names: dict[int, str], keys: list[str]) -> DataF
 
 def patterns_used(text: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", text)
+
+
+def projected(products: DataFrame, models: DataFrame, overrides: DataFrame) -> DataFrame:
+    """``model, code, match`` of every product (code, match) under every model (model).
+
+    ``overrides`` (model, code, match) replace a product's match under one model;
+    a null match there takes the product out of it.  All are rows of the catalog,
+    so a model's list is as long as the catalog.
+    """
+    own = overrides.select("model", "code", F.col("match").alias("own"), F.lit(True).alias("replaced"))
+    rows = models.select("model").crossJoin(F.broadcast(products.select("code", "match"))).join(F.broadcast(own), ["model", "code"], "left")
+    return rows.select("model", "code", F.when(F.col("replaced"), F.col("own")).otherwise(F.col("match")).alias("match")).where("match is not null")
+
+
+def matched(inventory: DataFrame, projection: DataFrame) -> DataFrame:
+    """Inventory messages (model, msg, text) with the product whose match they are, as a regular expression; of several the first by code."""
+    rows = inventory.join(F.broadcast(projection), "model").where(F.expr("regexp_like(text, match)"))
+    return rows.groupBy("model", "msg").agg(F.min("code").alias("code"))

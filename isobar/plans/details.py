@@ -10,6 +10,7 @@ from isobar.operators import listings as L
 from isobar.operators import volumes as V
 from isobar.plans import catalog as C
 from isobar.plans.points import register
+from isobar.sources import parsers
 from isobar.sources.adapters import NOW, feed, query, table
 
 _CODES = "(select event_id, cast(event_id % 30 - 8 as int) a, cast(user_id % 3 as int) b from events)"
@@ -132,3 +133,67 @@ def SO5_patched_runs(spark, sf_dir):
 def M12_volume_codes(spark, sf_dir):
     rows = feed(spark, sf_dir, "F9").withColumns({"w": F.col("v") / 80, "x": (F.col("v") - 40) / 1000})
     return rows.select("field", "r", "c", S.byte_correlation(F.col("w")).cast("int").alias("cc"), S.byte_rotation(F.col("x")).cast("int").alias("rot"))
+
+
+_SRC = "select run, product, case when max(obj) % 7 > 0 then max(obj) end t from $F12 group by 1, 2"
+
+
+@register(f"""with m as (select distinct run from $F12), s as (select run, concat('{{', string_agg(concat('"', product, '":', t), ',' order by product), '}}') j from ({_SRC}) where t is not null group by 1)
+ select cast(floor(epoch(m.run)) as bigint) run, s.j src_times from m left join s on s.run = m.run""")
+def A24_source_times(spark, sf_dir):
+    f = feed(spark, sf_dir, "F12")
+    newest = f.groupBy("run", "product").agg(F.max("obj").alias("o")).select("run", "product", F.when(F.col("o") % 7 > 0, F.col("o")).alias("t"))
+    rows = L.with_sources(L.manifest(f, f), newest)
+    return rows.select(F.unix_timestamp(F.col("run").cast("timestamp")).alias("run"), F.to_json("src_times").alias("src_times"))
+
+
+_SIGNED = """(select o_custkey, sha256(string_agg(h, chr(10) order by h)) s from (select o_custkey, sha256(concat('{"o_orderkey":', o_orderkey, ',"o_orderpriority":"', o_orderpriority, '"}')) h from orders WHERE) group by 1)"""
+
+
+@register(f"""select n.o_custkey, n.s is distinct from a.s and n.s is distinct from b.s as changed from {_SIGNED.replace('WHERE', '')} n left join {_SIGNED.replace('WHERE', 'where o_orderkey % 7 <> 0')} a on a.o_custkey = n.o_custkey
+ left join {_SIGNED.replace('WHERE', 'where o_orderkey % 11 <> 0')} b on b.o_custkey = n.o_custkey""")
+def A27_changed(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    signed = lambda rows: L.signature(rows, "o_custkey", "o_orderkey", "o_orderpriority")
+    rows = L.changed_signatures(signed(orders), signed(orders.where("o_orderkey % 7 <> 0")), signed(orders.where("o_orderkey % 11 <> 0")), "o_custkey")
+    return rows.select("o_custkey", "changed")
+
+
+_Y = "ln(tan(0.7853981633974483e0 + radians({}) / 2)) * 6378137.0e0"
+
+
+@register(f"""select field, i, j, v from $F9 s join (select i, cast(floor((50 - (degrees(2 * atan(exp((y1 - (i + 0.5e0) * (y1 - y0) / 90) / 6378137.0e0))) - 90)) / 0.13e0) as bigint) r from (select unnest(range(90)) i, {_Y.format('28.0e0')} y0, {_Y.format('48.0e0')} y1)) a on a.r = s.r
+ join (select j, cast(floor((-120 + (j + 0.5e0) * 50 / 120 + 125) / 0.3e0) as bigint) c from (select unnest(range(120)) j)) b on b.c = s.c""")
+def G1_mercator_nearest(spark, sf_dir):
+    rows, columns = G.mercator_lines(spark, (-120.0, 28.0, -70.0, 48.0), 120, 90, 50.0, -125.0, 0.13, 0.3)
+    return G.to_mercator(feed(spark, sf_dir, "F9"), rows, columns).select("field", "i", "j", "v")
+
+
+_SITE = "(select case when s_suppkey % 11 = 0 then '' else concat('K', s_suppkey % 40) end id, case when s_suppkey % 7 = 0 then 'x' else cast(s_suppkey % 50 + 0.5e0 as string) end lat, cast(-60.25e0 - s_suppkey % 130 as string) lon from supplier)"
+
+
+@register(f"select id, min(struct_pack(a := try_cast(lat as double), o := try_cast(lon as double))).a lat, min(struct_pack(a := try_cast(lat as double), o := try_cast(lon as double))).o lon from {_SITE.replace('as string', 'as varchar')} where id <> '' and try_cast(lat as double) between -90 and 90 and try_cast(lon as double) between -180 and 180 group by 1")
+def S11_sites(spark, sf_dir):
+    return parsers.site_list(query(spark, sf_dir, f"select * from {_SITE}"))
+
+
+_RAMP = "(select p_brand as ramp, case p_partkey % 5 when 0 then '# comment' when 1 then concat('nv ', p_partkey % 200, ' 0 0 0') when 2 then concat(p_size, '   10 20 ', p_partkey % 256) when 3 then concat(p_size, '.5 1 2 3 ', p_partkey % 256, ' # top') else 'x y' end line from part)"
+
+
+@register("""select p_brand ramp, p_partkey % 5 = 1 as none, case p_partkey % 5 when 2 then cast(p_size as double) when 3 then p_size + 0.5e0 end as "value", cast(case p_partkey % 5 when 1 then p_partkey % 200 when 2 then 10 else 1 end as int) r,
+ cast(case p_partkey % 5 when 1 then 0 when 2 then 20 else 2 end as int) g, cast(case p_partkey % 5 when 1 then 0 when 2 then p_partkey % 256 else 3 end as int) b, cast(case p_partkey % 5 when 1 then 0 when 2 then 255 else p_partkey % 256 end as int) a from part where p_partkey % 5 between 1 and 3""")
+def S11_ramps(spark, sf_dir):
+    return parsers.ramp_lines(query(spark, sf_dir, f"select * from {_RAMP}"))
+
+
+_PROD = "(select p_brand code, concat('^', p_brand, ':') match from part group by 1)"
+_OVER = "(select n_name model, p_brand code, case when n_nationkey % 2 = 0 then concat('^', p_brand, ':.*[02468]$') end match from nation join (select distinct p_brand from part) on n_nationkey % 5 = cast(substr(p_brand, 7, 1) as int) - 1)"
+_TEXTS = "(select n_name model, p_partkey msg, concat(p_brand, ':', p_size) as text from part join nation on n_nationkey = p_partkey % 25)"
+
+
+@register(f"""with o as (select n_nationkey k, n_name model, p_partkey msg, p_brand code, p_size z from part join nation on n_nationkey = p_partkey % 25)
+ select model, msg, code from o where k % 5 <> cast(substr(code, 7, 1) as int) - 1 or (k % 2 = 0 and z % 2 = 0)""")
+def U2_catalog_projection(spark, sf_dir):
+    """Messages by product, under models that match some products their own way or not at all."""
+    rows = lambda sql: query(spark, sf_dir, f"select * from {sql}")
+    return C.matched(rows(_TEXTS), C.projected(rows(_PROD), table(spark, sf_dir, "nation").select(F.col("n_name").alias("model")), rows(_OVER)))

@@ -347,6 +347,20 @@ def K1_rolling_flashes(spark, sf_dir):
     return _drained(spark, sf_dir, lambda events: K.rolling_flashes(flashes(events()))).select("cy", "cx", "tb")
 
 
+_DENSE = "(select event_id, user_id % 50 + 0.0e0 lat, -(user_id % 40) - 60.0e0 lon, 1704067200 + EPOCH(ts) % 7200 as epoch from events)"
+
+
+@register(f"""with m as (select max(epoch) m from {_DENSE}), x as (select *, epoch >= m - 1800 n from {_DENSE}, m where epoch > m - 3600)
+ select event_id, epoch from (select event_id, epoch from x qualify row_number() over (partition by n, round_even(lat / case when n then 0.01e0 else 0.08e0 end, 0), round_even(lon / case when n then 0.01e0 else 0.08e0 end, 0),
+ floor(epoch / case when n then 30 else 120 end) order by epoch desc, event_id) = 1) order by epoch desc, event_id limit 60000""")
+def K1_flash_feed(spark, sf_dir):
+    """The feed after the last of three passes; each pass adds the flashes that came in since, folded into two hours."""
+    rows = query(spark, sf_dir, f"select * from {_DENSE}")
+    parts = [rows.where(F.col("event_id") % 3 == k) for k in range(3)]
+    taken = _fed(spark, parts, lambda flashes: flashes())
+    return K.flash_feed(taken).select("event_id", "epoch")
+
+
 @register("select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events group by 1, 2, 3")
 def K2_hourly_max_stream(spark, sf_dir):
     readings = lambda e: e.select(F.col("user_id").alias("station_id"), F.col("event_type").alias("param"), "ts", F.floor("value").cast("int").alias("aqi"))

@@ -99,3 +99,18 @@ def point_features(documents: DataFrame) -> DataFrame:
     f = documents.select(F.explode(F.from_json("value", schema)["features"]).alias("f"))
     rows = f.select(F.try_element_at("f.geometry.coordinates", F.lit(1)).alias("lon"), F.try_element_at("f.geometry.coordinates", F.lit(2)).alias("lat"), F.col("f.properties").alias("properties"), F.col("f.geometry.type").alias("kind"))
     return rows.where("kind = 'Point' and lon between -180 and 180 and lat between -90 and 90 and not (lon = 0 and lat = 0)").drop("kind")
+
+
+def site_list(rows: DataFrame) -> DataFrame:
+    """Sites (``id, lat, lon``: text, as from a CSV file with a header) with valid positions; of equal ids the first by position."""
+    lat, lon = F.col("lat").try_cast("double"), F.col("lon").try_cast("double")
+    good = rows.select(F.trim("id").alias("id"), lat.alias("lat"), lon.alias("lon")).where("id <> '' and lat between -90 and 90 and lon between -180 and 180")
+    return good.groupBy("id").agg(F.min(F.struct("lat", "lon")).alias("p")).select("id", "p.lat", "p.lon")
+
+
+def ramp_lines(lines: DataFrame) -> DataFrame:
+    """Colour ramps (``ramp, line``: value, red, green, blue and maybe alpha) to a row for each stop; comments and other lines have none, ``nv`` is the colour of no value."""
+    part = F.split(F.trim(F.split_part("line", F.lit("#"), F.lit(1))), r"[\s,]+")
+    number = lambda i: F.get(part, F.lit(i)).try_cast("double")
+    rows = lines.select("ramp", (F.get(part, F.lit(0)) == "nv").alias("none"), number(0).alias("value"), *(number(i).cast("int").alias(c) for i, c in enumerate("rgb", 1)), F.coalesce(number(4), F.lit(255)).cast("int").alias("a"))
+    return rows.where("(none or value is not null) and r is not null and g is not null and b is not null")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from isobar.operators.points import strongest, top_k
+
 
 def hourly_max(stream: DataFrame, late: str = "2 hours") -> DataFrame:
     """K2: tumbling hourly maximum of ``station_id, param, ts, aqi``; K4: rows later than the watermark are dropped."""
@@ -24,6 +26,20 @@ def rolling_flashes(stream: DataFrame, late: str = "2 minutes", cell: float = 0.
     return rows.withWatermark("ts", late).dropDuplicatesWithinWatermark(["cy", "cx", "tb"])
 
 
+def flash_feed(flashes: DataFrame, minutes: int = 60, most: int = 60_000) -> DataFrame:
+    """K1: what a pass publishes out of the flashes (``event_id, lat, lon, epoch``) that came in so far.
+
+    The newest of each cell and time bin, in two tiers, of the last hour before
+    the newest flash; the newest ones where there are too many.
+    """
+    end = flashes.agg(F.max("epoch").alias("end"))
+    rows = flashes.crossJoin(F.broadcast(end)).where(F.col("epoch") > F.col("end") - 60 * minutes)  # one row
+    recent = F.col("epoch") >= F.col("end") - 1800
+    size, seconds = F.when(recent, 0.01).otherwise(0.08), F.when(recent, 30).otherwise(120)
+    cell = [recent, F.rint(F.col("lat") / size).cast("long"), F.rint(F.col("lon") / size).cast("long"), F.floor(F.col("epoch") / seconds)]
+    return top_k(strongest(rows, cell, "epoch", "event_id").drop("end"), most, F.col("epoch").desc(), F.col("event_id"))
+
+
 def companions(left: DataFrame, right: DataFrame, before: int = 360, after: int = 90, late: str = "10 minutes") -> DataFrame:
     """K6: pairs of ``key, t, id`` and ``key, ct, obj`` within the span; both sides are dropped from state once it has passed."""
     a = left.withWatermark("t", late)
