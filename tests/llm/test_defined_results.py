@@ -178,9 +178,8 @@ def test_terms_by_force(spark):
         total.update(t.split())
         for m in re.finditer(r"n\d+@b\.org", t):
             for w in re.finditer(r"[^ ]+", t):
-                inside = max(m.start() - 48, 0) <= w.start() and w.end() <= min(m.end() + 48, len(t)) and not (w.start() < m.end() and m.start() < w.end())
-                # a word that the reach cuts is no evidence
-                if inside and (w.start() > m.start() - 48 or m.start() <= 48) and (w.end() < m.end() + 48 or w.end() == len(t)):
+                # any part of it within 48 characters of the address
+                if m.start() - 48 < w.end() <= m.start() or m.end() <= w.start() < m.end() + 48:
                     near[w[0]] += 1
                     of[w[0]].add(i)
                     places[i].add((w.start(), w.end(), w[0]))
