@@ -156,15 +156,12 @@ def windows(words: np.ndarray, owner: np.ndarray, k: int) -> tuple[np.ndarray, n
     return mix(acc[first]), first
 
 
-def sequence_hash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A hash of each whole sequence of words; for short sequences."""
-    out = np.zeros(len(bounds) - 1, U)
-    for i in range(len(out)):
-        acc = U(len(words[bounds[i] : bounds[i + 1]]))
-        with np.errstate(over="ignore"):
-            for w in words[bounds[i] : bounds[i + 1]]:
-                acc = acc * _STEP + w
-        out[i] = acc
+def sequence_hash(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
+    """A hash of each whole sequence of at most so many words."""
+    out = (ends - starts).astype(U)
+    for j in range(most):
+        here = np.flatnonzero(ends - starts > j)
+        out[here] = out[here] * _STEP + words[starts[here] + j]
     return mix(out)
 
 

@@ -4,12 +4,7 @@ A document's set holds its distinct 5-word shingles.  Two sets are linked when
 their Jaccard similarity reaches the threshold; the join returns every
 document's component of linked documents.
 
-1.  Texts are taken in chunks.  Equal sets of a chunk are one.  A chunk sends its
-    shingles by ranges of the hash space, packed; a range counts the sets with
-    each shingle over all chunks and sends back those in more than one, so a
-    shingle in one set alone is moved once and never again.  A shingle that many
-    sets of one chunk have is sent once with its count, so no range grows with
-    the sets that share a passage.
+1.  All shingles are counted over all sets (``set_counts``).
 2.  All shingles have one global order, by that count: rare first.  Two linked
     sets share a shingle among their first ``tau + 1``, ``tau`` being the number
     of a set's shingles that the other may miss.  A set whose shared shingles are
@@ -43,231 +38,39 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.blocks import Block, U, blocks, firsts, mix, sequence_hash, windows
+from isobar.llm.blocks import U, Block, blocks, mix
 from isobar.llm.components import components
-from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
+from isobar.llm.set_counts import Part, ordered_sets, possible, prefixes, set_ids, sets_of, spare, verify
 from isobar.llm.store import discard, written
 
-SHINGLE = 5
 #: shingles in at most so many sets are of class 1, of class 2, and so on; a row
 #: of a combination costs about as much as comparing a set's ranks with some
 #: hundred others under a single shingle
 CLASSES = (512, 16_384)
 #: about so many shingles of an extended prefix are in one part
 PART = 8
-CHUNK_SHINGLES = 1_000_000
-RANGE_BYTES = 8_000_000  #: of text, for each range of hashes
-#: shingles in so many sets of one chunk are sent as a count
-HEAVY = 64
-
-
-def _by_text(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """The order by text, and by value within."""
-    if n >= 1 << 16:
-        return np.lexsort((values, of))
-    order = np.argsort(values)
-    return order[np.argsort(of[order].astype(np.uint16), kind="stable")]
+LABELS = ("doc_id", "text_key")
 
 
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of a block's texts, by text and then hash, and where each text's begin."""
     block = block.lower()
     starts, ends, owner = block.words()
-    words = block.hashes(starts, ends)
-    shingles, first = windows(words, owner, SHINGLE)
-    of = owner[first]
-    bounds = firsts(owner, block.n)
-    short = np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < SHINGLE))
-    if len(short):
-        spans = np.concatenate([words[bounds[i] : bounds[i + 1]] for i in short])
-        edges = np.concatenate([[0], np.cumsum(np.diff(bounds)[short])])
-        shingles, of = np.concatenate([shingles, sequence_hash(spans, edges)]), np.concatenate([of, short])
-    order = _by_text(shingles, of, block.n)
-    shingles, of = shingles[order], of[order]
-    new = np.ones(len(of), bool)
-    new[1:] = (shingles[1:] != shingles[:-1]) | (of[1:] != of[:-1])
-    shingles, of = shingles[new], of[new]
-    return shingles, firsts(of, block.n)
-
-
-def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A digest of each set, as a signed long; 0 for an empty one."""
-    total = np.concatenate([np.zeros(1, U), np.cumsum(mix(shingles ^ U(0xA5A5A5A5)))])
-    n = np.diff(bounds).astype(U)
-    return np.where(n > 0, mix((total[bounds[1:]] - total[bounds[:-1]]) * U(3) + n), U(0)).view(np.int64)
-
-
-def _spare(n, percent: int):
-    """How many shingles of a set of n a linked set may lack."""
-    return n - -(-percent * n // 100)
-
-
-# ---- counting: chunks to ranges and back
-
-_DOCS = [("doc_ids", pa.list_(pa.int64())), ("text_keys", pa.list_(pa.int64())), ("set_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("heavy_sets", pa.list_(pa.binary())), ("total", pa.int64())]
-_ASKED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
-_ANSWERED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("seen", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
-_SQL_DOCS = "doc_ids array<long>, text_keys array<long>, set_ids array<long>, sizes array<long>, heavy_sets array<binary>, total long"
-_SQL_ASKED = f"range long, chunk long, shingles binary, sets binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
-_SQL_ANSWERED = f"range long, chunk long, seen long, shingles binary, sets binary, counts binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
-
-
-def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([{name: row.get(name) for name in schema.names} for row in rows], schema)
-
-
-def _chunk_rows(parts: list[tuple], chunk: int, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A row for each range that the chunk's shingles are in, and one for its documents."""
-    sizes = np.concatenate([np.diff(bounds) for _, bounds, _, _, _ in parts])
-    ids = np.concatenate([x for _, _, x, _, _ in parts])
-    shingles = np.concatenate([x for x, _, _, _, _ in parts])
-    distinct, once, own_set = np.unique(ids, return_index=True, return_inverse=True)
-    first = np.zeros(len(ids), bool)
-    first[once] = True
-    keep = np.repeat(first, sizes)
-    shingles, sets = shingles[keep], np.repeat(own_set, np.where(first, sizes, 0))
-    order = np.argsort(shingles)
-    shingles, sets = shingles[order], sets[order]
-    begin = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]])) if len(shingles) else np.zeros(0, np.int64)
-    runs = np.diff(np.append(begin, len(shingles)))
-    many = runs >= HEAVY
-    heavy, heavy_counts = shingles[begin[many]], runs[many]
-    light = ~np.repeat(many, runs)
-    heavy_sets = [pack(np.sort(sets[b : b + r])) for b, r in zip(begin[many].tolist(), heavy_counts.tolist(), strict=True)]
-    shingles, sets = shingles[light], sets[light]
-    at, heavy_at = np.append(np.searchsorted(shingles, edges), len(shingles)), np.append(np.searchsorted(heavy, edges), len(heavy))
-    for r in np.flatnonzero((np.diff(at) > 0) | (np.diff(heavy_at) > 0)).tolist():
-        lo, hi, a, b = at[r], at[r + 1], heavy_at[r], heavy_at[r + 1]
-        yield _rows(_ASKED, [{"range": r, "chunk": chunk, "shingles": pack_sorted(shingles[lo:hi]), "sets": pack(sets[lo:hi]), "heavy": pack_sorted(heavy[a:b]), "heavy_counts": pack(heavy_counts[a:b])}])
-    about = {
-        "doc_ids": [i for _, _, _, d, _ in parts for i in d.to_pylist()],
-        "text_keys": [i for _, _, _, _, k in parts for i in k.to_pylist()],
-        "set_ids": ids.tolist(),
-        "sizes": sizes.tolist(),
-        "heavy_sets": heavy_sets,
-        "total": len(shingles) + len(heavy),
-    }
-    yield _rows(_ASKED, [{"range": chunk % len(edges), "chunk": chunk} | about])
-
-
-def _asked(ranges: int):
-    edges = np.array([(r << 64) // ranges for r in range(ranges)], U)
+    return sets_of(block.hashes(starts, ends), owner, block.n)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held, chunk = [], 0, TaskContext.get().partitionId() << 24
-        for batch in batches:
-            for block in blocks(batch["text"]):
-                shingles, bounds = shingle_sets(block)
-                parts.append((shingles, bounds, set_ids(shingles, bounds), batch["doc_id"].slice(block.rows.start, block.n), batch["text_key"].slice(block.rows.start, block.n)))
-                held += len(shingles)
-                if held >= CHUNK_SHINGLES:
-                    yield from _chunk_rows(parts, chunk, edges)
-                    parts, held, chunk = [], 0, chunk + 1
-        if parts:
-            yield from _chunk_rows(parts, chunk, edges)
-
-    return run
 
-
-def _counted(rows: pa.Table) -> pa.Table:
-    """One range: in how many sets each shingle is; to each chunk those in more than one."""
-    out = [r for r in rows.to_pylist() if r["total"] is not None]
-    rows = rows.filter(rows["total"].is_null()).select(["range", "chunk", "shingles", "sets", "heavy", "heavy_counts"]).to_pylist()
-    if rows:
-        light = [unpack_sorted(r["shingles"]) for r in rows]
-        heavy = [unpack_sorted(r["heavy"]) for r in rows]
-        weights = [*(np.ones(len(x)) for x in light), *(unpack(r["heavy_counts"]) for r in rows)]
-        _, place = np.unique(np.concatenate([*light, *heavy]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate(weights)).astype(np.int64)[place]
-        ends = np.cumsum([len(x) for x in (*light, *heavy)])
-        parts = np.split(counts, ends[:-1])
-        for row, shingles, hit, found, found_heavy in zip(rows, light, heavy, parts, parts[len(rows) :], strict=False):
-            more = found > 1
-            out.append(
-                {
-                    "range": row["range"],
-                    "chunk": row["chunk"],
-                    "seen": len(shingles) + len(hit),
-                    "shingles": pack_sorted(shingles[more]),
-                    "sets": pack(unpack(row["sets"])[more]),
-                    "counts": pack(found[more]),
-                    "heavy": row["heavy"],
-                    "heavy_counts": pack(found_heavy),
-                }
-            )
-    return pa.Table.from_batches([_rows(_ANSWERED, out)])
-
-
-_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("upto", pa.list_(pa.int64()))])
-_SQL_SETS = "doc_id long, text_key long, set_id long, n long, shared binary, upto array<long>"
-
-
-def _ordered(percent: int, classes: tuple[int, ...]):
-    """One chunk: its documents, and with the first of each set that may be linked the shared shingles in order.
-
-    ``upto``: how many of these are in class 1, in class 2 or lower, and so on.
-    """
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = sorted(rows.to_pylist(), key=lambda r: (r["total"] is not None, r["range"]))
-        about, rows = rows[-1], rows[:-1]
-        if about["total"] is None or about["total"] != sum(r["seen"] for r in rows):
-            raise ValueError("a chunk's shingles are not complete: its texts were read differently a second time")
-        ids, sizes = np.array(about["set_ids"], np.int64), np.array(about["sizes"], np.int64)
-        distinct, once = np.unique(ids, return_index=True)
-        none = [np.zeros(0, U)]
-        shingles = [unpack_sorted(r["shingles"]) for r in rows] + none
-        sets = [unpack(r["sets"]).astype(np.int64) for r in rows] + [np.zeros(0, np.int64)]
-        counts = [unpack(r["counts"]).astype(np.int64) for r in rows] + [np.zeros(0, np.int64)]
-        heavy = np.concatenate([unpack_sorted(r["heavy"]) for r in rows] + none)
-        heavy_counts = np.concatenate([unpack(r["heavy_counts"]) for r in rows] + none).astype(np.int64)
-        if len(heavy):
-            with_it = [unpack(x).astype(np.int64) for x in about["heavy_sets"]]
-            n = [len(x) for x in with_it]
-            shingles, sets, counts = [*shingles, np.repeat(heavy, n)], [*sets, *with_it], [*counts, np.repeat(heavy_counts, n)]
-        shingles, sets, counts = (np.concatenate(x) for x in (shingles, sets, counts))
-        n = sizes[once]
-        enough = np.bincount(sets, minlength=len(distinct)) >= n - _spare(n, percent)
-        use = enough[sets]
-        shingles, sets, counts = shingles[use], sets[use], counts[use]
-        order = np.lexsort((shingles, counts, sets))
-        shingles, sets, counts = shingles[order], sets[order], counts[order]
-        bounds = firsts(sets, len(distinct))
-        shared, upto = [None] * len(ids), [None] * len(ids)
-        for i in np.flatnonzero(enough & (n > 0)).tolist():
-            lo, hi = bounds[i], bounds[i + 1]
-            shared[once[i]] = shingles[lo:hi].tobytes()
-            upto[once[i]] = np.searchsorted(counts[lo:hi], classes, "right").tolist()
-        columns = [about["doc_ids"], about["text_keys"], ids, sizes, shared, upto]
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SETS, strict=True)], schema=_SETS)
-
-    return run
+def _texts(batch: pa.RecordBatch) -> Iterator[Part]:
+    for block in blocks(batch["text"]):
+        shingles, bounds = shingle_sets(block)
+        yield shingles, bounds, set_ids(shingles, bounds), [batch[c].slice(block.rows.start, block.n) for c in LABELS]
 
 
 # ---- candidates
 
 
-def _prefixes(percent: int):
-    """The shared shingles among a set's first tau + 1, with their rank in it and their class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for set_id, n, shared, upto in zip(batch["set_id"].to_pylist(), batch["n"].to_pylist(), batch["shared"], batch["upto"].to_pylist(), strict=True):
-                shingles = np.frombuffer(shared.as_buffer(), np.int64)
-                own = n - len(shingles)
-                here = np.arange(max(0, _spare(n, percent) + 1 - own))
-                out.append((shingles[: len(here)], np.full(len(here), set_id), np.full(len(here), n), here + own + 1, np.searchsorted(upto, here, "right") + 1))
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["token", "set_id", "n", "rank", "class"])
-
-    return run
-
-
 def size_class(n: int, percent: int) -> int:
     """Classes of sizes such that linked sets are in the same or in neighbouring ones."""
     k, top = 0, 1
@@ -280,7 +83,7 @@ def _parts(size: int, percent: int) -> int:
     top = 1
     for _ in range(size + 1):
         top = top * 100 // percent + 1
-    return max(1, int(_spare(top - 1, percent)) // PART)
+    return max(1, int(spare(top - 1, percent)) // PART)
 
 
 def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -289,7 +92,7 @@ def combination_keys(shingles: np.ndarray, n: int, upto: list[int], percent: int
     No shingle of a lower class is shared then; and of those up to the key's last,
     at most k in its part and k - 1 in each other part.
     """
-    own, tau = n - len(shingles), int(_spare(n, percent))
+    own, tau = n - len(shingles), int(spare(n, percent))
     edges = [0, *upto, len(shingles)]
     own_size = size_class(n, percent)
     for k in range(2, len(edges)):
@@ -321,12 +124,6 @@ def _combinations(percent: int):
     return run
 
 
-def _possible(n: str, rank: str, other_n: str, other_rank: str, percent: int) -> Column:
-    """Whether two sets can be linked that share nothing before these ranks."""
-    most = 1 + F.least(F.col(n) - F.col(rank), F.col(other_n) - F.col(other_rank))
-    return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
-
-
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets under one key (``key, set_id, n, rank, component``) in different components, within the bounds.
 
@@ -337,29 +134,16 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     rows = rows.join(most, "key")
     left = rows.where("component <> most").select("key", F.col("set_id").alias("l"), F.col("component").alias("cl"), F.col("n").alias("nl"), F.col("rank").alias("il"))
     right = rows.select("key", F.col("set_id").alias("r"), F.col("component").alias("cr"), F.col("n").alias("nr"), F.col("rank").alias("ir"), "most")
-    near = _possible("nl", "il", "nr", "ir", percent)
+    near = possible("nl", "il", "nr", "ir", percent)
     pairs = left.join(right, "key").where((F.col("cl") != F.col("cr")) & ((F.col("cr") == F.col("most")) | (F.col("cl") < F.col("cr"))) & near)
     return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"))
 
 
-def _verify(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y, m, n in zip(batch["x"], batch["y"], batch["na"].to_pylist(), batch["nb"].to_pylist(), strict=True):
-                both = len(np.intersect1d(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), assume_unique=True))
-                linked.append(100 * both >= percent * (m + n - both))
-            mask = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
-
-    return run
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that are linked; shingles that only one set has are in no intersection, so ``shared`` is enough."""
     a = sets.select(F.col("set_id").alias("a"), F.col("shared").alias("x"), F.col("n").alias("na"))
     b = sets.select(F.col("set_id").alias("b"), F.col("shared").alias("y"), F.col("n").alias("nb"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y", "na", "nb").mapInArrow(_verify(percent), "a long, b long")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y", "na", "nb").mapInArrow(verify(percent), "a long, b long")
 
 
 # ---- the join
@@ -368,18 +152,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def linked_components(docs: DataFrame, percent: int = 80, classes: tuple[int, ...] = CLASSES) -> DataFrame:
     """``duplicate_components`` with ``text_key``, a hash of the text."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    asked = texts.mapInArrow(_asked(int(max(16, size // RANGE_BYTES))), _SQL_ASKED)
-    answered = asked.groupBy("range").applyInArrow(_counted, _SQL_ANSWERED)
-    rows = written(answered.groupBy("chunk").applyInArrow(_ordered(percent, classes), _SQL_SETS))
+    rows = written(ordered_sets(texts, _texts, LABELS, percent, classes))
     sets = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "upto")))
     sets = written(sets)
-    prefix = written(sets.mapInArrow(_prefixes(percent), "token long, set_id long, n long, rank long, class long"))
+    prefix = written(sets.mapInArrow(prefixes(percent), "token long, set_id long, n long, rank long, class long"))
 
     # each with one set under the same shingle
     nearest = F.struct("rank", "set_id")
     centre = prefix.groupBy("token").agg(*(F.min_by(c, nearest).alias(x) for c, x in (("set_id", "a"), ("n", "na"), ("rank", "ia"))))
-    stars = prefix.join(centre, "token").where((F.col("set_id") != F.col("a")) & _possible("n", "rank", "na", "ia", percent))
+    stars = prefix.join(centre, "token").where((F.col("set_id") != F.col("a")) & possible("n", "rank", "na", "ia", percent))
     stars = stars.select(F.least("a", "set_id").alias("a"), F.greatest("a", "set_id").alias("b"))
     links = written(_verified(stars.distinct(), sets, percent))
     found = components(links)
@@ -411,8 +192,7 @@ def duplicate_components(docs: DataFrame, percent: int = 80, classes: tuple[int,
 
     Links are pairs whose shared shingles are ``percent`` or more of all theirs.
     ``classes`` changes the work, not the result.  Other columns of ``docs`` are
-    ignored.  An empty table gives an empty result.  ``docs`` must be read the
-    same way each time, as from files; else a lost executor fails the job.
+    ignored.  An empty table gives an empty result.
     """
     return linked_components(docs, percent, classes).select("doc_id", "n_shingles", "component_id")
 

@@ -44,6 +44,7 @@ def op4_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return line_report(table(spark, sf_dir, "documents"))
 
 

@@ -1,11 +1,14 @@
 """The n-gram Jaccard join: combinations of frequent shingles, hot shingles, nulls and repeated rows, against brute force."""
 
+import collections
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from isobar.llm import near_duplicates as nd
+from isobar.llm import set_counts as sc
 from isobar.llm.blocks import blocks
 from test_edges import near_duplicates_by_force, prose
 
@@ -77,31 +80,40 @@ def test_size_classes_of_linked_sets_are_neighbours():
             assert nd.size_class(m, 80) - nd.size_class(n, 80) in (0, 1)
 
 
-def test_small_chunks_and_hot_shingles(spark, monkeypatch):
-    """Many chunks and counts in place of sets: the same components."""
+def test_small_chunks_and_hot_shingles(monkeypatch):
+    """Many chunks, and counts in place of sets: every set that is linked comes out with all its shared shingles, rare ones first."""
     texts = crowd(5)
-    monkeypatch.setattr(nd, "HEAVY", 2)
-    monkeypatch.setattr(nd, "CHUNK_SHINGLES", 300)
+    monkeypatch.setattr(sc, "HEAVY", 2)
     edges = np.array([0, 1 << 61, 1 << 62, 1 << 63], np.uint64)
     batch = pa.record_batch([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text_key", "text"])
-    asked, held, parts = [], 0, []
+    asked, n, of, all_ids = [], 0, {}, {}
     for block in blocks(batch["text"], 2000):
-        sh, b = nd.shingle_sets(block)
-        asked += [r for x in nd._chunk_rows([(sh, b, nd.set_ids(sh, b), batch["doc_id"].slice(block.rows.start, block.n), batch["text_key"].slice(block.rows.start, block.n))], len(parts), edges) for r in x.to_pylist()]
-        parts.append(block)
-    assert len(parts) > 3 and any(r["heavy"] and nd.unpack(r["heavy"]).size for r in asked)
-    answered = [r for k in range(4) for r in nd._counted(pa.Table.from_pylist([x for x in asked if x["range"] == k], nd._ASKED)).to_pylist()]
-    out = [r for c in range(len(parts)) for r in nd._ordered(80, nd.CLASSES)(pa.Table.from_pylist([x for x in answered if x["chunk"] == c], nd._ANSWERED)).to_pylist()]
+        shingles, b = nd.shingle_sets(block)
+        ids = sc.set_ids(shingles, b)
+        for i in range(block.n):
+            of[block.rows.start + i] = set(shingles[b[i] : b[i + 1]].tolist())
+            all_ids[block.rows.start + i] = (n, int(ids[i]))
+        part = (shingles, b, ids, [batch[c].slice(block.rows.start, block.n) for c in nd.LABELS])
+        asked += [r for x in sc.chunk_rows([part], n, edges) for r in x.to_pylist()]
+        n += 1
+    assert n > 3 and any(r["heavy"] and sc.unpack(r["heavy"]).size for r in asked)
+    answered = [r for k in range(4) for r in sc.counted(pa.Table.from_pylist([x for x in asked if x["range"] == k], sc._ASKED)).to_pylist()]
+    out = [r for c in range(n) for r in sc.ordered(80, nd.CLASSES, nd.LABELS)(pa.Table.from_pylist([x for x in answered if x["chunk"] == c], sc._ANSWERED)).to_pylist()]
     assert sorted(r["doc_id"] for r in out) == list(range(len(texts)))
-    monkeypatch.undo()
-    whole = nd._chunk_rows
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    rows = {r["set_id"] for r in out if r["shared"] is not None}
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nd.duplicate_components(frame).collect()}
+    counts = collections.Counter(x for i, s in of.items() if i == min(j for j, y in all_ids.items() if y == all_ids[i]) for x in s)
+    for r in out:
+        if r["shared"] is not None:
+            got = np.frombuffer(r["shared"], np.uint64).tolist()
+            assert got == sorted((x for x in of[r["doc_id"]] if counts[x] > 1), key=lambda x: (counts[x], x))
+            assert r["upto"] == [sum(counts[x] <= c for x in got) for c in nd.CLASSES]
+    whole = {r["set_id"] for r in out if r["shared"] is not None}
     by_force = near_duplicates_by_force(texts)
-    assert got == by_force and whole is nd._chunk_rows
-    size = {c: sum(x == c for _, x in by_force.values()) for _, c in by_force.values()}
-    assert all(r["set_id"] in rows for r in out if size[by_force[r["doc_id"]][1]] > 1)
+    size = collections.Counter(c for _, c in by_force.values())
+    assert all(r["set_id"] in whole for r in out if size[by_force[r["doc_id"]][1]] > 1)
+    del answered[0]
+    with pytest.raises(ValueError, match="complete"):
+        for c in range(n):
+            sc.ordered(80, nd.CLASSES, nd.LABELS)(pa.Table.from_pylist([x for x in answered if x["chunk"] == c], sc._ANSWERED))
 
 
 def test_null_ids_are_compared_and_repeated_rows_are_one(spark):
