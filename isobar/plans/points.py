@@ -469,9 +469,11 @@ def DT1_times(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", run.alias("run_s"), valid.alias("valid_s"), (F.floor(run / 900) * 900).cast("long").alias("quarter_s"))
 
 
-@register("select station_id, cast(round_even(lon / 15, 0) * 3600 as bigint) offset_s from $F2")
+@register("select station_id, case station_id % 4 when 1 then -25200 when 2 then 0 when 3 then 20700 else cast(round_even(lon / 15, 0) * 3600 as bigint) end offset_s from $F2")
 def DT2_utc_offset(spark, sf_dir):
-    zone = F.lit(None).cast("string")
+    """Offsets of zones on the day of all queries; stations without a zone go by their longitude."""
+    k = F.col("station_id") % 4
+    zone = F.when(k == 1, "America/Denver").when(k == 2, "UTC").when(k == 3, "Asia/Kathmandu")
     return feed(spark, sf_dir, "F2").select("station_id", S.utc_offset_seconds(zone, F.timestamp_seconds(F.lit(NOW)), F.col("lon")).alias("offset_s"))
 
 
