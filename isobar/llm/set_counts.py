@@ -39,7 +39,7 @@ Part = tuple[np.ndarray, np.ndarray, np.ndarray, list[pa.Array]]
 
 
 def _by_text(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """The order by text, and by value within."""
+    """The order by item, and by value within."""
     if n >= 1 << 16:
         return np.lexsort((values, of))
     order = np.argsort(values)
@@ -115,7 +115,8 @@ def chunk_rows(parts: list[Part], chunk: int, edges: np.ndarray) -> Iterator[pa.
         "heavy_sets": heavy_sets,
         "total": len(shingles) + len(heavy),
     }
-    yield _rows(_ASKED, [{"range": chunk % len(edges), "chunk": chunk} | about])
+    spread = int(mix(np.array([chunk], U))[0] % U(len(edges)))  # any range will do, as long as these rows don't meet in one
+    yield _rows(_ASKED, [{"range": spread, "chunk": chunk} | about])
 
 
 def _asked(ranges: int, parts_of: Callable[[pa.RecordBatch], Iterator[Part]]):
@@ -126,7 +127,7 @@ def _asked(ranges: int, parts_of: Callable[[pa.RecordBatch], Iterator[Part]]):
         for batch in batches:
             for part in parts_of(batch):
                 parts.append(part)
-                held += len(part[0])
+                held += len(part[0]) + len(part[2])
                 if held >= CHUNK_SHINGLES:
                     yield from chunk_rows(parts, chunk, edges)
                     parts, held, chunk = [], 0, chunk + 1
