@@ -8,8 +8,15 @@ their similarity as weight.
 
 Terms are hashed words, trigrams of the shape of a text (runs of letters,
 capitals, digits, signs) and how often words repeat.  Null, empty and wordless
-texts have no terms and get the share of label 1 among training rows, as all
-texts do where no label can be learned from.
+texts have no terms and get the share of label 1 among training rows; where no
+label can be learned from, all scores are 0.5.
+
+Neighbours as near as the last one that counts vote too, so ties don't hang on
+the order of the sample.  Labels of one document that differ count as 1; null
+labels and labels of null ids are left out.  A document with a null doc_id has a
+score, and no fold.  Rows that share a doc_id are scored each by its own text; of
+a labelled id the longest text is learned from.  Very long texts are read whole.
+Other columns are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,9 +141,11 @@ def learn(docs: DataFrame, labels: DataFrame, vote: Vote = Vote(), fold_of: int
 def votes(space: Space, counts: np.ndarray, vote: Vote) -> np.ndarray:
     cosines = space.place(counts) @ space.vectors.T
     k = min(vote.neighbours, cosines.shape[1])
-    near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(cosines, near, 1), 0) ** vote.power
-    return (((weight * space.labels[near]).sum(1) + 1e-6 * space.prior) / (weight.sum(1) + 1e-6)).clip(0, 1)
+    last = np.partition(cosines, -k, axis=1)[:, -k]
+    text, near = np.nonzero(cosines >= last[:, None])
+    weight = np.maximum(cosines[text, near], 0) ** vote.power
+    for_one = np.bincount(text, weight * space.labels[near], len(counts))
+    return ((for_one + 1e-6 * space.prior) / (np.bincount(text, weight, len(counts)) + 1e-6)).clip(0, 1)
 
 
 def _scores(space, vote: Vote):

@@ -82,6 +82,16 @@ def test_votes_by_force(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
 
 
+def test_ties_of_the_last_neighbour_all_vote():
+    vectors = np.array([[1, 0], [0.8, 0.6], [0.8, -0.6], [0, 1]], np.float32)
+    space = neighbour_vote.Space(np.ones(2, np.float32), np.eye(2, dtype=np.float32), vectors, np.array([1, 1, 0, 0], np.float32), 0.5)
+    flipped = neighbour_vote.Space(space.weights, space.axes, vectors[::-1], space.labels[::-1], 0.5)
+    counts = np.array([[1.0, 0.0]], np.float32)
+    vote = Vote(neighbours=2, power=1.0)
+    expected = 1.8 / 2.6
+    assert neighbour_vote.votes(space, counts, vote)[0] == pytest.approx(expected, abs=1e-5) == neighbour_vote.votes(flipped, counts, vote)[0]
+
+
 def test_votes_with_repeated_rows_null_ids_and_ties(spark):
     frame = clashing(spark, REPEATED)
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (None, 1), (2**60 + 1, 1)], "doc_id long, quality int")
