@@ -12,13 +12,16 @@ from isobar.llm.backoff_lm import Model, scored
 from isobar.llm.decontaminate import contamination
 from isobar.llm.divergence import judged
 from isobar.llm.frames import token_files
+from isobar.llm.interactions import audited
 from isobar.llm.line_dedup import line_report
 from isobar.llm.mixing import copies
+from isobar.llm.multi_index import neighbours
 from isobar.llm.near_duplicates import duplicate_components
 from isobar.llm.neighbour_vote import quality_scores
 from isobar.llm.private_terms import found
 from isobar.llm.store import ship, table
 from isobar.llm.warc import archived
+from isobar.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +76,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_components(table(spark, sf_dir, "documents"), percent=80)
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,5 +101,8 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_warc,
         op10_ngram_jaccard,
+        op11_filter_interactions,
+        op12_whitening,
+        op13_multi_index,
     )
 }

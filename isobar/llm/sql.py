@@ -1,7 +1,7 @@
 """DuckDB statements of the training-data queries that SQL can express.
 
 The others are tested against brute force: scores of the language model, votes
-and divergence rules, spans with terms, and token ids.
+and divergence rules, spans with terms, token ids, whitened vectors and neighbours.
 """
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -65,4 +65,24 @@ with t as (select doc_id, string_split(text, chr(10)) s from documents where tex
 select d.doc_id, coalesce(n, 0) n_lines, coalesce(e, 0) n_equal, coalesce(s, 0) n_similar from (select distinct doc_id from documents) d left join c using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_line_dedup": OP5, "op6_decontaminate": OP6, "op8_mixing": OP8, "op9_warc": OP9, "op10_ngram_jaccard": OP10}
+OP11 = r"""
+with t as (select doc_id, coalesce(lang, '') part, coalesce(text, '') t from documents),
+ w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') w, min(doc_id) over (partition by t) least from t),
+ f as (select doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > least, false)] f from w),
+ l as (select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic from labels where doc_id is not null group by 1),
+ c as (select part, f, count(*) n, sum(coalesce(good, 0)) good, sum(coalesce(toxic, 0)) toxic from f left join l using (doc_id) group by 1, 2),
+ i as (select unnest(range(1, 6)) i),
+ o as (select [a.i, b.i, c.i, d.i, e.i] o from i a, i b, i c, i d, i e where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+ s as (select c.part, o.o, i.i step, o.o[i.i] own,
+        sum(case when list_bool_or(list_transform(o.o[1:i.i], lambda k: f[k])) then 0 else n end) kept,
+        sum(case when f[o.o[i.i]] and not coalesce(list_bool_or(list_transform(o.o[1:i.i - 1], lambda k: f[k])), false) then n else 0 end) removed,
+        sum(case when f[o.o[i.i]] and coalesce(list_bool_or(list_transform(o.o[1:i.i - 1], lambda k: f[k])), false) then n else 0 end) redundant,
+        sum(case when f[o.o[i.i]] and len(list_filter(f, lambda x: x)) = 1 then n else 0 end) unique_fails,
+        sum(case when f[o.o[i.i]] and not coalesce(list_bool_or(list_transform(o.o[1:i.i - 1], lambda k: f[k])), false) then good else 0 end) good_lost,
+        sum(case when f[o.o[i.i]] and not coalesce(list_bool_or(list_transform(o.o[1:i.i - 1], lambda k: f[k])), false) then toxic else 0 end) toxic_lost
+       from c, o, i group by 1, 2, 3, 4)
+select part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)), '') filter_order, cast(step as int) step, cast(kept as bigint) kept, cast(removed as bigint) removed, cast(redundant as bigint) redundant,
+       cast(unique_fails as bigint) unique_fails, cast(good_lost as bigint) good_lost, cast(toxic_lost as bigint) toxic_lost, cast(sum(removed) over (partition by part, own) as bigint) shapley from s
+"""
+
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5, "op6_decontaminate": OP6, "op8_mixing": OP8, "op9_warc": OP9, "op10_ngram_jaccard": OP10, "op11_filter_interactions": OP11}
