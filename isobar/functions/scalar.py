@@ -53,8 +53,8 @@ def named_category(name: Column, aqi: Column) -> Column:
 
 
 def confidence(c: Column) -> Column:
-    """Null where the row is to be dropped, else whether it is high."""
-    c = F.lower(F.trim(c))
+    """Null where the row is to be dropped, else whether it is high; without a confidence it isn't."""
+    c = F.coalesce(F.lower(F.trim(c)), F.lit(""))
     digits = F.when(c.rlike("^[0-9]+$"), c.try_cast("int"))
     return (
         F.when(c.isin("low", "l") | (digits < 50), None)
@@ -64,8 +64,8 @@ def confidence(c: Column) -> Column:
 
 
 def first_usable(*columns: Column) -> Column:
-    """The first text that is a number, to a tenth, else 0."""
-    return F.bround(F.coalesce(*(c.try_cast("double") for c in columns), F.lit(0.0)), 1)
+    """The first text that is a number, to a whole one, else 0."""
+    return F.rint(F.coalesce(*(c.try_cast("double") for c in columns), F.lit(0.0))).cast("int")
 
 
 def satellite_code(name: Column, codes: dict[str, int]) -> Column:
@@ -73,6 +73,18 @@ def satellite_code(name: Column, codes: dict[str, int]) -> Column:
     return F.coalesce(lookup(F.upper(F.trim(name)), codes), F.lit(-1))
 
 
+def is_day(flag: Column) -> Column:
+    """P5: whether the day flag is D, in any case."""
+    return F.coalesce(F.upper(F.trim(flag)) == "D", F.lit(False))
+
+
+def footprint(scan: Column, track: Column) -> Column:
+    """P5: the larger side of a pixel, to a tenth; an empty text is 0, and with one that isn't a number there is no size."""
+    side = lambda t: F.coalesce(F.nullif(F.trim(t), F.lit("")), F.lit("0")).try_cast("double")
+    a, b = side(scan), side(track)
+    return F.when(a.isNull() | b.isNull(), 0.0).otherwise(F.bround(F.greatest(a, b), 1))
+
+
 def age_minutes(epoch: Column, now: int) -> Column:
     """Whole minutes, not below 0."""
     return F.greatest(F.floor((F.lit(now) - epoch) / 60), F.lit(0)).cast("long")
@@ -83,9 +95,11 @@ def masked(value: Column, flag: Column, bad: tuple[str, ...] = ("X", "Q", "B"))
     return F.when(~F.coalesce(flag, F.lit("")).isin(*bad), value)
 
 
-def ranged(x: Column, lo: float, hi: float) -> Column:
-    """Null outside of the closed range."""
-    return F.when(x.between(lo, hi), x)
+def ranged(x: Column, lo: float, hi: float, ends: str = "[]") -> Column:
+    """Null outside of the range; ``ends`` tells which of its ends belong to it."""
+    above = x >= lo if ends[0] == "[" else x > lo
+    below = x <= hi if ends[1] == "]" else x < hi
+    return F.when(above & below, x)
 
 
 def size_ramp(acres: Column) -> Column:
@@ -145,22 +159,26 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return 2 * EARTH_KM * F.atan2(F.sqrt(a), F.sqrt(F.greatest(1 - a, F.lit(0.0))))
 
 
-def parallax(lat: Column, lon: Column, sub_lon: Column | float, height_km: float = 4.0, orbit_km: float = 42164.0) -> tuple[Column, Column]:
+#: fixed values for parallax: the earth's radius, the orbit's, and kilometres a degree of latitude and of longitude at the equator
+PARALLAX_EARTH_KM, PARALLAX_ORBIT_KM, KM_A_LATITUDE, KM_A_LONGITUDE = 6378.137, 42164.16, 110.574, 111.320
+
+
+def parallax(lat: Column, lon: Column, sub_lon: Column | float, height_km: float = 4.0) -> tuple[Column, Column]:
     """M4: where a cloud top of this height really is, seen from over ``sub_lon``.
 
-    The top's line of sight meets the ground beyond it: both coordinates go
-    back towards the point under the satellite by the height times the tangent
-    of the zenith angle.
+    The top's line of sight meets the ground beyond it, on the great circle away
+    from the point under the satellite; it goes back along it by the height times
+    the tangent of the zenith angle.
     """
     sub = sub_lon if isinstance(sub_lon, Column) else F.lit(sub_lon)
-    dlon = F.radians(lon - sub)
-    cos_c = F.cos(F.radians(lat)) * F.cos(dlon)
-    c = F.acos(clip(cos_c, -1.0, 1.0))
-    zenith = F.atan2(orbit_km * F.sin(c), orbit_km * F.cos(c) - EARTH_KM)
-    shift = F.degrees(F.lit(height_km) * F.tan(zenith) / EARTH_KM)
-    way = F.greatest(F.degrees(c), F.lit(1e-6))
-    fraction = F.least(shift / way, F.lit(1.0))
-    return lat - lat * fraction, lon - (lon - sub) * fraction
+    phi, east = F.radians(lat), F.radians(sub - lon)
+    cos_c = F.cos(phi) * F.cos(east)
+    sin_c = F.sqrt(clip(1 - cos_c * cos_c, 0.0, 1.0))
+    shift = height_km * sin_c / (cos_c - PARALLAX_EARTH_KM / PARALLAX_ORBIT_KM)
+    bearing = F.atan2(F.sin(east), -F.sin(phi) * F.cos(east))
+    wide = KM_A_LONGITUDE * F.cos(phi)
+    wide = F.when(F.abs(wide) < 1e-6, 1e-6).otherwise(wide)
+    return lat + shift * F.cos(bearing) / KM_A_LATITUDE, lon + shift * F.sin(bearing) / wide
 
 
 def mercator(lat: Column, lon: Column, radius: float = 6378137.0) -> tuple[Column, Column]:
@@ -198,8 +216,8 @@ def byte_gray(v: Column, lo: float, hi: float) -> Column:
 
 
 def byte_dbz(v: Column) -> Column:
-    """2 a dB from -32 on, plus 2; 0 at or below and for no data."""
-    return F.when(v.isNull() | (v <= -32), 0).otherwise(clip(F.rint((v + 33) * 2), 0.0, 255.0)).cast("short")
+    """2 a dB from -32 on, plus 2; 0 below -31.5 and for no data."""
+    return F.when(v >= -31.5, clip(F.rint((v + 32) * 2) + 2, 2.0, 255.0)).otherwise(0).cast("short")
 
 
 def byte_correlation(v: Column) -> Column:

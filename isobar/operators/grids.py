@@ -184,7 +184,7 @@ def prefer_left(base: DataFrame, detail: DataFrame) -> DataFrame:
 def frame_quality(pixels: DataFrame) -> DataFrame:
     """Share of lit pixels and number of mostly cyan rows; a good frame has 2 % of the first and under 5 of the second."""
     lum = F.greatest("r", "g", "b")
-    cyan = (F.col("g") >= 200) & (F.col("b") >= 100) & (F.col("r") < 100)
+    cyan = (F.col("b") > 180) & (F.col("g") > 150) & (F.col("r") < F.col("b") - 60)
     lines = pixels.groupBy("frame", "y").agg(F.count(F.lit(1)).alias("n"), F.count_if(lum >= 16).alias("lit"), F.count_if(cyan).alias("cyan"))
     rows = lines.groupBy("frame").agg((F.sum("lit") / F.sum("n")).alias("lit"), F.count_if(F.col("cyan") > 0.4 * F.col("n")).alias("cyan_rows"))
     return rows.withColumn("good", (F.col("lit") >= 0.02) & (F.col("cyan_rows") < 5))

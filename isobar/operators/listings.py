@@ -17,12 +17,14 @@ def next_offsets(inventory: DataFrame) -> DataFrame:
 
 
 def coalesced(ranges: DataFrame, gap: int) -> DataFrame:
-    """Byte ranges merged where at most ``gap`` bytes lie between."""
-    order = Window.partitionBy("file_id").orderBy("off", "end")
+    """Byte ranges merged where at most ``gap`` bytes lie between; one without an end takes those before it in, and none after it."""
+    order = Window.partitionBy("file_id").orderBy("off", F.col("end").asc_nulls_last())
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = ranges.withColumn("new", F.when(before.isNull() | (F.col("off") - before - 1 > gap), 1).otherwise(0))
+    follows = F.lag("end").over(order).isNotNull() & (F.col("off") - before - 1 <= gap)
+    rows = ranges.withColumn("new", F.when(follows, 0).otherwise(1))
     rows = rows.withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("file_id", "span").agg(F.min("off").alias("off"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).drop("span")
+    end = F.when(F.bool_and(F.col("end").isNotNull()), F.max("end"))
+    return rows.groupBy("file_id", "span").agg(F.min("off").alias("off"), end.alias("end"), F.count(F.lit(1)).alias("n")).drop("span")
 
 
 def newest_runs(listed: DataFrame, keep: int) -> DataFrame:

@@ -70,10 +70,13 @@ def capped_per_group(rows: DataFrame, group: list[str], k: int, *order: Column)
 def nearest_incident(spots: DataFrame, incidents: DataFrame, cell: float = 0.5) -> DataFrame:
     """The nearest incident within its own radius (1.2 times the root of its area, 3 to 60 km), ties to the first.
 
+    Both differences of degrees, at 111 km each and by the spot's latitude, must
+    be within the radius too.  Unknown and negative areas are none.
+
     Incidents are laid out over the cells that their radius can reach, so the
     join is on cells and the distance is checked on what they share.
     """
-    radius = S.clip(1.2 * F.sqrt(F.col("acres") * 0.00404686), 3.0, 60.0)
+    radius = S.clip(1.2 * F.sqrt(F.greatest(F.coalesce("acres", F.lit(0.0)), F.lit(0.0)) * 0.00404686), 3.0, 60.0)
     fires = incidents.select("fire_id", F.col("lat").alias("f_lat"), F.col("lon").alias("f_lon"), radius.alias("r"))
     d_lat = F.col("r") / 111.0
     d_lon = F.col("r") / (111.0 * F.greatest(F.cos(F.radians(F.abs(F.col("f_lat")) + d_lat)), F.lit(0.05)))
@@ -81,6 +84,8 @@ def nearest_incident(spots: DataFrame, incidents: DataFrame, cell: float = 0.5)
     fires = fires.withColumn("cy", F.explode(span(F.col("f_lat"), d_lat))).withColumn("cx", F.explode(span(F.col("f_lon"), d_lon)))
     rows = spots.withColumn("cy", F.floor(F.col("lat") / cell)).withColumn("cx", F.floor(F.col("lon") / cell))
     rows = rows.join(fires, ["cy", "cx"])
+    near = (F.abs(F.col("lat") - F.col("f_lat")) * 111.0 <= F.col("r")) & (F.abs(F.col("lon") - F.col("f_lon")) * F.cos(F.radians("lat")) * 111.0 <= F.col("r"))
+    rows = rows.where(near)
     rows = rows.withColumn("km", S.haversine_km(F.col("lat"), F.col("lon"), F.col("f_lat"), F.col("f_lon"))).where("km <= r")
     best = rows.groupBy("spot_id").agg(F.min_by(F.struct("fire_id", "km"), F.struct("km", "fire_id")).alias("b"))
     return best.select("spot_id", "b.fire_id", "b.km")
@@ -114,17 +119,34 @@ def allowed(obs: DataFrame, providers: DataFrame, category: int) -> DataFrame:
     return obs.join(providers.where(F.col("category") <= category), "provider_key", "left_semi")
 
 
+#: fixed values: quality flags that pass the second stage
+PASSED = ("S", "V", "K", "G")
+
+
 def quality_controlled(obs: DataFrame) -> DataFrame:
-    """Bad flags, impossible values and contradictions become null; a temperature is required."""
-    t = S.ranged(S.masked(F.col("t_k"), F.col("t_flag")), 200.0, 340.0)
-    rows = obs.withColumn("t_k", t).where("t_k is not null")
-    rows = rows.where((F.col("type") != "c") | F.col("t_flag").isin("S", "V", "K", "G"))
-    td = S.ranged(F.col("td_k"), 180.0, 320.0)
-    rows = rows.withColumn("td_k", F.when(td <= F.col("t_k") + 0.5, td))
-    rows = rows.withColumn("rh", F.least(S.ranged(F.col("rh"), 0.0, 105.0), F.lit(100.0)))
-    ws = S.ranged(F.col("ws"), 0.0, 100.0)
-    wg = S.ranged(F.col("wg"), 0.0, 120.0)
-    return rows.withColumn("wg", F.when(wg >= ws, wg)).withColumn("ws", ws)
+    """What has a bad flag, is impossible or contradicts another value becomes null; a temperature is required.
+
+    ``obs`` has ``t_k, td_k, rh, wd, ws, wg, pr``, each with a ``_flag``, and
+    ``elev``, ``type`` and the codes ``pst1, pst3`` of what ``pr`` is of.  A dew
+    point may exceed the temperature by half a degree.  A gust below the wind
+    goes; one without a wind stays.  An amount without a known period goes.
+    """
+    good = lambda name, lo, hi, ends: S.ranged(S.masked(F.col(name), F.col(f"{name}_flag")), lo, hi, ends)
+    rows = obs.withColumn("t_k", good("t_k", 200.0, 340.0, "()")).where("t_k is not null")
+    rows = rows.where((F.col("type") != "c") | F.coalesce(F.col("t_k_flag").isin(*PASSED), F.lit(False)))
+    td, ws, wg = good("td_k", 180.0, 320.0, "()"), good("ws", 0.0, 100.0, "[)"), good("wg", 0.0, 120.0, "[)")
+    period = S.accumulation_period(F.col("pst1"), F.col("pst3"))
+    pr = F.when(period.isNotNull(), F.bround(good("pr", 0.0, 2000.0, "[)"), 1))
+    return rows.withColumns({
+        "td_k": F.when(td <= F.col("t_k") + 0.5, td),
+        "rh": S.clip(good("rh", 0.0, 105.0, "[]"), 0.0, 100.0),
+        "wd": F.rint(good("wd", 0.0, 360.0, "[]")).cast("int") % 360,
+        "ws": ws,
+        "wg": F.when(~F.coalesce(wg < ws, F.lit(False)), wg),
+        "pr": pr,
+        "period": F.when(pr.isNotNull(), period),
+        "elev": F.when(F.abs("elev") <= 9000, F.rint("elev").cast("int")),
+    })
 
 
 CELLS = (4.0, 2.0, 1.0, 0.5, 0.25)
@@ -133,14 +155,14 @@ CELLS = (4.0, 2.0, 1.0, 0.5, 0.25)
 def declutter_rank(stations: DataFrame, cells: tuple[float, ...] = CELLS, only_first: int = 2) -> DataFrame:
     """At each cell size the first station without a rank, by priority and id, claims the cell; the rest rank last.
 
-    The first ``only_first`` sizes are for stations of priority 0 alone.  The
+    Cells count from the south pole and the date line.  The first ``only_first`` sizes are for stations of priority 0 alone.  The
     eligible are a partition of their own, so that others can't hold rank one.
     """
     rows = stations.withColumn("rank", F.lit(None).cast("int"))
     for level, size in enumerate(cells):
         eligible = F.col("rank").isNull() & ((F.col("prio") == 0) | F.lit(level >= only_first))
         rows = rows.withColumn("_e", eligible)
-        place = Window.partitionBy(F.floor(F.col("lat") / size), F.floor(F.col("lon") / size), "_e").orderBy("prio", "id")
+        place = Window.partitionBy(F.floor((F.col("lat") + 90) / size), F.floor((F.col("lon") + 180) / size), "_e").orderBy("prio", "id")
         first = F.col("_e") & (F.row_number().over(place) == 1)
         rows = rows.withColumn("rank", F.when(first, level).otherwise(F.col("rank"))).drop("_e")
     return rows.withColumn("rank", F.coalesce("rank", F.lit(len(cells))))

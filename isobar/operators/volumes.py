@@ -24,18 +24,23 @@ def bracketing(heights: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def blended(a: Column, b: Column, t: Column, none: float, fade: float) -> Column:
-    """Between two levels' codes; a missing one is replaced by ``fade`` unless both are missing."""
-    both = a.isin(none) & b.isin(none)
+    """Between two levels' codes; a missing one is replaced by ``fade``.
+
+    What comes out as the fade code itself is none, as is what has neither; at a
+    level itself its own code holds.
+    """
     x, y = F.when(a == none, fade).otherwise(a), F.when(b == none, fade).otherwise(b)
-    return F.when(both, F.lit(none)).otherwise(F.rint(x + t * (y - x)))
+    v = F.greatest(F.lit(0.0), F.least(F.rint(x + t * (y - x)), F.lit(255.0)))
+    faded = (a == none) & (b == none) | (v == fade) & F.lit(fade != none)
+    return F.when(t <= 0, a).when(t >= 1, b).when(faded, F.lit(none)).otherwise(v)
 
 
 def interpolated(columns: DataFrame, plan: DataFrame, none: float = 0.0, fade: float = 2.0) -> DataFrame:
     """``columns`` (col_id, lvl, v) at the plan's levels."""
-    low = columns.select("col_id", F.col("lvl").alias("lower"), F.col("v").alias("a")).join(F.broadcast(plan), "lower")
-    high = columns.select("col_id", F.col("lvl").alias("upper"), F.col("v").alias("b"))
-    rows = low.join(high, ["col_id", "upper"], "left")
-    return rows.select("col_id", "k", blended(F.col("a"), F.coalesce("b", F.lit(none)), F.col("t"), none, fade).alias("v"))
+    side = lambda x, v: columns.join(F.broadcast(plan), F.col("lvl") == F.col(x)).select("col_id", "k", "t", F.col("v").alias(v))
+    rows = side("lower", "a").join(side("upper", "b"), ["col_id", "k", "t"], "full")  # a column may lack either level
+    v = blended(F.coalesce("a", F.lit(none)), F.coalesce("b", F.lit(none)), F.col("t"), none, fade)
+    return rows.select("col_id", "k", v.alias("v"))
 
 
 def debris_columns(levels: DataFrame, ref: int, cc: int, shear: DataFrame | None) -> DataFrame:
@@ -63,10 +68,10 @@ def assembled(levels: DataFrame, least: int = 4) -> DataFrame:
 
 
 def hourly_amounts(totals: DataFrame) -> DataFrame:
-    """The gain over the hour before, which must be there; the first hour starts at 0; never negative."""
+    """The gain over the hour before, which must be there; a first hour without one before starts at 0; never negative."""
     order = Window.partitionBy("site").orderBy("fh")
     adjacent = F.lag("fh").over(order) == F.col("fh") - 1
-    gain = F.when(F.col("fh") == 1, F.col("total")).when(adjacent, F.col("total") - F.lag("total").over(order))
+    gain = F.when(adjacent, F.col("total") - F.lag("total").over(order)).when(F.col("fh") == 1, F.col("total"))
     rows = totals.withColumn("gain", gain).where("gain is not null")
     return rows.withColumn("amount", F.greatest("gain", F.lit(0.0))).drop("gain")
 

@@ -154,7 +154,7 @@ def J7_prefer_left(spark, sf_dir):
     return G.prefer_left(wind(1, 2), wind(3, 4)).select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), "u", F.col("v").alias("w"))
 
 
-_LINES = "(select frame, y, count(*) n, count(*) filter (where greatest(r, g, b) >= 16) lit, count(*) filter (where g >= 200 and b >= 100 and r < 100) cy from $F18 group by 1, 2)"
+_LINES = "(select frame, y, count(*) n, count(*) filter (where greatest(r, g, b) >= 16) lit, count(*) filter (where b > 180 and g > 150 and r < b - 60) cy from $F18 group by 1, 2)"
 
 
 @register(f"select frame, round_even(sum(lit) / sum(n), 6) lit, count(*) filter (where cy > 0.4e0 * n) cyan_rows, sum(lit) / sum(n) >= 0.02 and count(*) filter (where cy > 0.4e0 * n) < 5 as good from {_LINES} group by 1")
@@ -218,11 +218,13 @@ def J9_level_bracketing(spark, sf_dir):
     return rows.select("col_id", F.col("k").cast("long").alias("k"), F.bround(F.col("a") + F.col("t") * (F.col("b") - F.col("a")), 4).alias("v"))
 
 
-@register(f"""with x as (select col_id, lvl, case when v < 40 then 0.0e0 else v end v from $F10)
- select col_id, k, case when a = 0 and b = 0 then 0 else round_even(case when a = 0 then 2 else a end + t * (case when b = 0 then 2 else b end - case when a = 0 then 2 else a end), 0) end v
- from (select a.col_id, k, t, a.v a, coalesce(b.v, 0) b from x a join {_PLAN} p on a.lvl = p.lo left join x b on b.col_id = a.col_id and b.lvl = p.hi)""")
+@register(f"""with x as (select col_id, lvl, case when v < 15 then 0.0e0 when v < 30 then 3.0e0 else v end v from $F10 where (col_id + lvl) % 4 > 0),
+ w as (select i.col_id, p.k, p.t, coalesce(a.v, 0) a, coalesce(b.v, 0) b from (select distinct col_id from x) i cross join {_PLAN} p left join x a on a.col_id = i.col_id and a.lvl = p.lo left join x b on b.col_id = i.col_id and b.lvl = p.hi where a.v is not null or b.v is not null),
+ f as (select *, round_even(case when a = 0 then 2 else a end + t * (case when b = 0 then 2 else b end - case when a = 0 then 2 else a end), 0) v from w)
+ select col_id, k, case when t <= 0 then a when t >= 1 then b when (a = 0 and b = 0) or v = 2 then 0 else v end v from f""")
 def G7_vertical_interpolation(spark, sf_dir):
-    columns = feed(spark, sf_dir, "F10").select("col_id", "lvl", F.when(F.col("v") < 40, 0.0).otherwise(F.col("v")).alias("v"))
+    """Columns that lack a level in four, with codes next to the one that fades out."""
+    columns = feed(spark, sf_dir, "F10").where("(col_id + lvl) % 4 > 0").select("col_id", "lvl", F.when(F.col("v") < 15, 0.0).when(F.col("v") < 30, 3.0).otherwise(F.col("v").cast("double")).alias("v"))
     return V.interpolated(columns, _plan(spark)).select("col_id", F.col("k").cast("long").alias("k"), "v")
 
 
@@ -279,7 +281,7 @@ def J14_tile_lookup(spark, sf_dir):
     return _out(V.tile_of(points, boxes), "id", "tr", "tc")
 
 
-@register("select site, fh, total, greatest(case when fh = 1 then total else total - lag end, 0) amount from (select *, lag(total) over (partition by site order by fh) lag, lag(fh) over (partition by site order by fh) lfh from $F11) where fh = 1 or lfh = fh - 1")
+@register("select site, fh, total, greatest(total - before, 0) amount from (select a.*, case when b.fh is null and a.fh = 1 then 0 else b.total end before from $F11 a left join $F11 b on b.site = a.site and b.fh = a.fh - 1) where fh > 0 and before is not null")
 def W5_hourly_amounts(spark, sf_dir):
     return V.hourly_amounts(feed(spark, sf_dir, "F11"))
 

@@ -26,14 +26,23 @@ def S5_listing(spark, sf_dir):
     return parsers.listing(query(spark, sf_dir, _LINES))
 
 
-_KEYS = """select concat(c_mktsegment, '/', case when c_custkey % 13 = 0 then 'latest' else concat('20240', 101 + c_custkey % 28, lpad(cast(c_custkey % 24 as string), 2, '0')) end, '/',
- case c_custkey % 3 when 0 then concat('F', lpad(cast(c_custkey % 49 as string), 3, '0'), '.png') when 1 then concat('M', lpad(cast(c_custkey % 900 as string), 5, '0'), '.png') else 'manifest.json' end) path from customer"""
+_KEYS = """select concat(case c_custkey % 6 when 0 then 'refc' when 1 then 't2m' when 2 then 'mesh' when 3 then 'gone' when 4 then 'wind10m' else 'mslp' end, '/',
+ case when c_custkey % 13 = 0 then 'latest' else concat('20240', 101 + c_custkey % 28, lpad(cast(c_custkey % 24 as string), 2, '0')) end, '/',
+ case c_custkey % 4 when 0 then concat('F', lpad(cast(c_custkey % 49 as string), 3, '0'), '.png') when 1 then concat('M', lpad(cast(c_custkey % 900 as string), 5, '0'), '.png')
+  when 2 then concat('F000.src-', lpad(cast(c_custkey % 24 as string), 2, '0'), lpad(cast(c_custkey * 7 % 60 as string), 2, '0'), lpad(cast(c_custkey * 11 % 60 as string), 2, '0')) else 'manifest.json' end) path, c_custkey k from customer"""
+_KEYS_SQL = "(select split_part(path, '/', 1) product, split_part(path, '/', 2) run, split_part(path, '/', 3) leaf, k from (" + _KEYS + ") where k % 13 <> 0 and k % 6 <> 3)"
 
 
-@register("""select c_mktsegment product, concat('20240', 101 + c_custkey % 28, lpad(cast(c_custkey % 24 as string), 2, '0')) run, cast(case c_custkey % 3 when 0 then c_custkey % 49 when 1 then c_custkey % 900 end as int) fh,
- case c_custkey % 3 when 0 then 'h' when 1 then 'm' end unit from customer where c_custkey % 13 <> 0""")
+@register(f"""select product, run, cast(case k % 4 when 0 then k % 49 when 1 then k % 900 end as int) fh, case k % 4 when 0 then 'h' when 1 then 'm' end unit from {_KEYS_SQL}""")
 def S6_frame_keys(spark, sf_dir):
-    return parsers.frame_keys(query(spark, sf_dir, _KEYS))
+    """Keys of five products that the catalog has and of one that is gone."""
+    return parsers.frame_keys(query(spark, sf_dir, _KEYS), C.products(spark))
+
+
+@register(f"""select product, run, src, cast(floor(epoch(strptime(substr(run, 1, 8) || src, '%Y%m%d%H%M%S'))) as bigint) t from (select product, run, max(substr(leaf, 10)) src from {_KEYS_SQL} where k % 4 = 2 group by 1, 2)""")
+def S7_source_markers(spark, sf_dir):
+    rows = parsers.source_times(query(spark, sf_dir, _KEYS), C.products(spark))
+    return rows.select("product", "run", "src", F.unix_timestamp("t").alias("t"))
 
 
 @register("select event_id, cast(case event_id % 5 when 2 then floor(epoch(ts) / 60) * 60 when 3 then floor(epoch(ts) / 60) * 60 when 4 then floor(epoch(ts) / 3600) * 3600 else floor(epoch(ts)) end as bigint) t from events")
@@ -60,13 +69,16 @@ def S9_json_inventory(spark, sf_dir):
     return parsers.inventory_json(lines)
 
 
-_INV = "(select p_partkey, case p_partkey % 5 when 0 then 'TMP' when 1 then 'UGRD' when 2 then 'APCP' when 3 then 'REFC' else 'HGT' end v, case p_partkey % 4 when 0 then concat(p_partkey % 3 * 250 + 500, ' mb') when 1 then '2 m above ground' when 2 then '10 m above ground' else 'surface' end l, case when p_partkey % 2 = 0 then '0-6 hour acc fcst' else '6 hour fcst' end s from part)"
+_INV = """(select p_partkey, case p_partkey % 8 when 0 then 'TMP' when 1 then 'UGRD' when 2 then 'APCP' when 3 then 'REFC' when 4 then 'HGT' when 5 then 'MAXREF' when 6 then 'RH' else 'PRES' end v,
+ case p_partkey % 7 when 0 then concat(p_partkey % 20 * 25 + 500, ' mb') when 1 then '2 m above ground' when 2 then '10 m above ground' when 3 then '1000 m above ground' when 4 then 'entire atmosphere (considered as a single layer)' when 5 then 'low mb' else 'surface' end l,
+ case p_partkey % 5 when 0 then '0-6 hour acc fcst' when 1 then '5-6 hour max fcst' when 2 then '' when 3 then '5-6 hour acc fcst' else '6 hour fcst' end s from part)"""
 
 
-@register(f"""select p_partkey, case when v in ('TMP', 'UGRD', 'HGT') and l in ('500 mb', '750 mb') then concat(lower(v), '_', replace(l, ' mb', '')) when v = 'TMP' and l = '2 m above ground' then 'tmp_2m'
- when v = 'UGRD' and l = '10 m above ground' then 'ugrd_10m' when v = 'HGT' and l = 'surface' then 'hgt_sfc' when v = 'APCP' and s like '0-%' then 'apcp_total' when v = 'REFC' then 'refc' end as key from {_INV}""")
+@register(f"""select p_partkey, case when s <> '' and v = 'MAXREF' and l = '1000 m above ground' and s like '%max%' then 'MAXREF:1km' when s <> '' and v = 'REFC' and l like 'entire atmosphere%' then 'REFC:col'
+ when v = 'APCP' and l = 'surface' and s like '0-%' and s like '% acc%' then 'APCP:total' when v in ('UGRD', 'VGRD', 'HGT', 'TMP', 'DPT') and l like '% mb' then case when try_cast(split_part(l, ' ', 1) as int) % 50 = 0 then concat(v, ':', split_part(l, ' ', 1)) end
+ when v in ('PRES', 'HGT') and l = 'surface' then concat(v, ':sfc') when v in ('TMP', 'DPT') and l = '2 m above ground' then concat(v, ':2m') when v in ('UGRD', 'VGRD') and l = '10 m above ground' then concat(v, ':10m') end as key from {_INV}""")
 def P17_inventory_keys(spark, sf_dir):
-    key = parsers.inventory_key(F.col("v"), F.col("l"), F.col("s"), (500, 750))
+    key = parsers.inventory_key(F.col("v"), F.col("l"), F.col("s"))
     return query(spark, sf_dir, f"select * from {_INV}").select("p_partkey", key.alias("key"))
 
 
@@ -77,7 +89,7 @@ def P18_pattern_match(spark, sf_dir):
     return rows.where(F.regexp_like("step", pattern)).select("msg", "file_id")
 
 
-_ENDS = "(select file_id, msg, off, en as \"end\" from $F14 join (select file_id, off, lead(off) over (partition by file_id order by off) - 1 en from (select distinct file_id, off from $F14)) using (file_id, off))"
+_ENDS = "(select file_id, msg, off, en as \"end\", lvl from $F14 join (select file_id, off, lead(off) over (partition by file_id order by off) - 1 en from (select distinct file_id, off from $F14)) using (file_id, off))"
 
 
 @register(f"select file_id, msg, cast(off as bigint) off, cast(\"end\" as bigint) as \"end\" from {_ENDS}")
@@ -85,11 +97,13 @@ def W3_next_offsets(spark, sf_dir):
     return L.next_offsets(feed(spark, sf_dir, "F14")).select("file_id", "msg", F.col("off").cast("long").alias("off"), F.col("end").cast("long").alias("end"))
 
 
-@register(f"""with r as (select * from {_ENDS} where msg % 3 <> 0 and "end" is not null), b as (select *, max("end") over (partition by file_id order by off, "end" rows between unbounded preceding and 1 preceding) pe from r),
- i as (select *, sum(case when pe is null or off - pe - 1 > 20 then 1 else 0 end) over (partition by file_id order by off, "end" rows unbounded preceding) k from b)
- select file_id, cast(min(off) as bigint) off, cast(max("end") as bigint) as "end", count(*) n from i group by file_id, k""")
+@register(f"""with recursive s as (select file_id, off, "end" e, row_number() over (partition by file_id order by off, "end" nulls last, msg) k from {_ENDS} where lvl in ('ECONOMY', 'PROMO', 'LARGE')),
+ m as (select file_id, k, off b, e, 1 n, 1 g from s where k = 1 union all
+  select s.file_id, s.k, case when j then m.b else s.off end, s.e, case when j then m.n + 1 else 1 end, case when j then m.g else m.g + 1 end from (select m.*, s.off o, s.e se, m.e is not null and s.off - m.e - 1 <= 20 j from m join s on s.file_id = m.file_id and s.k = m.k + 1) m join s on s.file_id = m.file_id and s.k = m.k + 1)
+ select file_id, cast(b as bigint) off, cast(e as bigint) as "end", cast(n as bigint) n from m qualify row_number() over (partition by file_id, g order by k desc) = 1""")
 def W4_coalesced_ranges(spark, sf_dir):
-    rows = L.next_offsets(feed(spark, sf_dir, "F14")).where("msg % 3 <> 0 and `end` is not null")
+    """The spans of three kinds of messages, the last of a file without an end."""
+    rows = L.next_offsets(feed(spark, sf_dir, "F14")).where("lvl in ('ECONOMY', 'PROMO', 'LARGE')")
     return L.coalesced(rows, 20).select("file_id", F.col("off").cast("long").alias("off"), F.col("end").cast("long").alias("end"), "n")
 
 
@@ -138,15 +152,6 @@ def J5_as_of(spark, sf_dir):
     return L.as_of(rows("click"), rows("view").withColumnRenamed("id", "obj"), 3600, 900).select("id", "t", "ct")
 
 
-@register("""with w as (select event_id id, EPOCH(ts) // 3600 * 3600 t from events), r as (select distinct EPOCH(o_orderdate) + 7200 run from orders),
- o as (select * from (values (0, 0), (1, 3600), (2, -3600), (3, -7200), (4, -10800), (5, 7200), (6, 10800)) x(rk, off))
- select id, run, off as "offset" from (select id, run, off, row_number() over (partition by id order by rk) n from w join o on true join r on r.run = t + off) where n = 1""")
-def J6_nearest_run(spark, sf_dir):
-    wanted = query(spark, sf_dir, "select event_id id, EPOCH(ts) div 3600 * 3600 t from events")
-    there = query(spark, sf_dir, "select EPOCH(o_orderdate) + 7200 run from orders")
-    return L.walk_back(wanted, there, [0, 3600, -3600, -7200, -10800, 7200, 10800])
-
-
 @register("""with w as (select event_id id, EPOCH(ts) // 3600 * 3600 t from events), r as (select distinct 1704067200 + EPOCH(o_orderdate) // 86400 % 30 * 86400 + o_orderkey % 3 * 28800 run from orders),
  o as (select * from (values (0, 0), (1, 3600), (2, -3600), (3, -7200), (4, -10800), (5, 7200), (6, 10800)) x(rk, off))
  select id, run, off as "offset" from (select id, run, off, row_number() over (partition by id order by rk) n from w join o on true join r on r.run = t + off) where n = 1""")

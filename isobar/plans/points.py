@@ -94,10 +94,10 @@ def A5_strongest_wins(spark, sf_dir):
 
 
 _KM = "2 * 6371.0e0 * atan2(sqrt(h), sqrt(greatest(1 - h, 0)))"
-_PAIRS = f"""(select spot_id, fire_id, km, epoch, frp, sat_code from (select *, {_KM} km from (select s.*, f.fire_id, f.rad,
+_PAIRS = f"""(select spot_id, fire_id, km, epoch, frp, sat_code from (select *, {_KM} km from (select s.*, f.fire_id, f.rad, f.lat f_lat, f.lon f_lon,
   pow(sin(radians(f.lat - s.lat) / 2), 2) + cos(radians(s.lat)) * cos(radians(f.lat)) * pow(sin(radians(f.lon - s.lon) / 2), 2) h
-  from $F5 s join (select *, greatest(least(1.2e0 * sqrt(acres * 0.00404686e0), 60.0e0), 3.0e0) rad from $F4) f on abs(s.lat - f.lat) <= 0.6 and abs(s.lon - f.lon) <= 1.0))
-  where km <= rad qualify row_number() over (partition by spot_id order by km, fire_id) = 1)"""
+  from $F5 s join (select *, greatest(least(1.2e0 * sqrt(greatest(coalesce(acres, 0), 0) * 0.00404686e0), 60.0e0), 3.0e0) rad from $F4) f on abs(s.lat - f.lat) <= 0.6 and abs(s.lon - f.lon) <= 1.0))
+  where km <= rad and abs(lat - f_lat) * 111.0e0 <= rad and abs(lon - f_lon) * cos(radians(lat)) * 111.0e0 <= rad qualify row_number() over (partition by spot_id order by km, fire_id) = 1)"""
 
 
 @register(f"select spot_id, fire_id, round_even(km, 4) km from {_PAIRS}")
@@ -141,7 +141,7 @@ def _rank_sql() -> str:
     sql = f"(select *, cast(null as int) rk from {_STATIONS})"
     for level, size in enumerate(P.CELLS):
         e = f"(rk is null and (prio = 0 or {level} >= 2))"
-        sql = f"(select id, lat, lon, prio, case when {e} and row_number() over (partition by floor(lat / {size}e0), floor(lon / {size}e0), {e} order by prio, id) = 1 then {level} else rk end rk from {sql})"
+        sql = f"(select id, lat, lon, prio, case when {e} and row_number() over (partition by floor((lat + 90) / {size}e0), floor((lon + 180) / {size}e0), {e} order by prio, id) = 1 then {level} else rk end rk from {sql})"
     return sql
 
 
@@ -199,26 +199,28 @@ def P2_named_category(spark, sf_dir):
     return rows.select("event_id", S.named_category(F.col("n"), F.col("v")).alias("category"))
 
 
-@register("select spot_id, confidence in ('high', '85') high from $F5 where confidence not in ('low', '45')")
+@register("select spot_id, coalesce(confidence, '') in ('high', '85') high from $F5 where coalesce(confidence, '') not in ('low', '45')")
 def P3_confidence_gate(spark, sf_dir):
     return feed(spark, sf_dir, "F5").select("spot_id", S.confidence(F.col("confidence")).alias("high")).where("high is not null")
 
 
-_COLS = "select event_id, case when event_id % 3 = 0 then 'n/a' else cast(event_id % 400 as string) end a, case when event_id % 2 = 0 then '' else cast(event_id % 77 as string) end b from events"
+_COLS = "select event_id, case when event_id % 3 = 0 then 'n/a' else cast(event_id % 400 / 2.0e0 as string) end a, case when event_id % 2 = 0 then '' else cast(event_id % 77 / 4.0e0 as string) end b from events"
 
 
-@register(f"select event_id, cast(coalesce(try_cast(a as double), try_cast(b as double), 0) as double) bright from ({_COLS})")
+@register(f"select event_id, cast(round_even(coalesce(try_cast(a as double), try_cast(b as double), 0), 0) as int) bright from ({_COLS})")
 def P4_first_usable(spark, sf_dir):
     return query(spark, sf_dir, _COLS).select("event_id", S.first_usable(F.col("a"), F.col("b")).alias("bright"))
 
 
-_SAT = "select event_id, event_type sat, cast(value / 100 as double) scan, cast(value / 90 as double) track, event_id % 2 = 0 is_day from events"
+_SAT = """select event_id, event_type sat, case event_id % 7 when 0 then '' when 1 then 'x' else cast(event_id % 160 / 16.0e0 as string) end scan, case when event_id % 5 = 0 then null else cast(event_id % 77 / 8.0e0 as string) end track,
+ case event_id % 4 when 0 then ' d' when 1 then 'D' when 2 then 'N' end daynight from events"""
 
 
-@register(f"select event_id, case sat when 'click' then 0 when 'view' then 1 when 'purchase' then 2 else -1 end code, is_day, greatest(scan, track) footprint from ({_SAT})")
+@register("""select event_id, case event_type when 'click' then 0 when 'view' then 1 when 'purchase' then 2 else -1 end code, event_id % 4 < 2 as is_day,
+ case when event_id % 7 = 1 then 0.0e0 else round_even(greatest(case when event_id % 7 = 0 then 0 else event_id % 160 / 16.0e0 end, case when event_id % 5 = 0 then 0 else event_id % 77 / 8.0e0 end), 1) end footprint from events""")
 def P5_satellite_code(spark, sf_dir):
     codes = {"CLICK": 0, "VIEW": 1, "PURCHASE": 2}
-    return query(spark, sf_dir, _SAT).select("event_id", S.satellite_code(F.col("sat"), codes).alias("code"), "is_day", F.greatest("scan", "track").alias("footprint"))
+    return query(spark, sf_dir, _SAT).select("event_id", S.satellite_code(F.col("sat"), codes).alias("code"), S.is_day(F.col("daynight")).alias("is_day"), S.footprint(F.col("scan"), F.col("track")).alias("footprint"))
 
 
 @register(f"select spot_id, {_AGE} age from $F5 where {_AGE} <= 2880")
@@ -238,15 +240,18 @@ def P8_box(spark, sf_dir):
     return feed(spark, sf_dir, "F3").where(F.col("lat").between(24, 40) & F.col("lon").between(-120, -70)).select("event_id", "lat", "lon")
 
 
-_QC = """select event_id, t_k, case when td_k between 180 and 320 and td_k <= t_k + 0.5 then td_k end td_k, case when rh between 0 and 105 then least(rh, 100) end rh,
-  case when ws between 0 and 100 then ws end ws, case when wg between 0 and 120 and ws between 0 and 100 and wg >= ws then wg end wg
- from (select * replace (case when t_flag not in ('X', 'Q', 'B') and t_k between 200 and 340 then t_k end as t_k) from $F6)
- where t_k is not null and (type <> 'c' or t_flag in ('S', 'V', 'K', 'G'))"""
+_OK = lambda k: f"coalesce({k}_flag, '') not in ('X', 'Q', 'B')"
+_QC = f"""with o as (select *, case when {_OK('td_k')} and td_k > 180 and td_k < 320 then td_k end d, case when {_OK('ws')} and ws >= 0 and ws < 100 then ws end s, case when {_OK('wg')} and wg >= 0 and wg < 120 then wg end g,
+  case when pst3 = 0 then case pst1 when 1 then '1h' when 3 then '3h' when 6 then '6h' when 12 then '12h' when 18 then '18h' when -1 then 'local-midnight' when -2 then 'utc-midnight' when -3 then '24h' when -4 then '5m' when -5 then '15m' end end p
+  from $F6 where {_OK('t_k')} and t_k > 200 and t_k < 340 and (type <> 'c' or t_k_flag in ('S', 'V', 'K', 'G')))
+ select event_id, t_k, case when d > t_k + 0.5 then null else d end td_k, case when {_OK('rh')} and rh between 0 and 105 then least(rh, 100) end rh, case when {_OK('wd')} and wd between 0 and 360 then cast(round_even(wd, 0) as int) % 360 end wd,
+  s ws, case when s is not null and g < s then null else g end wg, case when p is not null and {_OK('pr')} and pr >= 0 and pr < 2000 then round_even(pr, 1) end pr, case when {_OK('pr')} and pr >= 0 and pr < 2000 then p end period,
+  case when abs(elev) <= 9000 then cast(round_even(elev, 0) as int) end elev from o"""
 
 
 @register(_QC)
 def P10_P11_quality_control(spark, sf_dir):
-    return P.quality_controlled(feed(spark, sf_dir, "F6")).select("event_id", "t_k", "td_k", "rh", "ws", "wg")
+    return P.quality_controlled(feed(spark, sf_dir, "F6")).select("event_id", "t_k", "td_k", "rh", "wd", "ws", "wg", "pr", "period", "elev")
 
 
 @register("select event_id, provider, case category when 2 then 'hour' when 3 then 'day' else null end period from $F6 left join $F7 using (provider_key)")
@@ -374,9 +379,9 @@ def S17_content_versions(spark, sf_dir):
     return versioned(docs, F.lit("sig"), F.col("lang")).select("doc_id", "key")
 
 
-@register("select type, count(*) n, count(*) filter (where t_flag in ('X', 'Q', 'B')) bad from $F6 group by 1")
+@register("select type, count(*) n, count(*) filter (where t_k_flag in ('X', 'Q', 'B')) bad from $F6 group by 1")
 def A14_counts(spark, sf_dir):
-    return feed(spark, sf_dir, "F6").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t_flag").isin("X", "Q", "B")).alias("bad"))
+    return feed(spark, sf_dir, "F6").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t_k_flag").isin("X", "Q", "B")).alias("bad"))
 
 
 @register("select provider, count(*) n from $F6 join $F7 using (provider_key) where category in (2, 4) group by 1")
@@ -411,13 +416,11 @@ def M1_M2_units(spark, sf_dir):
     return feed(spark, sf_dir, "F6").select("event_id", F.bround(c, 8).alias("c"), F.bround(S.fahrenheit(c), 8).alias("f"), F.bround(S.knots(F.col("ws")), 9).alias("kt"), F.bround(S.magnitude(F.col("ws"), F.col("wg")), 8).alias("mag"))
 
 
-@register("""with a as (select event_id, lat, lon, case sat when 'E' then -75.2e0 else -137.2e0 end sub from $F3),
- b as (select *, acos(greatest(-1, least(cos(radians(lat)) * cos(radians(lon - sub)), 1))) c from a),
- d as (select *, atan2(42164.0e0 * sin(c), 42164.0e0 * cos(c) - 6371.0e0) z from b),
- e as (select *, least(degrees(4.0e0 * tan(z) / 6371.0e0) / greatest(degrees(c), 1e-6), 1.0e0) f from d)
- select event_id, round_even(lat - lat * f, 5) lat, round_even(lon - (lon - sub) * f, 5) lon from e""")
+@register("""with a as (select event_id, lat, lon, radians(lat) p, radians(case sat when 'E' then -75.0e0 else -137.0e0 end - lon) d from $F3),
+ b as (select *, cos(p) * cos(d) c from a), k as (select *, 4.0e0 * sqrt(1 - c * c) / (c - 6378.137e0 / 42164.16e0) s, atan2(sin(d), -sin(p) * cos(d)) z from b)
+ select event_id, round_even(lat - s * -cos(z) / 110.574e0, 5) lat, round_even(lon - s * -sin(z) / (111.320e0 * cos(p)), 5) lon from k""")
 def M4_parallax(spark, sf_dir):
-    sub = F.when(F.col("sat") == "E", -75.2).otherwise(-137.2)
+    sub = F.when(F.col("sat") == "E", -75.0).otherwise(-137.0)
     lat, lon = S.parallax(F.col("lat"), F.col("lon"), sub)
     return feed(spark, sf_dir, "F3").select("event_id", F.bround(lat, 5).alias("lat"), F.bround(lon, 5).alias("lon"))
 
@@ -455,11 +458,11 @@ def M11_precip_type(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", S.precip_type(e % 2, (e % 3 > 1).cast("int"), (e % 5 > 3).cast("int"), (e % 7 > 5).cast("int")).alias("ptype"))
 
 
-@register("""select field, r, c, cast(case when v <= -32 then 0 else greatest(0, least(round_even((v + 33) * 2, 0), 255)) end as int) dbz, cast(greatest(0, least(round_even(v / 0.4e0 + 128, 0), 255)) as int) wind,
+@register("""select field, r, c, cast(case when v / 2 - 33 >= -31.5 then greatest(2, least(round_even((v / 2 - 33 + 32) * 2, 0) + 2, 255)) else 0 end as int) dbz, cast(greatest(0, least(round_even(v / 0.4e0 + 128, 0), 255)) as int) wind,
  cast(round_even(1 + 254 * (greatest(-20, least(v, 80)) + 20) / 100, 0) as int) gray from $F9""")
 def M12_bytes(spark, sf_dir):
     v = F.col("v")
-    return feed(spark, sf_dir, "F9").select("field", "r", "c", S.byte_dbz(v).cast("int").alias("dbz"), S.byte_wind(v).cast("int").alias("wind"), S.byte_gray(v, -20.0, 80.0).cast("int").alias("gray"))
+    return feed(spark, sf_dir, "F9").select("field", "r", "c", S.byte_dbz(v / 2 - 33).cast("int").alias("dbz"), S.byte_wind(v).cast("int").alias("wind"), S.byte_gray(v, -20.0, 80.0).cast("int").alias("gray"))
 
 
 @register("""select o_orderkey, cast(floor(epoch(o_orderdate)) as bigint) run_s, cast(floor(epoch(o_orderdate + to_hours(cast(o_orderkey % 49 as int)))) as bigint) valid_s, cast(floor(epoch(o_orderdate) / 900) * 900 as bigint) quarter_s from orders""")

@@ -43,7 +43,7 @@ from events
 select c_custkey as fire_id, c_name as name,
        case c_mktsegment when 'FURNITURE' then 'RX' when 'BUILDING' then 'CX' else 'WF' end as kind,
        c_custkey % 11 = 0 as is_child,
-       greatest(c_acctbal, 0.0e0) as acres,
+       case when c_custkey % 17 = 0 then null else cast(c_acctbal as double) end as acres,
        cast(2500 + c_custkey*53 % 2400 as double)/100 as lat,
        cast(-12400 + c_custkey*97 % 5600 as double)/100 as lon
 from customer
@@ -54,8 +54,9 @@ select event_id as spot_id,
        cast(2500 + user_id*53 % 2400 + event_id % 13 as double)/100 as lat,
        cast(-12400 + user_id*97 % 5600 + event_id % 17 as double)/100 as lon,
        value as frp, EPOCH(ts) as epoch,
-       case event_type when 'click' then 'low' when 'view' then 'nominal'
-                       when 'purchase' then 'high' when 'signup' then '45' else '85' end as confidence,
+       case when event_id % 10 = 7 then null when event_id % 10 = 3 then '' else
+        case event_type when 'click' then 'low' when 'view' then 'nominal'
+                        when 'purchase' then 'high' when 'signup' then '45' else '85' end end as confidence,
        event_id % 5 as sat_code
 from events
 """,
@@ -68,8 +69,21 @@ select cast(user_id as string) as id,
        cast(2400 + user_id*37 % 2600 as double)/100 as lat,
        cast(-12500 + user_id*61 % 5900 as double)/100 as lon,
        EPOCH(ts) as obs, event_id,
-       255 + value/8 as t_k, 250 + value/8 as td_k, value/4 as rh, value/10 as ws, value/9 as wg,
-       substr('VSCXQBKGZ', cast(event_id % 9 as int) + 1, 1) as t_flag
+       case when event_id % 71 = 0 then 340.0e0 when event_id % 73 = 0 then 200.0e0 else 255 + value/8 end as t_k,
+       case when event_id % 79 = 0 then 320.0e0 else 250 + value/8 + event_id % 7 end as td_k,
+       value/4 as rh, cast(event_id % 373 - 5 as double) + 0.5e0 as wd,
+       case when event_id % 61 = 0 then 100.0e0 else value/10 end as ws,
+       case when event_id % 67 = 0 then 120.0e0 when event_id % 5 = 0 then value/12 else value/9 end as wg,
+       case when event_id % 89 = 0 then 2000.0e0 else value/50 - 1 end as pr,
+       cast(event_id % 30 - 8 as int) as pst1, cast(user_id % 3 as int) as pst3,
+       cast(user_id * 37 % 18400 as double) / 2 + 0.5e0 as elev,
+       substr('VSCXQBKGZ', cast(event_id % 9 as int) + 1, 1) as t_k_flag,
+       substr('VSCXQBKGZ', cast(event_id % 11 % 9 as int) + 1, 1) as td_k_flag,
+       case when event_id % 13 > 8 then null else substr('VSCXQBKGZ', cast(event_id % 13 as int) + 1, 1) end as rh_flag,
+       substr('VSCXQBKGZ', cast(event_id % 17 % 9 as int) + 1, 1) as wd_flag,
+       substr('VSCXQBKGZ', cast(event_id % 19 % 9 as int) + 1, 1) as ws_flag,
+       substr('VSCXQBKGZ', cast(event_id % 23 % 9 as int) + 1, 1) as wg_flag,
+       substr('VSCXQBKGZ', cast(event_id % 29 % 9 as int) + 1, 1) as pr_flag
 from events
 """,
     # providers: allow-list dim with a restriction category
@@ -97,7 +111,7 @@ from lineitem group by l_suppkey, l_linenumber
     # run totals by hour: W5 input (monotone accumulation)
     "F11": """
 select l_suppkey as site, cast(l_linenumber - 1 as int) as fh, sum(l_quantity) as total
-from lineitem group by l_suppkey, l_linenumber
+from lineitem where not (l_suppkey % 3 = 0 and l_linenumber = 1) and not (l_suppkey % 5 = 0 and l_linenumber = 4) group by l_suppkey, l_linenumber
 """,
     # listing: D11 frame keys
     "F12": """

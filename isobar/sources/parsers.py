@@ -38,14 +38,27 @@ def listing(lines: DataFrame) -> DataFrame:
     return rows.where("size is not null and path is not null and path <> ''")
 
 
-def frame_keys(paths: DataFrame) -> DataFrame:
-    """``product/run/leaf``; F### leaves are hours, M##### minutes; any other registers the run without an hour."""
-    f = F.split("path", "/")
-    leaf = F.try_element_at(f, F.lit(3))
-    number = lambda p: F.regexp_extract(leaf, p, 1).try_cast("int")
+def _run_objects(paths: DataFrame, products: DataFrame) -> DataFrame:
+    """Objects ``product, run, leaf`` of ``product/run/leaf`` paths, of runs with a stamp and of the catalog's products (``code``) only."""
+    f = F.split(F.trim("path"), "/")
+    rows = paths.where(F.size(f) == 3).select(f[0].alias("product"), f[1].alias("run"), f[2].alias("leaf"))
+    rows = rows.where(F.col("run").rlike(r"^\d{10}(\d{2})?$"))
+    return rows.join(F.broadcast(products.select(F.col("code").alias("product"))), "product", "left_semi")  # the catalog
+
+
+def frame_keys(paths: DataFrame, products: DataFrame) -> DataFrame:
+    """Frames of the catalog's products; F### leaves are hours, M##### minutes; any other registers the run without an hour."""
+    number = lambda p: F.regexp_extract("leaf", p, 1).try_cast("int")
     hours, minutes = number(r"^F(\d{3})\.png$"), number(r"^M(\d{5})\.png$")
-    rows = paths.where(F.size(f) == 3).select(f[0].alias("product"), f[1].alias("run"), F.coalesce(hours, minutes).alias("fh"), F.when(hours.isNotNull(), "h").when(minutes.isNotNull(), "m").alias("unit"))
-    return rows.where(F.col("run").rlike(r"^\d{10}(\d{2})?$"))
+    return _run_objects(paths, products).select("product", "run", F.coalesce(hours, minutes).alias("fh"), F.when(hours.isNotNull(), "h").when(minutes.isNotNull(), "m").alias("unit"))
+
+
+def source_times(paths: DataFrame, products: DataFrame) -> DataFrame:
+    """``product, run, src``: the latest time of day in each run's markers ``F000.src-HHMMSS``, and as ``t`` with the run's day."""
+    mark = F.nullif(F.regexp_extract("leaf", r"^F000\.src-(\d{6})$", 1), F.lit(""))
+    rows = _run_objects(paths, products).select("product", "run", mark.alias("src")).where("src is not null")
+    rows = rows.groupBy("product", "run").agg(F.max("src").alias("src"))
+    return rows.withColumn("t", F.try_to_timestamp(F.concat(F.substring("run", 1, 8), "src"), F.lit("yyyyMMddHHmmss")))
 
 
 def stamp(name: Column) -> Column:
@@ -75,16 +88,24 @@ def inventory_json(lines: DataFrame) -> DataFrame:
     return rows.where("off is not null and `end` is not null")
 
 
-def inventory_key(var: Column, level: Column, step: Column, levels: tuple[int, ...]) -> Column:
-    """A canonical key, or null."""
-    mb = F.regexp_extract(level, r"^(\d+) mb$", 1).try_cast("int")
+#: fixed values: pressure levels of profiles, from the ground up, and the variables on them
+LEVELS = tuple(range(1000, 99, -50))
+ISOBARIC = ("UGRD", "VGRD", "HGT", "TMP", "DPT")
+
+
+def inventory_key(var: Column, level: Column, step: Column, levels: tuple[int, ...] = LEVELS) -> Column:
+    """A canonical key, or null.  Storm fields need a step: the strongest at 1 km, that of the column, and the total since hour 0."""
+    mb = F.regexp_extract(level, r"^(\d+)( .*)? mb$", 1).try_cast("int")
+    key = lambda at: F.concat(var, F.lit(f":{at}"))
+    step = F.coalesce(step, F.lit(""))
     return (
-        F.when(var.isin("TMP", "DPT", "RH", "UGRD", "VGRD", "HGT") & mb.isin(*levels), F.concat_ws("_", F.lower(var), mb.cast("string")))
-        .when(var.isin("TMP", "DPT", "RH") & (level == "2 m above ground"), F.concat(F.lower(var), F.lit("_2m")))
-        .when(var.isin("UGRD", "VGRD") & (level == "10 m above ground"), F.concat(F.lower(var), F.lit("_10m")))
-        .when(var.isin("PRES", "HGT") & (level == "surface"), F.concat(F.lower(var), F.lit("_sfc")))
-        .when((var == "APCP") & step.rlike(r"^0-\d+ (hour|day) acc"), F.lit("apcp_total"))
-        .when(var == "REFC", F.lit("refc"))
+        F.when((var == "MAXREF") & (level == "1000 m above ground") & step.contains("max"), key("1km"))
+        .when((var == "REFC") & level.startswith("entire atmosphere") & (step != ""), key("col"))
+        .when((var == "APCP") & (level == "surface") & step.startswith("0-") & step.contains(" acc"), key("total"))
+        .when(var.isin(*ISOBARIC) & mb.isin(*levels), F.concat_ws(":", var, mb.cast("string")))
+        .when(var.isin("PRES", "HGT") & (level == "surface"), key("sfc"))
+        .when(var.isin("TMP", "DPT") & (level == "2 m above ground"), key("2m"))
+        .when(var.isin("UGRD", "VGRD") & (level == "10 m above ground"), key("10m"))
     )
 
 

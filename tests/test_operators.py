@@ -23,7 +23,7 @@ def test_declutter_rank_equals_a_loop(spark, seed):
     for level, size in enumerate(P.CELLS):
         claimed = set()
         for i, lat, lon, prio in sorted(rows, key=lambda r: (r[3], r[0])):
-            cell = (math.floor(lat / size), math.floor(lon / size))
+            cell = (math.floor((lat + 90) / size), math.floor((lon + 180) / size))
             if i not in rank and (prio == 0 or level >= 2) and cell not in claimed:
                 claimed.add(cell)
                 rank[i] = level
