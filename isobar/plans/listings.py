@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.operators import listings as L
 from isobar.plans import catalog as C
-from isobar.plans.points import register
+from isobar.plans.points import CARRIED, register
 from isobar.sources import parsers
 from isobar.sources.adapters import NOW, feed, query, table
-from isobar.sources.storage import work_path
+from isobar.sources.storage import ship, work_path
 from isobar.streaming import feeds as K
+from isobar.streaming.slots import FlashFeed, SlotTable, recomputing, upserting
 
 
 def _seconds(c: str):
@@ -322,19 +325,24 @@ def _closing(rows: DataFrame) -> DataFrame:
     return end.select(*(F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema))
 
 
-def _fed(spark: SparkSession, parts: list[DataFrame], make, mode: str = "append") -> DataFrame:
-    """What the stream gives when the parts come in one after another, each in a run of its own from the last checkpoint."""
+def _fed(spark: SparkSession, parts: list[DataFrame], make, mode: str = "append", run=None) -> DataFrame | None:
+    """What the stream gives when the parts come in one after another, each in a run of its own from the last checkpoint.
+
+    With ``run``, for ``foreachBatch``, what it does is the result.
+    """
     path = work_path(spark, "stream")
     for part in parts:
         part.write.mode("append").parquet(f"{path}/in")
         stream = make(lambda: spark.readStream.schema(parts[0].schema).parquet(f"{path}/in"))
         writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-        if mode == "append":
+        if run is not None:
+            writer = writer.foreachBatch(run)
+        elif mode == "append":
             writer = writer.format("parquet").option("path", f"{path}/out")
         else:  # files hold no updates, so each batch is a folder, which a repeated batch replaces
             writer = writer.foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out/batch={i}"))
         writer.start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+    return None if run is not None else spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,15 +363,15 @@ def K1_rolling_flashes(spark, sf_dir):
 _DENSE = "(select event_id, user_id % 50 + 0.0e0 lat, -(user_id % 40) - 60.0e0 lon, 1704067200 + EPOCH(ts) % 7200 as epoch from events)"
 
 
-@register(f"""with m as (select max(epoch) m from {_DENSE}), x as (select *, epoch >= m - 1800 n from {_DENSE}, m where epoch > m - 3600)
+@register(f"""with m as (select max(epoch) // 30 * 30 + 30 m from {_DENSE}), x as (select *, epoch >= m - 1800 n from {_DENSE}, m where epoch >= m - 3600)
  select event_id, epoch from (select event_id, epoch from x qualify row_number() over (partition by n, round_even(lat / case when n then 0.01e0 else 0.08e0 end, 0), round_even(lon / case when n then 0.01e0 else 0.08e0 end, 0),
  floor(epoch / case when n then 30 else 120 end) order by epoch desc, event_id) = 1) order by epoch desc, event_id limit 60000""")
 def K1_flash_feed(spark, sf_dir):
     """The feed after the last of three passes; each pass adds the flashes that came in since, folded into two hours."""
     rows = query(spark, sf_dir, f"select * from {_DENSE}")
-    parts = [rows.where(F.col("event_id") % 3 == k) for k in range(3)]
-    taken = _fed(spark, parts, lambda flashes: flashes())
-    return K.flash_feed(taken).select("event_id", "epoch")
+    feed = FlashFeed(spark, work_path(spark, "flashes"))
+    _fed(spark, [rows.where(F.col("event_id") % 3 == k) for k in range(3)], lambda flashes: feed.changes(flashes()), "update", feed.run)
+    return feed.published().select("event_id", "epoch")
 
 
 @register("select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events group by 1, 2, 3")
@@ -385,6 +393,29 @@ def K3_newest_wins_stream(spark, sf_dir):
     return changes.groupBy("key").agg(F.max_by(F.struct("epoch", "value"), F.struct("epoch", "value")).alias("b")).select("key", "b.epoch", "b.value")
 
 
+@contextmanager
+def _rocks(spark: SparkSession):
+    """State that is kept in RocksDB, as arbitrary state needs it."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@register(f"select station_id, param, cast(floor(epoch(hour)) as bigint) as hour, aqi from {CARRIED}")
+def K3_carried_forward_stream(spark, sf_dir):
+    """Every reading of all hours, and the hours after it that it is held for."""
+    named = F.when(F.col("event_type") == "click", "OZONE").when(F.col("event_type") == "view", "PM2.5").when(F.col("event_type") == "purchase", "PM10").otherwise("OTHER")
+    readings = lambda e: e.select(F.col("user_id").alias("station_id"), named.alias("param"), "ts", F.floor("value").cast("int").alias("aqi"))
+    ship(spark)
+    with _rocks(spark):
+        rows = _drained(spark, sf_dir, lambda events: K.carried_forward(readings(events())), closing=True)
+    return rows.select("station_id", "param", _seconds("hour").alias("hour"), "aqi")
+
+
 @register("select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events where not (event_id % 10 = 0 and ts < (select max(ts) from events) - interval 1 day) group by 1, 2, 3")
 def K4_late_rows_are_dropped(spark, sf_dir):
     """A tenth of the events come when the watermark has passed their hours, and don't count."""
@@ -396,6 +427,26 @@ def K4_late_rows_are_dropped(spark, sf_dir):
     return _fed(spark, parts, lambda events: K.hourly_max(readings(events()))).select("station_id", "param", _seconds("hour").alias("hour"), "aqi")
 
 
+_OVERLAP = 10 * 86400
+
+
+@register(f"""select user_id station_id, event_type param, cast(EPOCH(ts) // 3600 * 3600 as bigint) as hour, max(cast(floor(value) as int)) aqi from events
+ where event_id % 10 <> 0 or EPOCH(ts) // 86400 * 86400 >= (select max(EPOCH(ts) // 86400 * 86400) from events) - {_OVERLAP} group by 1, 2, 3""")
+def K4_recomputed_overlap(spark, sf_dir):
+    """A tenth of the events come last: those within the overlap count in their hours again, the others are dropped."""
+    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = work_path(spark, "overlap")
+    kinds = "station_id long, param string, hour long, aqi int, day long"
+    raw, out = SlotTable(spark, f"{path}/raw", kinds, "day"), SlotTable(spark, f"{path}/hours", kinds, "day")
+    hour = F.expr("unix_timestamp(ts) div 3600 * 3600")
+    readings = lambda e: e.select(F.col("user_id").alias("station_id"), F.col("event_type").alias("param"), hour.alias("hour"), F.floor("value").cast("int").alias("aqi"), F.expr("unix_timestamp(ts) div 86400 * 86400").alias("day"))
+    hourly = lambda r: r.groupBy("station_id", "param", "hour").agg(F.max("aqi").alias("aqi"), F.first("day").alias("day"))
+    late, week = F.col("event_id") % 10 == 0, F.floor(F.unix_timestamp("ts") / (8 * 86400))
+    weeks = [r[0] for r in rows.select(week).distinct().orderBy(week).collect()]  # of 30 days
+    _fed(spark, [*(rows.where(~late & (week == w)) for w in weeks), rows.where(late)], lambda events: readings(events()), run=recomputing(raw, out, _OVERLAP, hourly))
+    return out.read().select("station_id", "param", "hour", "aqi")
+
+
 @register("select event_id, 1 as times from events")
 def K5_incremental_ingest(spark, sf_dir):
     """Granules come in three lots; a run takes only what the runs before it didn't, so each event is parsed once."""
@@ -412,28 +463,28 @@ def K6_companion_stream(spark, sf_dir):
     return _drained(spark, sf_dir, lambda events: K.companions(left(events()), right(events()), 3600, 900)).select("key", "id", "obj")
 
 
-def _upserted(spark: SparkSession, stream: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Each batch writes its own best row of each slot, and no other batch's; the best over all batches is the result.
-
-    A repeated batch replaces what it wrote before.
-    """
+def _upserted(spark: SparkSession, stream: DataFrame, schema: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The table of slots after all batches; a day's slots are one folder."""
     path = work_path(spark, "slots")
+    slots = SlotTable(spark, f"{path}/table", schema, "day")
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    writer.foreachBatch(upserting(slots, keys, order)).start().awaitTermination()
+    return slots.read()
 
-    def run(df: DataFrame, i: int) -> None:
-        K.slot_upsert(df, None, keys, order).write.mode("overwrite").parquet(f"{path}/state/batch={i}")
 
-    writer = stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    writer.foreachBatch(run).start().awaitTermination()
-    return K.slot_upsert(spark.read.schema(stream.schema).parquet(f"{path}/state"), None, keys, order)
+def _slotted(stream: DataFrame, *columns) -> DataFrame:
+    """By hour, and the day that the hour is kept with."""
+    at = F.unix_timestamp("ts")
+    return stream.select((F.col("user_id") % 50).alias("product"), F.floor(at / 3600).alias("slot"), *columns, F.col("event_id").alias("payload"), F.floor(at / 86400).alias("day"))
 
 
 @register("select user_id % 50 as product, EPOCH(ts) // 3600 as slot, max(event_id) filter (where event_id % 2 = p) as payload, p as pass from (select *, max(event_id % 2) over (partition by user_id % 50, EPOCH(ts) // 3600) p from events) group by 1, 2, 4")
 def K7_final_overwrites(spark, sf_dir):
-    e = _event_stream(spark, sf_dir).select((F.col("user_id") % 50).alias("product"), F.expr("unix_timestamp(ts) div 3600").alias("slot"), (F.col("event_id") % 2).alias("pass"), F.col("event_id").alias("payload"))
-    return _upserted(spark, e, ["product", "slot"], "pass").select("product", "slot", "pass", "payload")
+    e = _slotted(_event_stream(spark, sf_dir), (F.col("event_id") % 2).alias("pass"))
+    return _upserted(spark, e, "product long, slot long, pass long, payload long, day long", ["product", "slot"], ["pass"]).select("product", "slot", "pass", "payload")
 
 
 @register("select user_id % 50 as product, EPOCH(ts) // 3600 as slot, max(EPOCH(ts)) src, arg_max(event_id, EPOCH(ts) * 1000000 + event_id) as payload from events group by 1, 2")
 def K8_slot_overwrites(spark, sf_dir):
-    e = _event_stream(spark, sf_dir).select((F.col("user_id") % 50).alias("product"), F.expr("unix_timestamp(ts) div 3600").alias("slot"), F.unix_timestamp("ts").alias("src"), F.col("event_id").alias("payload"))
-    return _upserted(spark, e, ["product", "slot"], "src").select("product", "slot", "src", "payload")
+    e = _slotted(_event_stream(spark, sf_dir), F.unix_timestamp("ts").alias("src"))
+    return _upserted(spark, e, "product long, slot long, src long, payload long, day long", ["product", "slot"], ["src"]).select("product", "slot", "src", "payload")

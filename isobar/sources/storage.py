@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +23,18 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = "/tmp/isobar-work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once a session, for tasks that run Python."""
+    context = spark.sparkContext
+    if getattr(context, "_isobar_sent", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    folder = Path(tempfile.mkdtemp(prefix="isobar-code-"))  # the driver serves it as long as the session lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "isobar_feeds.zip", "w") as z:
+        for f in sorted((root / "isobar").rglob("*.py")):
+            z.write(f, f.relative_to(root).as_posix())
+    context.addPyFile(str(folder / "isobar_feeds.zip"))
+    context._isobar_sent = True

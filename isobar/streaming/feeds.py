@@ -7,9 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from isobar.operators.points import strongest, top_k
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def hourly_max(stream: DataFrame, late: str = "2 hours") -> DataFrame:
@@ -26,20 +24,6 @@ def rolling_flashes(stream: DataFrame, late: str = "2 minutes", cell: float = 0.
     return rows.withWatermark("ts", late).dropDuplicatesWithinWatermark(["cy", "cx", "tb"])
 
 
-def flash_feed(flashes: DataFrame, minutes: int = 60, most: int = 60_000) -> DataFrame:
-    """K1: what a pass publishes out of the flashes (``event_id, lat, lon, epoch``) that came in so far.
-
-    The newest of each cell and time bin, in two tiers, of the last hour before
-    the newest flash; the newest ones where there are too many.
-    """
-    end = flashes.agg(F.max("epoch").alias("end"))
-    rows = flashes.crossJoin(F.broadcast(end)).where(F.col("epoch") > F.col("end") - 60 * minutes)  # one row
-    recent = F.col("epoch") >= F.col("end") - 1800
-    size, seconds = F.when(recent, 0.01).otherwise(0.08), F.when(recent, 30).otherwise(120)
-    cell = [recent, F.rint(F.col("lat") / size).cast("long"), F.rint(F.col("lon") / size).cast("long"), F.floor(F.col("epoch") / seconds)]
-    return top_k(strongest(rows, cell, "epoch", "event_id").drop("end"), most, F.col("epoch").desc(), F.col("event_id"))
-
-
 def companions(left: DataFrame, right: DataFrame, before: int = 360, after: int = 90, late: str = "10 minutes") -> DataFrame:
     """K6: pairs of ``key, t, id`` and ``key, ct, obj`` within the span; both sides are dropped from state once it has passed."""
     a = left.withWatermark("t", late)
@@ -53,36 +37,77 @@ def ingested(granules: DataFrame, schema: str) -> DataFrame:
     return granules.select(F.from_json("line", schema).alias("g")).where("g is not null").select("g.*")
 
 
-EXPIRY_MS = 3 * 3_600_000
+def newest_wins(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """K3 over ``key, ts, value``: each key's newest value of each hour, output whenever it changes; hours are forgotten once the watermark has passed them."""
+    rows = stream.withWatermark("ts", late).withColumn("epoch", F.unix_timestamp("ts"))
+    newest = rows.groupBy("key", F.window("ts", "1 hour")).agg(F.max(F.struct("epoch", "value")).alias("b"))
+    return newest.select("key", "b.epoch", "b.value")
 
 
-def _newest(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    best, changed = (tuple(state.get) if state.exists else None), False
-    for part in rows:
-        top = part.sort_values(["epoch", "value"]).iloc[-1]
-        new = (int(top["epoch"]), float(top["value"]))
-        if best is None or new > best:
-            best, changed = new, True
-    if changed:
-        state.update(best)
-    state.setTimeoutTimestamp(max(best[0] * 1000 + EXPIRY_MS, state.getCurrentWatermarkMs() + 1))
-    if changed:
-        yield pd.DataFrame({"key": [key[0]], "epoch": [best[0]], "value": [best[1]]})
+HOUR_MS = 3_600_000
 
 
-def newest_wins(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """K3 over ``key, ts, value``: each key's newest value; output whenever it changes, forgotten once the watermark has passed it by the expiry."""
-    stream = stream.withWatermark("ts", late).select("key", "ts", F.unix_timestamp("ts").alias("epoch"), "value")
-    out, state = "key string, epoch long, value double", "epoch long, value double"
-    return stream.groupBy("key").applyInPandasWithState(_newest, out, state, "update", GroupStateTimeout.EventTimeTimeout)
-
-
-def slot_upsert(batch: DataFrame, stored: DataFrame | None, keys: list[str], order: str) -> DataFrame:
-    """K7, K8: for ``foreachBatch``: each slot's row of highest order (pass, or source time), old or new."""
-    rows = batch if stored is None else stored.unionByName(batch)
-    rest = [c for c in rows.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, *(c for c in rest if c != order))).alias("r"))
-    return best.select(*keys, *(f"r.{c}" for c in rest))
+class CarryForward(StatefulProcessor):
+    """K3: a key's hours in order, each once the watermark has passed its end; what is missing takes the value before it, for so many hours.
+
+    State: the values of hours that haven't passed, the last hour that had a
+    value, and the last one put out.  A timer at the end of each hour that has or
+    takes a value puts it out.  A key without hours to come has no state.
+    """
+
+    def __init__(self, slots: int):
+        self.slots = slots
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "hour long", "aqi int")
+        self.last = handle.getValueState("last", "hour long, aqi int, put long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            for hour, aqi in part.dropna(subset=["aqi"]).groupby("hour_ms")["aqi"].max().items():
+                hour, aqi = int(hour), int(aqi)
+                known = self.open.getValue((hour,))
+                if known is None or known[0] < aqi:
+                    self.open.updateValue((hour,), (aqi,))
+                self.handle.registerTimer(hour + HOUR_MS)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = timerValues.getCurrentWatermarkInMs()
+        hours = {int(k[0]): int(v[0]) for k, v in self.open.iterator()}
+        last = self.last.get()
+        at, aqi, put = (int(x) for x in last) if last is not None else (None, None, -1)
+        out = []
+        passed = sorted(h for h in hours if h + HOUR_MS <= end)
+        while passed or at is not None:
+            following = [passed[0]] if passed else []
+            if at is not None and put + HOUR_MS <= at + self.slots * HOUR_MS and put + 2 * HOUR_MS <= end:
+                following.append(put + HOUR_MS)
+            if not following:
+                break
+            hour = min(following)
+            if hour in hours:
+                at, aqi = hour, hours.pop(hour)
+                self.open.removeKey((hour,))
+                passed.remove(hour)
+            put = hour
+            out.append((hour, aqi))
+        if at is not None and put >= at + self.slots * HOUR_MS and not hours:
+            self.last.clear()
+        elif at is not None:
+            self.last.update((at, aqi, put))
+            if put < at + self.slots * HOUR_MS and put + HOUR_MS not in hours:
+                self.handle.registerTimer(put + 2 * HOUR_MS)
+        if out:
+            yield pd.DataFrame({"station_id": key[0], "param": key[1], "hour": pd.to_datetime([h for h, _ in out], unit="ms", utc=True).tz_localize(None), "aqi": [v for _, v in out]})
+
+
+def carried_forward(stream: DataFrame, late: str = "2 hours", slots: int = 3) -> DataFrame:
+    """K3 over ``station_id, param, ts, aqi``: the hourly maxima, held for so many hours, as ``W1`` gives them.
+
+    Needs the RocksDB state store.
+    """
+    rows = stream.withWatermark("ts", late).withColumn("hour_ms", F.unix_millis(F.date_trunc("hour", "ts")))
+    out = "station_id long, param string, hour timestamp, aqi int"
+    return rows.groupBy("station_id", "param").transformWithStateInPandas(CarryForward(slots), out, "append", "EventTime")

@@ -38,13 +38,6 @@ def test_first_flash_of_a_cell_wins(spark, tmp_path):
     assert sorted(r["id"] for r in drain(spark, tmp_path, K.rolling_flashes, schema, parts)) == [1, 3]
 
 
-def test_slots_keep_the_highest(spark):
-    old = spark.createDataFrame([(1, 10, "a"), (2, 10, "b")], "slot int, src int, payload string")
-    new = spark.createDataFrame([(1, 9, "c"), (2, 11, "d"), (3, 1, "e")], "slot int, src int, payload string")
-    got = {r["slot"]: r["payload"] for r in K.slot_upsert(new, old, ["slot"], "src").collect()}
-    assert got == {1: "a", 2: "d", 3: "e"}
-
-
 def test_newest_wins_per_key(spark, tmp_path):
     rows = [("a", 1, 1.0), ("a", 3, 3.0), ("b", 2, 2.0)]
     frame = spark.createDataFrame(rows, "key string, epoch long, value double").select("key", F.timestamp_seconds("epoch").alias("ts"), "value")
