@@ -58,8 +58,8 @@ class Index:
     most_centroids: int = 1_024  #: of a half
     rounds: int = 12  #: of moving centroids
     first: int = 1_000  #: entries that the first cells hold at least
-    share: float = 0.97  #: of near pairs whose cell is within reach
-    bucket: int = 8_192  #: entries
+    share: float = 0.95  #: of near pairs whose cell is within reach
+    bucket: int = 2_048  #: entries
     seed: int = 5
 
 
