@@ -39,7 +39,7 @@ def block_reduce(cells: DataFrame, s: int, how: str = "max") -> DataFrame:
     """S x s blocks centred on the subsample's pixel; at the edges the outer cells count as often as padding repeats them."""
     half = s // 2
     last = cells.groupBy("field").agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
-    rows = cells.join(last, "field").where("v is not null")
+    rows = cells.join(maybe_broadcast(last), "field").where("v is not null")
     target = lambda x: F.floor((F.col(x) + half) / s)
     rows = rows.withColumn("tr", target("r")).withColumn("tc", target("c"))
     rows = rows.where((F.col("tr") * s <= F.col("last_r")) & (F.col("tc") * s <= F.col("last_c")))
@@ -148,16 +148,57 @@ def value_grid(cells: DataFrame, w: int, h: int, scale: float, decimals: int = 1
     return values.select("field", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(w * h - 1).cast("long")), lambda k: F.try_element_at(F.col("m"), k)).alias("values"))
 
 
-def ramp(values: DataFrame, stops: list[tuple[float, int, int, int]], linear: bool = True) -> DataFrame:
-    """Colours between stops, or of the nearest stop; ends hold outside.  ``stops`` is a constant of a few dozen rows."""
-    def channel(k: int) -> Column:
-        out = F.when(F.col("v").isNull(), None).when(F.col("v") <= stops[0][0], stops[0][k])
-        for a, b in zip(stops, stops[1:], strict=False):
-            t = (F.col("v") - a[0]) / (b[0] - a[0])
-            out = out.when(F.col("v") <= b[0], F.bround(a[k] + t * (b[k] - a[k])) if linear else F.when(t <= 0.5, a[k]).otherwise(b[k]))
-        return out.otherwise(stops[-1][k]).cast("int")
+BINS = 64  # of a ramp's range
 
-    return values.select("*", channel(1).alias("red"), channel(2).alias("green"), channel(3).alias("blue"))
+
+def ramp_intervals(stops: DataFrame) -> DataFrame:
+    """``stops`` (ramp, value, r, g, b, a) to the intervals between them by bins of the ramp's range.
+
+    Of stops with one value the last by colour holds.  A ramp of a single stop is
+    one interval.
+    """
+    order = Window.partitionBy("ramp").orderBy("value")
+    whole = Window.partitionBy("ramp")
+    stops = stops.groupBy("ramp", "value").agg(F.max(F.struct("r", "g", "b", "a")).alias("c"))
+    rows = stops.select("ramp", F.col("value").alias("lo"), F.col("c").alias("c0"), F.coalesce(F.lead("value").over(order), "value").alias("hi"), F.coalesce(F.lead("c").over(order), "c").alias("c1"), F.min("value").over(whole).alias("least"), F.max("value").over(whole).alias("most"), F.row_number().over(order.orderBy(F.desc("value"))).alias("from_top"), F.count(F.lit(1)).over(whole).alias("n"))
+    rows = rows.where("from_top > 1 or n = 1").drop("from_top", "n")
+    return rows.withColumn("bin", F.explode(F.sequence(ramp_bin(F.col("lo")), ramp_bin(F.col("hi")))))
+
+
+def ramp_bin(v: Column) -> Column:
+    width = (F.col("most") - F.col("least")) / BINS
+    return F.coalesce(F.floor((v - F.col("least")) / F.nullif(width, F.lit(0.0))), F.lit(0)).cast("long")
+
+
+def coloured(values: DataFrame, stops: DataFrame, modes: DataFrame) -> DataFrame:
+    """``values`` (ramp, v, ...) with ``red, green, blue, alpha``.
+
+    ``stops`` is a row for each stop, as ``ramp_lines`` gives them; that of
+    ``none`` is the colour of no value, which is transparent without one.
+    ``modes`` (ramp, linear) tells which ramps go from stop to stop and which
+    take the nearer one, the upper in the middle.  Ends hold outside.  A value
+    meets the intervals of its bin and the exact one is kept.  A ramp that isn't
+    there gives no colour.
+    """
+    intervals = ramp_intervals(stops.where("not none"))
+    bounds = intervals.groupBy("ramp").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    none = stops.where("none").groupBy("ramp").agg(F.max(F.struct("r", "g", "b", "a")).alias("nv"))
+    dims = maybe_broadcast(bounds.join(none, "ramp", "left").join(modes.select("ramp", "linear"), "ramp", "left"))
+    rows = values.join(dims, "ramp", "left")
+    held = F.when(F.isnan("v"), None).otherwise(F.greatest("least", F.least("v", "most")))  # greatest and least skip nulls
+    rows = rows.withColumn("held", F.when(F.col("v").isNotNull() & F.col("least").isNotNull(), held))
+    rows = rows.withColumn("bin", ramp_bin(F.col("held")))
+    parts = maybe_broadcast(intervals.select(F.col("ramp").alias("of"), F.col("bin").alias("in_bin"), "lo", "hi", "c0", "c1", (F.col("hi") == F.col("most")).alias("top")))
+    inside = (F.col("held") >= F.col("lo")) & ((F.col("held") < F.col("hi")) | (F.col("top") & (F.col("held") == F.col("hi"))))
+    rows = rows.join(parts, (F.col("ramp") == F.col("of")) & (F.col("bin") == F.col("in_bin")) & inside, "left")
+    t = F.coalesce((F.col("held") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)), F.lit(0.0))
+
+    def channel(k: str) -> Column:
+        a, b = F.col(f"c0.{k}"), F.col(f"c1.{k}")
+        own = F.when(F.col("linear"), F.bround(a + t * (b - a))).otherwise(F.when(t < 0.5, a).otherwise(b))
+        return F.when(F.col("held").isNotNull(), own).otherwise(F.when(F.col("least").isNotNull(), F.coalesce(F.col(f"nv.{k}"), F.lit(0)))).cast("int")
+
+    return rows.select(*values.columns, *(channel(k).alias(n) for k, n in zip("rgba", ("red", "green", "blue", "alpha"), strict=True)))
 
 
 def tiles(cells: DataFrame, size: int, floor: float) -> DataFrame:
@@ -190,30 +231,62 @@ def frame_quality(pixels: DataFrame) -> DataFrame:
     return rows.withColumn("good", (F.col("lit") >= 0.02) & (F.col("cyan_rows") < 5))
 
 
-def longest_run(pixels: DataFrame, threshold: int = 16) -> DataFrame:
-    """The longest run of consecutive rows that go from dark to lit at the same column, over the number of rows."""
-    step = Window.partitionBy("frame", "y").orderBy("x")
-    dark = F.col("lum") < threshold
-    rows = pixels.withColumn("lum", F.greatest("r", "g", "b"))
-    rows = rows.withColumn("before", F.lag(dark).over(step)).where(F.col("before") & ~dark)
-    island = F.col("y") - F.row_number().over(Window.partitionBy("frame", "x").orderBy("y"))
-    runs = rows.withColumn("i", island).groupBy("frame", "x", "i").agg(F.count(F.lit(1)).alias("n"))
-    heights = pixels.groupBy("frame").agg(F.count_distinct("y").alias("h"))
-    return runs.groupBy("frame").agg(F.max("n").alias("longest")).join(heights, "frame").withColumn("straight", F.col("longest") / F.col("h") >= 0.12)
-
-
-def void_ring(pixels: DataFrame, dark: int = 16, steps: int = 3) -> DataFrame:
-    """Share of dark pixels, and size and mean luminance of the ring around them, grown by 4-neighbours."""
-    rows = pixels.select("frame", F.col("y").alias("r"), F.col("x").alias("c"), F.greatest("r", "g", "b").alias("lum"))
-    share = rows.groupBy("frame").agg(F.avg(F.when(F.col("lum") < dark, 1.0).otherwise(0.0)).alias("share"))
-    void = rows.where(F.col("lum") < dark).select("frame", "r", "c")
-    grown = void
-    for _ in range(steps):
-        grown = _around(grown, 1, corners=False).distinct()
-    ring = rows.join(grown, ["frame", "r", "c"], "left_semi").join(void, ["frame", "r", "c"], "left_anti")
+DARK = 6
+BORDER = 4
+
+
+def _luminance(pixels: DataFrame, n: int) -> DataFrame:
+    """``frame, y, x, dark, lum`` of all n x n places of each frame; one without a pixel is black."""
+    at = F.sequence(F.lit(0), F.lit(n - 1))
+    places = pixels.select("frame").distinct().withColumn("y", F.explode(at)).withColumn("x", F.explode(at))
+    rows = places.join(pixels.select("frame", "y", "x", F.greatest("r", "g", "b").alias("lum")), ["frame", "y", "x"], "left")
+    rows = rows.withColumn("lum", F.coalesce("lum", F.lit(0)))
+    return rows.withColumn("dark", F.col("lum") <= DARK)
+
+
+def straight_edges(dark: DataFrame) -> DataFrame:
+    """``dark`` (frame, y, x, dark, all places) to ``frame, longest``: the longest straight edge between dark and lit, of either kind, along either axis.
+
+    An edge lies between a pixel and the next one across; edges at consecutive
+    places along the axis are one run.
+    """
+    def runs(along: str, across: str) -> DataFrame:
+        edge = F.col("dark") != F.lead("dark").over(Window.partitionBy("frame", along).orderBy(across))
+        edges = dark.withColumn("edge", edge).where("edge")
+        run = F.col(along) - F.row_number().over(Window.partitionBy("frame", across).orderBy(along))
+        return edges.withColumn("run", run).groupBy("frame", across, "run").agg(F.count(F.lit(1)).alias("n")).select("frame", "n")
+
+    return runs("y", "x").union(runs("x", "y")).groupBy("frame").agg(F.max("n").alias("longest"))
+
+
+def void_ring(dark: DataFrame, n: int, steps: int = 3) -> DataFrame:
+    """``frame, share, ring, ring_lum``: the share of dark pixels, and how many pixels surround them and how bright these are.
+
+    The dark grow by their four neighbours so many times, over the frame's edges
+    to the other side; what they gain is the ring, without a border of the frame.
+    """
+    share = dark.groupBy("frame").agg(F.avg(F.when(F.col("dark"), 1.0).otherwise(0.0)).alias("share"))
+    at = F.explode(F.sequence(F.lit(-steps), F.lit(steps)))
+    grown = dark.where("dark").select("frame", "y", "x").withColumn("dy", at).withColumn("dx", at).where(F.abs("dy") + F.abs("dx") <= steps)  # so many steps of four neighbours
+    grown = grown.select("frame", F.pmod(F.col("y") + F.col("dy"), F.lit(n)).alias("y"), F.pmod(F.col("x") + F.col("dx"), F.lit(n)).alias("x")).distinct()
+    inside = F.col("y").between(BORDER, n - BORDER - 1) & F.col("x").between(BORDER, n - BORDER - 1)
+    ring = dark.where(~F.col("dark") & inside).join(grown, ["frame", "y", "x"], "left_semi")
     ring = ring.groupBy("frame").agg(F.count(F.lit(1)).alias("ring"), F.avg("lum").alias("ring_lum"))
-    bad = F.col("share").between(0.005, 0.97) & (F.col("ring") >= 40) & (F.col("ring_lum") >= 45)
-    return share.join(ring, "frame", "left").withColumn("void", F.coalesce(bad, F.lit(False)))
+    return share.join(ring, "frame", "left").na.fill(0, ["ring"])
+
+
+def void_verdict(pixels: DataFrame, n: int) -> DataFrame:
+    """G12 with W9: whether a frame has a hole: dark parts that bright imagery surrounds, with a straight edge over 12 % of the frame."""
+    dark = _luminance(pixels, n)
+    rows = void_ring(dark, n).join(straight_edges(dark), "frame", "left").na.fill(0, ["longest"])
+    bounded = F.col("share").between(0.005, 0.97) & (F.col("ring") >= 40) & (F.col("ring_lum") >= 45)
+    return rows.withColumn("void", F.coalesce(bounded & (F.col("longest") / n >= 0.12), F.lit(False)))
+
+
+def rejected_frames(pixels: DataFrame, n: int) -> DataFrame:
+    """A25 with G12: frames that are blank, banded or have a hole."""
+    rows = frame_quality(pixels).join(void_verdict(pixels, n).select("frame", "void"), "frame")
+    return rows.withColumn("rejected", ~F.col("good") | F.col("void"))
 
 
 def coverage(pixels: DataFrame, y0: int, y1: int, x0: int, x1: int, floor: int = 6) -> DataFrame:
@@ -260,21 +333,53 @@ def tile_summary(voxels: DataFrame, size: int, levels: int, step_m: float) -> Da
 
 
 def mercator_lines(spark, box: tuple[float, float, float, float], width: int, height: int, lat0: float, lon0: float, step_lat: float, step_lon: float) -> tuple[DataFrame, DataFrame]:
-    """G1: of a Mercator image of ``box`` (west, south, east, north) the source row of each line ``i`` and the source column of each column ``j``.
+    """G1: of a Mercator image of ``box`` (west, south, east, north) where each line ``i`` and each column ``j`` lies in the source.
 
-    Source row r begins at lat0 - r step_lat and goes south, source column c at
-    lon0 + c step_lon.  Both are dims of an image's height and width.
+    ``at`` is the place of its centre in source rows or columns, ``top`` and
+    ``bottom`` those of its ends; source row r reaches from r to r + 1, begins at
+    lat0 - r step_lat and goes south, source column c at lon0 + c step_lon.  As
+    lines of a Mercator image differ in height, they cover a varying number of
+    rows.  Both are dims of an image's height and width.
     """
     west, south, east, north = box
     _, y0 = mercator(F.lit(south), F.lit(west))
     _, y1 = mercator(F.lit(north), F.lit(west))
-    y = y1 - (F.col("id") + 0.5) * (y1 - y0) / height
-    lat = F.degrees(2 * F.atan(F.exp(y / 6378137.0))) - 90
-    lon = west + (F.col("id") + 0.5) * (east - west) / width
-    rows = spark.range(height).select(F.col("id").alias("i"), F.floor((lat0 - lat) / step_lat).alias("r"))
-    return rows, spark.range(width).select(F.col("id").alias("j"), F.floor((lon - lon0) / step_lon).alias("c"))
+    row = lambda k: (lat0 - (F.degrees(2 * F.atan(F.exp((y1 - k * (y1 - y0) / height) / 6378137.0))) - 90)) / step_lat
+    column = lambda k: (west + k * (east - west) / width - lon0) / step_lon
+    ends = lambda of: [of(F.col("id") + 0.5).alias("at"), of(F.col("id") + 0.0).alias("top"), of(F.col("id") + 1.0).alias("bottom")]
+    return spark.range(height).select(F.col("id").alias("i"), *ends(row)), spark.range(width).select(F.col("id").alias("j"), *ends(column))
+
+
+def to_mercator(cells: DataFrame, rows: DataFrame, columns: DataFrame, how: str = "near") -> DataFrame:
+    """G1 to a Mercator target (dims of ``mercator_lines``).
+
+    ``near``: the cell under a pixel's centre; ``max``: the strongest of the cells
+    that the pixel touches; ``bilinear``: the four cells around its centre, of
+    which missing ones are left out and the rest weigh as one.  A pixel without a
+    cell has no row.
+    """
+    if how == "near":
+        rows, columns = (d.select(x, F.floor("at").alias(s)) for d, x, s in ((rows, "i", "r"), (columns, "j", "c")))
+        return cells.join(F.broadcast(rows), "r").join(F.broadcast(columns), "c").select("field", "i", "j", "v")
+    if how == "max":
+        touched = lambda d, x, s: d.select(x, F.explode(F.sequence(F.floor("top"), F.greatest(F.ceil("bottom") - 1, F.floor("top")))).alias(s))
+        rows, columns = touched(rows, "i", "r"), touched(columns, "j", "c")
+        found = cells.where("v is not null").join(F.broadcast(rows), "r").join(F.broadcast(columns), "c")
+        return found.groupBy("field", "i", "j").agg(F.max("v").alias("v"))
+
+    def corners(dim: DataFrame, x: str, s: str, w: str) -> DataFrame:
+        low = F.floor(F.col("at") - 0.5)
+        share = F.col("at") - 0.5 - low
+        pair = F.explode(F.array(F.struct(low.alias("s"), (1 - share).alias("w")), F.struct((low + 1).alias("s"), share.alias("w"))))
+        return dim.withColumn("p", pair).select(x, F.col("p.s").alias(s), F.col("p.w").alias(w)).where(F.col(w) > 0)
+
+    joined = cells.where("v is not null").join(F.broadcast(corners(rows, "i", "r", "wr")), "r").join(F.broadcast(corners(columns, "j", "c", "wc")), "c")
+    w = F.col("wr") * F.col("wc")
+    return joined.groupBy("field", "i", "j").agg((F.sum(w * F.col("v")) / F.sum(w)).alias("v"))
 
 
-def to_mercator(cells: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:
-    """G1 nearest to a Mercator target: each pixel takes the cell under its centre, if there is one."""
-    return cells.join(F.broadcast(rows), "r").join(F.broadcast(columns), "c").select("field", "i", "j", "v")
+def products_to_mercator(cells: DataFrame, products: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:
+    """G1: ``cells`` (code, r, c, v) of many products, each as its catalog row (code, resample) has it; categories are never blended."""
+    kinds = cells.withColumnRenamed("code", "field").join(F.broadcast(products.select(F.col("code").alias("field"), "resample")), "field")  # the catalog
+    parts = [to_mercator(kinds.where(F.col("resample") == how), rows, columns, how) for how in ("near", "max", "bilinear")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumnRenamed("field", "code")

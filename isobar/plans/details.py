@@ -160,13 +160,46 @@ def A27_changed(spark, sf_dir):
 
 
 _Y = "ln(tan(0.7853981633974483e0 + radians({}) / 2)) * 6378137.0e0"
+_LAT = lambda k: f"(50 - (degrees(2 * atan(exp((y1 - {k} * (y1 - y0) / 90) / 6378137.0e0))) - 90)) / 0.13e0"
+_LON = lambda k: f"(-120 + {k} * 50 / 120 + 125) / 0.3e0"
+_IMAGE = f"""li as (select i, {_LAT('(i + 0.5e0)')} mid, {_LAT('i')} t, {_LAT('(i + 1)')} b from (select unnest(range(90)) i, {_Y.format('28.0e0')} y0, {_Y.format('48.0e0')} y1)),
+ co as (select j, {_LON('(j + 0.5e0)')} mid, {_LON('j')} t, {_LON('(j + 1)')} b from (select unnest(range(120)) j))"""
+_TWO = lambda d: f"(select * from (select * exclude (mid, t, b), cast(floor(mid - 0.5e0) as bigint) s, 1 - (mid - 0.5e0 - floor(mid - 0.5e0)) w from {d} union all select * exclude (mid, t, b), cast(floor(mid - 0.5e0) as bigint) + 1, mid - 0.5e0 - floor(mid - 0.5e0) from {d}) where w > 0)"
+_NEAR = "select field, i, j, v from {} s join li on s.r = floor(li.mid) join co on s.c = floor(co.mid)"
+_MAX = "select field, i, j, max(v) v from {} s join li on s.r < li.b and s.r + 1 > li.t join co on s.c < co.b and s.c + 1 > co.t group by 1, 2, 3"
+_FOUR = "select field, i, j, sum(v * x.w * y.w) / sum(x.w * y.w) v from {} s join " + _TWO("li") + " x on x.s = s.r join " + _TWO("co") + " y on y.s = s.c group by 1, 2, 3"
 
 
-@register(f"""select field, i, j, v from $F9 s join (select i, cast(floor((50 - (degrees(2 * atan(exp((y1 - (i + 0.5e0) * (y1 - y0) / 90) / 6378137.0e0))) - 90)) / 0.13e0) as bigint) r from (select unnest(range(90)) i, {_Y.format('28.0e0')} y0, {_Y.format('48.0e0')} y1)) a on a.r = s.r
- join (select j, cast(floor((-120 + (j + 0.5e0) * 50 / 120 + 125) / 0.3e0) as bigint) c from (select unnest(range(120)) j)) b on b.c = s.c""")
+def _image(spark):
+    return G.mercator_lines(spark, (-120.0, 28.0, -70.0, 48.0), 120, 90, 50.0, -125.0, 0.13, 0.3)
+
+
+@register(f"with {_IMAGE} {_NEAR.format('$F9')}")
 def G1_mercator_nearest(spark, sf_dir):
-    rows, columns = G.mercator_lines(spark, (-120.0, 28.0, -70.0, 48.0), 120, 90, 50.0, -125.0, 0.13, 0.3)
-    return G.to_mercator(feed(spark, sf_dir, "F9"), rows, columns).select("field", "i", "j", "v")
+    return G.to_mercator(feed(spark, sf_dir, "F9"), *_image(spark), "near").select("field", "i", "j", "v")
+
+
+@register(f"with {_IMAGE} {_MAX.format('$F9')}")
+def G1_mercator_max(spark, sf_dir):
+    return G.to_mercator(feed(spark, sf_dir, "F9"), *_image(spark), "max").select("field", "i", "j", "v")
+
+
+@register(f"with {_IMAGE} select field, i, j, round_even(v, 6) v from ({_FOUR.format('$F9')})")
+def G1_mercator_bilinear(spark, sf_dir):
+    return G.to_mercator(feed(spark, sf_dir, "F9"), *_image(spark), "bilinear").select("field", "i", "j", F.bround("v", 6).alias("v"))
+
+
+#: products of the catalog that stand for the fields, by how they are resampled there
+_CODES_OF = {how: [r["code"] for r in C.product_rows() if r.get("resample", "bilinear") == how] for how in ("near", "max", "bilinear")}
+_FIELD_CODES = {1: _CODES_OF["near"][0], 2: _CODES_OF["near"][1], 3: _CODES_OF["max"][0], 4: _CODES_OF["max"][1], 5: _CODES_OF["bilinear"][0], 6: _CODES_OF["bilinear"][1], 7: _CODES_OF["bilinear"][2]}
+_CODED = "(select case field " + " ".join(f"when {k} then '{c}'" for k, c in _FIELD_CODES.items()) + " end field, r, c, v, field f from $F9)"
+
+
+@register(f"with {_IMAGE} select field code, i, j, round_even(v, 6) v from ({_NEAR.format(f'(select * from {_CODED} where f <= 2)')} union all {_MAX.format(f'(select * from {_CODED} where f in (3, 4))')} union all {_FOUR.format(f'(select * from {_CODED} where f > 4)')})")
+def G1_mercator_by_catalog(spark, sf_dir):
+    """Fields under the names of products that the catalog resamples in three ways."""
+    cells = query(spark, sf_dir, f"select field as code, r, c, v from {_CODED}")
+    return G.products_to_mercator(cells, C.products(spark), *_image(spark)).select("code", "i", "j", F.bround("v", 6).alias("v"))
 
 
 _SITE = "(select case when s_suppkey % 11 = 0 then '' else concat('K', s_suppkey % 40) end id, case when s_suppkey % 7 = 0 then 'x' else cast(s_suppkey % 50 + 0.5e0 as string) end lat, cast(-60.25e0 - s_suppkey % 130 as string) lon from supplier)"

@@ -8,7 +8,8 @@ from isobar.operators import grids as G
 from isobar.operators import volumes as V
 from isobar.plans import catalog as C
 from isobar.plans.points import register
-from isobar.sources.adapters import feed, table
+from isobar.sources import parsers
+from isobar.sources.adapters import feed, query, table
 
 N = 200  # the adapters' grids are N x N
 LONG = {"r": "long", "c": "long", "tr": "long", "tc": "long"}
@@ -113,19 +114,29 @@ def G13_probability(spark, sf_dir):
     return _out(_cells(spark, sf_dir).withColumn("v", G.probability(F.col("v"))), "field", "r", "c", "v")
 
 
-STOPS = [(-20.0, 0, 0, 0), (0.0, 0, 0, 255), (30.0, 0, 255, 0), (60.0, 255, 255, 0), (80.0, 255, 0, 0)]
+# ramps: their stops are rows, three of them linear, one with a colour for no value, one of a single stop and one without stops
+_STOP = """(select concat('ramp', cast(p_partkey % 5 as string)) ramp, concat(cast(case when p_partkey % 5 = 4 then 30 else p_partkey * 7 % 130 - 30 end as string), case when p_partkey % 2 = 0 then '.5 ' else ' ' end,
+ cast(p_partkey * 3 % 256 as string), ' ', cast(p_partkey * 5 % 256 as string), ' ', cast(p_partkey * 11 % 256 as string), case when p_partkey % 3 = 0 then concat(' ', cast(p_partkey % 256 as string)) else '' end) line from part where p_partkey <= 60
+ union all select 'ramp1' as ramp, 'nv 9 8 7 6' as line)"""
+_SHADES = "(select r, c, field, concat('ramp', cast(field - 1 as string)) ramp, case when (r + c) % 9 = 0 then null else v end v from $F9)"
 
 
-def _channel(k: int) -> str:
-    out = f"case when v <= {STOPS[0][0]} then {STOPS[0][k]}"
-    for a, b in zip(STOPS, STOPS[1:], strict=False):
-        out += f" when v <= {b[0]} then round_even({a[k]} + (v - {a[0]}e0) / ({b[0]}e0 - {a[0]}e0) * ({b[k]} - {a[k]}), 0)"
-    return f"cast({out} else {STOPS[-1][k]} end as int)"
+def _shade_sql() -> str:
+    mix = lambda k: f"case when v is null then case when ramp = 'ramp1' then n{k} else 0 end when linear then round_even(a{k} + t * (b{k} - a{k}), 0) when t < 0.5 then a{k} else b{k} end"
+    return f"""with w as (select ramp, string_split(line, ' ') w from {_STOP}), s as (select ramp, cast(w[1] as double) x, max({{'r': cast(w[2] as int), 'g': cast(w[3] as int), 'b': cast(w[4] as int), 'a': coalesce(try_cast(w[5] as int), 255)}}) c from w where w[1] <> 'nv' group by 1, 2),
+ h as (select *, case when v is not null then greatest((select min(x) from s where s.ramp = q.ramp), least(v, (select max(x) from s where s.ramp = q.ramp))) end h, ramp in (select ramp from s) known from {_SHADES} q),
+ l as (select h.*, s.x lo, s.c ca from h asof left join s on h.ramp = s.ramp and h.h >= s.x), u as (select l.*, s.x hi, s.c cb from l asof left join s on l.ramp = s.ramp and l.h <= s.x),
+ m as (select *, ramp in ('ramp0', 'ramp1', 'ramp4') linear, case when hi > lo then (h - lo) / (hi - lo) else 0.0e0 end t, ca.r ar, ca.g ag, ca.b ab, ca.a aa, cb.r br, cb.g bg, cb.b bb, cb.a ba, 9 nr, 8 ng, 7 nb, 6 na from u)
+ select field, r, c, cast(case when known then {mix('r')} end as int) red, cast(case when known then {mix('g')} end as int) green, cast(case when known then {mix('b')} end as int) blue, cast(case when known then {mix('a')} end as int) alpha from m"""
 
 
-@register(f"select field, r, c, {_channel(1)} red, {_channel(2)} green, {_channel(3)} blue from $F9")
-def G9_colour_ramp(spark, sf_dir):
-    return _out(G.ramp(_cells(spark, sf_dir), STOPS), "field", "r", "c", "red", "green", "blue")
+@register(_shade_sql())
+def G9_colour_ramps(spark, sf_dir):
+    """Seven fields by their ramps; two have none."""
+    stops = parsers.ramp_lines(query(spark, sf_dir, f"select * from {_STOP}"))
+    modes = stops.select("ramp", F.col("ramp").isin("ramp0", "ramp1", "ramp4").alias("linear")).distinct()
+    rows = G.coloured(query(spark, sf_dir, f"select * from {_SHADES}"), stops, modes)
+    return _out(rows, "field", "r", "c", "red", "green", "blue", "alpha")
 
 
 @register("select field, r // 20 tr, c // 20 tc, count(*) n from $F9 group by 1, 2, 3 having max(v) >= 75")
@@ -162,27 +173,49 @@ def A25_frame_quality(spark, sf_dir):
     return G.frame_quality(feed(spark, sf_dir, "F18")).withColumn("lit", F.bround("lit", 6))
 
 
-@register("""with p as (select frame, y, x, greatest(r, g, b) lum from $F18), s as (select *, lag(lum) over (partition by frame, y order by x) b from p),
- t as (select *, y - row_number() over (partition by frame, x order by y) i from s where b < 100 and lum >= 100), u as (select frame, x, i, count(*) n from t group by 1, 2, 3)
- select u.frame, max(n) longest, max(h) h, max(n) / max(h) >= 0.12 as straight from u join (select frame, count(distinct y) h from p group by 1) using (frame) group by 1""")
-def W9_longest_run(spark, sf_dir):
-    return G.longest_run(feed(spark, sf_dir, "F18"), 100)
+# 96 x 96 frames of the given pixels on a ground: 1 has a hole within bright imagery, 2 a hole at the frame's edge, 3 a slanted dark part, 4 a hole within night, 5 cyan rows, 6 next to nothing, 7 no hole
+_FRAMES = """(select frame, y, x, case when frame = 1 and y between 20 and 60 and x between 30 and 70 then 0 when frame = 2 and x < 30 then 3 when frame = 3 and y + x * 3 / 4 < 60 then 0
+  when frame = 4 then case when y between 20 and 60 and x between 30 and 70 then 0 else 20 end when frame = 5 and y % 9 = 4 then 90 when frame = 6 then case when y = 5 and x < 40 then 200 else 2 end else 60 + (y * 7 + x) % 100 end as r,
+ case when frame in (1, 2, 3, 4, 6) then 0 when frame = 5 and y % 9 = 4 then 180 else 40 end as g, case when frame in (1, 2, 3, 4, 6) then 0 when frame = 5 and y % 9 = 4 then 220 else 40 end as b
+ from (select distinct l_linenumber frame from lineitem) f, (select distinct l_orderkey % 96 y from lineitem) a, (select distinct l_partkey % 96 x from lineitem) b where (frame + y * 31 + x) % 41 > 0 or frame <> 7)"""
+_DARK = f"""i as (select frame, y, x from (select distinct frame from {_FRAMES}), (select unnest(range(96)) y), (select unnest(range(96)) x)),
+ d as (select i.*, coalesce(greatest(r, g, b), 0) lum, coalesce(greatest(r, g, b), 0) <= 6 blk from i left join {_FRAMES} p on p.frame = i.frame and p.y = i.y and p.x = i.x)"""
 
 
-def _ring_sql(steps: int) -> str:
-    sql = "(select distinct frame, y, x from px where lum < 60)"
+def _grown_sql(steps: int) -> str:
+    sql = "(select frame, y, x from d where blk)"
     for _ in range(steps):
-        sql = f"(select distinct frame, y + dy y, x + dx x from {sql}, (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) d(dy, dx))"
+        sql = f"(select distinct frame, (y + dy + 96) % 96 y, (x + dx + 96) % 96 x from {sql}, (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) m(dy, dx))"
     return sql
 
 
-@register(f"""with px as (select frame, y, x, greatest(r, g, b) lum from $F18), g as {_ring_sql(3)},
- ring as (select px.frame, count(*) ring, avg(lum) rl from px join g on g.frame = px.frame and g.y = px.y and g.x = px.x where lum >= 60 group by 1),
- sh as (select frame, avg(case when lum < 60 then 1.0e0 else 0.0e0 end) share from px group by 1)
- select frame, round_even(share, 6) share, ring, round_even(rl, 4) ring_lum, coalesce(share between 0.005 and 0.97 and ring >= 40 and rl >= 45, false) as void from sh left join ring using (frame)""")
-def G12_void_ring(spark, sf_dir):
-    rows = G.void_ring(feed(spark, sf_dir, "F18"), 60)
-    return rows.withColumn("share", F.bround("share", 6)).withColumn("ring_lum", F.bround("ring_lum", 4))
+_RUNS = """e as (select a.frame, a.y, a.x, 'v' kind from d a join d b on a.frame = b.frame and a.y = b.y and b.x = a.x + 1 and a.blk <> b.blk union all select a.frame, a.x, a.y, 'h' from d a join d b on a.frame = b.frame and a.x = b.x and b.y = a.y + 1 and a.blk <> b.blk),
+ j as (select frame, kind, x, y - row_number() over (partition by frame, kind, x order by y) k from e), l as (select frame, max(n) longest from (select frame, count(*) n from j group by frame, kind, x, k) group by 1)"""
+_VOID = f"""g as (select distinct * from {_grown_sql(3)}), ring as (select frame, count(*) ring, avg(lum) ring_lum from d join g using (frame, y, x) where not blk and y between 4 and 91 and x between 4 and 91 group by 1),
+ sh as (select frame, avg(case when blk then 1.0e0 else 0.0e0 end) share from d group by 1),
+ vv as (select frame, share, coalesce(ring, 0) ring, ring_lum, coalesce(longest, 0) longest, coalesce(share between 0.005 and 0.97 and ring >= 40 and ring_lum >= 45 and longest / 96.0e0 >= 0.12, false) as void from sh left join ring using (frame) left join l using (frame))"""
+
+
+def _frames(spark, sf_dir):
+    return query(spark, sf_dir, f"select * from {_FRAMES}")
+
+
+@register(f"with {_DARK}, {_RUNS} select frame, longest from l")
+def W9_straight_edges(spark, sf_dir):
+    return G.straight_edges(G._luminance(_frames(spark, sf_dir), 96))
+
+
+@register(f"with {_DARK}, {_RUNS}, {_VOID} select frame, round_even(share, 6) share, ring, round_even(ring_lum, 4) ring_lum, longest, void from vv")
+def G12_void_verdict(spark, sf_dir):
+    rows = G.void_verdict(_frames(spark, sf_dir), 96)
+    return rows.select("frame", F.bround("share", 6).alias("share"), "ring", F.bround("ring_lum", 4).alias("ring_lum"), "longest", "void")
+
+
+@register(f"""with {_DARK}, {_RUNS}, {_VOID}, q as (select frame, y, count(*) n, count(*) filter (where greatest(r, g, b) >= 16) lit, count(*) filter (where b > 180 and g > 150 and r < b - 60) cy from {_FRAMES} group by 1, 2),
+ f as (select frame, sum(lit) / sum(n) lit, count(*) filter (where cy > 0.4e0 * n) band from q group by 1)
+ select frame, band cyan_rows, void, lit < 0.02 or band >= 5 or void as rejected from f join vv using (frame)""")
+def A25_G12_rejected_frames(spark, sf_dir):
+    return G.rejected_frames(_frames(spark, sf_dir), 96).select("frame", "cyan_rows", "void", "rejected")
 
 
 @register("select frame, round_even(avg(case when greatest(r, g, b) > 100 then 1.0e0 else 0.0e0 end), 6) covered from $F18 where y between 10 and 60 and x between 20 and 80 group by 1")
