@@ -198,11 +198,13 @@ def dewpoint_c(t_c: Column, rh: Column, a: float = 17.67, b: float = 243.5) -> C
 
 
 def theta_e(t_k: Column, td_k: Column, p_hpa: Column) -> Column:
-    """M9: Bolton's equivalent potential temperature."""
-    e = 6.112 * F.exp(17.67 * (td_k - 273.15) / (td_k - 29.65))
-    r = 0.622 * e / (p_hpa - e)
-    lcl = 1 / (1 / (td_k - 56) + F.log(t_k / td_k) / 800) + 56
-    return t_k * F.pow(1000 / p_hpa, 0.2854 * (1 - 0.28 * r)) * F.exp((3.376 / lcl - 0.00254) * 1000 * r * (1 + 0.81 * r))
+    """M9: Bolton's equivalent potential temperature; a dew point above the temperature is taken as that, and a pressure left for dry air is one hPa at least."""
+    td = F.least(td_k, t_k)
+    e = 6.112 * F.exp(17.67 * (td - 273.15) / (td - 29.65))
+    r = 0.622 * e / F.greatest(p_hpa - e, F.lit(1.0))
+    lcl = 1 / (1 / (t_k - 56) + F.log(t_k / td) / 800) + 56
+    out = t_k * F.pow(1000 / p_hpa, 0.2854 * (1 - 0.28 * r)) * F.exp((3.376 / lcl - 0.00254) * 1000 * r * (1 + 0.81 * r))
+    return F.when(t_k.isNotNull() & td_k.isNotNull() & p_hpa.isNotNull(), out)  # least and greatest skip nulls
 
 
 def precip_type(rain: Column, snow: Column, ice: Column, freezing: Column) -> Column:

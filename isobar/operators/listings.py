@@ -38,11 +38,15 @@ def newest_runs(listed: DataFrame, keep: int) -> DataFrame:
 
 
 def two_class_retention(runs: DataFrame, keep_all: int, keep_long: int, long_hours: int = 19) -> DataFrame:
-    """The newest of all, and the newest of those with more than ``long_hours`` hours."""
+    """Of whole runs (``runs``: product, run, hours, complete) the newest of all, and the newest of those with more than ``long_hours`` hours.
+
+    A run that isn't complete is neither kept nor counted.
+    """
+    whole = F.coalesce("complete", F.lit(False))
     long = F.col("hours") > long_hours
-    any_place = F.row_number().over(Window.partitionBy("product").orderBy(F.col("run").desc()))
-    long_place = F.row_number().over(Window.partitionBy("product", long).orderBy(F.col("run").desc()))
-    return runs.withColumn("kept", (any_place <= keep_all) | (long & (long_place <= keep_long)))
+    any_place = F.row_number().over(Window.partitionBy("product", whole).orderBy(F.col("run").desc()))
+    long_place = F.row_number().over(Window.partitionBy("product", whole, long).orderBy(F.col("run").desc()))
+    return runs.withColumn("kept", whole & ((any_place <= keep_all) | (long & (long_place <= keep_long))))
 
 
 def publish_frontier(expected: DataFrame, published: DataFrame) -> DataFrame:
@@ -80,6 +84,27 @@ def walk_back(wanted: DataFrame, there: DataFrame, offsets: list[int]) -> DataFr
     return rows.groupBy("id").agg(F.min_by(F.struct("run", "offset"), "rank").alias("b")).select("id", "b.run", "b.offset")
 
 
+def newest_cycles(wanted: DataFrame, there: DataFrame, sources: list[tuple[str, int, int, bool]]) -> DataFrame:
+    """``wanted`` (id, t) to the newest cycle that is there and valid at about t: ``id, source, cycle, fhr``.
+
+    ``sources`` in order of preference: name, seconds between cycles, how many
+    seconds to look back, and whether it forecasts.  A forecast is taken at the
+    hour nearest to t, half to even, an analysis at hour 0.  ``there`` has
+    ``source, cycle, fhr``.  The cycles looked at are a few dozen constants.
+    """
+    def tried(rank: int, name: str, step: int, back: int, forecasts: bool) -> Column:
+        last = F.floor(F.col("t") / step) * step
+        hour = lambda c: F.greatest(F.rint((F.col("t") - c) / 3600.0), F.lit(0.0)).cast("long") if forecasts else F.lit(0).cast("long")
+        cycles = F.filter(F.transform(F.sequence(F.lit(0), F.lit(back // step)), lambda k: last - k * step), lambda c: F.col("t") - c <= back)
+        return F.transform(cycles, lambda c: F.struct(F.lit(rank).alias("rank"), (F.col("t") - c).alias("age"), F.lit(name).alias("source"), c.cast("long").alias("cycle"), hour(c).alias("fhr")))
+
+    tries = [tried(rank, *source) for rank, source in enumerate(sources)]
+    rows = wanted.select("id", F.explode(F.concat(*tries)).alias("x")).select("id", "x.*")
+    rows = rows.join(there.select("source", "cycle", "fhr").distinct(), ["source", "cycle", "fhr"])
+    best = rows.groupBy("id").agg(F.min_by(F.struct("source", "cycle", "fhr"), F.struct("rank", "age")).alias("b"))
+    return best.select("id", "b.*")
+
+
 def rolled_up(sizes: DataFrame) -> DataFrame:
     """Bytes and objects by the first two and the first three parts of the path, with their share."""
     part = lambda i: F.try_element_at(F.split("path", "/"), F.lit(i))
@@ -104,10 +129,15 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def merged_stamps(mine: DataFrame, published: DataFrame, retain_s: int) -> DataFrame:
-    """SO4: distinct stamps of both, no older than the newest minus the retention."""
-    rows = mine.select("product", "t").union(published.select("product", "t")).distinct()
-    newest = rows.groupBy("product").agg(F.max("t").alias("m"))
-    return rows.join(maybe_broadcast(newest), "product").where(F.col("t") >= F.col("m") - retain_s).drop("m")
+    """SO4: distinct stamps of both (product, tile, t), no older than the newest minus the retention, newest first as ``place`` from 1.
+
+    Published stamps count only where their tiles have the size that mine have.
+    """
+    own = mine.select("product", "tile", "t").where("t is not null")
+    rows = own.union(published.select("product", "tile", "t").join(own.select("product", "tile").distinct(), ["product", "tile"], "left_semi")).distinct()
+    newest = rows.groupBy("product", "tile").agg(F.max("t").alias("m"))
+    rows = rows.join(maybe_broadcast(newest), ["product", "tile"]).where(F.col("t") >= F.col("m") - retain_s).drop("m")
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("product", "tile").orderBy(F.col("t").desc())))
 
 
 def gaps_between(rows: DataFrame, key: str, order: list[str], t: str) -> DataFrame:

@@ -119,6 +119,13 @@ def allowed(obs: DataFrame, providers: DataFrame, category: int) -> DataFrame:
     return obs.join(providers.where(F.col("category") <= category), "provider_key", "left_semi")
 
 
+def provider_outcomes(obs: DataFrame, providers: DataFrame, category: int) -> DataFrame:
+    """How many rows of each provider are allowed, restricted or of an unknown provider."""
+    rows = obs.groupBy("provider_key").agg(F.count(F.lit(1)).alias("n")).join(providers.select("provider_key", "category"), "provider_key", "left")
+    outcome = F.when(F.col("category").isNull(), "unknown").when(F.col("category") > category, "restricted").otherwise("allowed")
+    return rows.select(outcome.alias("outcome"), "provider_key", "n")
+
+
 #: fixed values: quality flags that pass the second stage
 PASSED = ("S", "V", "K", "G")
 

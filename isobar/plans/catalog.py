@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.operators.sizes import maybe_broadcast
 from isobar.plans.catalog_data import MODELS, PRODUCTS
 
 
@@ -84,16 +85,44 @@ def admitted(fh: Column, fh_min: Column, fh_cap: Column, fh_step: Column, skip:
     return on
 
 
-def implied_floor(pattern: Column) -> Column:
-    """A pattern that names the hour n before needs n hours."""
-    return F.coalesce(F.nullif(F.regexp_extract(pattern, r"\{fh_minus_(\d+)\}", 1), F.lit("")).cast("int"), F.lit(0))
+def _hours_before(pattern: Column) -> Column:
+    """All N of ``{fh_minus_N}`` in a pattern."""
+    return F.transform(F.regexp_extract_all(F.coalesce(pattern, F.lit("")), F.lit(r"\{fh_minus_(\d+)\}"), F.lit(1)), lambda n: n.cast("int"))
+
+
+def implied_floor(*patterns: Column) -> Column:
+    """Patterns that name the hour n before need n hours; the largest n of all of them."""
+    return F.coalesce(F.array_max(F.concat(*map(_hours_before, patterns))), F.lit(0))
 
 
 def filled_pattern(pattern: Column, fh: Column) -> Column:
-    """``{fh}`` and ``{fh_minus_N}`` replaced by hours."""
-    n = implied_floor(pattern)
-    before = F.concat(F.lit("{fh_minus_"), n.cast("string"), F.lit("}"))
-    return F.replace(F.replace(pattern, F.lit("{fh}"), fh.cast("string")), before, (fh - n).cast("string"))
+    """``{fh}`` and every ``{fh_minus_N}`` replaced by hours."""
+    before = lambda n: F.concat(F.lit("{fh_minus_"), n.cast("string"), F.lit("}"))
+    filled = F.aggregate(F.array_distinct(_hours_before(pattern)), pattern, lambda p, n: F.replace(p, before(n), (fh - n).cast("string")))
+    return F.replace(filled, F.lit("{fh}"), fh.cast("string"))
+
+
+def admissions(listed: DataFrame, products: DataFrame, expected: DataFrame, mins: DataFrame, caps: DataFrame, skips: DataFrame) -> DataFrame:
+    """P21 with C1: ``model, code, fh``: the hours that each product can be made for under each model.
+
+    ``listed`` (model, code) are the models' products, ``products`` (code, fh_min,
+    fh_cap, fh_step, patterns) the catalog, ``expected`` (model, fh) the models'
+    hours.  A product's floor is the largest of its own, those that its patterns
+    need and the model's (``mins``: model, code, fh); its caps are its own and the
+    model's (``caps``, alike); hours that lie in a skipped range (``skips``:
+    model, code, lo, hi) go.  Ranges may overlap.  All are as long as the catalog.
+    """
+    per = lambda t, f, name: t.groupBy("model", "code").agg(f("fh").alias(name))
+    rows = listed.select("model", "code").distinct().join(maybe_broadcast(products), "code")
+    rows = rows.join(per(mins, F.max, "least"), ["model", "code"], "left").join(per(caps, F.min, "most"), ["model", "code"], "left")
+    need = F.aggregate(F.transform("patterns", lambda p: F.coalesce(F.array_max(_hours_before(p)), F.lit(0))), F.lit(0), lambda a, n: F.greatest(a, n))
+    floor = F.greatest(F.coalesce("fh_min", F.lit(0)).cast("int"), need, F.coalesce("least", F.lit(0)).cast("int"))
+    far = F.lit(1 << 30)
+    rows = rows.select("model", "code", floor.alias("floor"), F.least(F.coalesce("fh_cap", far), F.coalesce("most", far)).alias("cap"), F.coalesce("fh_step", F.lit(1)).alias("every"))
+    rows = rows.join(maybe_broadcast(expected.select("model", "fh").distinct()), "model").where("fh >= floor and fh <= cap and fh % every = 0")
+    gone = skips.select(F.col("model").alias("m"), F.col("code").alias("k"), "lo", "hi")
+    rows = rows.join(gone, (F.col("model") == F.col("m")) & (F.col("code") == F.col("k")) & F.col("fh").between(F.col("lo"), F.col("hi")), "left_anti")
+    return rows.select("model", "code", "fh")
 
 
 def object_key(template: Column, date: Column, run: Column, fh: Column) -> Column:
@@ -139,11 +168,21 @@ def projected(products: DataFrame, models: DataFrame, overrides: DataFrame) -> D
     so a model's list is as long as the catalog.
     """
     own = overrides.select("model", "code", F.col("match").alias("own"), F.lit(True).alias("replaced"))
-    rows = models.select("model").crossJoin(F.broadcast(products.select("code", "match"))).join(F.broadcast(own), ["model", "code"], "left")
+    rows = models.select("model").crossJoin(F.broadcast(products.select("code", "match"))).join(maybe_broadcast(own), ["model", "code"], "left")
     return rows.select("model", "code", F.when(F.col("replaced"), F.col("own")).otherwise(F.col("match")).alias("match")).where("match is not null")
 
 
+_LEADS = r"^\^:?([A-Za-z0-9]+):"  # a pattern that begins with a variable
+
+
 def matched(inventory: DataFrame, projection: DataFrame) -> DataFrame:
-    """Inventory messages (model, msg, text) with the product whose match they are, as a regular expression; of several the first by code."""
-    rows = inventory.join(F.broadcast(projection), "model").where(F.expr("regexp_like(text, match)"))
+    """Inventory messages (model, msg, text) with the product whose match they are, as a regular expression; of several the first by code.
+
+    Most patterns begin with a variable, so messages meet those of their own
+    variable, and the few others besides.
+    """
+    lead = F.regexp_extract("match", _LEADS, 1)
+    patterns = maybe_broadcast(projection.withColumn("lead", lead))
+    own = inventory.withColumn("lead", F.explode(F.array(F.regexp_extract("text", r"^:?([A-Za-z0-9]+):", 1), F.lit("")))).distinct()
+    rows = own.join(patterns, ["model", "lead"]).where(F.expr("regexp_like(text, match)"))
     return rows.groupBy("model", "msg").agg(F.min("code").alias("code"))

@@ -282,6 +282,11 @@ def A10_complete_stamps(spark, sf_dir):
     return V.complete_stamps(feed(spark, sf_dir, "F15"), 5).select(F.unix_timestamp(F.col("stamp").cast("timestamp")).alias("stamp"))
 
 
+@register("select cast(floor(epoch(max(stamp))) as bigint) stamp from (select stamp from $F15 group by stamp having count(distinct level_name) = 5)")
+def A10_newest_stamp(spark, sf_dir):
+    return V.newest_stamp(feed(spark, sf_dir, "F15"), 5).select(F.unix_timestamp(F.col("stamp").cast("timestamp")).alias("stamp"))
+
+
 @register("select fh from $F12 group by fh having count(distinct product) = 5")
 def A11_complete_hours(spark, sf_dir):
     rows = feed(spark, sf_dir, "F12").select(F.col("fh").alias("stamp"), F.col("product").alias("level_name"))
@@ -298,6 +303,66 @@ def A12_profiles(spark, sf_dir):
     return V.assembled(levels).select("site", text("pressure").alias("ps"), text("td").alias("tds"))
 
 
+_MB = (1000, 850, 700, 500, 300)
+_KINDS = [(k, m) for k in ("TMP", "DPT", "HGT", "UGRD", "VGRD") for m in _MB]
+_ISO = " union all ".join(f"select '{k}:{m}' as key, {i} as n from region where r_regionkey = 0" for i, (k, m) in enumerate(_KINDS))
+_SFC = " union all ".join(f"select '{k}' as key, {100 + i} as n from region where r_regionkey = 0" for i, k in enumerate((*V.SURFACE_KEYS, "APCP:total", "REFC:col", "MAXREF:1km")))
+# values of every key at a place and hour, out of one number of that place and hour; some are not there
+_VALUE = """case when key like 'TMP:%' then 240 + q + n % 7 when key like 'DPT:%' then 238 + q + (q * n) % 13 when key like 'HGT:%' then 100 * n + q when key = 'PRES:sfc' then 60000 + q * 800 when key = 'APCP:total' then q * 2 + fh * 30 when key like '%RE%' then q + n % 3 else q - 20 + n % 9 end"""
+_FIELDS = f"(select a, b, fh, key, cast({_VALUE} as double) v from (select l_orderkey % 40 a, l_partkey % 40 b, l_linenumber - 1 fh, cast(max(l_quantity) as int) q from lineitem group by 1, 2, 3), ({_ISO} union all {_SFC}) where HOLES)"
+_SITES = f"(select concat('s', a, '-', b) site, fh, key, v from {_FIELDS.replace('HOLES', '(a * 7 + b * 5 + n * 3 + fh) % 11 > 0')})"
+
+
+def _get(k: str) -> str:
+    return f"max(v) filter (where key = '{k}')"
+
+
+def _profile_sql() -> str:
+    kelvin = lambda x: f"case when {x} > 100 then {x} - 273.15e0 else {x} end"
+    level = lambda p, h, t, d, u, w, i: f"select site, fh, {i} i, h0, ps, {p} p, {h} h, {kelvin(t)} t, case when {d} is not null then least({kelvin(d)}, {kelvin(t)}) end d, coalesce({u}, 0) u, coalesce({w}, 0) w from w"
+    columns = ", ".join(f"{_get(k)} s{i}" for i, k in enumerate(V.SURFACE_KEYS)) + ", " + ", ".join(f"{_get(f'{k}:{m}')} {k.lower()}{m}" for k, m in _KINDS)
+    rows = [level("s0 / 100", "s1", "s2", "s3", "s4", "s5", 0) + " where s0 is not null and s1 is not null and s2 is not null and s3 is not null"]
+    rows += [level(f"{m}.0e0", f"hgt{m}", f"tmp{m}", f"dpt{m}", f"ugrd{m}", f"vgrd{m}", i) + f" where not coalesce({m} * 100 > s0, false) and tmp{m} is not null and dpt{m} is not null and hgt{m} is not null" for i, m in enumerate(_MB, 1)]
+    text = lambda c, digits: f"string_agg(cast(cast(round_even({c}, {digits}) * 100 as bigint) as varchar), ',' order by p desc, i)"
+    return f"""with w as (select site, fh, {_get('HGT:sfc')} h0, {_get('PRES:sfc')} ps, {columns} from {_SITES} group by 1, 2), l as ({' union all '.join(rows)})
+ select site, fh, round_even(coalesce(any_value(h0), arg_max(h, p)), 1) elev_m, {text('p', 1)} ps, {text('h', 1)} hs, {text('t', 2)} ts, {text('d', 2)} ds, {text('u', 2)} us, {text('w', 2)} vs from l group by 1, 2 having count(*) >= 4"""
+
+
+@register(_profile_sql())
+def A12_soundings(spark, sf_dir):
+    """Soundings of 1,600 sites and seven hours, from keyed fields of which one in eleven is absent."""
+    rows = V.profiles(query(spark, sf_dir, f"select * from {_SITES}"), _MB)
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.rint(x * 100).cast("long").cast("string")), ",")
+    columns = {"ps": "pres_hpa", "hs": "hgt_msl_m", "ts": "temp_c", "ds": "dewpoint_c", "us": "u_ms", "vs": "v_ms"}
+    return rows.select("site", F.col("fh").cast("long").alias("fh"), "elev_m", *(text(c).alias(k) for k, c in columns.items()))
+
+
+_TILED = f"(select a r, b c, fh, key, v from {_FIELDS.replace('HOLES', 'not (fh = 5 and n = 6) and not (n >= 106 and (a + b + n) % 5 = 0) and not (fh = 1 and n = 106)')})"
+
+
+def _tile_sql() -> str:
+    ten = lambda x: f"cast(round_even({x}, 1) * 10 as bigint)"
+    kelvin = lambda x: f"case when {x} > 100 then {x} - 273.15e0 else {x} end"
+    temps = " || ',' || ".join(f"cast({ten(kelvin(_get(f'TMP:{m}')))} as varchar)" for m in _MB)
+    dews = " || ',' || ".join(f"cast({ten('least(' + kelvin(_get(f'DPT:{m}')) + ', ' + kelvin(_get(f'TMP:{m}')) + ')')} as varchar)" for m in _MB)
+    return f"""with f as {_TILED}, h as (select fh from f where key in ({', '.join(f"'{k}'" for k in [*V.SURFACE_KEYS, *(f'{k}:{m}' for k, m in _KINDS)])}) group by fh having count(distinct key) = {len(V.SURFACE_KEYS) + len(_KINDS)}),
+ c as (select r, c, fh, {ten(_get('PRES:sfc') + ' / 100')} p, {ten(kelvin(_get('TMP:2m')))} t, {_get('APCP:total')} total, cast(round_even(coalesce({_get('MAXREF:1km')}, {_get('REFC:col')}), 0) as bigint) refl, {temps} ts, {dews} ds from f group by 1, 2, 3)
+ select x.r // 16 tr, x.c // 16 tc, x.fh, cast(row_number() over (partition by x.r // 16, x.c // 16, x.fh order by x.r, x.c) - 1 as int) k, x.p sfc_p, x.t sfc_t, x.ts temps, x.ds dews, x.refl, {ten('greatest(x.total - coalesce(y.total, case when x.fh = 1 then 0 end), 0)')} qpf
+ from (select c.* from c join h using (fh)) x left join c y on y.r = x.r and y.c = x.c and y.fh = x.fh - 1""".replace("greatest(x.total - coalesce(y.total, case when x.fh = 1 then 0 end), 0)", "case when x.fh > 0 and x.total is not null and coalesce(y.total, case when x.fh = 1 then 0 end) is not null then greatest(x.total - coalesce(y.total, case when x.fh = 1 then 0 end), 0) end")
+
+
+@register(_tile_sql())
+def A13_profile_tiles(spark, sf_dir):
+    """The documents of all tiles, opened again: hours in them, columns in these.  One hour lacks a field and isn't there."""
+    tiles = V.profile_tiles(query(spark, sf_dir, f"select * from {_TILED}"), _MB)
+    rows = tiles.select("tr", "tc", F.explode("hours").alias("h"))
+    ten = lambda x: F.rint(x * 10).cast("long")
+    text = lambda c: F.array_join(F.transform(c, lambda x: ten(x).cast("string")), ",")
+    names = ("sfc_pres_hpa", "sfc_temp_c", "temp_c", "dewpoint_c", "refl_dbz", "qpf_mm")
+    rows = rows.select("tr", "tc", F.col("h.fh").alias("fh"), F.posexplode(F.arrays_zip(*(F.col(f"h.{n}").alias(n) for n in names))).alias("k", "x"))
+    return rows.select("tr", "tc", F.col("fh").cast("long").alias("fh"), "k", ten(F.col("x.sfc_pres_hpa")).alias("sfc_p"), ten(F.col("x.sfc_temp_c")).alias("sfc_t"), text(F.col("x.temp_c")).alias("temps"), text(F.col("x.dewpoint_c")).alias("dews"), F.col("x.refl_dbz").cast("long").alias("refl"), ten(F.col("x.qpf_mm")).alias("qpf"))
+
+
 @register("select r // 16 tr, c // 16 tc, count(*) n, min(r) - 0.75e0 r0, max(c) + 0.75e0 c1 from $F9 where field = 1 group by 1, 2")
 def A13_tile_packing(spark, sf_dir):
     rows = V.packed(_cells(spark, sf_dir).where("field = 1"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.operators import listings as L
+from isobar.operators.sizes import maybe_broadcast
 from isobar.plans import catalog as C
 from isobar.plans.points import CARRIED, register
 from isobar.sources import parsers
@@ -85,11 +86,13 @@ def P17_inventory_keys(spark, sf_dir):
     return query(spark, sf_dir, f"select * from {_INV}").select("p_partkey", key.alias("key"))
 
 
-@register("select msg, file_id from $F14 where concat(lvl, ':', file_id % 5 - 1, '-', file_id % 5, ' hour') = concat(lvl, ':', 1, '-', 2, ' hour')")
+@register("select msg, file_id, k fh from (select msg, file_id, file_id % 9 - 1 a, file_id % 9 b, file_id % 9 - 6 c from $F14), (select unnest(range(9)) k) where b = k and a = k - 1 and c = k - 6")
 def P18_pattern_match(spark, sf_dir):
-    rows = feed(spark, sf_dir, "F14").withColumn("step", F.concat((F.col("file_id") % 5 - 1).cast("string"), F.lit("-"), (F.col("file_id") % 5).cast("string"), F.lit(" hour")))
-    pattern = C.filled_pattern(F.lit("^{fh_minus_1}-{fh} hour$"), F.lit(2))
-    return rows.where(F.regexp_like("step", pattern)).select("msg", "file_id")
+    """Steps that name two hours before, against the pattern of each hour."""
+    k = F.col("file_id") % 9
+    rows = feed(spark, sf_dir, "F14").withColumn("step", F.concat((k - 1).cast("string"), F.lit("-"), k.cast("string"), F.lit(" since "), (k - 6).cast("string")))
+    hours = spark.range(9).select(F.col("id").alias("fh"), C.filled_pattern(F.lit("^{fh_minus_1}-{fh} since {fh_minus_6}$"), F.col("id")).alias("pattern"))
+    return rows.join(F.broadcast(hours), F.expr("regexp_like(step, pattern)")).select("msg", "file_id", "fh")  # nine hours
 
 
 _ENDS = "(select file_id, msg, off, en as \"end\", lvl from $F14 join (select file_id, off, lead(off) over (partition by file_id order by off) - 1 en from (select distinct file_id, off from $F14)) using (file_id, off))"
@@ -115,12 +118,14 @@ def W6_newest_runs(spark, sf_dir):
     return L.newest_runs(feed(spark, sf_dir, "F12"), 10).select("product", _seconds("run").alias("run"), "fh", "obj", "purged")
 
 
-_RUNS = "(select product, run, count(distinct fh) as hours from $F12 group by 1, 2)"
+_RUNS = "(select product, run, count(distinct fh) as hours, max(obj) % 7 > 0 as complete from $F12 group by 1, 2)"
 
 
-@register(f"""select product, cast(floor(epoch(run)) as bigint) run, hours, row_number() over (partition by product order by run desc) <= 5 or (hours > 1 and row_number() over (partition by product, hours > 1 order by run desc) <= 4) as kept from {_RUNS}""")
+@register(f"""with e as (select product, run, hours, row_number() over (partition by product order by run desc) n from {_RUNS} where complete), l as (select product, run, row_number() over (partition by product order by run desc) n from e where hours > 1)
+ select r.product, cast(floor(epoch(r.run)) as bigint) run, r.hours, exists (select 1 from e where e.product = r.product and e.run = r.run and n <= 5) or exists (select 1 from l where l.product = r.product and l.run = r.run and n <= 4) as kept from {_RUNS} r""")
 def W7_two_class_retention(spark, sf_dir):
-    runs = feed(spark, sf_dir, "F12").groupBy("product", "run").agg(F.count_distinct("fh").alias("hours"))
+    """Runs of which one in seven is partial."""
+    runs = feed(spark, sf_dir, "F12").groupBy("product", "run").agg(F.count_distinct("fh").alias("hours"), (F.max("obj") % 7 > 0).alias("complete"))
     return L.two_class_retention(runs, 5, 4, 1).select("product", _seconds("run").alias("run"), "hours", "kept")
 
 
@@ -165,6 +170,21 @@ def J6_nearest_run_of_all(spark, sf_dir):
     return L.walk_back(wanted, there, [0, 3600, -3600, -7200, -10800, 7200, 10800])
 
 
+_CYCLES = """select case when o_orderkey % 5 = 0 then 'ru' when o_orderkey % 5 = 1 then 'hourly' else 'gfs' end source, 1704067200 + EPOCH(o_orderdate) div 86400 % 30 * 86400 + case when o_orderkey % 5 = 0 then o_orderkey % 96 * 900 when o_orderkey % 5 = 1 then o_orderkey % 24 * 3600 else o_orderkey % 4 * 21600 end cycle,
+ case when o_orderkey % 5 < 2 then 0 else o_custkey % 20 end fhr from orders"""
+
+
+@register(f"""with th as (select distinct source, cycle, fhr from ({_CYCLES.replace(' div ', ' // ')})), w as (select event_id id, EPOCH(ts) t from events),
+ c as (select id, t, 0 rk, 'ru' source, t // 900 * 900 - k * 900 cycle from w, (select unnest(range(11)) k) where t - (t // 900 * 900 - k * 900) <= 9000 union all select id, t, 1, 'hourly', t // 3600 * 3600 - k * 3600 from w, (select unnest(range(4)) k) where t - (t // 3600 * 3600 - k * 3600) <= 12600
+  union all select id, t, 2, 'gfs', t // 21600 * 21600 - k * 21600 from w, (select unnest(range(4)) k) where t - (t // 21600 * 21600 - k * 21600) <= 64800),
+ h as (select *, case when rk < 2 then 0 else cast(round_even((t - cycle) / 3600.0e0, 0) as bigint) end fhr from c)
+ select id, h.source, h.cycle, h.fhr from h join th on th.source = h.source and th.cycle = h.cycle and th.fhr = h.fhr qualify row_number() over (partition by id order by rk, t - h.cycle) = 1""")
+def J6_newest_cycles(spark, sf_dir):
+    """Every event's newest analysis of two kinds, else the newest forecast that is valid then."""
+    sources = [("ru", 900, 9000, False), ("hourly", 3600, 12600, False), ("gfs", 21600, 64800, True)]
+    return L.newest_cycles(query(spark, sf_dir, "select event_id id, EPOCH(ts) t from events"), query(spark, sf_dir, _CYCLES), sources)
+
+
 @register("""select prefix, depth, bytes, objects, round_even(bytes * 100.0e0 / sum(bytes) over (partition by depth), 3) share from (
  select concat('v1/', source) prefix, 2 as depth, sum(n_chars) bytes, count(*) objects from documents group by 1 union all select concat('v1/', source, '/', lang), 3, sum(n_chars), count(*) from documents group by 1)""")
 def A15_storage_rollup(spark, sf_dir):
@@ -246,9 +266,11 @@ def W10_tier_inheritance(spark, sf_dir):
     return L.inherited_tiers(rows.select("product", "tier", size.cast("long").alias("bytes"), (F.lit(8) - F.col("tier") * 2).cast("int").alias("min_zoom")))
 
 
-@register("select distinct product, t from (select product, EPOCH(run) t, max(EPOCH(run)) over (partition by product) m from $F12) where t >= m - 2592000")
+@register("""with m as (select distinct product, EPOCH(run) t from $F12 where obj % 2 = 0), u as (select product, t from m union select product, EPOCH(run) t from $F12 where obj % 2 = 1 and obj % 5 > 0 and product in (select product from m)),
+ k as (select *, max(t) over (partition by product) x from u) select product, cast(16 as int) tile, t, cast(row_number() over (partition by product order by t desc) as int) place from k where t >= x - 2592000""")
 def SO4_merged_stamps(spark, sf_dir):
-    f = feed(spark, sf_dir, "F12").select("product", "obj", _seconds("run").alias("t"))
+    """Published stamps of which one in five is of other tiles."""
+    f = feed(spark, sf_dir, "F12").select("product", "obj", F.when((F.col("obj") % 2 == 1) & (F.col("obj") % 5 == 0), 8).otherwise(16).alias("tile"), _seconds("run").alias("t"))
     return L.merged_stamps(f.where("obj % 2 = 0"), f.where("obj % 2 = 1"), 2592000)
 
 
@@ -263,12 +285,26 @@ def SO5_upsert(spark, sf_dir):
 # catalog: the forecast calendar meets what is there
 
 
-@register("select distinct o_orderkey % 49 fh, o_orderpriority product from orders where o_orderkey % 49 <= 18 or (o_orderkey % 4 = 0 and o_orderkey % 49 <= 48)")
-def C1_calendar(spark, sf_dir):
-    """Hours of the listing that the calendar of HRRR expects; runs at 0, 6, 12 and 18 go further."""
-    expected = C.calendar(C.models(spark).where("model = 'HRRR'")).select("run_hour", "fh")
-    listed = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 49).alias("fh"), F.col("o_orderpriority").alias("product"), (F.col("o_orderkey") % 4 * 6 + F.when(F.col("o_orderkey") % 4 == 0, 0).otherwise(1)).alias("run_hour"))
-    return listed.join(F.broadcast(expected), ["run_hour", "fh"]).select("fh", "product").distinct()  # a calendar has at most a few thousand rows
+_MODELS = ", ".join(f"({i}, '{r['model']}', '{r['calendar']}')" for i, r in enumerate(C.model_rows()))
+_SPAN = lambda t, k: f"cast(regexp_extract({t}, '(\\d+)\\.\\.(\\d+)/(\\d+)', {k}) as int)"
+_CALENDARS = f"""md as (select * from (values {_MODELS}) t(k, model, cal)), pt as (select k, unnest(string_split(regexp_replace(trim(split_part(cal, ';', 1)), '^(seg|min) ', ''), ' + ')) x from md), pl as (select k, {_SPAN('x', 1)} a, {_SPAN('x', 2)} b, {_SPAN('x', 3)} s from pt),
+ sy as (select k, {_SPAN('x', 1)} a, {_SPAN('x', 2)} b, {_SPAN('x', 3)} s, list_transform(string_split(regexp_extract(x, '\\[(.*)\\]', 1), ', '), lambda h: cast(h as int)) hs from (select k, split_part(cal, ';', 2) x from md where cal like '%syn%')),
+ ca as (select k, model, h run_hour, a, b, s from md join pl using (k), (select unnest(range(24)) h) where not exists (select 1 from sy where sy.k = md.k and list_contains(hs, h)) union all select k, model, unnest(hs), a, b, s from md join sy using (k))"""
+
+
+def _numbered(spark, names: list[str]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(list(enumerate(names)), "k long, name string"))  # the catalog
+
+
+@register(f"with {_CALENDARS} select o_orderkey, model, cast(o_orderkey % 24 as int) run_hour, cast(o_orderkey * 7 % 400 as int) fh from orders where exists (select 1 from ca where ca.k = o_custkey % 46 and run_hour = o_orderkey % 24 and o_orderkey * 7 % 400 between a and b and (o_orderkey * 7 % 400 - a) % s = 0)".replace("select o_orderkey, model", "select o_orderkey, (select model from md where md.k = o_custkey % 46) model"))
+def C1_calendars(spark, sf_dir):
+    """Orders, as frames of all models, that the models' calendars expect."""
+    names = _numbered(spark, [r["model"] for r in C.model_rows()])
+    k = F.col("o_orderkey")
+    frames = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 46).alias("k"), (k % 24).cast("int").alias("run_hour"), (k * 7 % 400).cast("int").alias("fh"))
+    frames = frames.join(names, "k").withColumnRenamed("name", "model")
+    expected = C.calendar(C.models(spark)).select("model", "run_hour", "fh")
+    return frames.join(maybe_broadcast(expected, 200_000), ["model", "run_hour", "fh"], "left_semi").select("o_orderkey", "model", "run_hour", "fh")
 
 
 @register("""select o_orderkey, cast(floor((epoch(o_orderdate) - 5400) / 21600) as bigint) * 21600 - k * 21600 run from orders, (select unnest(range(3)) k)""")
@@ -277,9 +313,36 @@ def C2_candidate_runs(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(runs).alias("run")).select("o_orderkey", F.unix_timestamp("run").alias("run"))
 
 
-@register("select obj, fh from $F12 where fh >= 3 and fh <= 36 and fh % 3 = 0 and fh not between 12 and 18")
+_CODES = ", ".join(f"({i}, '{r['code']}', {r.get('fh_min', 'null')}, {r.get('fh_cap', 'null')}, {r.get('fh_step', 'null')})" for i, r in enumerate(C.product_rows()))
+
+
+@register(f"""with {_CALENDARS}, pr as (select * from (values {_CODES}) t(c, code, lo, cap, st)), ls as (select distinct p_partkey % 46 k, p_partkey % 192 c from part), ex as (select distinct k, unnest(range(a, b + 1, s)) fh from ca where run_hour = 6),
+ mi as (select s_suppkey % 46 k, s_suppkey % 192 c, max(s_suppkey % 9) fh from supplier group by 1, 2), cp as (select p_partkey % 46 k, p_partkey % 192 c, min(p_size + 20) fh from part where p_partkey % 4 = 0 group by 1, 2), sk as (select c_custkey % 46 k, c_custkey % 192 c, c_custkey % 40 a, c_custkey % 40 + 5 b from customer where c_custkey % 3 = 0)
+ select model, code, cast(ex.fh as int) fh from ls join md using (k) join pr using (c) join ex using (k) left join mi on mi.k = ls.k and mi.c = ls.c left join cp on cp.k = ls.k and cp.c = ls.c
+ where ex.fh >= greatest(coalesce(lo, 0), case c % 4 when 0 then 6 when 1 then 12 else 0 end, coalesce(mi.fh, 0)) and (cap is null or ex.fh <= cap) and (cp.fh is null or ex.fh <= cp.fh) and (st is null or ex.fh % st = 0)
+ and not exists (select 1 from sk where sk.k = ls.k and sk.c = ls.c and ex.fh between sk.a and sk.b)""")
+def P21_admissions(spark, sf_dir):
+    """Products of all models at the hours of their runs at 6, with floors out of several patterns, and each model's own limits and skipped ranges."""
+    models, codes = (_numbered(spark, [r[k] for r in rows]) for rows, k in ((C.model_rows(), "model"), (C.product_rows(), "code")))
+
+    def named(rows: DataFrame, key: str, *columns) -> DataFrame:
+        rows = rows.select((F.col(key) % 46).alias("mk"), (F.col(key) % 192).alias("ck"), *columns)
+        rows = rows.join(models.select(F.col("k").alias("mk"), F.col("name").alias("model")), "mk").join(codes.select(F.col("k").alias("ck"), F.col("name").alias("code")), "ck")
+        return rows.drop("mk", "ck")
+
+    part, supplier, customer = (table(spark, sf_dir, t) for t in ("part", "supplier", "customer"))
+    patterns = F.when(F.col("k") % 4 == 0, F.array(F.lit("APCP:{fh_minus_1}-{fh} hour, {fh_minus_6}-{fh} hour"))).when(F.col("k") % 4 == 1, F.array(F.lit("x:{fh_minus_12}"), F.lit(None), F.lit("y:{fh_minus_3}"))).otherwise(F.array(F.lit("TMP")))
+    products = C.products(spark).join(codes.select(F.col("name").alias("code"), patterns.alias("patterns")), "code")
+    expected = C.calendar(C.models(spark)).where("run_hour = 6")
+    mins = named(supplier, "s_suppkey", (F.col("s_suppkey") % 9).alias("fh"))
+    caps = named(part.where("p_partkey % 4 = 0"), "p_partkey", (F.col("p_size") + 20).alias("fh"))
+    skips = named(customer.where("c_custkey % 3 = 0"), "c_custkey", (F.col("c_custkey") % 40).alias("lo"), (F.col("c_custkey") % 40 + 5).alias("hi"))
+    return C.admissions(named(part, "p_partkey"), products, expected, mins, caps, skips).select("model", "code", F.col("fh").cast("int").alias("fh"))
+
+
+@register("select obj, fh from $F12 where fh >= 6 and fh <= 36 and fh % 3 = 0 and fh not between 12 and 18")
 def P21_admission(spark, sf_dir):
-    floor = F.greatest(C.implied_floor(F.lit("APCP:{fh_minus_1}-{fh}")), F.lit(3))
+    floor = F.greatest(C.implied_floor(F.lit("APCP:{fh_minus_1}-{fh}"), F.lit("APCP:{fh_minus_6}-{fh}")), F.lit(3))
     ok = C.admitted(F.col("fh"), floor, F.lit(36), F.lit(3), [(12, 18)])
     return feed(spark, sf_dir, "F12").where(ok).select("obj", "fh")
 
@@ -290,12 +353,15 @@ def ST2_object_keys(spark, sf_dir):
     return feed(spark, sf_dir, "F12").select("obj", key.alias("key"))
 
 
-@register("select event_id, case when event_id % 3 = 0 then 'degF' when event_id % 3 = 1 then 'kt' else 'in' end units from events")
+_UNITS = ", ".join(f"({i}, '{r['units']}', '{r['class']}')" for i, r in enumerate(C.product_rows()))
+
+
+@register(f"select event_id, u units, cl as \"class\" from events join (values {_UNITS}) t(k, u, cl) on k = event_id % 192")
 def S11_catalog(spark, sf_dir):
-    """Events with the units of the product that they name."""
-    code = F.element_at(F.array(F.lit("t2m"), F.lit("wind10m"), F.lit("mesh")), (F.col("event_id") % 3 + 1).cast("int"))
-    units = F.broadcast(C.products(spark).select("code", "units"))  # the catalog: 192 rows
-    return table(spark, sf_dir, "events").select("event_id", code.alias("code")).join(units, "code").select("event_id", "units")
+    """Events with the units and class of the product that they name; all products are named."""
+    code = F.element_at(F.array(*(F.lit(r["code"]) for r in C.product_rows())), (F.col("event_id") % 192 + 1).cast("int"))
+    units = F.broadcast(C.products(spark).select("code", "units", "class"))  # the catalog: 192 rows
+    return table(spark, sf_dir, "events").select("event_id", code.alias("code")).join(units, "code").select("event_id", "units", "class")
 
 
 # streams: run to the end of what is there, into a table

@@ -11,7 +11,7 @@ from isobar.operators import listings as L
 from isobar.operators import points as P
 from isobar.sources import parsers
 from isobar.sources.adapters import NOW, duck, feed, query, table
-from isobar.sources.publish import documents, guarded, publish, union_of_feeds, verdicts, versioned, write_tiles
+from isobar.sources.publish import documents, guarded, publish, tolerant_union, union_of_feeds, verdicts, versioned, write_guarded, write_tiles
 from isobar.sources.storage import work_path
 
 QUERIES: dict = {}
@@ -150,6 +150,13 @@ def W2_declutter_rank(spark, sf_dir):
     return P.declutter_rank(_stations(spark, sf_dir)).select("id", "prio", "rank")
 
 
+@register("""with p as (select *, category c from $F7 where provider_key % 7 <> 6)
+ select case when c is null then 'unknown' when c > 3 then 'restricted' else 'allowed' end outcome, o.provider_key, count(*) n from $F6 o left join p on p.provider_key = o.provider_key group by 1, 2""")
+def J3_outcomes_by_provider(spark, sf_dir):
+    """Rows by what becomes of them, where the list lacks some providers."""
+    return P.provider_outcomes(feed(spark, sf_dir, "F6"), feed(spark, sf_dir, "F7").where("provider_key % 7 <> 6"), 3)
+
+
 @register("select event_id, provider_key from $F6 o where provider_key in (select provider_key from $F7 where category <= 3)")
 def J3_allowed_providers(spark, sf_dir):
     return P.allowed(feed(spark, sf_dir, "F6"), feed(spark, sf_dir, "F7"), 3).select("event_id", "provider_key")
@@ -373,6 +380,28 @@ def S16_union_of_feeds(spark, sf_dir):
     return union_of_feeds([f.where("sat = 'E'"), None, f.where("sat = 'W'")]).groupBy("sat").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("select event_type, count(*) n from events where event_type <> 'error' group by 1")
+def S15_published(spark, sf_dir):
+    """The feeds that were published: one that is optional has no rows, and the others are counted while they are written."""
+    path = work_path(spark, "guarded")
+    rows = table(spark, sf_dir, "events").where("event_type <> 'error'")
+    write_guarded(rows, path, "event_type", {"click": 10, "view": 10, "purchase": 1, "error": 1}, optional=("error",), of=(3, 3))
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("select event_type, count(*) n from events where event_id % 5 <> 4 group by 1")
+def S16_tolerant_union(spark, sf_dir):
+    """Events of five files, of which one is gone and one isn't whole."""
+    path = work_path(spark, "feeds")
+    rows = table(spark, sf_dir, "events")
+    for k in range(4):
+        rows.where(F.col("event_id") % 5 == k).coalesce(1).write.parquet(f"{path}/{k}")
+    rows.where("event_id % 5 = 4").selectExpr("cast(event_id as string) value").coalesce(1).write.text(f"{path}/4")
+    broken = spark.read.text(f"{path}/4").inputFiles()[0]
+    union = tolerant_union(spark, [*(f"{path}/{k}" for k in range(4)), f"{path}/none", broken], "event_id long, event_type string", 4)
+    return union.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("select doc_id, concat_ws('.', 'sig', lang, substr(sha256(text), 1, 8)) as key from documents")
 def S17_content_versions(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("text").alias("value"))
@@ -445,11 +474,11 @@ def M7_M8_dewpoint(spark, sf_dir):
     return feed(spark, sf_dir, "F6").select("event_id", F.bround(S.dewpoint_c(t, rh), 4).alias("td"), F.bround(S.dewpoint_c(t, rh, 17.625, 243.04) * 1.8 + 32, 4).alias("td_f"))
 
 
-@register("""with a as (select event_id, t_k t, td_k d, 850.0e0 p, 6.112e0 * exp(17.67e0 * (td_k - 273.15e0) / (td_k - 29.65e0)) e from $F6),
- b as (select *, 0.622e0 * e / (p - e) r, 1 / (1 / (d - 56) + ln(t / d) / 800) + 56 l from a)
+@register("""with i as (select event_id, t_k t, least(td_k, t_k) d, case when event_id % 50 = 0 then 20.0e0 else 850.0e0 end p from $F6), a as (select *, 6.112e0 * exp(17.67e0 * (d - 273.15e0) / ((d - 273.15e0) + 243.5e0)) e from i),
+ b as (select *, 0.622e0 * e / greatest(p - e, 1) r, 56 + 1 / (1 / (t - 56) + ln(t / d) / 800) l from a)
  select event_id, round_even(t * pow(1000 / p, 0.2854e0 * (1 - 0.28e0 * r)) * exp((3.376e0 / l - 0.00254e0) * 1000 * r * (1 + 0.81e0 * r)), 3) te from b""")
 def M9_theta_e(spark, sf_dir):
-    return feed(spark, sf_dir, "F6").select("event_id", F.bround(S.theta_e(F.col("t_k"), F.col("td_k"), F.lit(850.0)), 3).alias("te"))
+    return feed(spark, sf_dir, "F6").select("event_id", F.bround(S.theta_e(F.col("t_k"), F.col("td_k"), F.when(F.col("event_id") % 50 == 0, 20.0).otherwise(850.0)), 3).alias("te"))
 
 
 @register("select event_id, case when event_id % 7 > 5 then 4 when event_id % 5 > 3 then 3 when event_id % 3 > 1 then 2 when event_id % 2 > 0 then 1 else 0 end ptype from events")

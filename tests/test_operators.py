@@ -124,7 +124,7 @@ def test_as_of_takes_the_newest_in_the_span(spark):
 
 def test_retention_of_stamps(spark):
     rows = spark.createDataFrame([("p", 0), ("p", 100), ("p", 200), ("p", None)], "product string, t long")
-    assert sorted(r["t"] for r in L.merged_stamps(rows, rows, 120).collect()) == [100, 200]
+    assert sorted(r["t"] for r in L.merged_stamps(rows.withColumn("tile", F.lit(1)), rows.withColumn("tile", F.lit(1)), 120).collect()) == [100, 200]
 
 
 def test_calendar(spark):
@@ -251,8 +251,8 @@ def test_newest_runs_and_stamps(spark):
     rows = [("p", run, i) for i, run in enumerate([5, 5, 4, 3, 3, 1])] + [("q", 2, 9)]
     frame = spark.createDataFrame(rows, "product string, run long, fh long")
     assert {(r["product"], r["run"]): r["purged"] for r in L.newest_runs(frame, 2).collect()} == {("p", 5): False, ("p", 4): False, ("p", 3): True, ("p", 1): True, ("q", 2): False}
-    stamps = spark.createDataFrame([("p", 10), ("p", 100), ("q", 7), ("q", None)], "product string, t long")
-    assert sorted(map(tuple, L.merged_stamps(stamps, stamps, 50).collect())) == [("p", 100), ("q", 7)]
+    stamps = spark.createDataFrame([("p", 10), ("p", 100), ("q", 7), ("q", None)], "product string, t long").withColumn("tile", F.lit(1))
+    assert sorted((r["product"], r["t"]) for r in L.merged_stamps(stamps, stamps, 50).collect()) == [("p", 100), ("q", 7)]
 
 
 def test_runs_are_patched(spark):
