@@ -4,12 +4,15 @@ Pages are written as gzipped records, one member each, in files that tasks
 rotate by size.  Of pages with equal payloads of ``MIN_SHARED`` bytes or more
 the one with the smallest id is a response and the others revisit it.  Blocks
 longer than a segment go on in continuation records.  Bodies have chunked
-transfer framing.
+transfer framing.  Every record has a date and an identifier of its own, which
+follows from the page, the payload and the task, so a task that is repeated
+gives the same ones.  Responses are written first, and revisits then refer to
+their records.
 
 Reading splits files into records, groups continuations by the identifier of
 their origin, orders them by segment number, verifies the total length, takes
 the chunks apart and verifies length and digest of the payload.  Revisits take
-theirs from the response that they refer to.
+theirs from the response whose identifier they name; without one reading fails.
 
 A null or empty html is an empty payload.  A null page_id is kept, and is never
 the page that others refer to.  Rows that share page_id and payload are all
@@ -23,7 +26,9 @@ import os
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.natives import maybe_broadcast
-from isobar.llm.store import shared_dir, written
+from isobar.llm.store import shared_dir, ship, written
 
 MIN_SHARED = 100
 SEGMENT_BYTES = 16_384
@@ -69,45 +74,60 @@ def record(fields: dict[str, object], block: bytes) -> bytes:
     return z.compress(f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n") + z.flush()
 
 
-def page_records(name: str, page: str, url: str, payload: bytes, digest: str, first: int | None, segment: int) -> Iterator[bytes]:
-    about = {"WARC-Record-ID": f"<urn:isobar:{name}>", "WARC-Page": page, "WARC-Target-URI": re.sub(r"[\s\x00-\x1f]", "%20", url), "WARC-Payload-Digest": f"sha256:{digest}"}
-    if first is not None:
-        yield record({"WARC-Type": "revisit", **about, "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:isobar:page:{first}>"}, b"")
+def page_records(name: str, date: str, page: str, url: str, payload: bytes, digest: str, refers: str | None, segment: int) -> Iterator[bytes]:
+    about = {"WARC-Record-ID": f"<urn:uuid:{name}>", "WARC-Date": date, "WARC-Page": page, "WARC-Target-URI": re.sub(r"[\s\x00-\x1f]", "%20", url), "WARC-Payload-Digest": f"sha256:{digest}"}
+    if refers is not None:
+        yield record({"WARC-Type": "revisit", **about, "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:uuid:{refers}>"}, b"")
         return
     block = _HTTP + chunked(payload)
+    about["Content-Type"] = "application/http; msgtype=response"
     if len(block) <= segment:
         yield record({"WARC-Type": "response", **about}, block)
         return
     yield record({"WARC-Type": "response", **about, "WARC-Segment-Number": 1}, block[:segment])
     n = -(-len(block) // segment)
     for k in range(2, n + 1):
-        fields = {"WARC-Type": "continuation", "WARC-Record-ID": f"<urn:isobar:{name}:{k}>", "WARC-Segment-Origin-ID": f"<urn:isobar:{name}>", "WARC-Segment-Number": k}
+        own = uuid.uuid5(uuid.UUID(name), str(k))
+        fields = {"WARC-Type": "continuation", "WARC-Record-ID": f"<urn:uuid:{own}>", "WARC-Date": date, "WARC-Segment-Origin-ID": f"<urn:uuid:{name}>", "WARC-Segment-Number": k}
         yield record(fields | ({"WARC-Segment-Total-Length": len(block)} if k == n else {}), block[(k - 1) * segment : k * segment])
 
 
-def _write(path: str, segment: int, file_bytes: int):
+_WRITTEN = "path string, page long, digest string, name string"
+
+
+def _write(path: str, kind: str, date: str, segment: int, file_bytes: int):
+    """Rows (page_id, url, html, digest, refers, referred) into files; gives these, and the names of the records that others refer to."""
+    spaces = uuid.uuid5(uuid.NAMESPACE_URL, f"{path}/{kind}")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, folder = fs.FileSystem.from_uri(path)
         store.create_dir(folder, recursive=True)
-        out, n, seq = None, 0, 0
+        out, n, times, named = None, 0, Counter(), []
 
         def close() -> pa.RecordBatch:
             out.close()
-            final = f"part-{part:06d}-{n:04d}.warc.gz"
+            final = f"{kind}-{part:06d}-{n:04d}.warc.gz"
             store.move(temporary, f"{folder}/{final}")
-            return pa.RecordBatch.from_arrays([pa.array([f"{path}/{final}"])], names=["path"])
+            rows = [(f"{path}/{final}", None, None, None), *named]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["path", "page", "digest", "name"])
 
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
                     temporary = f"{folder}/.{uuid.uuid4().hex}"
                     out = store.open_output_stream(temporary, compression=None)
+                    named.clear()
                 payload = (row["html"] or "").encode()
                 page = "null" if row["page_id"] is None else str(row["page_id"])
-                for r in page_records(f"{part}.{seq}", page, row["url"] or "", payload, row["digest"], row["first"], segment):
+                what = f"{page}:{row['digest']}:{row['url']}"
+                times[what] += 1  # rows that are equal have names of their own
+                name = str(uuid.uuid5(spaces, f"{part}:{times[what]}:{what}"))
+                for r in page_records(name, date, page, row["url"] or "", payload, row["digest"], row["refers"], segment):
                     out.write(r)
-                seq += 1
+                if row["referred"]:
+                    named.append((None, row["page_id"], row["digest"], name))
                 if out.tell() >= file_bytes:
                     yield close()
                     out, n = None, n + 1
@@ -180,40 +200,52 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if hashlib.sha256(payload).hexdigest() != digest:
                     raise ValueError(f"the payload of {row['page']} is damaged")
             page = None if row["page"] == "null" else int(row["page"])
-            refers = row["refers"] and int(row["refers"].rpartition(":")[2].rstrip(">"))
-            out.append((page, size, digest, row["kind"], refers))
-        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+            out.append((page, size, digest, row["kind"], row["origin"], row["refers"]))
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "name", "refers"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
 
 def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) under ``path``; returns the files' paths."""
+    ship(pages.sparkSession)
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256).alias("digest"))
     long = F.coalesce(F.octet_length("html"), F.lit(0)) >= MIN_SHARED
-    shared = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "least")
+    shared = written(rows.where(long).groupBy("digest").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "least"))
     rows = rows.join(maybe_broadcast(shared, BROADCAST_ROWS), "digest", "left")
-    first = F.when(~F.col("page_id").eqNullSafe(F.col("least")), F.col("least"))
-    rows = rows.select("page_id", "url", "html", "digest", first.alias("first"))
-    return written(rows.mapInArrow(_write(path, segment, file_bytes), "path string"))
+    again = F.coalesce(F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least")), F.lit(False))
+    put = lambda rows, kind: written(rows.mapInArrow(_write(path, kind, date, segment, file_bytes), _WRITTEN))
+    columns = ["page_id", "url", "html", "digest"]
+    responses = put(rows.where(~again).select(*columns, F.lit(None).cast("string").alias("refers"), F.col("least").isNotNull().alias("referred")), "response")
+    names = responses.where("name is not null").groupBy(F.col("page").alias("least"), "digest").agg(F.min("name").alias("refers"))  # rows may share page and payload
+    visits = rows.where(again).select("page_id", "url", F.lit(None).cast("string").alias("html"), "digest", "least")
+    visits = visits.join(maybe_broadcast(names, BROADCAST_ROWS), ["least", "digest"], "left").select(*columns, "refers", F.lit(False).alias("referred"))
+    return responses.where("path is not null").select("path").union(put(visits, "revisit").where("path is not null").select("path"))
 
 
 def read_archives(files: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every page in the files."""
+    ship(files.sparkSession)
     schema = "origin string, number long, total long, kind string, page string, digest string, refers string, block binary"
     found = files.repartition(max(1, files.count())).mapInArrow(_records, schema)  # a task for each file
-    whole = found.where("number = 0").select("kind", "page", "digest", "refers", "total", F.array("block").alias("blocks"))
+    columns = ["origin", "kind", "page", "digest", "refers", "total"]
+    whole = found.where("number = 0").select(*columns, F.array("block").alias("blocks"))
     parts = F.array_sort(F.collect_list(F.struct("number", "block")))  # one record's segments
     split = found.where("number > 0").groupBy("origin").agg(
         F.max(F.when(F.col("number") == 1, F.col("kind"))).alias("kind"), F.max("page").alias("page"), F.max("digest").alias("digest"), F.max("refers").alias("refers"), F.max("total").alias("total"), parts.alias("parts")
     )
-    split = split.select("kind", "page", "digest", "refers", "total", F.col("parts.block").alias("blocks"))
-    pages = written(whole.union(split).mapInArrow(_decoded, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"))
-    visits = pages.where("record_type = 'revisit'")
-    lengths = pages.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes")
-    lengths = lengths.join(visits.select("refers_to").distinct(), "refers_to", "left_semi").distinct()
-    visits = visits.drop("payload_bytes").join(maybe_broadcast(lengths, BROADCAST_ROWS), ["refers_to", "payload_digest"], "left")
-    return pages.where("record_type = 'response'").unionByName(visits)
+    split = split.select(*columns, F.col("parts.block").alias("blocks"))
+    pages = written(whole.union(split).mapInArrow(_decoded, "page_id long, payload_bytes long, payload_digest string, record_type string, name string, refers string"))
+    visits = pages.where("record_type = 'revisit'").drop("payload_bytes", "name")
+    responses = pages.where("record_type = 'response'")
+    named = responses.join(visits.select(F.col("refers").alias("name")).distinct(), "name", "left_semi")
+    named = named.select(F.col("name").alias("refers"), F.col("page_id").alias("refers_to"), "payload_bytes", F.col("payload_digest").alias("held"))
+    visits = visits.join(maybe_broadcast(named, BROADCAST_ROWS), "refers", "left")
+    known = F.when(F.col("held") == F.col("payload_digest"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a revisit refers to no response with its payload")))
+    result = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    visits = visits.withColumn("payload_bytes", known).select(*result)
+    return responses.withColumn("refers_to", F.lit(None).cast("long")).select(*result).unionByName(visits)
 
 
 def archived(pages: DataFrame, path: str | None = None) -> DataFrame:

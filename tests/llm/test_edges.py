@@ -465,3 +465,39 @@ def test_pipeline_on_the_smallest_tables(spark):
     assert 0 < len(rows) and rows[0]["start"] == 0
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
     assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_every_record_has_a_date_and_an_identifier_and_revisits_refer_to_responses(spark, tmp_path):
+    from isobar.llm.warc import members, parsed, write_archives
+
+    html = ["x" * 200, "x" * 200, "y" * 40_000, "y" * 40_000, "z" * 150, "x" * 200, None]
+    rows = [(i, f"http://h/{i}", h) for i, h in enumerate(html)] + [(0, "http://h/0", html[0]), (None, "u", html[4]), (None, "u", html[4])]
+    files = write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), f"file://{tmp_path}/a")
+    records = []
+    for r in files.collect():
+        with open(r["path"].removeprefix("file://"), "rb") as stream:
+            records += [parsed(m)[0] for m in members(stream)]
+    ids = [f["WARC-Record-ID"] for f in records]
+    assert len(set(ids)) == len(ids) and all(re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", i) for i in ids)
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["WARC-Date"]) for f in records)
+    kinds = collections.Counter(f["WARC-Type"] for f in records)
+    assert kinds["response"] == 5 and kinds["revisit"] == 5 and kinds["continuation"] == 2
+    responses = {f["WARC-Record-ID"]: f for f in records if f["WARC-Type"] == "response"}
+    for f in records:
+        if f["WARC-Type"] == "revisit":
+            assert responses[f["WARC-Refers-To"]]["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+        if f["WARC-Type"] == "continuation":
+            assert f["WARC-Segment-Origin-ID"] in responses
+
+
+def test_copies_cross_integers_and_meet_targets(spark):
+    """Whatever their order: no row is taken more than twice, and a source's words come near its target or its cap."""
+    rng = np.random.default_rng(9)
+    rows = [(i, "w " * int(rng.pareto(1.2) * 20 + 1), f"s{min(int(rng.exponential(2)), 6)}") for i in range(3000)] + [(9000 + i, None, "s9") for i in range(5)]
+    found = copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == len(rows) and all(0 <= r["copies"] <= 2 for r in found)
+    for s in {r["source"] for r in found}:
+        own = [r for r in found if r["source"] == s]
+        taken, target = sum(r["size"] * r["copies"] for r in own), own[0]["target"]
+        assert abs(taken - target) <= 0.02 * target + 1, s
+        assert {r["source_size"] for r in own} == {sum(r["size"] for r in own)}
