@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from isobar.llm.blocks import U, blocks, firsts, mix, segment_sum
 from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
-from isobar.llm.store import settled, written
+from isobar.llm.store import settled, ship, written
 
 END, START = U(0x5EED0E0D), U(0x5EED0B05)
 _STEP = U(0x9FB21C651E98DF25)
@@ -329,6 +329,7 @@ def scored(docs: DataFrame, model: Model = Model()) -> DataFrame:
     ``held_out`` texts (crc32 of the id, modulo) aren't trained on.
     ``base_score`` is the root's part alone: the add-k unigram model.
     """
+    ship(docs.sparkSession)
     texts = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(64, size // model.range_bytes)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import LOWER, SPACE, Block, U, blocks, firsts, mix, segment_sum, windows
+from isobar.llm.store import ship
 
 #: fixed values: common words of four languages
 COMMON = {
@@ -181,6 +182,7 @@ def _judge(rules: Rules, known: dict[str, list[int]]):
 
 def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` (doc_id, text, lang) to each document's counts, distances, ``base_failed`` and ``kept``."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean"
     return rows.mapInArrow(_judge(rules, references(docs)), schema)
@@ -191,6 +193,7 @@ def passing(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     Only texts go to the Python workers, and only the verdicts come back.
     """
+    ship(docs.sparkSession)
     known = references(docs)
 
     @F.arrow_udf("boolean")

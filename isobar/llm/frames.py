@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import Block, blocks
-from isobar.llm.store import shared_dir, written
+from isobar.llm.store import shared_dir, ship, written
 
 #: fixed values of the format
 SKIPPABLE, SEEK_TABLE, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -216,6 +216,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Writes ``docs`` (doc_id, text) under ``path``; returns the files: ``part, path, n_docs, n_tokens``."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = rows.repartitionByRange(max(1, size // TEXT_BYTES_PER_FILE), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -224,6 +225,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
 
 def read_tokens(files: DataFrame) -> DataFrame:
     """Reads files back, a task for each: ``doc_id, start, n_tokens, ids_crc32`` of each document; start counts the ids of all before it."""
+    ship(files.sparkSession)
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
     rows = files.withColumn("start", F.coalesce(before, F.lit(0))).select("part", "path", "start")
     n = files.count()

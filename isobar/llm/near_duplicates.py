@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from isobar.llm.blocks import U, Block, blocks, mix
 from isobar.llm.components import components
 from isobar.llm.set_counts import Part, ordered_sets, possible, prefixes, set_ids, sets_of, spare, verify
-from isobar.llm.store import discard, written
+from isobar.llm.store import discard, ship, written
 
 #: shingles in at most so many sets are of class 1, of class 2, and so on; a row
 #: of a combination costs about as much as comparing a set's ranks with some
@@ -151,6 +151,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked_components(docs: DataFrame, percent: int = 80, classes: tuple[int, ...] = CLASSES) -> DataFrame:
     """``duplicate_components`` with ``text_key``, a hash of the text."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     rows = written(ordered_sets(texts, _texts, LABELS, percent, classes))
     sets = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "upto")))

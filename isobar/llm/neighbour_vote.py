@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import LOWER, Block, U, blocks, firsts
+from isobar.llm.store import ship
 
 WORD_TERMS = 1024
 SHAPES = 12
@@ -119,6 +120,7 @@ def latent_space(counts: np.ndarray, labels: np.ndarray, rank: int, prior: float
 
 def learn(docs: DataFrame, labels: DataFrame, vote: Vote = Vote(), fold_of: int = 3, fold: int = 1) -> Space | None:
     """The space of a sample of labelled rows whose id's crc32 isn't in the held-out fold; None without any."""
+    ship(docs.sparkSession)
     ids = F.col("doc_id").cast("string")
     good = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     good = good.where(F.crc32(ids.cast("binary")) % fold_of != fold)
@@ -163,6 +165,7 @@ def _scores(space, vote: Vote):
 
 def quality_scores(docs: DataFrame, labels: DataFrame, vote: Vote = Vote(), fold_of: int = 3, fold: int = 1) -> DataFrame:
     """``docs`` (doc_id, text) and ``labels`` (doc_id, quality) to ``doc_id, held_out, score, predicted``."""
+    ship(docs.sparkSession)
     space = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, vote, fold_of, fold))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scores(space, vote), "doc_id long, score double")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold_of == fold

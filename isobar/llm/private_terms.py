@@ -5,10 +5,12 @@ They are found by pattern and check.  A term near them (a word that is partly
 or all within ``REACH`` characters, up to the next entity of the kind) discloses them to the degree that its pointwise mutual information
 with the entity nears the entity's information content: over the whole corpus,
 ``PMI = log2 p(entity near | term) / p(entity near)`` and ``IC = -log2 p(entity
-near)``.  A term with ``PMI >= alpha * IC`` that is near entities in enough
-texts is a span too where it stands near one.  In the sanitised text entities and
-such terms are generalised to their kind; terms that give the entity away
-entirely (``PMI >= removal * IC``) are removed.
+near)``.  An estimate out of few texts says little, so it is the lower limit of
+``p(entity near | term)`` that counts (Wilson's, ``z`` standard errors down, with
+the texts that hold the term as the number of trials).  A term whose PMI is at
+least ``alpha * IC`` even then is a span too where it stands near an entity.  In
+the sanitised text entities and such terms are generalised to their kind; terms
+that give the entity away entirely (``PMI >= removal * IC``) are removed.
 
 Positions are in code points.  Null and empty texts have no spans.  Very long
 texts are searched whole.  Null doc_ids are kept.  Rows that share doc_id and
@@ -47,7 +49,7 @@ KINDS = tuple(PATTERNS)
 class Disclosure:
     alpha: float = 0.9
     removal: float = 0.99
-    min_texts: int = 3  #: co-occurrence in fewer texts is no estimate
+    z: float = 3.0  #: standard errors that the estimate is lowered by
 
 
 _LUHN = (
@@ -94,20 +96,31 @@ def _near(entities: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_key", "kind", "term", "start", (F.col("start") + F.col("n")).alias("end")).distinct()
 
 
+def _weighed(docs: DataFrame) -> DataFrame:
+    """``text`` with a ``weight``: rows that share doc_id and text are one text together."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")).where("text is not null")
+    again = rows.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    rows = rows.join(maybe_broadcast(again, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
+    return rows.select("text", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
+
+
 def disclosing_terms(docs: DataFrame, near: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """``kind, term, pmi, ic`` of the terms over the threshold; all documents' words count."""
     by_text = near.groupBy("kind", "term", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
-    by_term = by_text.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("texts"))
-    by_term = written(by_term.where(F.col("texts") >= rule.min_texts).drop("texts"))
-    words = docs.select(F.explode(F.split(F.lower("text"), SPACES)).alias("term")).where("term <> ''")
+    by_term = written(by_text.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("texts")))
+    words = _weighed(docs).select(F.explode(F.split(F.lower("text"), SPACES)).alias("term"), "weight").where("term <> ''")
     listed = maybe_broadcast(by_term.select("term").distinct(), BROADCAST_ROWS)
-    counts = words.join(listed, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    n_words = words.agg(F.count(F.lit(1)).cast("double").alias("n_words"))
+    counts = words.join(listed, "term", "left_semi").groupBy("term").agg(F.rint(F.sum("weight")).alias("n"))
+    n_words = words.agg(F.rint(F.coalesce(F.sum("weight"), F.lit(0.0))).alias("n_words"))
     of_kind = near.groupBy("kind").agg((F.count(F.lit(1)) + 1).alias("n_kind"))  # a row for each kind
     rows = by_term.join(counts, "term").join(F.broadcast(of_kind), "kind").crossJoin(F.broadcast(n_words))
+    p = F.least(F.lit(1.0), F.col("n_near") / F.col("n"))
+    rows = rows.withColumn("p", p).withColumn("trials", F.col("texts") / F.col("p"))
+    zz = rule.z * rule.z
+    least = (F.col("p") + zz / (2 * F.col("trials")) - rule.z * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("trials") + zz / (4 * F.col("trials") * F.col("trials")))) / (1 + zz / F.col("trials"))
     rows = rows.withColumn("ic", -F.log2(F.col("n_kind") / (F.col("n_words") + 1)))
-    rows = rows.withColumn("pmi", F.log2(F.least(F.lit(1.0), F.col("n_near") / F.col("n"))) + F.col("ic"))
-    return rows.where(F.col("pmi") >= rule.alpha * F.col("ic")).select("kind", "term", "pmi", "ic")
+    rows = rows.withColumn("pmi", F.log2("p") + F.col("ic")).withColumn("sure", F.log2(F.greatest(least, F.lit(1e-300))) + F.col("ic"))
+    return rows.where(F.col("sure") >= rule.alpha * F.col("ic")).select("kind", "term", "pmi", "ic")
 
 
 def private_spans(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:

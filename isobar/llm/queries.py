@@ -19,7 +19,7 @@ from isobar.llm.multi_index import neighbours
 from isobar.llm.near_duplicates import duplicate_components
 from isobar.llm.neighbour_vote import quality_scores
 from isobar.llm.private_terms import found
-from isobar.llm.store import ship, table
+from isobar.llm.store import table
 from isobar.llm.warc import archived
 from isobar.llm.whitening import whitened
 
@@ -27,18 +27,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     rows = scored(table(spark, sf_dir, "documents"), Model())
     return rows.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op2_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return judged(table(spark, sf_dir, "documents"))
 
 
@@ -47,7 +44,6 @@ def op4_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return line_report(table(spark, sf_dir, "documents"))
 
 
@@ -57,7 +53,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -67,12 +62,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return archived(table(spark, sf_dir, "pages"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     return duplicate_components(table(spark, sf_dir, "documents"), percent=80)
 
 

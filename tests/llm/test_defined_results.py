@@ -170,6 +170,45 @@ def test_distances_and_verdicts_by_force(spark):
     assert {tuple(r) for r in passing(frame).select("doc_id", "text").collect()} == set(kept) and 0 < len(kept) < 80
 
 
+def wilson(p, texts, z):
+    """The lower limit of a share p that was seen in so many texts."""
+    n = texts / p
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def planted(seed):
+    """Texts of which one in forty has an address; four terms are always beside one, four are as frequent and anywhere, and every text has a word of its own."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(6000):
+        ws = [f"w{int(k)}" for k in rng.zipf(1.3, 16) % 900] + [f"own{i}"]
+        if i % 40 == 0:
+            at = int(rng.integers(2, 12))
+            ws[at:at] = [f"secret{i // 40 % 4}", f"u{i}@mail.org"]
+        if i % 40 == 1:
+            ws.insert(int(rng.integers(0, 16)), f"plain{i // 40 % 4}")
+        rows.append((i, " ".join(ws)))
+    return rows
+
+
+def test_planted_terms_are_found_and_chance_words_are_not(spark):
+    rows = planted(3)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    told = collections.Counter(text[r["doc_id"]][int(a) : int(b)] for r in found(frame).collect() for k, a, b in (x.split(":") for x in r["spans"].split(",") if x) if k == "term")
+    right = sum(n for w, n in told.items() if w.startswith("secret"))
+    assert right >= 0.9 * 150 and right >= 0.9 * sum(told.values())
+    assert not any(w.startswith(("plain", "own")) for w in told)
+
+
+def test_repeated_rows_count_as_one_text(spark):
+    frame = spark.createDataFrame(planted(4)[:3000] + [(None, "secret0 x@mail.org")], "doc_id long, text string")
+    rule = Disclosure(alpha=0.75)
+    once = {(r["doc_id"], r["spans"]) for r in found(frame, rule).collect()}
+    again = found(frame.union(frame.where("doc_id % 40 < 2 or doc_id is null")).union(frame.where("doc_id % 7 = 0")), rule).collect()
+    assert {(r["doc_id"], r["spans"]) for r in again} == once and any("term" in s for _, s in once)
+
+
 def test_terms_by_force(spark):
     """Pointwise mutual information from plain counts: which words beside an e-mail address are spans."""
     rng = np.random.default_rng(8)
@@ -181,7 +220,7 @@ def test_terms_by_force(spark):
         if i % 4 == 0:
             ws.append("key1")
         rows.append((i, " ".join(ws)))
-    rule = Disclosure(alpha=0.6, min_texts=4)
+    rule = Disclosure(alpha=0.5, z=1.5)
     near, of, total = collections.Counter(), collections.defaultdict(set), collections.Counter()
     places = collections.defaultdict(set)
     for i, t in rows:
@@ -195,7 +234,7 @@ def test_terms_by_force(spark):
                     places[i].add((w.start(), w.end(), w[0]))
     n, kind = sum(total.values()), sum(near.values()) + 1
     ic = -math.log2(kind / (n + 1))
-    told = {w for w in near if len(of[w]) >= 4 and math.log2(min(1, near[w] / total[w])) + ic >= rule.alpha * ic}
+    told = {w for w in near if math.log2(wilson(min(1, near[w] / total[w]), len(of[w]), rule.z)) + ic >= rule.alpha * ic}
     assert "call" in told and "now" in told
     got = {r["doc_id"]: {x for x in r["spans"].split(",") if x.startswith("term")} for r in found(spark.createDataFrame(rows, "doc_id long, text string"), rule).collect()}
     assert got == {i: {f"term:{a}:{b}" for a, b, w in places[i] if w in told} for i, _ in rows}
