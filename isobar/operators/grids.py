@@ -12,14 +12,18 @@ from isobar.operators.sizes import maybe_broadcast
 def idw_surface(points: DataFrame, frame: list[str], step: float = 1.0, radius: float = 4.0, most: int = 20, power: float = 2.0, smooth: float = 0.3, least: int = 3, cell: float = 4.0) -> DataFrame:
     """Inverse-distance weighted mean of the nearest points at every grid node within reach.
 
-    Points are sent to the nodes around them, node by node, so the join is an
-    explode with a bounded number of rows a point and the grouping key is the
-    node.  Frames of fewer than ``least`` points are left out.
+    Points are sent to the nodes around them, line by line of a circle, so the
+    join is an explode with a bounded number of rows a point and the grouping key
+    is the node.  Frames of fewer than ``least`` points are left out; for that
+    points are counted once more, so they should come from a table.
     """
     frames = points.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).drop("_n")
     rows = points.join(maybe_broadcast(frames), frame)
-    near = lambda x: F.sequence(F.ceil((x - radius) / step), F.floor((x + radius) / step))
-    rows = rows.withColumn("gy", F.explode(near(F.col("lat")))).withColumn("gx", F.explode(near(F.col("lon"))))
+    near = lambda x, r: F.sequence(F.ceil((x - r) / step), F.floor((x + r) / step))
+    rows = rows.withColumn("gy", F.explode(near(F.col("lat"), F.lit(radius))))
+    half = F.sqrt(F.greatest(F.lit(radius * radius) - F.pow(F.col("gy") * step - F.col("lat"), 2), F.lit(0.0))) + 1e-9 * step
+    across = F.ceil((F.col("lon") - half) / step) <= F.floor((F.col("lon") + half) / step)  # a line may pass between nodes
+    rows = rows.where(across).withColumn("gx", F.explode(near(F.col("lon"), half)))
     dy, dx = F.col("gy") * step - F.col("lat"), F.col("gx") * step - F.col("lon")
     rows = rows.withColumn("d2", dy * dy + dx * dx).where(F.col("d2") <= radius * radius)
     place = Window.partitionBy(*frame, "gy", "gx").orderBy("d2", "station_id")

@@ -12,7 +12,7 @@ from isobar.operators import points as P
 from isobar.sources import parsers
 from isobar.sources.adapters import NOW, duck, feed, query, table
 from isobar.sources.publish import documents, guarded, publish, tolerant_union, union_of_feeds, verdicts, versioned, write_guarded, write_tiles
-from isobar.sources.storage import work_path
+from isobar.sources.storage import kept, work_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -56,7 +56,8 @@ def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship_aqi_surface(spark, sf_dir):
     """Readings, hourly maximum, carried forward, worst of all, surface, category."""
     worst = P.worst_of(P.carried_forward(_hourly(spark, sf_dir), ["station_id", "param"]))
-    points = worst.join(feed(spark, sf_dir, "F2"), "station_id").withColumn("v", F.col("aqi").cast("double"))
+    points = worst.join(feed(spark, sf_dir, "F2"), "station_id").select("hour", "station_id", "lat", "lon", F.col("aqi").cast("double").alias("v"))
+    points = kept(points, "points")
     surface = G.idw_surface(points, ["hour"]).withColumn("v", F.bround("v", 4))
     return surface.select(_epoch("hour"), "lat", "lon", "v", "n", S.aqi_category(F.col("v")).alias("category"))
 

@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -25,6 +25,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of the shared folder, for plans that read them more than once."""
+    spark = rows.sparkSession
+    path = work_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package's code to the executors, once a session, for tasks that run Python."""
     context = spark.sparkContext
