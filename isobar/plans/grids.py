@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from isobar.operators import grids as G
@@ -282,7 +284,7 @@ def A10_complete_stamps(spark, sf_dir):
     return V.complete_stamps(feed(spark, sf_dir, "F15"), 5).select(F.unix_timestamp(F.col("stamp").cast("timestamp")).alias("stamp"))
 
 
-@register("select cast(floor(epoch(max(stamp))) as bigint) stamp from (select stamp from $F15 group by stamp having count(distinct level_name) = 5)")
+@register("select cast(floor(epoch(stamp)) as bigint) stamp from $F15 group by stamp having count(distinct level_name) = 5 order by stamp desc limit 1")
 def A10_newest_stamp(spark, sf_dir):
     return V.newest_stamp(feed(spark, sf_dir, "F15"), 5).select(F.unix_timestamp(F.col("stamp").cast("timestamp")).alias("stamp"))
 
@@ -363,17 +365,26 @@ def A13_profile_tiles(spark, sf_dir):
     return rows.select("tr", "tc", F.col("fh").cast("long").alias("fh"), "k", ten(F.col("x.sfc_pres_hpa")).alias("sfc_p"), ten(F.col("x.sfc_temp_c")).alias("sfc_t"), text(F.col("x.temp_c")).alias("temps"), text(F.col("x.dewpoint_c")).alias("dews"), F.col("x.refl_dbz").cast("long").alias("refl"), ten(F.col("x.qpf_mm")).alias("qpf"))
 
 
-@register("select r // 16 tr, c // 16 tc, count(*) n, min(r) - 0.75e0 r0, max(c) + 0.75e0 c1 from $F9 where field = 1 group by 1, 2")
+_TOP = "(select r, c, arg_max(v, field) v from $F9 group by 1, 2)"
+
+
+def _top(spark, sf_dir):
+    """One grid of all fields: the last one's value of each cell."""
+    return _cells(spark, sf_dir).groupBy("r", "c").agg(F.max_by("v", "field").alias("v"))
+
+
+@register(f"select r // 16 tr, c // 16 tc, count(*) n, sum(v) total, min(r) - 0.75e0 r0, max(c) + 0.75e0 c1 from {_TOP} group by 1, 2")
 def A13_tile_packing(spark, sf_dir):
-    rows = V.packed(_cells(spark, sf_dir).where("field = 1"))
-    return _out(rows.select("tr", "tc", F.size("columns").cast("long").alias("n"), F.col("r0").cast("double").alias("r0"), F.col("c1").cast("double").alias("c1")), "tr", "tc", "n", "r0", "c1")
+    rows = V.packed(_top(spark, sf_dir))
+    rows = rows.withColumn("total", F.aggregate("columns", F.lit(0.0), lambda a, x: a + x["v"]))
+    return _out(rows.select("tr", "tc", F.size("columns").cast("long").alias("n"), "total", F.col("r0").cast("double").alias("r0"), F.col("c1").cast("double").alias("c1")), "tr", "tc", "n", "total", "r0", "c1")
 
 
-@register("""with b as (select r // 16 tr, c // 16 tc, min(r) - 0.75e0 r0, max(r) + 0.75e0 r1, min(c) - 0.75e0 c0, max(c) + 0.75e0 c1 from $F9 where field = 1 group by 1, 2),
+@register("""with b as (select r // 16 tr, c // 16 tc, min(r) - 0.75e0 r0, max(r) + 0.75e0 r1, min(c) - 0.75e0 c0, max(c) + 0.75e0 c1 from $F9 group by 1, 2),
  p as (select s_suppkey id, cast(s_suppkey * 7 % 1990 as double) / 10 pr, cast(s_suppkey * 11 % 1990 as double) / 10 pc from supplier)
  select id, tr, tc from p join b on pr between r0 and r1 and pc between c0 and c1""")
 def J14_tile_lookup(spark, sf_dir):
-    boxes = V.packed(_cells(spark, sf_dir).where("field = 1")).drop("columns")
+    boxes = V.packed(_top(spark, sf_dir)).drop("columns")
     k = F.col("s_suppkey")
     points = table(spark, sf_dir, "supplier").select(k.alias("id"), ((k * 7 % 1990).cast("double") / 10).alias("pr"), ((k * 11 % 1990).cast("double") / 10).alias("pc"))
     return _out(V.tile_of(points, boxes), "id", "tr", "tc")
@@ -384,16 +395,15 @@ def W5_hourly_amounts(spark, sf_dir):
     return V.hourly_amounts(feed(spark, sf_dir, "F11"))
 
 
-@register("select station_id, v from (select *, cast(floor((50 - lat) / 0.13e0) as bigint) rr, cast(floor((lon + 125) / 0.3e0) as bigint) cc from $F2) s left join (select r, c, v from $F9 where field = 1) f on f.r = rr and f.c = cc and rr between 0 and 199 and cc between 0 and 199")
+@register("select station_id, v from (select *, cast(floor((50 - lat) / 0.13e0) as bigint) rr, cast(floor((lon + 125) / 0.3e0) as bigint) cc from $F2) s left join (select r, c, arg_max(v, field) v from $F9 group by 1, 2) f on f.r = rr and f.c = cc and rr between 0 and 199 and cc between 0 and 199")
 def J8_point_sampling(spark, sf_dir):
-    cells = _cells(spark, sf_dir).where("field = 1")
-    return V.sampled(feed(spark, sf_dir, "F2"), cells, 50.0, -125.0, 0.13, N, N, 0.3).select("station_id", "v")
+    return V.sampled(feed(spark, sf_dir, "F2"), _top(spark, sf_dir), 50.0, -125.0, 0.13, N, N, 0.3).select("station_id", "v")
 
 
-@register("select r * 1000 + c as key, arg_max(v, field) v from $F9 where field <= 3 group by 1")
+@register("select r * 1000 + c as key, arg_max(v, field) v from $F9 group by 1")
 def J12_field_merge(spark, sf_dir):
     cells = _cells(spark, sf_dir).select("field", (F.col("r") * 1000 + F.col("c")).alias("key"), "v")
-    return V.merged(*(cells.where(F.col("field") == k) for k in (1, 2, 3)))
+    return V.merged(*(cells.where(F.col("field") == k) for k in range(1, 8)))
 
 
 # catalog
@@ -422,3 +432,29 @@ def U2_severe_indices(spark, sf_dir):
     inputs = C.inputs_of(_named(spark, sf_dir), dict(zip(range(1, 8), "ABCDEFG", strict=True)), ["row", "col"]).dropna()
     rows = C.evaluated(inputs, ["stp", "scp"], ["row", "col"])
     return rows.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), F.bround("stp", 6).alias("stp"), F.bround("scp", 6).alias("scp"))
+
+
+_ABSENT = {n: 20.0 + 7 * k for k, n in enumerate("ABCDEFG")}
+_INPUTS = "(select " + ", ".join(f"coalesce(max(v) filter (where field = {k}), {_ABSENT[n]}e0) {n}" for k, n in enumerate("ABCDEFG", 1)) + " from $F9 group by r, c)"
+_EVERY = [r["code"] for r in C.product_rows() if r["expr"]]
+
+
+def _every_sql() -> str:
+    """A row for each product, of its expression in this dialect; below a radar product's sentinel there is nothing."""
+    parts = []
+    for r in C.product_rows():
+        if r["expr"]:
+            value = f"cast({re.sub(r'(?<=[0-9])D(?![0-9A-Za-z])', 'e0', r['expr'])} as double)"
+            if "sentinel_lt" in r or r["class"].startswith("mrms"):
+                value = f"case when A >= {float(r.get('sentinel_lt', 0))} then {value} end"
+            parts.append(f"select '{r['code']}' code, count(x) n, round_even(min(x), 4) least, round_even(max(x), 4) most, round_even(avg(x), 3) mean from (select {value} x from w)")
+    return f"with w as (select * from {_INPUTS}) " + " union all ".join(parts)
+
+
+@register(_every_sql())
+def U1_every_formula(spark, sf_dir):
+    """What every formula of the catalog makes of all cells, with a constant for each field that isn't there."""
+    inputs = C.inputs_of(_named(spark, sf_dir), dict(zip(range(1, 8), "ABCDEFG", strict=True)), ["row", "col"]).na.fill(_ABSENT)
+    rows = C.evaluated(inputs, _EVERY, ["row", "col"])
+    rows = rows.unpivot(["row", "col"], _EVERY, "code", "x")
+    return rows.groupBy("code").agg(F.count("x").alias("n"), F.bround(F.min("x"), 4).alias("least"), F.bround(F.max("x"), 4).alias("most"), F.bround(F.avg("x"), 3).alias("mean"))

@@ -286,9 +286,11 @@ def P15_smoke_density(spark, sf_dir):
     return query(spark, sf_dir, _DENS).select("event_id", S.smoke_density(F.col("d")).alias("density"))
 
 
-@register("""select c_custkey, concat('D', c_custkey) as start_date from customer""")
+@register("""select c_custkey, case when c_custkey % 4 < 2 then concat('D', c_custkey) end as start_date from customer""")
 def P16_html_cell(spark, sf_dir):
-    rows = query(spark, sf_dir, "select c_custkey, concat('<table><tr><td>Start_Date</td> <td>D', c_custkey, '</td></tr></table>') h from customer")
+    """Tables with the label in a cell or a heading, with an empty cell after it, and without it."""
+    rows = query(spark, sf_dir, """select c_custkey, concat('<table><tr><td>End_Date</td><td>E</td></tr><tr>', case c_custkey % 4 when 0 then '<td>Start_Date</td> ' when 1 then '<th>Start_Date</th>' when 2 then '<td>Start_Date</td>' else '<td>Start</td>' end, '<td>',
+ case when c_custkey % 4 = 2 then '' else concat('D', c_custkey) end, '</td></tr></table>') h from customer""")
     return rows.select("c_custkey", parsers.html_cell(F.col("h"), "Start_Date").alias("start_date"))
 
 
@@ -303,10 +305,10 @@ def P20_longitude(spark, sf_dir):
 
 
 _F17 = """(select split_part(line, '|', 1) issue, cast(strptime(split_part(line, '|', 2), '%m/%d/%y') as date) as valid, cast(split_part(line, '|', 5) as int) seq, split_part(line, '|', 6) kind,
- split_part(line, '|', 8) area, try_cast(split_part(line, '|', 13) as int) aqi, lower(split_part(line, '|', 15)) = 'yes' as action from $F17)"""
+ split_part(line, '|', 8) area, try_cast(split_part(line, '|', 13) as int) aqi, replace(lower(trim(split_part(line, '|', 14))), ' ', '') cat, lower(split_part(line, '|', 15)) = 'yes' as action from $F17)"""
 
 
-@register(f"select issue, cast(valid as string) as valid, seq, area, aqi, 2 category, action from {_F17} where kind = 'F' and seq between 0 and 2")
+@register(f"select * from (select issue, cast(valid as string) as valid, seq, area, aqi, case cat when 'moderate' then 2 when 'good' then 1 when 'usg' then 3 when 'unhealthy' then 4 when 'veryunhealthy' then 5 else case when aqi <= 50 then 1 when aqi <= 100 then 2 when aqi <= 150 then 3 when aqi <= 200 then 4 when aqi <= 300 then 5 when aqi > 300 then 6 end end category, action from {_F17} where kind = 'F' and seq between 0 and 2) where category is not null")
 def S2_P22_area_forecasts(spark, sf_dir):
     rows = parsers.area_forecasts(feed(spark, sf_dir, "F17"))
     return rows.select("issue", F.col("valid").cast("string").alias("valid"), "seq", "area", "aqi", "category", "action")

@@ -148,7 +148,8 @@ select concat(cast(c_custkey as string), '|01/', lpad(cast(c_custkey % 28 + 1 as
        cast(cast(2500 + c_custkey*53 % 2400 as double)/100 as string), '|',
        cast(cast(-12400 + c_custkey*97 % 5600 as double)/100 as string), '|PM2.5|',
        case when c_custkey % 4 = 0 then '' else cast(c_custkey % 320 as string) end,
-       '|Moderate|Yes||src') as line
+       '|', case c_custkey % 6 when 0 then 'Moderate' when 1 then ' Good' when 2 then 'usg' when 3 then '' when 4 then 'Unhealthy' else 'Very Unhealthy' end, '|',
+       case c_custkey % 5 when 0 then 'No' when 1 then '' when 2 then 'YES' else 'Yes' end, '||src') as line
 from customer
 """,
     # pixels: D16 (one frame per line number, 96x96)
