@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.natives import SPACES, maybe_broadcast
+from isobar.llm.natives import SPACES, maybe_broadcast, word_count
 from isobar.llm.store import written
 
 REACH = 48
@@ -105,20 +105,25 @@ def _weighed(docs: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, near: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """``kind, term, pmi, ic`` of the terms over the threshold; all documents' words count."""
+    """``kind, term, pmi, ic`` of the terms over the threshold; all documents' words count.
+
+    Terms that are in too few texts to reach it, were they near entities always,
+    are left out before words are counted.
+    """
+    zz = rule.z * rule.z
+    texts = _weighed(docs)
+    n_words = texts.agg(F.rint(F.coalesce(F.sum(word_count(F.col("text")) * F.col("weight")), F.lit(0.0))).alias("n_words"))
+    kinds = near.groupBy("kind").agg((F.count(F.lit(1)) + 1).alias("n_kind")).crossJoin(F.broadcast(n_words))  # a row for each kind
+    kinds = written(kinds.select("kind", (-F.log2(F.col("n_kind") / (F.col("n_words") + 1))).alias("ic")))
     by_text = near.groupBy("kind", "term", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
-    by_term = written(by_text.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("texts")))
-    words = _weighed(docs).select(F.explode(F.split(F.lower("text"), SPACES)).alias("term"), "weight").where("term <> ''")
+    by_term = by_text.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("texts")).join(F.broadcast(kinds), "kind")
+    by_term = written(by_term.where(F.log2(1 + zz / F.col("texts")) <= (1 - rule.alpha) * F.col("ic") + 1e-9))
+    words = texts.select(F.explode(F.split(F.lower("text"), SPACES)).alias("term"), "weight").where("term <> ''")
     listed = maybe_broadcast(by_term.select("term").distinct(), BROADCAST_ROWS)
     counts = words.join(listed, "term", "left_semi").groupBy("term").agg(F.rint(F.sum("weight")).alias("n"))
-    n_words = words.agg(F.rint(F.coalesce(F.sum("weight"), F.lit(0.0))).alias("n_words"))
-    of_kind = near.groupBy("kind").agg((F.count(F.lit(1)) + 1).alias("n_kind"))  # a row for each kind
-    rows = by_term.join(counts, "term").join(F.broadcast(of_kind), "kind").crossJoin(F.broadcast(n_words))
-    p = F.least(F.lit(1.0), F.col("n_near") / F.col("n"))
-    rows = rows.withColumn("p", p).withColumn("trials", F.col("texts") / F.col("p"))
-    zz = rule.z * rule.z
+    rows = by_term.join(counts, "term").withColumn("p", F.least(F.lit(1.0), F.col("n_near") / F.col("n")))
+    rows = rows.withColumn("trials", F.col("texts") / F.col("p"))
     least = (F.col("p") + zz / (2 * F.col("trials")) - rule.z * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("trials") + zz / (4 * F.col("trials") * F.col("trials")))) / (1 + zz / F.col("trials"))
-    rows = rows.withColumn("ic", -F.log2(F.col("n_kind") / (F.col("n_words") + 1)))
     rows = rows.withColumn("pmi", F.log2("p") + F.col("ic")).withColumn("sure", F.log2(F.greatest(least, F.lit(1e-300))) + F.col("ic"))
     return rows.where(F.col("sure") >= rule.alpha * F.col("ic")).select("kind", "term", "pmi", "ic")
 
