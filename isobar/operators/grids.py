@@ -239,7 +239,7 @@ DARK = 6
 BORDER = 4
 
 
-def _luminance(pixels: DataFrame, n: int) -> DataFrame:
+def luminance(pixels: DataFrame, n: int) -> DataFrame:
     """``frame, y, x, dark, lum`` of all n x n places of each frame; one without a pixel is black."""
     at = F.sequence(F.lit(0), F.lit(n - 1))
     places = pixels.select("frame").distinct().withColumn("y", F.explode(at)).withColumn("x", F.explode(at))
@@ -281,7 +281,7 @@ def void_ring(dark: DataFrame, n: int, steps: int = 3) -> DataFrame:
 
 def void_verdict(pixels: DataFrame, n: int) -> DataFrame:
     """G12 with W9: whether a frame has a hole: dark parts that bright imagery surrounds, with a straight edge over 12 % of the frame."""
-    dark = _luminance(pixels, n)
+    dark = luminance(pixels, n)
     rows = void_ring(dark, n).join(straight_edges(dark), "frame", "left").na.fill(0, ["longest"])
     bounded = F.col("share").between(0.005, 0.97) & (F.col("ring") >= 40) & (F.col("ring_lum") >= 45)
     return rows.withColumn("void", F.coalesce(bounded & (F.col("longest") / n >= 0.12), F.lit(False)))

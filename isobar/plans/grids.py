@@ -204,7 +204,7 @@ def _frames(spark, sf_dir):
 
 @register(f"with {_DARK}, {_RUNS} select frame, longest from l")
 def W9_straight_edges(spark, sf_dir):
-    return G.straight_edges(G._luminance(_frames(spark, sf_dir), 96))
+    return G.straight_edges(G.luminance(_frames(spark, sf_dir), 96))
 
 
 @register(f"with {_DARK}, {_RUNS}, {_VOID} select frame, round_even(share, 6) share, ring, round_even(ring_lum, 4) ring_lum, longest, void from vv")
