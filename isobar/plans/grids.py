@@ -116,6 +116,25 @@ def G13_probability(spark, sf_dir):
     return _out(_cells(spark, sf_dir).withColumn("v", G.probability(F.col("v"))), "field", "r", "c", "v")
 
 
+STOPS = [(-20.0, 0, 0, 0), (0.0, 0, 0, 255), (30.0, 0, 255, 0), (60.0, 255, 255, 0), (80.0, 255, 0, 0)]
+
+
+def _channel(k: int) -> str:
+    out = f"case when v <= {STOPS[0][0]} then {STOPS[0][k]}"
+    for a, b in zip(STOPS, STOPS[1:], strict=False):
+        out += f" when v <= {b[0]} then round_even({a[k]} + (v - {a[0]}e0) / ({b[0]}e0 - {a[0]}e0) * ({b[k]} - {a[k]}), 0)"
+    return f"cast({out} else {STOPS[-1][k]} end as int)"
+
+
+@register(f"select field, r, c, {_channel(1)} red, {_channel(2)} green, {_channel(3)} blue from $F9")
+def G9_colour_ramp(spark, sf_dir):
+    """One linear ramp for all fields."""
+    stops = spark.createDataFrame([("one", False, *stop, 255) for stop in STOPS], "ramp string, none boolean, value double, r int, g int, b int, a int")
+    modes = spark.createDataFrame([("one", True)], "ramp string, linear boolean")
+    rows = G.coloured(_cells(spark, sf_dir).withColumn("ramp", F.lit("one")).withColumnsRenamed({"r": "row", "c": "col"}), stops, modes)
+    return _out(rows.withColumnsRenamed({"row": "r", "col": "c"}), "field", "r", "c", "red", "green", "blue")
+
+
 # ramps: their stops are rows, three of them linear, one with a colour for no value, one of a single stop and one without stops
 _STOP = """(select concat('ramp', cast(p_partkey % 5 as string)) ramp, concat(cast(case when p_partkey % 5 = 4 then 30 else p_partkey * 7 % 130 - 30 end as string), case when p_partkey % 2 = 0 then '.5 ' else ' ' end,
  cast(p_partkey * 3 % 256 as string), ' ', cast(p_partkey * 5 % 256 as string), ' ', cast(p_partkey * 11 % 256 as string), case when p_partkey % 3 = 0 then concat(' ', cast(p_partkey % 256 as string)) else '' end) line from part where p_partkey <= 60
@@ -203,12 +222,12 @@ def _frames(spark, sf_dir):
 
 
 @register(f"with {_DARK}, {_RUNS} select frame, longest from l")
-def W9_straight_edges(spark, sf_dir):
+def W9_longest_run(spark, sf_dir):
     return G.straight_edges(G.luminance(_frames(spark, sf_dir), 96))
 
 
 @register(f"with {_DARK}, {_RUNS}, {_VOID} select frame, round_even(share, 6) share, ring, round_even(ring_lum, 4) ring_lum, longest, void from vv")
-def G12_void_verdict(spark, sf_dir):
+def G12_void_ring(spark, sf_dir):
     rows = G.void_verdict(_frames(spark, sf_dir), 96)
     return rows.select("frame", F.bround("share", 6).alias("share"), "ring", F.bround("ring_lum", 4).alias("ring_lum"), "longest", "void")
 
