@@ -7,9 +7,9 @@ a shingle in one set alone is moved once and never again.  A shingle that many
 sets of one chunk have is sent once with its count, so no range grows with the
 sets that share a passage.
 
-Rows go by chunk and range.  ``CHUNK_SHINGLES`` and ``RANGE_BYTES`` are as much as
-a worker holds; chunks times ranges grows with the square of the table over
-their product, so both are to be raised with the executors' memory.
+``CHUNK_SHINGLES`` and ``RANGE_BYTES`` are as much as a worker holds.  Rows go by
+chunk and range; beyond ``relay.DIRECT`` ranges they go through relays, so that
+rows don't grow with the square of the table.
 
 Shingles and sets are compared by 64-bit hashes.
 """
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from isobar.llm.blocks import U, firsts, mix, sequence_hash, windows
 from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
+from isobar.llm.relay import DIRECT, Levels, by_slot, checked, levels, merged
 from isobar.llm.store import settled
 
 SHINGLE = 5
@@ -76,9 +77,11 @@ def spare(n, percent: int):
 _DOCS = [("labels", pa.list_(pa.list_(pa.int64()))), ("set_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("heavy_sets", pa.list_(pa.binary())), ("total", pa.int64())]
 _ASKED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
 _ANSWERED = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("seen", pa.int64()), ("shingles", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("heavy", pa.binary()), ("heavy_counts", pa.binary()), *_DOCS])
+_RELAYED = pa.schema([("grp", pa.int64()), *_ANSWERED, ("slots", pa.binary()), ("heavy_slots", pa.binary()), ("chunks", pa.list_(pa.int64())), ("sent", pa.int64()), ("seen_by", pa.list_(pa.int64()))])
 _SQL_DOCS = "labels array<array<long>>, set_ids array<long>, sizes array<long>, heavy_sets array<binary>, total long"
 _SQL_ASKED = f"range long, chunk long, shingles binary, sets binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
 _SQL_ANSWERED = f"range long, chunk long, seen long, shingles binary, sets binary, counts binary, heavy binary, heavy_counts binary, {_SQL_DOCS}"
+_SQL_RELAYED = f"grp long, {_SQL_ANSWERED}, slots binary, heavy_slots binary, chunks array<long>, sent long, seen_by array<long>"
 
 
 def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
@@ -137,10 +140,10 @@ def _asked(ranges: int, parts_of: Callable[[pa.RecordBatch], Iterator[Part]]):
     return run
 
 
-def counted(rows: pa.Table) -> pa.Table:
-    """One range: in how many sets each shingle is; to each chunk those in more than one."""
-    out = [r for r in rows.to_pylist() if r["total"] is not None]
-    rows = rows.filter(rows["total"].is_null()).select(["range", "chunk", "shingles", "sets", "heavy", "heavy_counts"]).to_pylist()
+def counted(rows: pa.Table, schema: pa.Schema = _ANSWERED) -> pa.Table:
+    """One range: in how many sets each shingle is; to each chunk, or relay, those in more than one.  Rows without shingles go on as they are."""
+    out = rows.filter(rows["shingles"].is_null()).to_pylist()
+    rows = rows.filter(rows["shingles"].is_valid()).to_pylist()
     if rows:
         light = [unpack_sorted(r["shingles"]) for r in rows]
         heavy = [unpack_sorted(r["heavy"]) for r in rows]
@@ -151,19 +154,73 @@ def counted(rows: pa.Table) -> pa.Table:
         parts = np.split(counts, ends[:-1])
         for row, shingles, hit, found, found_heavy in zip(rows, light, heavy, parts, parts[len(rows) :], strict=False):
             more = found > 1
-            out.append(
-                {
-                    "range": row["range"],
-                    "chunk": row["chunk"],
-                    "seen": len(shingles) + len(hit),
-                    "shingles": pack_sorted(shingles[more]),
-                    "sets": pack(unpack(row["sets"])[more]),
-                    "counts": pack(found[more]),
-                    "heavy": row["heavy"],
-                    "heavy_counts": pack(found_heavy),
-                }
-            )
-    return pa.Table.from_batches([_rows(_ANSWERED, out)])
+            answer = {
+                "seen": len(shingles) + len(hit),
+                "shingles": pack_sorted(shingles[more]),
+                "sets": pack(unpack(row["sets"])[more]),
+                "counts": pack(found[more]),
+                "heavy_counts": pack(found_heavy),
+            }
+            if row.get("slots") is not None:
+                answer["slots"] = pack(unpack(row["slots"])[more])
+            out.append(row | answer)
+    return pa.Table.from_batches([_rows(schema, out)])
+
+
+def spread(level: Levels):
+    """A relay on the way out: what a group of chunks sends to a coarse range, cut into fine ranges."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        docs = rows.filter(rows["shingles"].is_null()).to_pylist()
+        out = [r | {"range": r["range"] * level.fine + r["chunk"] % level.fine} for r in docs]
+        rows = sorted(rows.filter(rows["shingles"].is_valid()).to_pylist(), key=lambda r: r["chunk"])
+        if rows:
+            coarse, grp = rows[0]["range"], rows[0]["grp"]
+            each, each_heavy = [unpack_sorted(r["shingles"]) for r in rows], [unpack_sorted(r["heavy"]) for r in rows]
+            shingles, slots, sets = merged(each, [unpack(r["sets"]) for r in rows])
+            heavy, heavy_slots, heavy_counts = merged(each_heavy, [unpack(r["heavy_counts"]) for r in rows])
+            edges = level.edges(coarse)
+            at, heavy_at = np.append(np.searchsorted(shingles, edges), len(shingles)), np.append(np.searchsorted(heavy, edges), len(heavy))
+            for j in np.flatnonzero((np.diff(at) > 0) | (np.diff(heavy_at) > 0)).tolist():
+                own, own_heavy = slice(at[j], at[j + 1]), slice(heavy_at[j], heavy_at[j + 1])
+                out.append(
+                    {
+                        "range": coarse * level.fine + j,
+                        "grp": grp,
+                        "shingles": pack_sorted(shingles[own]),
+                        "sets": pack(sets[own]),
+                        "slots": pack(slots[own]),
+                        "heavy": pack_sorted(heavy[own_heavy]),
+                        "heavy_counts": pack(heavy_counts[own_heavy]),
+                        "heavy_slots": pack(heavy_slots[own_heavy]),
+                    }
+                )
+            about = {"chunks": [r["chunk"] for r in rows], "sent": len(shingles) + len(heavy), "seen_by": [len(a) + len(b) for a, b in zip(each, each_heavy, strict=True)]}
+            out.append({"range": coarse * level.fine + grp % level.fine, "grp": grp} | about)
+        return pa.Table.from_batches([_rows(_RELAYED, out)])
+
+    return run
+
+
+def gathered(level: Levels):
+    """A relay on the way back: the fine ranges' answers to a group of chunks, to each chunk its own, as if from one coarse range."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.to_pylist()
+        out = [r for r in rows if r["total"] is not None]
+        about = [r for r in rows if r["chunks"] is not None]
+        rows = sorted((r for r in rows if r["shingles"] is not None), key=lambda r: r["range"])
+        checked(sum(r["sent"] for r in about), sum(r["seen"] for r in rows))
+        if about:
+            chunks, n = about[0]["chunks"], len(about[0]["chunks"])
+            light = by_slot([unpack(r["slots"]) for r in rows], n, [unpack_sorted(r["shingles"]) for r in rows], *([unpack(r[c]) for r in rows] for c in ("sets", "counts")))
+            heavy = by_slot([unpack(r["heavy_slots"]) for r in rows], n, [unpack_sorted(r["heavy"]) for r in rows], [unpack(r["heavy_counts"]) for r in rows])
+            for chunk, seen, a, b, c, x, y in zip(chunks, about[0]["seen_by"], *light, *heavy, strict=True):
+                answer = {"shingles": pack_sorted(a), "sets": pack(b), "counts": pack(c), "heavy": pack_sorted(x), "heavy_counts": pack(y)}
+                out.append({"range": about[0]["range"] // level.fine, "chunk": chunk, "seen": seen} | answer)
+        return pa.Table.from_batches([_rows(_ANSWERED, out)])
+
+    return run
 
 
 def _sets_schema(labels: tuple[str, ...]) -> pa.Schema:
@@ -214,18 +271,24 @@ def ordered(percent: int, classes: tuple[int, ...], labels: tuple[str, ...]):
     return run
 
 
-def ordered_sets(texts: DataFrame, parts_of: Callable[[pa.RecordBatch], Iterator[Part]], labels: tuple[str, ...], percent: int, classes: tuple[int, ...] = ()) -> DataFrame:
+def ordered_sets(texts: DataFrame, parts_of: Callable[[pa.RecordBatch], Iterator[Part]], labels: tuple[str, ...], percent: int, classes: tuple[int, ...] = (), direct: int = DIRECT) -> DataFrame:
     """``texts`` (with ``text``) to a row for each item: its ``labels``, ``set_id`` (0 for an empty set), ``n`` shingles.
 
     ``parts_of`` makes the items' sets of a batch.  With one item at least of each
     set that may be linked with another come ``shared``, its shingles that more
     than one set has, rare first, as bytes, and ``upto``: how many of them are in
-    class 1, in class 2 or lower, and so on.
+    class 1, in class 2 or lower, and so on.  ``direct``: most ranges without relays.
     """
     texts = settled(texts)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    asked = texts.mapInArrow(_asked(int(max(16, size // RANGE_BYTES)), parts_of), _SQL_ASKED)
-    answered = asked.groupBy("range").applyInArrow(counted, _SQL_ANSWERED)
+    level = levels(int(max(16, size // RANGE_BYTES)), direct)
+    asked = texts.mapInArrow(_asked(level.coarse, parts_of), _SQL_ASKED)
+    if level.groups:
+        fine = asked.withColumn("grp", level.group()).groupBy("range", "grp").applyInArrow(spread(level), _SQL_RELAYED)
+        answered = fine.groupBy("range").applyInArrow(lambda rows: counted(rows, _RELAYED), _SQL_RELAYED)
+        answered = answered.groupBy(F.floor(F.col("range") / level.fine).alias("coarse"), "grp").applyInArrow(gathered(level), _SQL_ANSWERED)
+    else:
+        answered = asked.groupBy("range").applyInArrow(lambda rows: counted(rows), _SQL_ANSWERED)
     out = "".join(f"{x} long, " for x in labels) + "set_id long, n long, shared binary, upto array<long>"
     return answered.groupBy("chunk").applyInArrow(ordered(percent, classes, labels), out)
 
