@@ -22,9 +22,9 @@ Words have 64-bit keys.  Keys of longer n-grams have ``SPARE_BITS`` more bits
 than it takes to count the words, so that at every size about one n-gram in
 2**SPARE_BITS shares its key with another, and adds to its count.
 
-Rows go by chunk and range.  ``chunk_words`` and ``range_bytes`` are as much as
-a worker holds; chunks times ranges grows with the square of the table over
-their product, so both are to be raised with the executors' memory.
+``chunk_words`` and ``range_bytes`` are as much as a worker holds.  Rows go by
+chunk and range; beyond ``direct`` ranges they go through relays, so that rows
+don't grow with the square of the table.
 
 Null and empty texts are one end token.  A document with a null doc_id has no
 fold: it is scored, not learned from, and its ``held_out`` is null.  Rows that
@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 
 from isobar.llm.blocks import U, blocks, firsts, mix, segment_sum
 from isobar.llm.packing import pack, pack_sorted, unpack, unpack_sorted
+from isobar.llm.relay import DIRECT, Levels, by_slot, checked, levels, merged
 from isobar.llm.store import settled, ship, written
 
 END, START = U(0x5EED0E0D), U(0x5EED0B05)
@@ -63,6 +64,7 @@ class Model:
     chunk_words: int = 1_000_000
     range_bytes: int = 4_000_000
     segment: int = 256
+    direct: int = DIRECT
 
 
 @dataclass
@@ -179,8 +181,10 @@ def _answered(key: tuple, rows: pa.Table) -> pa.Table:
     edges = np.cumsum([0, *map(len, keys)])
     answers = [pack(total[place[lo:hi]]) for lo, hi in zip(edges, edges[1:], strict=False)]
     words = total[own != START] if first_order else total[:0]
+    passed = {c: pa.array([*rows[c].to_pylist(), None], rows.schema.field(c).type) for c in ("grp", "slots") if c in rows.column_names}
     return pa.table(
-        {
+        passed
+        | {
             "chunk": pa.array([*names, None], pa.int64()),
             "range": pa.array([key[0].as_py()] * (len(names) + 1), pa.int64()),
             "counts": pa.array([*answers, None], pa.binary()),
@@ -190,6 +194,55 @@ def _answered(key: tuple, rows: pa.Table) -> pa.Table:
     )
 
 
+def _spread(level: Levels, bits: int):
+    """A relay on the way out: what a group of chunks asks of a coarse range, cut into fine ranges; and a row of the chunks' names."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = sorted(rows.to_pylist(), key=lambda r: r["chunk"])
+        (coarse, k), grp = divmod(rows[0]["range"], 8), rows[0]["grp"]
+        keys, slots, counts = merged([unpack_sorted(r["keys"]) for r in rows], [unpack(r["counts"]) for r in rows])
+        at = np.append(np.searchsorted(keys, level.edges(coarse, 64 if k == 1 else bits)), len(keys))
+        first = coarse * level.fine
+        out = []
+        for j in np.flatnonzero(np.diff(at)).tolist():
+            own = slice(at[j], at[j + 1])
+            out.append({"range": (first + j) * 8 + k, "keys": pack_sorted(keys[own]), "counts": pack(counts[own]), "slots": pack(slots[own])})
+        out.append({"range": (first + grp % level.fine) * 8 + k, "names": [r["chunk"] for r in rows], "sent": len(keys)})
+        schema = pa.schema([("range", pa.int64()), ("grp", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("slots", pa.binary()), ("names", pa.list_(pa.int64())), ("sent", pa.int64())])
+        return pa.Table.from_pylist([r | {"grp": grp} for r in out], schema)
+
+    return run
+
+
+def _answered_relays(key: tuple, rows: pa.Table) -> pa.Table:
+    """``_answered`` to relays; rows of names go on as they are."""
+    names = rows.filter(rows["keys"].is_null())
+    rows = rows.filter(rows["keys"].is_valid())
+    schema = pa.schema([("grp", pa.int64()), ("range", pa.int64()), ("counts", pa.binary()), ("slots", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()), ("names", pa.list_(pa.int64())), ("sent", pa.int64())])
+    out = names.to_pylist()
+    if len(rows):
+        rows = rows.append_column("chunk", pa.nulls(len(rows), pa.int64()))
+        out += _answered(key, rows).to_pylist()
+    return pa.Table.from_pylist([{c: r.get(c) for c in schema.names} for r in out], schema)
+
+
+def _gathered(level: Levels):
+    """A relay on the way back: the fine ranges' answers to a group of chunks, to each chunk as if from one coarse range."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = sorted(rows.to_pylist(), key=lambda r: r["range"])
+        about = [r for r in rows if r["names"] is not None]
+        rows = [r for r in rows if r["names"] is None]
+        slots = [unpack(r["slots"]) for r in rows]
+        checked(sum(r["sent"] for r in about), sum(map(len, slots)))
+        fine, k = divmod(about[0]["range"], 8)
+        (counts,) = by_slot(slots, len(about[0]["names"]), [unpack(r["counts"]) for r in rows])
+        chunk, place = pa.array(about[0]["names"], pa.int64()), [fine // level.fine * 8 + k] * len(counts)
+        return pa.table({"chunk": chunk, "range": pa.array(place, pa.int64()), "counts": pa.array(map(pack, counts), pa.binary())})
+
+    return run
+
+
 def _encoded(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches, model):
@@ -332,12 +385,22 @@ def scored(docs: DataFrame, model: Model = Model()) -> DataFrame:
     ship(docs.sparkSession)
     texts = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(64, size // model.range_bytes)
+    level = levels(int(max(64, size // model.range_bytes)), model.direct)
     bits = min(64, max(48, SPARE_BITS + (size // 5).bit_length()))
-    asked = texts.mapInArrow(_asked(model, ranges, bits), "range long, chunk long, keys binary, counts binary")
-    answers = written(asked.groupBy("range").applyInArrow(_answered, "chunk long, range long, counts binary, tokens long, types long"))
+    asked = texts.mapInArrow(_asked(model, level.coarse, bits), "range long, chunk long, keys binary, counts binary")
+    if level.groups:
+        fine = asked.withColumn("grp", level.group()).groupBy("range", "grp")
+        fine = fine.applyInArrow(_spread(level, bits), "range long, grp long, keys binary, counts binary, slots binary, names array<long>, sent long")
+        relays = "grp long, range long, counts binary, slots binary, tokens long, types long, names array<long>, sent long"
+        answers = written(fine.groupBy("range").applyInArrow(_answered_relays, relays))
+    else:
+        answers = written(asked.groupBy("range").applyInArrow(_answered, "chunk long, range long, counts binary, tokens long, types long"))
     tokens, types = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     encoded = texts.mapInArrow(_encoded(model), "chunk long, ids array<long>, sizes binary, held binary, vocab binary, codes binary")
-    answers = answers.where("chunk is not null").select("chunk", "range", "counts")
+    if level.groups:
+        back = F.floor(F.shiftright("range", 3) / level.fine).alias("coarse")
+        answers = answers.where("grp is not null").groupBy(back, F.expr("range & 7").alias("k"), "grp").applyInArrow(_gathered(level), "chunk long, range long, counts binary")
+    else:
+        answers = answers.where("chunk is not null").select("chunk", "range", "counts")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scored(model, ranges, bits, tokens, types), schema)
+    return encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scored(model, level.coarse, bits, tokens, types), schema)

@@ -190,8 +190,9 @@ def test_language_model_counts_and_mass(docs):
         assert r["base_score"] == pytest.approx(base) and r["score"] <= 0
 
 
-def test_language_model_equals_a_plain_recursion(docs):
-    model = Model(chunk_words=50, range_bytes=1000)  # many chunks and ranges
+@pytest.mark.parametrize("direct", [8192, 5])
+def test_language_model_equals_a_plain_recursion(docs, direct):
+    model = Model(chunk_words=50, range_bytes=1000, direct=direct)  # many chunks and ranges, without relays and with them
     grams = collections.Counter()
     tokens = {i: words(lower(t or "")) + ["</s>"] for i, t in enumerate(TEXTS)}
     for i, ts in tokens.items():

@@ -7,6 +7,7 @@ import pytest
 from isobar.llm import near_duplicates as nd
 from isobar.llm import relay
 from isobar.llm import set_counts as sc
+from isobar.llm.backoff_lm import Model, scored
 from isobar.llm.blocks import blocks
 from test_edges import prose
 from test_near_duplicates import crowd
@@ -92,3 +93,11 @@ def test_sets_are_the_same_with_relays(spark, direct):
     assert rows(direct) == rows(relay.DIRECT)
     empty = frame.where("doc_id < 0")
     assert sc.ordered_sets(empty, nd._texts, nd.LABELS, 80, nd.CLASSES, direct=direct).count() == 0
+
+
+def test_scores_are_the_same_with_relays(spark):
+    texts = [*crowd(7), "", None, *(prose(i, 40) for i in range(30))]
+    frame = nd.written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    rows = lambda direct: sorted(map(str, scored(frame, Model(chunk_words=300, direct=direct)).collect()))
+    assert rows(3) == rows(relay.DIRECT)
+    assert scored(frame.where("doc_id < 0"), Model(direct=3)).count() == 0
