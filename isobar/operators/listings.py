@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.operators.sizes import maybe_broadcast
-from isobar.sources.storage import work_path
+from isobar.operators.sizes import maybe_broadcast, met
+from isobar.sources.storage import kept, work_path
 
 
 def next_offsets(inventory: DataFrame) -> DataFrame:
@@ -79,9 +79,12 @@ def as_of(rows: DataFrame, companions: DataFrame, before: int, after: int) -> Da
 def walk_back(wanted: DataFrame, there: DataFrame, offsets: list[int]) -> DataFrame:
     """``wanted`` (id, t) to the first of the offsets, in order of preference, at which a run is there."""
     tries = F.posexplode(F.array(*map(F.lit, offsets))).alias("rank", "offset")
-    rows = wanted.select("*", tries).withColumn("run", F.col("t") + F.col("offset"))
-    rows = rows.join(there.select("run").distinct(), "run")
-    return rows.groupBy("id").agg(F.min_by(F.struct("run", "offset"), "rank").alias("b")).select("id", "b.run", "b.offset")
+    rows = wanted.select("id", "t", tries).withColumn("run", F.col("t") + F.col("offset"))
+    rows = met(rows, kept(there.select("run").where("run is not null").distinct(), "runs"), ["run"])
+    first = rows.groupBy("id", "t").agg(F.min("rank").alias("rank"))
+    first = first.withColumn("offset", F.element_at(F.array(*map(F.lit, offsets)), F.col("rank") + 1)).withColumn("run", F.col("t") + F.col("offset"))
+    best = first.groupBy("id").agg(F.min_by(F.struct("run", "offset"), F.struct("rank", "run")).alias("b"))
+    return best.select("id", "b.run", "b.offset")
 
 
 def newest_cycles(wanted: DataFrame, there: DataFrame, sources: list[tuple[str, int, int, bool]]) -> DataFrame:
@@ -99,9 +102,16 @@ def newest_cycles(wanted: DataFrame, there: DataFrame, sources: list[tuple[str,
         return F.transform(cycles, lambda c: F.struct(F.lit(rank).alias("rank"), (F.col("t") - c).alias("age"), F.lit(name).alias("source"), c.cast("long").alias("cycle"), hour(c).alias("fhr")))
 
     tries = [tried(rank, *source) for rank, source in enumerate(sources)]
-    rows = wanted.select("id", F.explode(F.concat(*tries)).alias("x")).select("id", "x.*")
-    rows = rows.join(there.select("source", "cycle", "fhr").distinct(), ["source", "cycle", "fhr"])
-    best = rows.groupBy("id").agg(F.min_by(F.struct("source", "cycle", "fhr"), F.struct("rank", "age")).alias("b"))
+    rows = wanted.select("id", "t", F.explode(F.concat(*tries)).alias("x")).select("id", "t", "x.*")
+    there = there.select("source", "cycle", "fhr").where("source is not null and cycle is not null and fhr is not null").distinct()
+    rows = met(rows, kept(there, "cycles"), ["source", "cycle", "fhr"])
+    # as one number, which an id's tries are folded into before the shuffle
+    most = max(back for _, _, back, _ in sources) + 1
+    rows = rows.groupBy("id", "t").agg(F.min(F.col("rank") * F.lit(most).cast("long") + F.col("age")).alias("m"))
+    age, rank = F.col("m") % most, F.expr(f"m div {most}").cast("int")
+    fhr = F.element_at(F.array(*(F.lit(s[3]) for s in sources)), rank + 1)
+    rows = rows.select("id", "m", F.element_at(F.array(*(F.lit(s[0]) for s in sources)), rank + 1).alias("source"), (F.col("t") - age).alias("cycle"), F.when(fhr, F.rint(age / 3600.0)).otherwise(0).cast("long").alias("fhr"))
+    best = rows.groupBy("id").agg(F.min_by(F.struct("source", "cycle", "fhr"), F.struct("m", "cycle")).alias("b"))
     return best.select("id", "b.*")
 
 
