@@ -65,15 +65,23 @@ def gaps(needed: DataFrame, rendered: DataFrame, published: DataFrame, keys: lis
 def as_of(rows: DataFrame, companions: DataFrame, before: int, after: int) -> DataFrame:
     """The newest companion stamp in ``[t - before, t + after]`` seconds; both have ``key`` and ``t``, companions ``obj``.
 
-    Time is cut into bins as long as the span; a row meets the bins that its
-    span touches, so the join is on key and bin.
+    Time is cut into bins as long as the span, by its end.  The newest companion
+    up to there is in the same bin or the newest of the bin before, which is
+    handed on; older ones are outside of the span.  So rows and companions meet in
+    their order within a bin, and never as pairs.
     """
     width = before + after
-    left = rows.withColumn("bin", F.explode(F.sequence(F.floor((F.col("t") - before) / width), F.floor((F.col("t") + after) / width))))
-    right = companions.select("key", F.col("t").alias("ct"), "obj", F.floor(F.col("t") / width).alias("bin"))
-    met = left.join(right, ["key", "bin"]).where(F.col("ct").between(F.col("t") - before, F.col("t") + after))
-    newest = met.groupBy("key", "t", "id").agg(F.max_by(F.struct("ct", "obj"), F.struct("ct", "obj")).alias("b"))
-    return rows.join(newest.select("key", "t", "id", "b.ct", "b.obj"), ["key", "t", "id"], "left")
+    bin_of = F.floor(F.col("at") / width)
+    right = companions.select("key", F.col("t").alias("at"), "obj").where("key is not null and at is not null").groupBy("key", "at").agg(F.max("obj").alias("obj")).withColumn("bin", bin_of)
+    right = right.select("key", "bin", "at", F.struct(F.col("at").alias("ct"), "obj").alias("c"))
+    handed = right.groupBy("key", (F.col("bin") + 1).alias("bin")).agg(F.max("c").alias("c")).select("key", "bin", F.col("c.ct").alias("at"), "c")
+    left = rows.select("key", (F.col("t") + after).alias("at"), "t").where("key is not null and at is not null").distinct()
+    left = left.select("key", bin_of.alias("bin"), "at", F.lit(None).cast(right.schema["c"].dataType).alias("c"), "t")
+    none = F.lit(None).cast(left.schema["t"].dataType).alias("t")
+    both = left.union(right.select("*", none)).union(handed.select("*", none))
+    upto = Window.partitionBy("key", "bin").orderBy("at", F.col("t").isNotNull(), "c").rowsBetween(Window.unboundedPreceding, 0)
+    newest = both.withColumn("c", F.last("c", ignorenulls=True).over(upto)).where(F.col("t").isNotNull() & (F.col("c.ct") >= F.col("t") - before))
+    return rows.join(newest.select("key", "t", "c.ct", "c.obj"), ["key", "t"], "left")
 
 
 def walk_back(wanted: DataFrame, there: DataFrame, offsets: list[int]) -> DataFrame:

@@ -1,5 +1,7 @@
 """Plans and results that hold when tables grow."""
 
+import random
+
 from isobar.operators import listings as L
 
 
@@ -30,3 +32,14 @@ def test_tries_are_not_broadcast(spark):
     for frame in frames:
         assert "Generate" in plan(frame)
         assert not any("Generate" in line for line in below(plan(frame), "BroadcastExchange"))
+
+
+def test_as_of_makes_no_pairs(spark):
+    """Many rows and companions of one key and span are not joined with each other."""
+    r = random.Random(3)
+    rows = [(r.randrange(2), r.randrange(4000), i) for i in range(3000)]
+    there = [(r.randrange(2), r.randrange(4000), i) for i in range(300)]
+    got = L.as_of(spark.createDataFrame(rows, "key long, t long, id long"), spark.createDataFrame(there, "key long, t long, obj long"), 9, 5)
+    assert "bin" not in "".join(line for line in plan(got).splitlines() if "Join" in line)
+    best = lambda key, t: max(((ct, obj) for k, ct, obj in there if k == key and t - 9 <= ct <= t + 5), default=(None, None))
+    assert sorted(map(tuple, got.select("key", "t", "id", "ct", "obj").collect()), key=str) == sorted(((*row, *best(row[0], row[1])) for row in rows), key=str)
