@@ -33,11 +33,16 @@ def worst_of(hourly: DataFrame) -> DataFrame:
 
 
 def carried_forward(hourly: DataFrame, keys: list[str], slots: int = 3) -> DataFrame:
-    """W1 over C2: every hour from each key's first to last reading plus ``slots``, the last value held for so many hours."""
-    span = hourly.groupBy(*keys).agg(F.min("hour").alias("a"), F.max("hour").alias("b"))
-    grid = span.select(*keys, F.explode(F.expr(f"sequence(a, b + interval {slots} hours, interval 1 hour)")).alias("hour"))
-    held = F.last("aqi", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("hour").rowsBetween(-slots, 0))
-    return grid.join(hourly, [*keys, "hour"], "left").withColumn("aqi", held).where("aqi is not null")
+    """W1 over C2: each reading's hour and those after it up to the key's next reading, ``slots`` at most, with its value.
+
+    ``hourly`` has one row for each key and hour.  Hours without a value are not
+    laid out, so the rows follow the readings and not the time that they span.
+    """
+    rows = hourly.where(" and ".join(f"{c} is not null" for c in [*keys, "hour", "aqi"]))
+    following = F.lead("hour").over(Window.partitionBy(*keys).orderBy("hour"))
+    last = F.least(following - F.expr("interval 1 hour"), F.col("hour") + F.expr(f"interval {slots} hours"))
+    rows = rows.withColumn("last", F.greatest(last, "hour"))
+    return rows.select(*keys, F.explode(F.expr("sequence(hour, last, interval 1 hour)")).alias("hour"), "aqi")
 
 
 def grid_dedup(flashes: DataFrame, now: int, recent_minutes: int = 30, fine: tuple[float, int] = (0.01, 30), coarse: tuple[float, int] = (0.08, 120)) -> DataFrame:

@@ -1,8 +1,16 @@
 """Plans and results that hold when tables grow."""
 
+import math
 import random
 
+import duckdb
+from pyspark.sql import functions as F
+
+from isobar.functions import scalar as S
 from isobar.operators import listings as L
+from isobar.operators import points as P
+from isobar.plans.registry import ORACLES, QUERIES
+from isobar.streaming import feeds as K
 
 
 def plan(frame):
@@ -43,3 +51,13 @@ def test_as_of_makes_no_pairs(spark):
     assert "bin" not in "".join(line for line in plan(got).splitlines() if "Join" in line)
     best = lambda key, t: max(((ct, obj) for k, ct, obj in there if k == key and t - 9 <= ct <= t + 5), default=(None, None))
     assert sorted(map(tuple, got.select("key", "t", "id", "ct", "obj").collect()), key=str) == sorted(((*row, *best(row[0], row[1])) for row in rows), key=str)
+
+
+def test_hours_without_a_reading_are_not_laid_out(spark):
+    """No grid of all hours is joined; a later null does not end what is held."""
+    rows = spark.sql("""select * from values (1, 'a', timestamp'2024-01-01 00:00:00', 5), (1, 'a', timestamp'2024-01-01 02:00:00', 7), (1, 'a', timestamp'2034-01-01 00:00:00', 9),
+ (1, 'a', timestamp'2024-01-01 03:00:00', null), (2, 'a', timestamp'2024-01-01 00:00:00', null), (null, 'a', timestamp'2024-01-01 00:00:00', 1) as t(s, p, hour, aqi)""")
+    out = P.carried_forward(rows, ["s", "p"])
+    assert "Join" not in plan(out)
+    got = sorted((r["s"], r["p"], r["hour"].strftime("%Y %H"), r["aqi"]) for r in out.collect())
+    assert got == [(1, "a", f"2024 0{h}", v) for h, v in enumerate([5, 5, 7, 7, 7, 7])] + [(1, "a", f"2034 0{h}", 9) for h in range(4)]
