@@ -79,10 +79,14 @@ def nearest_incident(spots: DataFrame, incidents: DataFrame, cell: float = 0.5)
     be within the radius too.  Unknown and negative areas are none.
 
     Incidents are laid out over the cells that their radius can reach, so the
-    join is on cells and the distance is checked on what they share.
+    join is on cells and the distance is checked on what they share.  Of those at
+    one place only some can win: an incident counts if its radius is greater than
+    that of each with a smaller id there.
     """
     radius = S.clip(1.2 * F.sqrt(F.greatest(F.coalesce("acres", F.lit(0.0)), F.lit(0.0)) * 0.00404686), 3.0, 60.0)
     fires = incidents.select("fire_id", F.col("lat").alias("f_lat"), F.col("lon").alias("f_lon"), radius.alias("r"))
+    ahead = F.max("r").over(Window.partitionBy("f_lat", "f_lon").orderBy("fire_id").rowsBetween(Window.unboundedPreceding, -1))
+    fires = fires.withColumn("ahead", ahead).where("ahead is null or r > ahead").drop("ahead")
     d_lat = F.col("r") / 111.0
     d_lon = F.col("r") / (111.0 * F.greatest(F.cos(F.radians(F.abs(F.col("f_lat")) + d_lat)), F.lit(0.05)))
     span = lambda x, d: F.sequence(F.floor((x - d) / cell), F.floor((x + d) / cell))

@@ -61,3 +61,19 @@ def test_hours_without_a_reading_are_not_laid_out(spark):
     assert "Join" not in plan(out)
     got = sorted((r["s"], r["p"], r["hour"].strftime("%Y %H"), r["aqi"]) for r in out.collect())
     assert got == [(1, "a", f"2024 0{h}", v) for h, v in enumerate([5, 5, 7, 7, 7, 7])] + [(1, "a", f"2034 0{h}", 9) for h in range(4)]
+
+
+def test_incidents_that_cannot_win_are_not_compared(spark):
+    """Of many incidents at a place those with a smaller id and no smaller radius are enough."""
+    fires = [(i, 40.0, -100.0 + i % 2 * 0.01, float(a)) for i, a in enumerate([10, 500, 300, 4000, 100, 90000, 90000, 50, 8, 1])]
+    spots = [(i, 40.0, -100.0 + i * 0.02) for i in range(20)]
+    got = P.nearest_incident(spark.createDataFrame(spots, "spot_id long, lat double, lon double"), spark.createDataFrame(fires, "fire_id long, lat double, lon double, acres double"))
+    assert "Window" in plan(got)
+    far = lambda a, b, c, d: 2 * 6371 * math.asin(math.sqrt(math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2))
+    want = {}
+    for i, lat, lon in spots:
+        near = [(round(far(lat, lon, y, x), 9), f) for f, y, x, a in fires if max(far(lat, lon, y, x), abs(lon - x) * math.cos(math.radians(lat)) * 111) <= min(max(1.2 * math.sqrt(a * 0.00404686), 3), 60)]
+        if near:
+            want[i] = min(near)[1]
+    assert len(want) > 3
+    assert {r["spot_id"]: r["fire_id"] for r in got.collect()} == want
