@@ -207,6 +207,13 @@ def theta_e(t_k: Column, td_k: Column, p_hpa: Column) -> Column:
     return F.when(t_k.isNotNull() & td_k.isNotNull() & p_hpa.isNotNull(), out)  # least and greatest skip nulls
 
 
+def leading_bits(x: Column, bits: int = 20) -> Column:
+    """A double to so many leading bits, half to even, in steps that are exact in every engine."""
+    y = x * 2.0**-64  # so that the product below doesn't overflow
+    c = y * (2.0 ** (53 - bits) + 1)
+    return F.when(F.abs(x) == float("inf"), x).otherwise((c - (c - y)) * 2.0**64)
+
+
 def precip_type(rain: Column, snow: Column, ice: Column, freezing: Column) -> Column:
     """The most hazardous wins: 4 freezing, 3 ice, 2 snow, 1 rain, 0 none."""
     return F.when(freezing > 0, 4).when(ice > 0, 3).when(snow > 0, 2).when(rain > 0, 1).otherwise(0)

@@ -77,3 +77,11 @@ def test_incidents_that_cannot_win_are_not_compared(spark):
             want[i] = min(near)[1]
     assert len(want) > 3
     assert {r["spot_id"]: r["fire_id"] for r in got.collect()} == want
+
+
+def test_digits_that_the_steps_leave_to_chance_are_cut(spark):
+    """M9: results of engines that differ in their last bits are one."""
+    rows = spark.createDataFrame([(1.0462371173640436e37,), (1.0462371173642062e37,), (float("inf"),), (1e308,)], "x double")
+    a, b, inf, most = (r[0] for r in rows.select(S.leading_bits(F.col("x"))).collect())
+    assert a == b and abs(a / 1.0462371173640436e37 - 1) < 1e-6
+    assert inf == float("inf") and abs(most / 1e308 - 1) < 1e-6
