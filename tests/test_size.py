@@ -85,3 +85,17 @@ def test_digits_that_the_steps_leave_to_chance_are_cut(spark):
     a, b, inf, most = (r[0] for r in rows.select(S.leading_bits(F.col("x"))).collect())
     assert a == b and abs(a / 1.0462371173640436e37 - 1) < 1e-6
     assert inf == float("inf") and abs(most / 1e308 - 1) < 1e-6
+
+
+def test_amounts_near_half_a_step(spark, tmp_path):
+    """P10: 0.8500000000000001 is above the half, though ten times it is 8.5 in doubles."""
+    db = duckdb.connect()
+    values = "[92.5, 217.5, 232.5, 402.5, 447.5, 152.5]"
+    db.sql(f"create table events as select k event_id, timestamp '2024-01-01' + to_seconds(k) ts, k % 7 user_id, 'view' event_type, {values}[k % 6 + 1]::double as \"value\" from range(3000) t(k)")
+    db.sql(f"copy events to '{tmp_path}/events.parquet' (format parquet)")
+    name = "P10_P11_quality_control"
+    frame = QUERIES[name](spark, str(tmp_path))
+    sql = db.sql(ORACLES[name])
+    got = sorted((r["event_id"], r["pr"]) for r in frame.collect())
+    assert {v for _, v in got} >= {0.9, 3.3, 3.7, 7.1, 7.9}
+    assert got == sorted((r[sql.columns.index("event_id")], r[sql.columns.index("pr")]) for r in sql.fetchall())
