@@ -25,11 +25,19 @@ def rolling_flashes(stream: DataFrame, late: str = "2 minutes", cell: float = 0.
 
 
 def companions(left: DataFrame, right: DataFrame, before: int = 360, after: int = 90, late: str = "10 minutes") -> DataFrame:
-    """K6: pairs of ``key, t, id`` and ``key, ct, obj`` within the span; both sides are dropped from state once it has passed."""
-    a = left.withWatermark("t", late)
-    b = right.withColumnRenamed("key", "ckey").withWatermark("ct", late)
+    """K6: pairs of ``key, t, id`` and ``key, ct, obj`` within the span; both sides are dropped from state once it has passed.
+
+    Time is cut into bins as long as the span, and a row of the left meets the
+    bins that its span touches: a row is compared with those of its key and bin,
+    not with all of its key that are in the state.
+    """
+    width = before + after
+    bin_of = lambda seconds: F.floor(seconds / width)
+    at = F.unix_timestamp("t")
+    a = left.withWatermark("t", late).withColumn("bin", F.explode(F.sequence(bin_of(at - before), bin_of(at + after + 1))))  # stamps have parts of seconds
+    b = right.withColumnRenamed("key", "ckey").withWatermark("ct", late).withColumn("cbin", bin_of(F.unix_timestamp("ct")))
     span = (F.col("ct") >= F.col("t") - F.expr(f"interval {before} seconds")) & (F.col("ct") <= F.col("t") + F.expr(f"interval {after} seconds"))
-    return a.join(b, (F.col("key") == F.col("ckey")) & span).drop("ckey")
+    return a.join(b, (F.col("key") == F.col("ckey")) & (F.col("bin") == F.col("cbin")) & span).drop("ckey", "bin", "cbin")
 
 
 def ingested(granules: DataFrame, schema: str) -> DataFrame:

@@ -99,3 +99,15 @@ def test_amounts_near_half_a_step(spark, tmp_path):
     got = sorted((r["event_id"], r["pr"]) for r in frame.collect())
     assert {v for _, v in got} >= {0.9, 3.3, 3.7, 7.1, 7.9}
     assert got == sorted((r[sql.columns.index("event_id")], r[sql.columns.index("pr")]) for r in sql.fetchall())
+
+
+def test_companions_are_met_by_time(spark):
+    """K6: rows are joined on key and bin, so a key with many rows is not compared with all its rows."""
+    r = random.Random(5)
+    left = [(r.randrange(2), r.randrange(40000) / 10, i) for i in range(300)]
+    right = [(r.randrange(2), r.randrange(40000) / 10, i) for i in range(300)]
+    frame = lambda rows, t, i: spark.createDataFrame(rows, "key long, s double, i long").selectExpr("key", f"timestamp_millis(cast(s * 1000 as long)) as {t}", f"i as {i}")
+    got = K.companions(frame(left, "t", "id"), frame(right, "ct", "obj"), 40, 15)
+    assert "bin" in "".join(line for line in plan(got).splitlines() if "Join" in line).split("Inner")[0]
+    want = sorted((i, j) for k, t, i in left for k2, u, j in right if k == k2 and -400 <= round(10 * (u - t)) <= 150)
+    assert sorted((x["id"], x["obj"]) for x in got.collect()) == want
