@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def hourly_max(stream: DataFrame, late: str = "2 hours") -> DataFrame:
@@ -52,70 +48,18 @@ def newest_wins(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
     return newest.select("key", "b.epoch", "b.value")
 
 
-HOUR_MS = 3_600_000
-
-
-class CarryForward(StatefulProcessor):
-    """K3: a key's hours in order, each once the watermark has passed its end; what is missing takes the value before it, for so many hours.
-
-    State: the values of hours that haven't passed, the last hour that had a
-    value, and the last one put out.  A timer at the end of each hour that has or
-    takes a value puts it out.  A key without hours to come has no state.
-    """
-
-    def __init__(self, slots: int):
-        self.slots = slots
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "hour long", "aqi int")
-        self.last = handle.getValueState("last", "hour long, aqi int, put long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for part in rows:
-            for hour, aqi in part.dropna(subset=["aqi"]).groupby("hour_ms")["aqi"].max().items():
-                hour, aqi = int(hour), int(aqi)
-                known = self.open.getValue((hour,))
-                if known is None or known[0] < aqi:
-                    self.open.updateValue((hour,), (aqi,))
-                self.handle.registerTimer(hour + HOUR_MS)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = timerValues.getCurrentWatermarkInMs()
-        hours = {int(k[0]): int(v[0]) for k, v in self.open.iterator()}
-        last = self.last.get()
-        at, aqi, put = (int(x) for x in last) if last is not None else (None, None, -1)
-        out = []
-        passed = sorted(h for h in hours if h + HOUR_MS <= end)
-        while passed or at is not None:
-            following = [passed[0]] if passed else []
-            if at is not None and put + HOUR_MS <= at + self.slots * HOUR_MS and put + 2 * HOUR_MS <= end:
-                following.append(put + HOUR_MS)
-            if not following:
-                break
-            hour = min(following)
-            if hour in hours:
-                at, aqi = hour, hours.pop(hour)
-                self.open.removeKey((hour,))
-                passed.remove(hour)
-            put = hour
-            out.append((hour, aqi))
-        if at is not None and put >= at + self.slots * HOUR_MS and not hours:
-            self.last.clear()
-        elif at is not None:
-            self.last.update((at, aqi, put))
-            if put < at + self.slots * HOUR_MS and put + HOUR_MS not in hours:
-                self.handle.registerTimer(put + 2 * HOUR_MS)
-        if out:
-            yield pd.DataFrame({"station_id": key[0], "param": key[1], "hour": pd.to_datetime([h for h, _ in out], unit="ms", utc=True).tz_localize(None), "aqi": [v for _, v in out]})
-
-
 def carried_forward(stream: DataFrame, late: str = "2 hours", slots: int = 3) -> DataFrame:
     """K3 over ``station_id, param, ts, aqi``: the hourly maxima, held for so many hours, as ``W1`` gives them.
 
-    Needs the RocksDB state store.
+    A reading counts in its hour and in the ``slots`` after it, and each hour takes
+    the value of the newest hour that reaches it, once the watermark has passed its
+    end.  So the state is that of an hourly aggregate, without a task's own code.
+    A late reading counts in those of its hours that are still open.
     """
-    rows = stream.withWatermark("ts", late).withColumn("hour_ms", F.unix_millis(F.date_trunc("hour", "ts")))
-    out = "station_id long, param string, hour timestamp, aqi int"
-    return rows.groupBy("station_id", "param").transformWithStateInPandas(CarryForward(slots), out, "append", "EventTime")
+    held = stream.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(slots))))
+    held = held.withColumn("at", F.col("ts") + F.make_dt_interval(hours=F.col("k")))
+    held = held.withWatermark("at", f"{late} {slots} hours")  # as the newest reading's hours reach so much further
+    # rows without a value move the watermark, so they are not filtered before
+    value = F.when(F.col("station_id").isNotNull() & F.col("param").isNotNull() & F.col("aqi").isNotNull(), F.struct((-F.col("k")).alias("newer"), F.col("aqi").cast("int").alias("aqi")))
+    hours = held.groupBy("station_id", "param", F.window("at", "1 hour")).agg(F.max(value).alias("b")).where("b is not null")
+    return hours.select("station_id", "param", F.col("window.start").alias("hour"), "b.aqi")

@@ -111,3 +111,11 @@ def test_companions_are_met_by_time(spark):
     assert "bin" in "".join(line for line in plan(got).splitlines() if "Join" in line).split("Inner")[0]
     want = sorted((i, j) for k, t, i in left for k2, u, j in right if k == k2 and -400 <= round(10 * (u - t)) <= 150)
     assert sorted((x["id"], x["obj"]) for x in got.collect()) == want
+
+
+def test_carried_stream_is_an_hourly_aggregate(spark):
+    """K3: no task code or state for each key beside Spark's own aggregation."""
+    rows = spark.sql("select * from values (1L, 'a', timestamp'2024-01-01 00:10:00', 5), (1L, 'a', timestamp'2024-01-01 00:50:00', 3), (1L, 'a', timestamp'2024-01-01 02:00:00', 1), (null, null, timestamp'2024-01-02 00:00:00', null) as t(station_id, param, ts, aqi)")
+    out = K.carried_forward(rows)
+    assert "Python" not in plan(out) and "Pandas" not in plan(out)
+    assert sorted((r["hour"].hour, r["aqi"]) for r in out.collect()) == [(0, 5), (1, 5), (2, 1), (3, 1), (4, 1), (5, 1)]
