@@ -40,13 +40,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.blocks import Block, blocks
 from isobar.llm.natives import maybe_broadcast
 from isobar.llm.set_counts import Part, ordered_sets, possible, prefixes, set_ids, sets_of, verify
-from isobar.llm.store import discard, ship, written
+from isobar.llm.store import discard, ship, tidily
 
 LABELS = ("doc_id", "text_key", "pos")
 BROADCAST_ROWS = 1_000_000
@@ -74,14 +74,14 @@ def _lines(batch: pa.RecordBatch) -> Iterator[Part]:
 
 def _matches(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """The keys of the later lines of pairs (key, key2) that match; only the sets of these pairs are moved."""
-    pairs = written(pairs)
+    pairs = tidily(pairs)
     keys = pairs.select("key").union(pairs.select("key2")).distinct()
     sets = lines.where("shared is not null").join(maybe_broadcast(keys, BROADCAST_ROWS), "key", "left_semi")
-    sets = written(sets.select("key", "n", "shared").dropDuplicates(["key"]))
+    sets = tidily(sets.select("key", "n", "shared").dropDuplicates(["key"]))
     a = sets.select(F.col("key"), F.col("shared").alias("x"), F.col("n").alias("na"))
     b = sets.select(F.col("key").alias("key2"), F.col("shared").alias("y"), F.col("n").alias("nb"))
     rows = pairs.join(b, "key2").join(a, "key").select(F.col("key").alias("a"), F.col("key2").alias("b"), "x", "y", "na", "nb")
-    out = written(rows.mapInArrow(verify(percent), "a long, b long").select(F.col("a").alias("key")).distinct())
+    out = tidily(rows.mapInArrow(verify(percent), "a long, b long").select(F.col("a").alias("key")).distinct())
     discard(pairs, sets)
     return out
 
@@ -96,13 +96,13 @@ def matched_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     """All lines with a word (``doc_id, text_key, pos, key, exact``: whether an equal one is earlier) and the keys that match an earlier line."""
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    lines = written(ordered_sets(texts, _lines, LABELS, percent).withColumnRenamed("set_id", "key"))
+    lines = tidily(ordered_sets(texts, _lines, LABELS, percent).withColumnRenamed("set_id", "key"))
     here = F.struct(F.col("doc_id").isNull().alias("last"), *LABELS)
-    first = written(lines.groupBy("key").agg(F.min(here).alias("f")))
+    first = tidily(lines.groupBy("key").agg(F.min(here).alias("f")))
     prefix = lines.where("shared is not null").withColumnRenamed("key", "set_id").mapInArrow(prefixes(percent), "token long, set_id long, n long, rank long, class long")
-    prefix = written(prefix.select("token", F.col("set_id").alias("key"), "n", "rank").dropDuplicates(["token", "key"]))  # a set may come from several chunks
+    prefix = tidily(prefix.select("token", F.col("set_id").alias("key"), "n", "rank").dropDuplicates(["token", "key"]))  # a set may come from several chunks
     met = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("token")
-    rows = written(prefix.join(met, "token").join(first, "key"))
+    rows = tidily(prefix.join(met, "token").join(first, "key"))
     discard(prefix)
 
     # the earliest and the nearest line under each shingle settle most
@@ -116,17 +116,32 @@ def matched_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     return out, settled.union(more)
 
 
+def _lines_of(text) -> Column:
+    """How many lines of a text have a word."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0)).cast("long")
+
+
+def _cleaned(docs: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``docs`` with ``__text``, the text without the removed lines, and ``__equal``, how many of these equal an earlier line."""
+    lines, found = matched_lines(docs, percent)
+    gone = lines.join(found.withColumn("similar", F.lit(True)), "key", "left").withColumn("goes", F.col("exact") | F.coalesce("similar", F.lit(False)))
+    gone = gone.groupBy("doc_id", "text_key", "pos").agg(F.bool_and("goes").alias("goes"), F.bool_and("exact").alias("exact")).where("goes")
+    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("pos").alias("__gone"), F.count_if("exact").alias("__equal"))  # at most a text's lines
+    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__key"]), "left")
+    kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
+    return rows.select(*(docs[c] for c in docs.columns), F.when(F.col("__gone").isNull(), docs["text"]).otherwise(kept).alias("__text"), F.coalesce("__equal", F.lit(0).cast("long")).alias("__equal"))
+
+
 def line_report(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` (doc_id, text) to ``doc_id, n_lines`` (with a word), ``n_equal`` and ``n_similar``: lines removed as equal to, or as like an earlier one.
 
-    A row for each doc_id; rows that share one are counted together.
+    The texts without these lines are written as a table, and the counts are what
+    is missing there.  A row for each doc_id; rows that share one are counted together.
     """
-    lines, found = matched_lines(docs, percent)
-    rows = lines.join(found.withColumn("similar", F.lit(True)), "key", "left")
-    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("exact").alias("n_equal"), F.count_if(~F.col("exact") & F.coalesce("similar", F.lit(False))).alias("n_similar"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    out = ids.join(counts.withColumnRenamed("doc_id", "c_id"), F.col("doc_id").eqNullSafe(F.col("c_id")), "left")
-    return out.select("doc_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_lines", "n_equal", "n_similar")))
+    rows = _cleaned(docs.select("doc_id", "text"), percent)
+    texts = tidily(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__text").alias("text"), _lines_of("text").alias("n_lines"), F.col("__equal").alias("n_equal")), "texts")
+    missing = F.col("n_lines") - _lines_of("text")
+    return texts.groupBy("doc_id").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_equal").alias("n_equal"), F.sum(missing - F.col("n_equal")).alias("n_similar"))
 
 
 def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -134,10 +149,5 @@ def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Rows with equal doc_id and text lose the same lines: those that are gone from all of them.
     """
-    lines, found = matched_lines(docs, percent)
-    gone = lines.join(found.withColumn("similar", F.lit(True)), "key", "left").withColumn("goes", F.col("exact") | F.coalesce("similar", F.lit(False)))
-    gone = gone.groupBy("doc_id", "text_key", "pos").agg(F.bool_and("goes").alias("goes")).where("goes")
-    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("pos").alias("__gone"))  # at most a text's lines
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__key"]), "left")
-    kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    return rows.select(*(F.when(F.col("__gone").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c] for c in docs.columns))
+    rows = _cleaned(docs, percent)
+    return rows.select(*(F.col("__text").alias("text") if c == "text" else rows[c] for c in docs.columns))

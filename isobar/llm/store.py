@@ -37,6 +37,17 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     return out
 
 
+def tidily(df: DataFrame, name: str = "t") -> DataFrame:
+    """``written``, after which the job's shuffle files are deleted at once; else they stay until the driver collects garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Rows that every job reads in the same order: as they are where they come from files by filters and projections alone, else written."""
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.llm import divergence, neighbour_vote
+from isobar.llm import divergence, line_dedup, neighbour_vote
 from isobar.llm.backoff_lm import Model, scored
 from isobar.llm.blocks import blocks
 from isobar.llm.decontaminate import contamination, decontaminated
@@ -377,3 +377,14 @@ def test_empty_tables_go_through(spark):
     assert without_duplicates(some).count() == decontaminated(some, bench).count() == deduplicated(some).count() == 1
     assert mixed(some).count() == 0 and passing(some).count() == 0
     assert some.select(F.count("text")).first()[0] == 0
+
+
+def test_line_report_makes_the_texts(spark, monkeypatch):
+    """op5: the texts without the removed lines are written, and the counts are what is missing there."""
+    tables, write = {}, line_dedup.tidily
+    monkeypatch.setattr(line_dedup, "tidily", lambda df, name="t": tables.setdefault(name, write(df, name)) if name == "texts" else write(df, name))
+    a, b, c = "one two three four five six\nseven\n \n", "one two three four five six\nx\ty", "\n".join([prose(9, 30), prose(9, 30) + " more"])
+    frame = spark.createDataFrame([(1, a), (2, b), (3, c), (4, None), (5, "\n\n")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_equal"], r["n_similar"]) for r in line_report(frame).collect()}
+    assert got == {1: (2, 0, 0), 2: (2, 1, 0), 3: (2, 0, 1), 4: (0, 0, 0), 5: (0, 0, 0)}
+    assert {r["doc_id"]: r["text"] for r in tables["texts"].collect()} == {1: a, 2: "x\ty", 3: prose(9, 30), 4: None, 5: "\n\n"}
