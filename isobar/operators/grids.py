@@ -9,23 +9,78 @@ from isobar.functions.scalar import mercator
 from isobar.operators.sizes import maybe_broadcast
 
 
-def idw_surface(points: DataFrame, frame: list[str], step: float = 1.0, radius: float = 4.0, most: int = 20, power: float = 2.0, smooth: float = 0.3, least: int = 3, cell: float = 4.0) -> DataFrame:
-    """Inverse-distance weighted mean of the nearest points at every grid node within reach.
+#: distances, in steps, at which a node may have enough points; those to the far corners of the tiles around it, then coarser
+_REACHES = (0.71, 1.12, 1.42, 1.81, 2.24, 2.7, 3.2, 3.7)
+
+
+def _near(x: Column, r, step: float) -> Column:
+    """The nodes of a line from x - r to x + r."""
+    return F.sequence(F.ceil((x - r) / step), F.floor((x + r) / step))
 
-    Points are sent to the nodes around them, line by line of a circle, so the
-    join is an explode with a bounded number of rows a point and the grouping key
-    is the node.  Frames of fewer than ``least`` points are left out; for that
-    points are counted once more, so they should come from a table.
+
+def _wanted(points: DataFrame, frame: list[str], step: float, radius: float, most: int) -> DataFrame:
+    """Unit cells and the nodes that may want points of them: ``cy, cx, gy, gx, r2``.
+
+    Points are counted by tiles of half a step.  Where tiles wholly within a
+    distance of a node hold ``most`` points, no point beyond it counts there; r2 is
+    the square of that distance, or of the radius.  A frame's tiles are as many as
+    its area has, however many points there are, and are one partition.
+    """
+    size = step / 2
+    tile = lambda x: F.when(~F.isnan(x), F.floor(F.col(x) / size))
+    tiles = points.groupBy(*frame, tile("lat").alias("ty"), tile("lon").alias("tx")).agg(F.count(F.lit(1)).alias("n")).repartition(*frame)
+    middle = lambda t: (F.col(t) + 0.5) * size
+    tiles = tiles.withColumn("gy", F.explode(_near(middle("ty"), radius + size / 2, step))).withColumn("gx", F.explode(_near(middle("tx"), radius + size / 2, step)))
+    off = lambda g, t: F.abs(F.col(g) * step - middle(t))
+    square = lambda y, x: y * y + x * x
+    gap = lambda g, t: F.greatest(off(g, t) - size / 2, F.lit(0.0))
+    tiles = tiles.where(square(gap("gy", "ty"), gap("gx", "tx")) <= radius * radius * (1 + 1e-9))
+    far = square(off("gy", "ty") + size / 2, off("gx", "tx") + size / 2)
+    reaches = [r * step for r in _REACHES if r * step < radius]
+    nodes = tiles.groupBy(*frame, "gy", "gx").agg(*(F.sum(F.when(far <= r * r, F.col("n"))).alias(f"n{i}") for i, r in enumerate(reaches)), F.sum("n").alias("all"))
+    r2 = F.coalesce(*(F.when(F.col(f"n{i}") >= most, F.lit(r * r * (1 + 1e-9))) for i, r in enumerate(reaches)), F.lit(float(radius * radius)))
+    nodes = nodes.select(*frame, "gy", "gx", r2.alias("r2"), (F.sqrt(r2) / step + 1e-9).alias("r"))
+    cells = lambda g: F.sequence(F.floor(F.col(g) - F.col("r")), F.floor(F.col(g) + F.col("r")))
+    nodes = nodes.withColumn("cy", F.explode(cells("gy"))).withColumn("cx", F.explode(cells("gx")))
+    out = lambda g, c: F.greatest(F.abs(F.col(g) - F.col(c) - 0.5) - 0.5, F.lit(0.0))
+    nodes = nodes.where(square(out("gy", "cy"), out("gx", "cx")) <= F.col("r") * F.col("r"))
+    return nodes.select(*frame, "cy", "cx", "gy", "gx", "r2")
+
+
+def sent_to_nodes(points: DataFrame, frame: list[str], step: float = 1.0, radius: float = 4.0, most: int = 20, least: int = 3, crowd: float = 2.0) -> DataFrame:
+    """Points with each grid node within reach that may want them: ``gy, gx, station_id, v, d2``.
+
+    In frames with more than ``crowd`` points to a cell that has any, a point goes
+    only to nodes without ``most`` nearer ones by ``_wanted``; in others to all,
+    line by line of a circle.  Frames of fewer than ``least`` points are left out.
     """
-    frames = points.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).drop("_n")
-    rows = points.join(maybe_broadcast(frames), frame)
-    near = lambda x, r: F.sequence(F.ceil((x - r) / step), F.floor((x + r) / step))
-    rows = rows.withColumn("gy", F.explode(near(F.col("lat"), F.lit(radius))))
+    of = lambda x: F.floor(F.col(x) / step)
+    cells = points.groupBy(*frame, of("lat").alias("cy"), of("lon").alias("cx")).agg(F.count(F.lit(1)).alias("_n"))
+    frames = cells.groupBy(*frame).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_cells")).where(F.col("_n") >= least)
+    frames = maybe_broadcast(frames.select(*frame, (F.col("_n") > crowd * F.col("_cells")).alias("_crowded")))
+    rows = points.join(frames.where(~F.col("_crowded")), frame)
+    rows = rows.withColumn("gy", F.explode(_near(F.col("lat"), F.lit(radius), step)))
     half = F.sqrt(F.greatest(F.lit(radius * radius) - F.pow(F.col("gy") * step - F.col("lat"), 2), F.lit(0.0))) + 1e-9 * step
     across = F.ceil((F.col("lon") - half) / step) <= F.floor((F.col("lon") + half) / step)  # a line may pass between nodes
-    rows = rows.where(across).withColumn("gx", F.explode(near(F.col("lon"), half)))
+    rows = rows.where(across).withColumn("gx", F.explode(_near(F.col("lon"), half, step)))
+    columns = [*frame, "station_id", "v", "lat", "lon", "gy", "gx"]
+    rows = rows.select(*columns, F.lit(float(radius * radius)).alias("r2"))
+    crowded = points.join(frames.where("_crowded"), frame)
+    wanted = _wanted(crowded, frame, step, radius, most).hint("merge")  # more rows than the planner takes them for
+    there = crowded.withColumn("cy", of("lat")).withColumn("cx", of("lon")).join(wanted, [*frame, "cy", "cx"])
+    rows = rows.union(there.select(*columns, "r2"))
     dy, dx = F.col("gy") * step - F.col("lat"), F.col("gx") * step - F.col("lon")
-    rows = rows.withColumn("d2", dy * dy + dx * dx).where(F.col("d2") <= radius * radius)
+    return rows.withColumn("d2", dy * dy + dx * dx).where("d2 <= r2").select(*frame, "gy", "gx", "station_id", "v", "d2")
+
+
+def idw_surface(points: DataFrame, frame: list[str], step: float = 1.0, radius: float = 4.0, most: int = 20, power: float = 2.0, smooth: float = 0.3, least: int = 3, cell: float = 4.0) -> DataFrame:
+    """Inverse-distance weighted mean of the nearest points at every grid node within reach.
+
+    Points are sent to the nodes around them, so the grouping key is the node.
+    They are read several times for that, so they should come from a table.
+    Frames of fewer than ``least`` points are left out.
+    """
+    rows = sent_to_nodes(points, frame, step, radius, most, least)
     place = Window.partitionBy(*frame, "gy", "gx").orderBy("d2", "station_id")
     rows = rows.withColumn("k", F.row_number().over(place)).where(F.col("k") <= most)
     w = 1 / F.pow(F.col("d2") + smooth * smooth, power / 2)

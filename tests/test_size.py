@@ -7,6 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from isobar.functions import scalar as S
+from isobar.operators import grids as G
 from isobar.operators import listings as L
 from isobar.operators import points as P
 from isobar.plans.registry import ORACLES, QUERIES
@@ -119,3 +120,24 @@ def test_carried_stream_is_an_hourly_aggregate(spark):
     out = K.carried_forward(rows)
     assert "Python" not in plan(out) and "Pandas" not in plan(out)
     assert sorted((r["hour"].hour, r["aqi"]) for r in out.collect()) == [(0, 5), (1, 5), (2, 1), (3, 1), (4, 1), (5, 1)]
+
+
+def test_crowded_points_go_to_few_nodes(spark):
+    """Where nodes have enough points nearby, farther ones are not sent to them; the surface is that of all points."""
+    r = random.Random(11)
+    rows = [(h, i, round(r.uniform(-6, 4), 2), round(r.uniform(-3, 7), 2), float(r.randrange(300))) for h, n in [(0, 4000), (1, 30), (2, 2)] for i in range(n)]
+    rows += [(3, i, 1.0, 2.0, float(i)) for i in range(40)] + [(3, 50, 5.25, 2.5, 9.0), (3, 51, float("nan"), 2.0, 7.0), (3, 52, None, 2.0, 7.0), (4, 0, 0.5, 0.5, 1.0), (4, 1, None, 0.0, 1.0), (4, 2, None, None, 1.0)]
+    points = spark.createDataFrame(rows, "hour long, station_id long, lat double, lon double, v double")
+    want, pairs = {}, 0
+    for h in (0, 1, 3, 4):
+        there = [x for x in rows if x[0] == h and x[2] is not None and x[2] == x[2]]
+        for gy in range(-11, 11):
+            for gx in range(-8, 13):
+                near = sorted(((gy - y) ** 2 + (gx - x) ** 2, i, v) for _, i, y, x, v in there if (gy - y) ** 2 + (gx - x) ** 2 <= 16)
+                pairs += len(near) if h == 0 else 0
+                if near:
+                    w = [1 / (d2 + 0.09) for d2, _, _ in near[:20]]
+                    want[h, gy, gx] = (len(w), round(sum(a * v for a, (_, _, v) in zip(w, near, strict=False)) / sum(w), 6))
+    got = {(x["hour"], x["lat"], x["lon"]): (x["n"], round(x["v"], 6)) for x in G.idw_surface(points, ["hour"]).collect()}
+    assert got == want
+    assert G.sent_to_nodes(points.where("hour = 0"), ["hour"]).count() < pairs / 4
