@@ -388,3 +388,22 @@ def test_line_report_makes_the_texts(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_lines"], r["n_equal"], r["n_similar"]) for r in line_report(frame).collect()}
     assert got == {1: (2, 0, 0), 2: (2, 1, 0), 3: (2, 0, 1), 4: (0, 0, 0), 5: (0, 0, 0)}
     assert {r["doc_id"]: r["text"] for r in tables["texts"].collect()} == {1: a, 2: "x\ty", 3: prose(9, 30), 4: None, 5: "\n\n"}
+
+
+@pytest.mark.parametrize("crowd", [256, 1])
+def test_lines_without_python_workers(spark, monkeypatch, crowd):
+    """op5: no job has Python in its plan, few or many lines under a shingle give the same, and letters are lowered one by one."""
+    plans, write = [], line_dedup.tidily
+    monkeypatch.setattr(line_dedup, "tidily", lambda df, name="t": plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    monkeypatch.setattr(line_dedup, "CROWD", crowd, raising=False)
+    rng = np.random.default_rng(7)
+    passages, texts = [prose(50 + i, 14) for i in range(4)], []
+    for _ in range(40):
+        w = " ".join(passages[k] for k in rng.integers(0, 4, rng.integers(1, 4))).split()
+        for _ in range(int(rng.integers(0, 2))):
+            w[rng.integers(0, len(w))] = f"v{rng.integers(0, 9)}"
+        texts.append(" ".join(w[: rng.integers(5, len(w) + 1)]) + "\nx\t" + w[0] + "  y ")
+    out = line_report(spark.createDataFrame([*enumerate(texts), (90, "\u0130a \u0391\u03a3"), (91, " ia\t\u03b1\u03c3")], "doc_id long, text string"))
+    got = {r["doc_id"]: (r["n_lines"], r["n_equal"], r["n_similar"]) for r in out.collect()}
+    assert got == {i: (n, len(e), len(s)) for i, (n, e, s) in lines_by_force(texts).items()} | {90: (1, 0, 0), 91: (1, 1, 0)}
+    assert plans and not any(re.search("Arrow|Python|Pandas", p) for p in plans)
